@@ -58,12 +58,12 @@ def cast_features(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def cast_failures(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, failures): values that are there but no numbers."""
+    """(name, failures): values that are there but no numbers."""
     row = df.agg(
         *[F.count_if(F.col(c).isNotNull() & to_double(c).isNull()).alias(f"f{i}") for i, c in enumerate(columns)]
     )
     entries = [
-        F.struct(F.lit(c).alias("column"), F.col(f"f{i}").alias("failures")) for i, c in enumerate(columns)
+        F.struct(F.lit(c).alias("name"), F.col(f"f{i}").alias("failures")) for i, c in enumerate(columns)
     ]
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 

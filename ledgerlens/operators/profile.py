@@ -20,14 +20,14 @@ def categorical_numerical(df: DataFrame) -> tuple[list[str], list[str]]:
 def _one_row_to_long(row: DataFrame, columns: list[str], fields: list[str]) -> DataFrame:
     """Columns `<field>__<i>` of a one-row frame to one row per column name."""
     entries = [
-        F.struct(F.lit(c).alias("column"), *[F.col(f"{f}__{i}").alias(f) for f in fields])
+        F.struct(F.lit(c).alias("name"), *[F.col(f"{f}__{i}").alias(f) for f in fields])
         for i, c in enumerate(columns)
     ]
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def null_rates(df: DataFrame) -> DataFrame:
-    """(column, null_rate)"""
+    """(name, null_rate)"""
     row = df.agg(
         *[F.avg(F.col(c).isNull().cast("double")).alias(f"null_rate__{i}") for i, c in enumerate(df.columns)]
     )

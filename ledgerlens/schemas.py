@@ -7,14 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "money": T.DecimalType(15, 4),
+    "string": T.StringType(),
+    "date": T.DateType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """'name type, name type' as a schema; needs no session, unlike a DDL text."""
+    pairs = (c.split() for c in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SOURCE_SCHEMAS = {
     "ledger": _schema(
-        "id bigint, ss bigint, dte date, type string, net decimal(15,4), payment decimal(15,4),"
-        "paidprin decimal(15,4), paidint decimal(15,4)"
+        "id bigint, ss bigint, dte date, type string, net money, payment money,"
+        "paidprin money, paidint money"
     ),
     "payday": _schema(
         "id bigint, social bigint, extra4 string, type string, yearsonjob string, email string,"
@@ -27,12 +39,12 @@ SOURCE_SCHEMAS = {
         "id bigint, custid bigint, signaturedate date, statusid int, apptypeid int, date date, viewcontractdate date"
     ),
     "renewal_lead": _schema(
-        "lirenewallogid bigint, buyappslogid bigint, loanamount decimal(15,4), leadtype string, affiliatesubid bigint"
+        "lirenewallogid bigint, buyappslogid bigint, loanamount money, leadtype string, affiliatesubid bigint"
     ),
     "application_type": _schema("apptypeid int, apptypedescription string, apptypeamount int"),
     "sub_codes": _schema("subcode int, code int"),
     "buy_apps_log": _schema("buyappslogid bigint, applicantid bigint, username string, status string, date date"),
-    "affiliate": _schema("username string, leadprice decimal(15,4)"),
+    "affiliate": _schema("username string, leadprice money"),
     "bureau_response": _schema("id bigint, applicantid bigint, storeid string, riskscore int"),
     "customer_restriction": _schema(
         "customerrestrictionid bigint, id bigint, blockrenew int, blocksetup int, emaillistexclude int"
