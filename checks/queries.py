@@ -267,8 +267,7 @@ def q_latest_loan(spark, d):
 
 @_query
 def q_loan_counts(spark, d):
-    src = sample_sources(spark, d)
-    return features.loan_counts(joins.base_loans(ledger.ledger_loan_totals(src.ledger), "training"), src, "training")
+    return features.loan_counts(sample_sources(spark, d), "training")
 
 
 @_query

@@ -44,4 +44,6 @@ def with_block(ledger: DataFrame, split: DataFrame | None) -> DataFrame:
     keyed = ledger.join(F.broadcast(split), "ss", "left")
     # both operands are integers: exact up to 2^53
     blk = F.floor((F.col("id") - F.col("first_id")) / F.col("width")).cast("bigint")
-    return keyed.withColumn("blk", F.coalesce(blk, F.lit(WHOLE).cast("bigint"))).drop("first_id", "width")
+    blocked = keyed.withColumn("blk", F.coalesce(blk, F.lit(WHOLE).cast("bigint"))).drop("first_id", "width")
+    # a ledger bucketed by customer would otherwise keep all blocks of a customer in one task
+    return blocked.repartition("ss", "blk")

@@ -24,9 +24,21 @@ RENEWAL_STATUS_CODE = 5
 
 def base_loans(loans: DataFrame, mode: str, date_range: tuple[str, str] | None = None) -> DataFrame:
     """Loans a feature row may start from. Filters loan totals, never the ledger the totals are taken over."""
-    chosen = loans.filter(normal_text("loan_type").isin(BASE_LOANS[mode]))
+    return _of_mode(loans, "loan_type", "loan_date", mode, date_range)
+
+
+def base_loan_days(ledger: DataFrame, mode: str, date_range: tuple[str, str] | None = None) -> DataFrame:
+    """(ss, day, n_loans): how many base loans a customer took on a day. Needs no totals, so it reads the ledger."""
+    loans = _of_mode(ledger, "type", "dte", mode, date_range)
+    return loans.groupBy("ss", F.to_date("dte").alias("day")).agg(F.count(F.lit(1)).alias("n_loans"))
+
+
+def _of_mode(
+    rows: DataFrame, kind: str, day: str, mode: str, date_range: tuple[str, str] | None
+) -> DataFrame:
+    chosen = rows.filter(normal_text(kind).isin(BASE_LOANS[mode]))
     if date_range is not None:
-        chosen = chosen.filter(F.col("loan_date").between(*[F.lit(d).cast("date") for d in date_range]))
+        chosen = chosen.filter(F.to_date(day).between(*[F.lit(d).cast("date") for d in date_range]))
     return chosen
 
 

@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.events import (
     LIFETIME_MEASURES,
     MEASURES,
+    NEW_LOAN,
+    RENEWAL,
     classify_events,
     combine,
+    normal_text,
     over_rows,
 )
 from ledgerlens.operators.blocks import SPLIT_ROWS, WHOLE, split_customers, with_block
@@ -29,14 +32,17 @@ from ledgerlens.operators.blocks import SPLIT_ROWS, WHOLE, split_customers, with
 START, CURRENT, BEFORE = Window.unboundedPreceding, Window.currentRow, -1
 
 
-def _segments(events: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per loan with the totals of its segment; events ahead of the first loan have loan_seq 0."""
+def _segments(ledger: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per loan with the totals of its segment; events ahead of the first loan have loan_seq 0.
+
+    The shuffle below the window carries the ledger's own columns; flags and measures are added above it.
+    """
     upto = Window.partitionBy(*keys).orderBy("id").rowsBetween(START, CURRENT)
-    numbered = events.withColumns(
-        {"loan_seq": F.sum("is_loan").over(upto), "renewal_seq": F.sum("is_renewal").over(upto)}
-    )
+    kind = normal_text("type")
+    loans, renewals = F.count_if(kind.isin(NEW_LOAN, RENEWAL)), F.count_if(kind == RENEWAL)
+    numbered = ledger.withColumns({"loan_seq": loans.over(upto), "renewal_seq": renewals.over(upto)})
     is_loan = F.col("is_loan") == 1
-    return numbered.groupBy(*keys, "loan_seq", "renewal_seq").agg(
+    return classify_events(numbered).groupBy(*keys, "loan_seq", "renewal_seq").agg(
         F.max(F.when(is_loan, F.col("id"))).alias("loan_id"),
         F.max(F.when(is_loan, F.to_date("dte"))).alias("loan_date"),
         F.max(F.when(is_loan, F.col("net"))).alias("net"),
@@ -58,7 +64,8 @@ def _in_block(segments: DataFrame, keys: list[str]) -> DataFrame:
     return segments.withColumns(
         {
             "next": F.last(renewal, ignorenulls=True).over(later),
-            "prev": F.lead(F.struct("loan_id", "loan_date", "net", "n_events", *MEASURES)).over(back),
+            # column by column, so that only the ones in use are computed
+            **{f"prev_{c}": F.lead(c).over(back) for c in ("loan_id", "loan_date", "net", "n_events", *MEASURES)},
             **{f"current_{m}": over_rows(m).over(to_renewal) for m in MEASURES},
             **{f"total_{m}": over_rows(m).over(whole) for m in LIFETIME_MEASURES},
         }
@@ -133,14 +140,14 @@ def _block_edges(segments: DataFrame) -> DataFrame:
 
 def _loan_rows(df: DataFrame, across_blocks: bool) -> DataFrame:
     """Final columns per loan; with `across_blocks` the block edges are merged in."""
-    local_prev = F.col("prev.loan_id").isNotNull()
+    local_prev = F.col("prev_loan_id").isNotNull()
 
     def previous(field: str) -> Column:
-        here = F.col(f"prev.{field}")
+        here = F.col(f"prev_{field}")
         return F.when(local_prev, here).otherwise(F.col(f"edge_loan.{field}")) if across_blocks else here
 
     def between(m: str) -> Column:
-        here = F.col(f"prev.{m}")
+        here = F.col(f"prev_{m}")
         if not across_blocks:
             return here
         edge = F.col(f"edge_tail_{m}")
@@ -184,7 +191,7 @@ def ledger_loan_totals(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataF
     """
     split = split_customers(ledger, split_rows)
     keys = ["ss"] if split is None else ["ss", "blk"]
-    segments = _segments(with_block(classify_events(ledger), split), keys)
+    segments = _segments(with_block(ledger, split), keys)
     local = _in_block(segments, keys)
     if split is None:
         return _loan_rows(local, across_blocks=False)

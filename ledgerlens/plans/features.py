@@ -17,11 +17,21 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.cleaning import age, employment_default, parse_years_on_job
 from ledgerlens.functions.events import normal_text
 from ledgerlens.operators.blocks import SPLIT_ROWS
-from ledgerlens.operators.joins import RENEWAL_STATUS_CODE, base_customers, base_loans
+from ledgerlens.operators.joins import RENEWAL_STATUS_CODE, base_customers, base_loan_days, base_loans
 from ledgerlens.operators.ledger import first_date_ever, ledger_loan_totals
 from ledgerlens.operators.lookups import bureau_scores, latest_restriction, latest_sms_preference, signed_by_day
 from ledgerlens.sources.tables import Sources
 
+# Columns of the latest loan both sets use.
+LOAN_COLUMNS = [
+    "net",
+    "current_amount_paid",
+    "total_amount_paid",
+    "total_total_loan_amt",
+    "total_first_loan_date",
+    "total_first_payment_date",
+]
+
 
 def _row_counts(df: DataFrame, key: str, alias: str, name: str) -> DataFrame:
     return df.groupBy(F.col(key).alias(alias)).agg(F.count(F.lit(1)).alias(name))
@@ -45,9 +55,11 @@ def _borrowers(src: Sources, customers: DataFrame) -> DataFrame:
     )
 
 
-def joined_row_counts(loans: DataFrame, src: Sources, customers: DataFrame) -> DataFrame:
+def joined_row_counts(days: DataFrame, src: Sources, customers: DataFrame) -> DataFrame:
     """(ss, n_rows): rows the full join of base loans would have, without forming them.
 
+    `days` are the loans counted by customer and day, as `base_loan_days` gives them.
+
     For a loan day and a customer, the leads of the signed application (user name u, n(u) rows) meet the rows of the
     applicant's own log (user name v). Each pair yields as many rows as affiliates are named u or v, at least one.
     With a(u) affiliates named u, summed over v:
@@ -55,8 +67,7 @@ def joined_row_counts(loans: DataFrame, src: Sources, customers: DataFrame) -> D
     * a(u) = 0: sum of max(1, a(v))
     * a(u) > 0: rows(v) * a(u) + sum of a(v) - [rows with v = u] * a(u)
 
-    so sums per applicant, and per applicant and name, suffice. All inputs are counted per key first; loans count per
-    customer and day.
+    so sums per applicant, and per applicant and name, suffice. All inputs are counted per key first.
     """
     affiliates = src.affiliate.groupBy(normal_text("username").alias("name")).agg(F.count(F.lit(1)).alias("n_named"))
     app_log = src.buy_apps_log.withColumn("name", normal_text("username"))
@@ -107,7 +118,6 @@ def joined_row_counts(loans: DataFrame, src: Sources, customers: DataFrame) -> D
     statuses = _row_counts(
         src.sub_codes.filter(F.col("code") == RENEWAL_STATUS_CODE), "subcode", "status_id", "n_statuses"
     )
-    days = loans.groupBy("ss", F.col("loan_date").alias("day")).agg(F.count(F.lit(1)).alias("n_loans"))
     # everything about an application before it meets the loan days, so that no join key is ever missing
     applications = (
         signed_by_day(src.renewal_log)
@@ -123,29 +133,39 @@ def joined_row_counts(loans: DataFrame, src: Sources, customers: DataFrame) -> D
         .join(leads, "log_id", "left")
         .join(same_name, ["payday_id", "name"], "left")
     )
-    matched = days.join(per_payday, "ss").join(applications, ["payday_id", "day"], "left")
     a = F.coalesce("n_named", F.lit(0))
     per_lead = F.when(a == 0, F.col("own_at_least_one")).otherwise(
         F.col("own_rows") * a + F.col("own_named") - F.coalesce("n_same", F.lit(0)) * a
     )
     one = F.lit(1)
-    rows = (
-        F.col("n_loans")
-        * F.coalesce("n_types", one)
-        * F.coalesce("n_statuses", one)
-        * F.coalesce("n_leads", one)
-        * per_lead
+    factors = F.coalesce("n_types", one) * F.coalesce("n_statuses", one) * F.coalesce("n_leads", one)
+    signed_days = (
+        applications.join(per_payday, "payday_id")
+        .groupBy("ss", "payday_id", "day")
+        .agg(F.sum(factors * per_lead).alias("rows"), F.max("own_at_least_one").alias("rows_unsigned"))
     )
-    return matched.groupBy("ss").agg(F.sum(rows).cast("bigint").alias("n_rows"))
+
+    # every loan as if without an application, then what applications add on their days
+    plain = (
+        days.groupBy("ss")
+        .agg(F.sum("n_loans").alias("n_loans"))
+        .join(per_payday.groupBy("ss").agg(F.sum("own_at_least_one").alias("n_each")), "ss")
+    )
+    added = (
+        signed_days.join(days, ["ss", "day"])
+        .groupBy("ss")
+        .agg(F.sum(F.col("n_loans") * (F.col("rows") - F.col("rows_unsigned"))).alias("n_added"))
+    )
+    total = F.col("n_loans") * F.col("n_each") + F.coalesce("n_added", F.lit(0))
+    return plain.join(added, "ss", "left").select("ss", total.cast("bigint").alias("n_rows"))
 
 
-def _latest(loans: DataFrame, last_payment: str) -> DataFrame:
-    """Per customer: the columns of the loan with the highest id, and last funding and payment dates of all."""
-    kept = [c for c in loans.columns if c != "ss"]
+def _latest(loans: DataFrame, columns: list[str], last_payment: str) -> DataFrame:
+    """Per customer: `columns` of the loan with the highest id, and last funding and payment dates of all."""
     return (
         loans.groupBy("ss")
         .agg(
-            F.max_by(F.struct(*kept), "loan_id").alias("loan"),
+            F.max_by(F.struct(*columns), "loan_id").alias("loan"),
             F.max("loan_date").alias("funded_date_recent"),
             F.max(last_payment).alias("last_payment_date"),
             F.count(F.lit(1)).alias("n_loans"),
@@ -167,13 +187,15 @@ def _first_borrower(src: Sources, customers: DataFrame, columns: list[str]) -> D
 
 def latest_loan(loans: DataFrame) -> DataFrame:
     """The customer's loan with the highest id."""
-    return _latest(loans, "previous_last_payment_date").select("ss", "loan_id", "loan_date", "loan_type", "net")
+    columns = ["loan_id", "loan_date", "loan_type", "net"]
+    return _latest(loans, columns, "total_last_payment_date").select("ss", *columns)
 
 
-def loan_counts(loans: DataFrame, src: Sources, mode: str) -> DataFrame:
+def loan_counts(src: Sources, mode: str) -> DataFrame:
     """Per customer with a mapping: joined rows, and plain loans."""
-    joined = joined_row_counts(loans, src, base_customers(src.payday, mode))
-    return joined.join(loans.groupBy("ss").agg(F.count(F.lit(1)).alias("n_loans")), "ss")
+    days = base_loan_days(src.ledger, mode)
+    joined = joined_row_counts(days, src, base_customers(src.payday, mode))
+    return joined.join(days.groupBy("ss").agg(F.sum("n_loans").alias("n_loans")), "ss")
 
 
 def _ssn(show: bool) -> Column:
@@ -186,6 +208,7 @@ def _assemble(
     src: Sources,
     mode: str,
     last_payment: str,
+    loan_columns: list[str],
     columns: list[str],
     only_payday_id: int | None,
     date_range: tuple[str, str] | None,
@@ -195,10 +218,11 @@ def _assemble(
 ) -> DataFrame:
     loans = base_loans(ledger_loan_totals(src.ledger, split_rows), mode, date_range)
     customers = base_customers(src.payday, mode, only_payday_id, exclude_states)
-    rows = _latest(loans, last_payment).join(_first_borrower(src, customers, columns), "ss")
+    rows = _latest(loans, LOAN_COLUMNS + loan_columns, last_payment).join(_first_borrower(src, customers, columns), "ss")
     if count_distinct_loans:
         return rows.withColumn("n_rows", F.col("n_loans"))
-    return rows.join(joined_row_counts(loans, src, customers), "ss")
+    days = base_loan_days(src.ledger, mode, date_range)
+    return rows.join(joined_row_counts(days, src, customers), "ss")
 
 
 def training_features(
@@ -218,11 +242,12 @@ def training_features(
     as the training data always did; "all" takes the whole history, as production does.
     """
     columns = ["email", "extra4", "type", "yearsonjob", "bankaccountlengthmonths", "monthsatresidence", "salary", "dob"]
+    wo = {"previous": "previous", "all": "total"}[wo_scope]
+    loan_columns = ["previous_loan_amt", "previous_amount_paid", f"{wo}_wo_entries", f"{wo}_wo_amount"]
     rows = _assemble(
-        src, "training", "previous_last_payment_date", columns, only_payday_id, date_range, exclude_states,
-        count_distinct_loans, split_rows,
+        src, "training", "previous_last_payment_date", loan_columns, columns, only_payday_id, date_range,
+        exclude_states, count_distinct_loans, split_rows,
     ).join(bureau_scores(src.bureau_response).withColumnRenamed("applicantid", "applicant_id"), "applicant_id", "left")
-    wo = {"previous": "previous", "all": "total"}[wo_scope]
     first = first_date_ever(rows, "total_")
     total, lent = F.col("total_amount_paid"), F.col("total_total_loan_amt")
     paid, net = F.col("current_amount_paid"), F.col("net")
@@ -277,8 +302,8 @@ def production_features(
     ]
     rows = (
         _assemble(
-            src, "production", "total_last_payment_date", columns, only_payday_id, date_range, exclude_states,
-            count_distinct_loans, split_rows,
+            src, "production", "total_last_payment_date", ["total_wo_entries"], columns, only_payday_id, date_range,
+            exclude_states, count_distinct_loans, split_rows,
         )
         .join(latest_restriction(src.customer_restriction), "payday_id", "left")
         .join(latest_sms_preference(src.sms_preference), "mapping_id", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
@@ -15,6 +16,11 @@ from ledgerlens.schemas import FEATURE_CSV_SCHEMA, REQUEST_SCHEMA, conform
 NULL_TEXT = "NULL"
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"ledgerlens-{application}-")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under `spark.checkpoint.dir`, the folder every executor can reach.
 
@@ -24,8 +30,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="ledgerlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
 
 
