@@ -68,45 +68,41 @@ def classify_events(ledger: DataFrame) -> DataFrame:
     A payment in the narrow sense (`is_payment`) is text with "payment" or a return; money counts as collected
     (`is_collected`) for any text with "pay", reverts among them, or a return.
     """
-    kind = normal_text("type")
     flags = {
-        "is_new_loan": kind == NEW_LOAN,
-        "is_renewal": kind == RENEWAL,
-        "is_loan": kind.isin(NEW_LOAN, RENEWAL),
-        "is_payment": kind.contains("payment") | (kind == RETURN),
-        "is_pay_like": kind.contains("pay"),
-        "is_return": kind == RETURN,
-        "is_collected": kind.contains("pay") | (kind == RETURN),
-        "is_revert": kind.contains("revert"),
-        "is_increase": kind.contains(LOAN_INCREASE),
-        "is_written_off": kind == WRITTEN_OFF,
+        "is_new_loan": f"_kind = '{NEW_LOAN}'",
+        "is_renewal": f"_kind = '{RENEWAL}'",
+        "is_loan": f"_kind in ('{NEW_LOAN}', '{RENEWAL}')",
+        "is_payment": f"contains(_kind, 'payment') or _kind = '{RETURN}'",
+        "is_pay_like": "contains(_kind, 'pay')",
+        "is_return": f"_kind = '{RETURN}'",
+        "is_collected": f"contains(_kind, 'pay') or _kind = '{RETURN}'",
+        "is_revert": "contains(_kind, 'revert')",
+        "is_increase": f"contains(_kind, '{LOAN_INCREASE}')",
+        "is_written_off": f"_kind = '{WRITTEN_OFF}'",
     }
-    flagged = ledger.withColumns({k: F.coalesce(v, F.lit(False)).cast("int") for k, v in flags.items()})
-
-    def amount(flag: str, column: str, decimal: str) -> Column:
-        zero = F.lit(0).cast(decimal)
-        return F.when(F.col(flag) == 1, F.col(column).cast(decimal)).otherwise(zero)
-
-    day = F.to_date("dte")
-    lent = normal_text("type").isin(NEW_LOAN, RENEWAL, LOAN_INCREASE)
-    return flagged.withColumns(
-        {
-            "payments_made": F.col("is_payment"),
-            "wo_entries": F.col("is_written_off"),
-            "wo_amount": amount("is_written_off", "net", "decimal(18,4)"),
-            "pay_events": F.col("is_pay_like"),
-            "reverts_made": F.col("is_revert"),
-            "li_times": F.col("is_increase"),
-            "li_amount": amount("is_increase", "net", "decimal(15,4)"),
-            "principal_paid": amount("is_collected", "paidprin", "decimal(15,4)"),
-            "interest_paid": amount("is_collected", "paidint", "decimal(15,4)"),
-            "amount_paid": amount("is_collected", "payment", "decimal(15,4)"),
-            "first_payment_date": F.when(F.col("is_collected") == 1, day),
-            "last_payment_date": F.when(F.col("is_collected") == 1, day),
-            # whole money units, each loan rounded before it is added
-            "total_loan_amt": F.when(lent, F.col("net").cast("decimal(18,0)")).otherwise(
-                F.lit(0).cast("decimal(18,0)")
-            ),
-            "first_loan_date": F.when(F.col("is_new_loan") == 1, day),
-        }
-    )
+    paid_day = "case when is_collected = 1 then to_date(dte) end"
+    lent = f"is_loan = 1 or _kind = '{LOAN_INCREASE}'"
+    measures = {
+        "payments_made": "is_payment",
+        "wo_entries": "is_written_off",
+        "wo_amount": _amount("is_written_off = 1", "net", "decimal(18,4)"),
+        "pay_events": "is_pay_like",
+        "reverts_made": "is_revert",
+        "li_times": "is_increase",
+        "li_amount": _amount("is_increase = 1", "net"),
+        "principal_paid": _amount("is_collected = 1", "paidprin"),
+        "interest_paid": _amount("is_collected = 1", "paidint"),
+        "amount_paid": _amount("is_collected = 1", "payment"),
+        "first_payment_date": paid_day,
+        "last_payment_date": paid_day,
+        # whole money units, each loan rounded before it is added
+        "total_loan_amt": _amount(lent, "net", "decimal(18,0)"),
+        "first_loan_date": "case when is_new_loan = 1 then to_date(dte) end",
+    }
+    kinds = ledger.withColumn("_kind", normal_text("type"))
+    flagged = kinds.withColumns({k: F.expr(f"cast(coalesce({v}, false) as int)") for k, v in flags.items()})
+    return flagged.withColumns({k: F.expr(v) for k, v in measures.items()}).drop("_kind")
+
+
+def _amount(condition: str, column: str, decimal: str = "decimal(15,4)") -> str:
+    return f"case when {condition} then cast({column} as {decimal}) else cast(0 as {decimal}) end"

@@ -54,14 +54,13 @@ def _segments(ledger: DataFrame, keys: list[str]) -> DataFrame:
 
 def _in_block(segments: DataFrame, keys: list[str]) -> DataFrame:
     """Per segment: neighbours and totals as seen inside its customer (or block of a split customer)."""
-    back = Window.partitionBy(*keys).orderBy(F.desc("loan_seq"))
+    # `run` falls as renewal_seq rises: newest loan first is also the order of (run, loan_seq), so one sort serves all
+    back = Window.partitionBy(*keys).orderBy("run", F.desc("loan_seq"))
     later = back.rowsBetween(START, BEFORE)
-    to_renewal = (
-        Window.partitionBy(*keys, "renewal_seq").orderBy(F.desc("loan_seq")).rowsBetween(START, CURRENT)
-    )
+    to_renewal = Window.partitionBy(*keys, "run").orderBy(F.desc("loan_seq")).rowsBetween(START, CURRENT)
     whole = Window.partitionBy(*keys)
     renewal = F.when(F.col("is_renewal") == 1, F.struct(F.col("loan_id").alias("id"), F.col("loan_date").alias("date")))
-    return segments.withColumns(
+    return segments.withColumn("run", -F.col("renewal_seq")).withColumns(
         {
             "next": F.last(renewal, ignorenulls=True).over(later),
             # column by column, so that only the ones in use are computed

@@ -107,4 +107,10 @@ def conform(df: DataFrame, schema: T.StructType, name: str = "table") -> DataFra
     missing = [f.name for f in schema if f.name.lower() not in present]
     if missing:
         raise ValueError(f"{name} lacks column(s): {', '.join(missing)}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    types = {f.name.lower(): f.dataType for f in df.schema}
+    return df.select(
+        *[
+            f.name if types[f.name.lower()] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )
