@@ -147,6 +147,16 @@ def q_ledger_loan_totals_split(spark, d):
     return ledger.ledger_loan_totals(_ledger(spark, d), split_rows=SMALL_SPLIT)
 
 
+@_query
+def q_segment_ids(spark, d):
+    return ledger.segment_ids(_ledger(spark, d))
+
+
+@_query
+def q_segment_ids_split(spark, d):
+    return ledger.segment_ids(_ledger(spark, d), split_rows=SMALL_SPLIT)
+
+
 @_query
 def q_next_renewal(spark, d):
     return ledger.next_renewal(_ledger(spark, d))
@@ -262,7 +272,13 @@ def q_attach_campaign(spark, d):
 
 @_query
 def q_latest_loan(spark, d):
-    return features.latest_loan(joins.base_loans(ledger.ledger_loan_totals(_ledger(spark, d)), "training"))
+    loans = joins.base_loans(ledger.ledger_loan_totals(_ledger(spark, d)), "training")
+    return features.latest_loan(loans, "previous_last_payment_date")
+
+
+@_query
+def q_first_last_values(spark, d):
+    return features.first_last_values(joins.base_loans(ledger.ledger_loan_totals(_ledger(spark, d)), "training"))
 
 
 @_query
@@ -563,6 +579,12 @@ def q_batch_score_offer(spark, d):
     return jobs.batch_score_offer(sample_sources(spark, d), AS_OF, _scorecard)
 
 
+@_query
+def q_campaign_scores(spark, d):
+    """A campaign's customers with their history: medians of the batch, rows without a history stay unscored."""
+    return jobs.score_and_price(jobs.written(_training(spark, d), "features"), _scorecard, mode="batch")
+
+
 def _requests(spark: SparkSession, d: str) -> str:
     """Production features as request records in JSON files; returns their folder."""
     raw = _production(spark, d)

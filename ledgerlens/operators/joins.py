@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.events import normal_text
-from ledgerlens.operators.lookups import latest_signed_application
+from ledgerlens.operators.lookups import application_entries
 from ledgerlens.sources.tables import Sources
 
 # Customer types and the ledger types a feature row starts from.
@@ -74,6 +74,10 @@ def join_dimensions(df: DataFrame, src: Sources) -> DataFrame:
 
     A key that occurs several times in a table multiplies rows, and that is meant: the loan count of the feature row
     counts them (`plans.features` gets that count without forming these rows).
+
+    Most loans have no application, and some no applicant. What hangs on an application is joined to the
+    applications, and what hangs on an applicant to the applicants, before either meets the loans: so no large side
+    is ever shuffled on a key that is mostly missing.
     """
     leads = src.renewal_lead.select(
         F.col("lirenewallogid").alias("log_id"),
@@ -82,6 +86,11 @@ def join_dimensions(df: DataFrame, src: Sources) -> DataFrame:
         F.col("leadtype").alias("lead_type"),
         F.col("affiliatesubid").alias("affiliate_sub_id"),
     )
+    by_lead = src.buy_apps_log.select(
+        F.col("buyappslogid").alias("lead_buy_apps_log_id"),
+        F.col("username").alias("lead_username"),
+        F.col("status").alias("lead_status"),
+    )
     types = src.application_type.select(
         F.col("apptypeid").alias("log_app_type_id"),
         F.col("apptypedescription").alias("app_type_description"),
@@ -90,26 +99,23 @@ def join_dimensions(df: DataFrame, src: Sources) -> DataFrame:
     status = src.sub_codes.filter(F.col("code") == RENEWAL_STATUS_CODE).select(
         F.col("subcode").alias("log_status_id"), F.col("code").alias("status_code")
     )
-    applicants = src.applicant.select(F.col("id").alias("applicant_id"), F.col("email").alias("applicant_email"))
-    by_lead = src.buy_apps_log.select(
-        F.col("buyappslogid").alias("lead_buy_apps_log_id"),
-        F.col("username").alias("lead_username"),
-        F.col("status").alias("lead_status"),
+    applications = (
+        application_entries(src.renewal_log)
+        .join(leads.join(by_lead, "lead_buy_apps_log_id", "left"), "log_id", "left")
+        .join(types, "log_app_type_id", "left")
+        .join(status, "log_status_id", "left")
     )
-    by_applicant = src.buy_apps_log.select(
+    own_log = src.buy_apps_log.select(
         F.col("applicantid").alias("applicant_id"),
         F.col("buyappslogid").alias("own_buy_apps_log_id"),
         F.col("username").alias("own_username"),
         F.col("status").alias("own_status"),
     )
-    return (
-        latest_signed_application(df, src.renewal_log)
-        .join(leads, "log_id", "left")
-        .join(types, "log_app_type_id", "left")
-        .join(status, "log_status_id", "left")
-        .join(applicants, F.col("mapped_applicant_id") == F.col("applicant_id"), "left")
-        .join(by_lead, "lead_buy_apps_log_id", "left")
-        .join(by_applicant, "applicant_id", "left")
+    applicants = src.applicant.select(
+        F.col("id").alias("applicant_id"), F.col("email").alias("applicant_email")
+    ).join(own_log, "applicant_id", "left")
+    return df.join(applications, ["payday_id", "loan_date"], "left").join(
+        applicants, F.col("mapped_applicant_id") == F.col("applicant_id"), "left"
     )
 
 

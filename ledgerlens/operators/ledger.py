@@ -197,6 +197,35 @@ def ledger_loan_totals(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataF
     return _loan_rows(local.join(_block_edges(segments), keys, "left"), across_blocks=True)
 
 
+def segment_ids(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """(ss, id, loan_seq, renewal_seq): per event, how many loans and renewals the customer has had up to it."""
+    split = split_customers(ledger, split_rows)
+    keys = ["ss"] if split is None else ["ss", "blk"]
+    rows = with_block(ledger, split)
+    upto = Window.partitionBy(*keys).orderBy("id").rowsBetween(START, CURRENT)
+    kind = normal_text("type")
+    is_loan, is_renewal = kind.isin(NEW_LOAN, RENEWAL), kind == RENEWAL
+    numbered = rows.withColumns(
+        {"loan_seq": F.count_if(is_loan).over(upto), "renewal_seq": F.count_if(is_renewal).over(upto)}
+    )
+    if split is None:
+        return numbered.select("ss", "id", "loan_seq", "renewal_seq")
+    # add the counts of a split customer's earlier blocks, at most MAX_BLOCKS rows per customer
+    earlier = Window.partitionBy("ss").orderBy("blk").rowsBetween(START, BEFORE)
+    before = (
+        rows.filter(F.col("blk") != WHOLE)
+        .groupBy("ss", "blk")
+        .agg(F.count_if(is_loan).alias("loans"), F.count_if(is_renewal).alias("renewals"))
+        .select("ss", "blk", F.sum("loans").over(earlier).alias("loans"), F.sum("renewals").over(earlier).alias("renewals"))
+    )
+    return numbered.join(before, keys, "left").select(
+        "ss",
+        "id",
+        (F.col("loan_seq") + F.coalesce("loans", F.lit(0))).alias("loan_seq"),
+        (F.col("renewal_seq") + F.coalesce("renewals", F.lit(0))).alias("renewal_seq"),
+    )
+
+
 def next_renewal(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """The customer's first renewal after each loan."""
     return ledger_loan_totals(ledger, split_rows).select("ss", "loan_id", "next_renewal_id", "next_renewal_date")

@@ -32,9 +32,9 @@ def signed_by_day(log: DataFrame, days: int = SIGNED_WITHIN_DAYS) -> DataFrame:
     )
 
 
-def latest_signed_application(loans: DataFrame, log: DataFrame, days: int = SIGNED_WITHIN_DAYS) -> DataFrame:
-    """Loans (with `payday_id` and `loan_date`) and their newest signed application, columns `log_*`; null if none."""
-    entries = signed_by_day(log, days).select(
+def application_entries(log: DataFrame, days: int = SIGNED_WITHIN_DAYS) -> DataFrame:
+    """`signed_by_day` under the names it has beside loans: key (payday_id, loan_date), fields `log_*`."""
+    return signed_by_day(log, days).select(
         F.col("custid").alias("payday_id"),
         F.col("day").alias("loan_date"),
         F.col("log.id").alias("log_id"),
@@ -44,7 +44,11 @@ def latest_signed_application(loans: DataFrame, log: DataFrame, days: int = SIGN
         F.col("log.viewcontractdate").alias("log_view_contract_date"),
         F.col("log.signaturedate").alias("log_signature_date"),
     )
-    return loans.join(entries, ["payday_id", "loan_date"], "left")
+
+
+def latest_signed_application(loans: DataFrame, log: DataFrame, days: int = SIGNED_WITHIN_DAYS) -> DataFrame:
+    """Loans (with `payday_id` and `loan_date`) and their newest signed application; null if none."""
+    return loans.join(application_entries(log, days), ["payday_id", "loan_date"], "left")
 
 
 def bureau_scores(responses: DataFrame) -> DataFrame:

@@ -34,10 +34,14 @@ def valid_training_rows(df: DataFrame) -> DataFrame:
     return valid_scoring_rows(df).filter(recent)
 
 
+def scorable() -> Column:
+    """A previous loan that is not zero, its payments, and a history not below zero days."""
+    valid = _present_and_nonzero("previous_loan_amt") & F.col("pay_previous").isNotNull() & (F.col("years_with_us") >= 0)
+    return F.coalesce(valid, F.lit(False))
+
+
 def valid_scoring_rows(df: DataFrame) -> DataFrame:
-    return df.filter(
-        _present_and_nonzero("previous_loan_amt") & F.col("pay_previous").isNotNull() & (F.col("years_with_us") >= 0)
-    )
+    return df.filter(scorable())
 
 
 def eligible(df: DataFrame) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Running sums over all distinct scores are formed in this many score ranges.
-RANGES = 1024
+# Running sums over all distinct scores are formed in this many score ranges: 10 billion distinct scores make ranges of
+# about 2.5 million.
+RANGES = 4096
 
 
 def _score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
@@ -27,9 +28,8 @@ def _running(df: DataFrame, score: str, label: str, ranges: int) -> DataFrame:
     by a sketch; each range is summed on its own, and the totals of the at most `ranges` ranges are added.
     """
     counts = _score_counts(df, score, label)
-    cuts = counts.agg(
-        F.percentile_approx("score", [i / ranges for i in range(1, ranges)], 10 * ranges).alias("cuts")
-    ).first()["cuts"]
+    shares = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    cuts = counts.agg(F.expr(f"percentile_approx(score, array({shares}), {10 * ranges})").alias("cuts")).first()["cuts"]
     splits = [-float("inf"), *sorted(set(cuts or [0.0])), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
     down = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)

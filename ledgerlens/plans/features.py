@@ -185,10 +185,33 @@ def _first_borrower(src: Sources, customers: DataFrame, columns: list[str]) -> D
     )
 
 
-def latest_loan(loans: DataFrame) -> DataFrame:
-    """The customer's loan with the highest id."""
+def latest_loan(loans: DataFrame, last_payment: str = "total_last_payment_date") -> DataFrame:
+    """The customer's loan with the highest id, and the latest funding and payment dates over all loans."""
     columns = ["loan_id", "loan_date", "loan_type", "net"]
-    return _latest(loans, columns, "total_last_payment_date").select("ss", *columns)
+    return _latest(loans, columns, last_payment).drop("n_loans")
+
+
+def first_last_values(loans: DataFrame) -> DataFrame:
+    """Per customer: first funding date, and payments, amounts and write-offs of the last loan and the one before.
+
+    First and last over a whole customer are a minimum and a maximum by id, so no window is needed.
+    """
+    last = {
+        "last_pay": "current_amount_paid",
+        "last_loan_amt": "net",
+        "last_pay_previous": "previous_amount_paid",
+        "last_previous_loan_amt": "previous_loan_amt",
+        "last_wo_entries": "previous_wo_entries",
+        "last_wo_amount": "previous_wo_amount",
+    }
+    return (
+        loans.groupBy("ss")
+        .agg(
+            F.min("loan_date").alias("first_funded_date"),
+            F.max_by(F.struct(*[F.col(c).alias(n) for n, c in last.items()]), "loan_id").alias("last"),
+        )
+        .select("ss", "first_funded_date", "last.*")
+    )
 
 
 def loan_counts(src: Sources, mode: str) -> DataFrame:

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.cleaning import age
 from ledgerlens.functions.pricing import BAND_EDGES, PRICING_APPLIED, PricingRules, offer
 from ledgerlens.operators.preparation import (
-    NUMERIC_TEXT,
     add_ratios,
     cast_features,
     clean_text_features,
     encode_pdtype,
+    fit_medians,
     impute,
     label_loss,
+    scorable,
     split,
-    valid_scoring_rows,
     valid_training_rows,
 )
 from ledgerlens.operators.ranking import classification_metrics, roc_auc
@@ -39,10 +39,20 @@ def prepare_training(features: DataFrame, medians: dict[str, float] | None = Non
 
 
 def prepare_scoring(features: DataFrame, mode: str = "constant", values: dict[str, float] | None = None) -> DataFrame:
-    """Production features to model inputs; `mode` as in `impute`. Ages come from the birth date, centuries corrected."""
-    valid = cast_features(valid_scoring_rows(clean_text_features(features)))
-    aged = valid.withColumn("age", age("dob", "funded_date_recent", fix_century=True))
-    return add_ratios(impute(aged, mode, values), "production")
+    """Feature rows to model inputs, all rows kept; takes production rows and training rows (a campaign's customers).
+
+    `constant` fills missing months with fixed values and marks every row `scorable`. `batch` fills with the medians
+    of the rows that pass the row check and marks only those. Ages that are not there yet come from the birth date,
+    centuries corrected.
+    """
+    rows = cast_features(clean_text_features(features))
+    if "age" not in rows.columns:
+        rows = rows.withColumn("age", age("dob", "funded_date_recent", fix_century=True))
+    rows = rows.withColumn("scorable", F.lit(True) if mode == "constant" else scorable())
+    if mode != "constant" and values is None:
+        values = fit_medians(rows.filter("scorable"))
+    kind = "training" if "recent_loan_amt" in rows.columns else "production"
+    return add_ratios(impute(rows, mode, values), kind)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -101,8 +111,11 @@ def score_and_price(
     rules: PricingRules = PRICING_APPLIED,
     edges: tuple[float, ...] = BAND_EDGES,
 ) -> DataFrame:
-    """Production features with score, band, loan amount and rate."""
-    return offer(scorer(prepare_scoring(features, mode, values)), rules, edges)
+    """Feature rows with score, band, loan amount and rate. Rows that cannot be scored stay, without these."""
+    scored = scorer(prepare_scoring(features, mode, values))
+    results = ["prob_0", "prob_1", "predicted", "score"]
+    known = scored.withColumns({c: F.when(F.col("scorable"), F.col(c)) for c in results})
+    return offer(known, rules, edges)
 
 
 def batch_score_offer(src: Sources, as_of: str, scorer: Scorer, **options) -> DataFrame:

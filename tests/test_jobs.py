@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from checks.oracle import INTERCEPT, WEIGHTS
 from ledgerlens.plans import jobs, models
@@ -108,10 +107,14 @@ def test_work_folder_is_the_shared_one(spark):
     assert files.work_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_batch_median_mode(spark):
-    features = jobs.production_features(sample_sources(spark, SMALL), "2024-02-01")
-    constant = jobs.prepare_scoring(features, "constant")
-    batch = jobs.prepare_scoring(features, "batch")
-    assert constant.count() == batch.count()
-    missing = batch.filter(F.col("months_at_residence").isNull() | F.col("salary").isNull())
-    assert missing.count() == 0
+def test_batch_mode_keeps_rows_it_cannot_score(spark):
+    features = jobs.written(jobs.training_features(sample_sources(spark, SMALL)), "features")
+    rows = jobs.score_and_price(features, scorecard, mode="batch").collect()
+    assert len(rows) == features.count()
+    unscored = [r for r in rows if r.score is None]
+    assert 0 < len(unscored) < len(rows)
+    assert all(r.score_cat is None and r.renewal_loan_amt is None and r.interest_rate is None for r in unscored)
+    assert all((r.pay_previous is None or not r.previous_loan_amt or r.years_with_us < 0) for r in unscored)
+    assert all(r.salary is not None and r.months_at_residence is not None for r in rows)
+    constant = jobs.score_and_price(features, scorecard).collect()
+    assert all(r.score is not None for r in constant)
