@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
@@ -16,22 +14,24 @@ from ledgerlens.schemas import FEATURE_CSV_SCHEMA, REQUEST_SCHEMA, conform
 NULL_TEXT = "NULL"
 
 
-@cache
-def _local_root(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"ledgerlens-{application}-")
-
-
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under `spark.checkpoint.dir`, the folder every executor can reach.
+    """A new folder under `spark.checkpoint.dir`, which every executor can reach; removed when the application ends.
 
-    Where that is unset, a temporary folder serves, but only if the whole session runs on one machine.
+    Where that is unset, the warehouse, shared as well, holds it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        root = _local_root(spark.sparkContext.applicationId)
-    return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    folder = f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return folder
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a work folder that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_features_csv(spark: SparkSession, path: str, schema: T.StructType = FEATURE_CSV_SCHEMA) -> DataFrame:

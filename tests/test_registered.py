@@ -9,10 +9,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from checks import queries as registered
 from checks.compare import compare, sql_engine
 
 SMALLEST = "/root/testdata/sf0.001"
-SQL = entry_points.oracle_sql()
+SQL = registered.oracle_sql()
 ON_FEATURES = {"training_features", "production_features_split", "add_ratios", "campaign_scores", "stream_score"}
 CHOSEN = sorted(
     name
@@ -27,8 +28,8 @@ def engine():
 
 
 def test_names():
-    names = set(entry_points.queries())
-    assert set(SQL) <= names
+    names = set(registered.queries())
+    assert set(SQL) <= names <= set(entry_points.queries())
     assert names - set(SQL) == {"fit_boosted", "fit_gbdt", "fit_forest", "fit_logistic", "logit_summary", "feature_importance"}
 
 
