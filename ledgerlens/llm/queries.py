@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import sql
+from ledgerlens.llm.archives import op10_archives
+from ledgerlens.llm.extraction import op4_extraction
+from ledgerlens.llm.fingerprints import op9_fingerprints
+from ledgerlens.llm.language import op2_language
 from ledgerlens.llm.mixing import op5_mixing
+from ledgerlens.llm.packing import op3_packing
+from ledgerlens.llm.secrets import op7_secrets
 
-QUERIES = [op5_mixing]
+QUERIES = [op2_language, op3_packing, op4_extraction, op5_mixing, op7_secrets, op9_fingerprints, op10_archives]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
