@@ -26,18 +26,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _runs_named(names: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of one name become one name of their own; `apart` marks where a text starts."""
-    first = np.ones(len(names), bool)
-    first[1:] = (names[1:] != names[:-1]) | apart[1:]
-    if first.all():
-        return names, apart
-    starts = np.flatnonzero(first)
-    length = np.diff(np.append(starts, len(names))).astype(np.uint64)
-    kept = names[starts]
-    return np.where(length > 1, _mix(kept + length * np.uint64(0x9E3779B97F4A7C15)), kept), apart[starts]
-
-
 def _tossed(names: np.ndarray, apart: np.ndarray) -> np.ndarray:
     """Labels below 6, different next to each other: deterministic coin tossing against the left neighbour, four times.
 
@@ -56,20 +44,44 @@ def _tossed(names: np.ndarray, apart: np.ndarray) -> np.ndarray:
     return labels
 
 
-def phrases(names: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One level up: names of the phrases between local maxima of the labels, and which of them start a text."""
-    names, apart = _runs_named(names, apart)
-    labels = _tossed(names, apart).astype(np.int64)
+def phrases(names: np.ndarray, apart: np.ndarray, piece: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """One level up: names of the phrases, and which of them start a text, where `apart` marks starts of texts.
+
+    A run of one symbol counts as one symbol, so that neighbours differ; phrases open at local maxima of the labels.
+    Runs twice as long as `piece` are cut into pieces of that length.
+    """
+    first = np.ones(len(names), bool)
+    first[1:] = (names[1:] != names[:-1]) | apart[1:]
+    runs = np.flatnonzero(first)
+    lengths = np.diff(np.append(runs, len(names)))
+    symbols = np.where(lengths > 1, _mix(names[runs] + lengths.astype(np.uint64)), names[runs])
+    starts_text = apart[runs]
+    labels = _tossed(symbols, starts_text).astype(np.int64)
     left, right = np.full(len(labels), -1), np.full(len(labels), -1)
     left[1:], right[:-1] = labels[:-1], labels[1:]
-    left[apart] = 99  # a text's first symbol opens a phrase as it is
-    right[:-1][apart[1:]] = -1
-    opens = apart | ((labels > left) & (labels >= right))
+    right[:-1][starts_text[1:]] = -1
+    opens = np.zeros(len(names), bool)
+    opens[runs] = starts_text | ((labels > left) & (labels >= right))
+    if (lengths >= 2 * piece).any():
+        inside = np.arange(len(names)) - np.repeat(runs, lengths)
+        opens |= (inside % piece == 0) & np.repeat(lengths >= 2 * piece, lengths)
     starts = np.flatnonzero(opens)
     place = np.arange(len(names)) - np.repeat(starts, np.diff(np.append(starts, len(names))))
-    with np.errstate(over="ignore"):
-        spread = _mix(names + np.uint64(0x9E3779B97F4A7C15) * (place + 1).astype(np.uint64))
-        return _mix(np.add.reduceat(spread, starts)), apart[starts]
+    spread = _mix(names + np.uint64(0x9E3779B97F4A7C15) * (place + 1).astype(np.uint64))
+    return _mix(np.add.reduceat(spread, starts)), apart[starts]
+
+
+def _counted(names: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Names in which the second, third and so on occurrence within a text differ, so that repeats weigh in."""
+    order = np.lexsort((names, text))
+    same = np.zeros(len(names), bool)
+    same[1:] = (names[order][1:] == names[order][:-1]) & (text[order][1:] == text[order][:-1])
+    if not same.any():
+        return names
+    place = np.arange(len(names))
+    nth = np.empty(len(names), np.uint64)
+    nth[order] = place - np.maximum.accumulate(np.where(same, 0, place))
+    return np.where(nth > 0, _mix(names + nth * np.uint64(0x9E3779B97F4A7C15)), names)
 
 
 def signatures(texts: list[str], levels: tuple[int, ...] = LEVELS, slots: int = SLOTS) -> np.ndarray:
@@ -90,18 +102,23 @@ def signatures(texts: list[str], levels: tuple[int, ...] = LEVELS, slots: int =
         names, apart = phrases(names, apart)
         if level in levels:
             starts = np.flatnonzero(apart)
+            counted = _counted(names, np.cumsum(apart))
             at = levels.index(level) * slots
             for slot in range(slots):
                 odd, plus = (np.uint64(int(v)) for v in rng.integers(1, 1 << 63, 2))
-                hashed = (names ^ plus) * (odd | np.uint64(1))
+                hashed = (counted ^ plus) * (odd | np.uint64(1))
                 least = np.minimum.reduceat(hashed ^ (hashed >> np.uint64(32)), starts)
                 out[some, at + slot] = (least >> np.uint64(40)).astype(np.uint16) | np.uint16(1)
     return out
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal slots, which estimates the share of phrases in common."""
-    return (a == b).mean(axis=1)
+    """Of all phrases of both, repeats counted, the share that both have: 2 s / (1 + s) for a share s of equal slots.
+
+    Equal slots are as frequent as common phrases among different ones.
+    """
+    equal = (a == b).mean(axis=1)
+    return 2 * equal / (1 + equal)
 
 
 _OUT = pa.schema(
