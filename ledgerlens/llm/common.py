@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -103,6 +103,11 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def let(values: dict[str, Column], then: Callable[[Column], Column]) -> Column:
+    """`then` of a struct of these values, each computed once a row, also where `then` uses it within a lambda."""
+    return F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), then)[0]
+
+
 def spread(key: Column, seed: str) -> Column:
     """128 random bits for a value, as 32 hexadecimal digits, the same in every run and engine."""
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("-"))))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import WORD, pick, spread, table, written
+from ledgerlens.llm.common import WORD, let, pick, spread, table, written
 
 #: hexadecimal digits that name a block, and the finer blocks that the last block of a source is cut into
 DIGITS = (2, 4, 6)
@@ -47,11 +47,6 @@ def _uniform(seed: str, *parts: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / float(16**13)
 
 
-def _let(values: dict[str, Column], then: Callable[[Column], Column]) -> Column:
-    """`then` of a struct of these values, each computed once."""
-    return F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), then)[0]
-
-
 def _steps(count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(1), count.cast("int"))).otherwise(F.array().cast("array<int>"))
 
@@ -69,7 +64,7 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
         likely = F.floor((d + 1) * (k + 1) / (n + 2)).cast("double")
         variance = F.greatest(F.lit(0.0), d * k * (n - k) * (n - d)) / F.greatest(F.lit(1.0), n * n * (n - 1))
         values = {"n": n, "k": k, "d": d, "u": s["u"], "low": low, "high": high, "reach": F.ceil(F.sqrt(variance) * 10) + 10}
-        return _let(values | {"mode": F.least(high, F.greatest(low, likely))}, weigh)
+        return let(values | {"mode": F.least(high, F.greatest(low, likely))}, weigh)
 
     def weigh(s: Column) -> Column:
         n, k, d, mode = s["n"], s["k"], s["d"], s["mode"]
@@ -86,11 +81,11 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
         above = F.aggregate(_steps(last - mode), F.array(F.lit(1.0)), up)
         below = F.aggregate(_steps(mode - first), F.array(F.lit(1.0)), down)
         weights = F.concat(F.reverse(below), F.slice(above, F.lit(2), F.size(above)))
-        return _let({"weights": weights, "first": first, "last": last, "u": s["u"]}, choose)
+        return let({"weights": weights, "first": first, "last": last, "u": s["u"]}, choose)
 
     def choose(s: Column) -> Column:
         goal = s["u"] * F.aggregate(s["weights"], F.lit(0.0), lambda a, w: a + w)
-        return _let({"weights": s["weights"], "first": s["first"], "last": s["last"], "goal": goal}, count)
+        return let({"weights": s["weights"], "first": s["first"], "last": s["last"], "goal": goal}, count)
 
     def count(s: Column) -> Column:
         start = F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("passed"))
@@ -102,7 +97,7 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
         return F.least(s["last"], s["first"] + F.aggregate(s["weights"], start, add)["passed"]).cast("long")
 
     given = {"n": total.cast("double"), "k": marked.cast("double"), "d": drawn.cast("double"), "u": u}
-    return _let(given, bounds)
+    return let(given, bounds)
 
 
 def split_quotas(quotas: DataFrame, levels: int, seed: str) -> DataFrame:
@@ -134,7 +129,7 @@ def _split(nodes: DataFrame, chance: Callable[[Column], Column]) -> DataFrame:
             )
 
         left = hypergeometric(state["rest"], item["blocks"], state["want"], chance(item["number"]))
-        return _let({"left": left}, note)
+        return let({"left": left}, note)
 
     start = F.struct(
         F.col("total").alias("rest"),

@@ -40,4 +40,68 @@ select f.doc_id, f.size, f.source_size, f.target,
 from first f left join last l on l.n = f.n and l.doc_id = f.doc_id
 """
 
-ORACLES = {"op5_mixing": _MIXING}
+_VECTORS = """
+with recursive given as (
+  select vec_id, embedding::double[] e from embeddings
+), usable as (
+  select vec_id, e, sqrt(list_dot_product(e, e)) length from given
+  where len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id a, b.vec_id b from usable a join usable b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_dot_product(a.e, b.e) / (a.length * b.length) >= 0.95
+), reached as (
+  select vec_id a, vec_id b from embeddings union select r.a, l.b from reached r join links l on r.b = l.a
+), groups as (
+  select a vec_id, min(b) component_id from reached group by a
+)
+select g.vec_id, (select count(*) from links l where l.a = g.vec_id)::bigint n_links, g.component_id, g.vec_id = g.component_id kept
+from groups g
+"""
+
+_NEAR_DUPLICATES = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w
+  from documents
+), sets as (
+  select doc_id, case when len(w) = 0 then [] else
+    list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) end s from words
+), parts as (
+  select doc_id, len(s) n, unnest(s) part from sets
+), common as (
+  select a.doc_id a, b.doc_id b, a.n an, b.n bn, count(*) c from parts a join parts b on a.part = b.part and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n
+), links as (
+  select a, b from common where 100 * c >= 75 * (an + bn - c)
+), reached as (
+  select doc_id a, doc_id b from documents union select r.a, l.b from reached r join links l on r.b = l.a
+), groups as (
+  select a doc_id, min(b) component_id from reached group by a
+)
+select doc_id, len(s)::bigint n_shingles, component_id, doc_id = component_id kept from sets join groups using (doc_id)
+"""
+
+_ARCHIVES = """
+with payloads as (
+  select page_id, octet_length(encode(coalesce(html, '')))::bigint payload_bytes, sha1(coalesce(html, '')) hex from pages
+), bits as (
+  select *, array_to_string(list_transform(range(1, 41), lambda i: substr(
+    '0000000100100011010001010110011110001001101010111100110111101111', 4 * (instr('0123456789abcdef', hex[i]) - 1)::int + 1, 4)), '') b
+  from payloads
+), named as (
+  select page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * b[5 * i + 1]::int + 8 * b[5 * i + 2]::int + 4 * b[5 * i + 3]::int + 2 * b[5 * i + 4]::int + b[5 * i + 5]::int, 1)), '') payload_digest
+  from bits
+), kept as (
+  select *, max(page_id) over (partition by payload_digest) keeper from named
+)
+select page_id, payload_bytes, payload_digest, case when page_id = keeper then 'response' else 'revisit' end record_type,
+  case when page_id <> keeper then keeper end refers_to
+from kept
+"""
+
+ORACLES = {
+    "op1_vectors": _VECTORS,
+    "op5_mixing": _MIXING,
+    "op8_near_duplicates": _NEAR_DUPLICATES,
+    "op10_archives": _ARCHIVES,
+}
