@@ -1,21 +1,69 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences, in five stages, each written and read again."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import table, written
+from ledgerlens.llm.language import UNKNOWN, identify, train
 from ledgerlens.llm.mixing import mix
+from ledgerlens.llm.near_duplicates import near_duplicates
+from ledgerlens.llm.packing import encode, place
+from ledgerlens.llm.secrets import redact
 
 
-def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix draws it."""
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; a null lang takes the predicted one. Null texts and texts without letters go.
+
+    Repeated rows stay for the next stage. No documents: no rows.
+    """
+    found = identify(docs, train(docs)).where(F.col("lang_pred") != UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the least doc_id. Documents without doc_id all stay.
+
+    Rows that share a kept doc_id stay as long as their texts differ; of equal ones the first by the other columns does.
+    """
+    others = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    kept = docs.join(others, docs["doc_id"] == others["gone"], "left_anti")
+    # rows that repeat a doc_id are few: only these meet
+    repeated = written(kept.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("again")), "repeated")
+    single = kept.join(repeated, kept["doc_id"] == repeated["again"], "left_anti")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    again = kept.join(repeated, kept["doc_id"] == repeated["again"], "left_semi").groupBy("doc_id", "text")
+    least = again.agg(F.min(F.struct(*rest)).alias("first")) if rest else again.agg(F.lit(1))
+    return single.union(least.select(*[F.col(f"first.`{c}`") if c in rest else F.col(c) for c in docs.columns]))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced by a mark."""
+    return redact(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources draws it, shard by shard."""
     return mix(docs).select(*docs.columns)
 
 
-STAGES = [("mixing", mix_sources)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their token ids and their place in sequences of 2048."""
+    pieces = encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return place(written(pieces, "pieces"))
+
+
+STAGES = [
+    ("language", known_language),
+    ("near_duplicates", one_of_each_group),
+    ("secrets", without_secrets),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
-# language models and token ids are beyond SQL
+# a fitted model, MinHash signatures and token ids are beyond SQL; tests hold the stages against brute force
 ORACLE_SQL = None
 
 

@@ -11,13 +11,14 @@ from ledgerlens.llm.archives import op10_archives
 from ledgerlens.llm.extraction import op4_extraction
 from ledgerlens.llm.fingerprints import op9_fingerprints
 from ledgerlens.llm.language import op2_language
+from ledgerlens.llm.licences import op6_licences
 from ledgerlens.llm.mixing import op5_mixing
 from ledgerlens.llm.near_duplicates import op8_near_duplicates
 from ledgerlens.llm.packing import op3_packing
 from ledgerlens.llm.secrets import op7_secrets
 from ledgerlens.llm.vectors import op1_vectors
 
-QUERIES = [op1_vectors, op2_language, op3_packing, op4_extraction, op5_mixing, op7_secrets, op8_near_duplicates, op9_fingerprints, op10_archives]
+QUERIES = [op1_vectors, op2_language, op3_packing, op4_extraction, op5_mixing, op6_licences, op7_secrets, op8_near_duplicates, op9_fingerprints, op10_archives]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

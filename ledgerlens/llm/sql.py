@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerlens.llm.licences import LEAST, TEMPLATES, words_of
+
 # one order of all documents of a source, and running sums over it, instead of cells and cuts
 _MIXING = r"""
 with sized as (
@@ -99,9 +101,36 @@ select page_id, payload_bytes, payload_digest, case when page_id = keeper then '
 from kept
 """
 
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{' '.join(words_of(text))}')" for i, (name, text) in enumerate(TEMPLATES))
+
+_LICENCES = rf"""
+with templates(t, licence, words) as (values {_TEMPLATE_ROWS}
+), units as (
+  select distinct doc_id, unnest(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '\n[\x20\t\r]*\n'), [text])) u
+  from documents where text is not null
+), cut as (
+  select doc_id, u, string_split(trim(regexp_replace(lower(u), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') w from units
+), pairs as (
+  select doc_id, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) b from cut
+), known as (
+  select t, licence, list_distinct(list_transform(range(1, len(string_split(words, ' '))),
+    lambda i: string_split(words, ' ')[i] || ' ' || string_split(words, ' ')[i + 1])) b from templates
+), compared as (
+  select doc_id, licence, len(list_intersect(p.b, k.b)) c, len(p.b) + len(k.b) n
+  from pairs p join known k on 200 * least(len(p.b), len(k.b)) >= {LEAST} * (len(p.b) + len(k.b))
+), matches as (
+  select doc_id, licence, c * 2 / n dice from compared where c * 200 >= n * {LEAST}
+)
+select d.doc_id, coalesce(m.licences, '') licences, coalesce(m.best_dice, 0)::double best_dice
+from documents d left join (
+  select doc_id, string_agg(distinct licence, ',' order by licence) licences, max(dice) best_dice from matches group by doc_id
+) m on m.doc_id = d.doc_id
+"""
+
 ORACLES = {
     "op1_vectors": _VECTORS,
     "op5_mixing": _MIXING,
+    "op6_licences": _LICENCES,
     "op8_near_duplicates": _NEAR_DUPLICATES,
     "op10_archives": _ARCHIVES,
 }
