@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import table, written
+from ledgerlens.llm.common import protected, table, written
 from ledgerlens.llm.language import UNKNOWN, identify, train
 from ledgerlens.llm.mixing import mix
 from ledgerlens.llm.near_duplicates import near_duplicates
@@ -14,6 +17,18 @@ from ledgerlens.llm.packing import encode, place
 from ledgerlens.llm.secrets import redact
 
 
+def keeping_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The stage, on documents whose other columns may have any names."""
+
+    @wraps(stage)
+    def guarded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        rows, named = protected(docs, "doc_id", "text", "lang", "source", "n_chars")
+        return named(stage(spark, rows, sf_dir))
+
+    return guarded
+
+
+@keeping_columns
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; a null lang takes the predicted one. Null texts and texts without letters go.
 
@@ -23,6 +38,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
+@keeping_columns
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least doc_id. Documents without doc_id all stay.
 
@@ -39,11 +55,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return single.union(least.select(*[F.col(f"first.`{c}`") if c in rest else F.col(c) for c in docs.columns]))
 
 
+@keeping_columns
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark."""
     return redact(docs)
 
 
+@keeping_columns
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources draws it, shard by shard."""
     return mix(docs).select(*docs.columns)

@@ -25,6 +25,14 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return numbered.select(*[F.col(f"__{df.columns.index(n)}").alias(n) for n in names])
 
 
+def protected(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The table with all columns but these under names that nothing else has, and how to give them their names back."""
+    seen: list[str] = []
+    for i, c in enumerate(df.columns):
+        seen.append(c if c in names and c not in seen else f"__other{i}")
+    return df.toDF(*seen), lambda out: out.select(*seen).toDF(*df.columns)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written under the shared folder: lineage ends there, and a lost executor costs no earlier step."""
     spark = df.sparkSession

@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import components, pick, table, written
+from ledgerlens.llm.common import components, forest, pick, table, written
 
 SHINGLE = 5
 #: link at a similarity of so many hundredths
 LEAST = 75
 #: rows of a band and bands: of pairs at the least similarity, one in 1.4 million shares no band
 ROWS, BANDS = 6, 72
+#: classes of a block that is compared with others
+TILE = 512
 #: words whose hashes a task remembers
 REMEMBERED = 1_000_000
 
@@ -157,8 +160,10 @@ def near_duplicates(docs: DataFrame, rounds: int = 2) -> DataFrame:
     Documents with equal sets form a class, which goes on as its least doc_id; copies are never paired. Classes that
     share a band hash are candidates, and every link is confirmed on full sets. Which class to compare with which is
     chosen so that large groups cost one comparison a class: in each of `rounds`, a class meets one centre of one of
-    its buckets, and links found join components. What is left then, pairs in one bucket but of different components,
-    is compared pair by pair, so no link between components is lost; pairs within a component need no comparison.
+    its buckets, and links found join components. Pairs within a component need no comparison. Of the other classes,
+    those go that have too few shingles in common with all classes left, taken together, to be linked with any. Pairs
+    that are left in the end, in one bucket but of different components, are all compared, so no link between
+    components is lost: classes that share buckets with many others in tiles, which give forests, the rest as pairs.
 
     Null or empty text, or one of white space alone: no shingles, linked with nothing. Null doc_id: likewise, with a
     null component, kept. Rows with one doc_id are one document when it comes to links. No documents: no rows. Only
@@ -183,7 +188,7 @@ def near_duplicates(docs: DataFrame, rounds: int = 2) -> DataFrame:
     links = written(_links(pairs, sets), "links")
     labels = written(components(links), "labels")
     for number in range(1, rounds + 1):
-        open_members = _unresolved(members, labels)
+        open_members = _linkable(_unresolved(members, labels), sets)
         if number < rounds:
             place = F.xxhash64(F.lit(number), "id")
             centres = written(
@@ -194,6 +199,8 @@ def near_duplicates(docs: DataFrame, rounds: int = 2) -> DataFrame:
             met = open_members.join(centres, "bucket").where((F.col("label") != F.col("a_label")) & _alike(F.col("n"), F.col("a_n")))
             pairs = met.groupBy(F.col("id").alias("b")).agg(F.min_by("a", F.xxhash64("a", F.lit(number))).alias("a"))
         else:
+            dense, open_members = _dense(open_members)
+            links = links.union(written(_tile_links(dense, sets), "links"))
             other = open_members.select("bucket", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
             met = open_members.join(other, "bucket").where(
                 (F.col("a") < F.col("id")) & (F.col("label") != F.col("a_label")) & _alike(F.col("n"), F.col("a_n"))
@@ -218,10 +225,92 @@ def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     labelled = members.select("bucket", "id", "n").join(labels.withColumnRenamed("node", "id"), "id", "left").select(
         "bucket", "id", "n", F.coalesce("component", "id").alias("label")
     )
-    labelled = written(labelled, "labelled")
+    return _mixed(written(labelled, "labelled"))
+
+
+def _mixed(labelled: DataFrame) -> DataFrame:
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     return written(labelled.join(mixed.select("bucket"), "bucket", "left_semi"), "unresolved")
 
 
+def _linkable(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Without the members that cannot be linked with any other, and buckets that hold one component then.
+
+    What a class has in common with one other is at most what it has in common with all the others. A link of sets of
+    sizes a and b needs LEAST / (100 + LEAST) of a + b; b is at least the smallest size in the class's buckets, and
+    LEAST hundredths of a.
+    """
+    smallest = written(members.groupBy("bucket").agg(F.min("n").alias("low")), "smallest")
+    classes = written(
+        members.join(smallest, "bucket").groupBy("id").agg(F.first("n").alias("n"), F.min("low").alias("low")), "open"
+    )
+    words = sets.join(classes.select("id"), "id", "left_semi").select("id", F.explode("words").alias("word"))
+    shared = words.groupBy("word").agg(F.count("*").alias("times")).where("times > 1").select("word")
+    common = written(words.join(shared, "word", "left_semi").groupBy("id").agg(F.count("*").alias("common")), "common")
+    other = F.greatest(F.col("low"), F.ceil(F.col("n") * LEAST / 100))
+    able = classes.join(common, "id").where(F.col("common") * (100 + LEAST) >= (F.col("n") + other) * LEAST).select("id")
+    return _mixed(written(members.join(able, "id", "left_semi"), "able"))
+
+
+def _dense(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes (id, n, label, cluster, blocks) of clusters dense enough for tiles, and the members of all other clusters.
+
+    Buckets that share a class are of one cluster. Pairs within buckets, counted once a bucket, are few if there are at
+    most 32 for each class; where there are more, and one for 64 pairs of the cluster or more, tiles cost less.
+    """
+    buckets = written(members.groupBy("bucket").agg(F.min("id").alias("centre"), (F.count("*") * F.count("*")).alias("pairs")), "buckets")
+    edges = members.join(buckets, "bucket").where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
+    of = written(components(edges).withColumnRenamed("node", "id").withColumnRenamed("component", "cluster"), "clusters")
+    size = of.groupBy("cluster").agg(F.count("*").alias("size"))
+    pairs = buckets.join(of, buckets["centre"] == of["id"]).groupBy("cluster").agg(F.sum("pairs").alias("pairs"))
+    dense = written(
+        size.join(pairs, "cluster").where("pairs > 32 * size and size * size <= 64 * pairs")
+        .select("cluster", F.ceil(F.col("size") / TILE).cast("int").alias("blocks")),
+        "dense",
+    )
+    inside = written(of.join(dense, "cluster"), "inside")
+    classes = members.select("id", "n", "label").distinct().join(inside, "id")
+    return classes, written(members.join(inside.select("id"), "id", "left_anti"), "sparse")
+
+
+def _tile_links(classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): a forest of each tile's links between classes of different labels.
+
+    A cluster's classes are dealt into blocks by a hash; each two blocks, and each block with itself, make a tile.
+    """
+
+    def compare(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        _, left, right = key
+        block, ids, labels, n = (f[c].to_numpy() for c in ("block", "id", "label", "n"))
+        rows, columns = np.flatnonzero(block == left), np.flatnonzero(block == right)
+        words = [np.asarray(w) for w in f["words"]]
+        # places of each word among the columns' sets
+        known, at = np.unique(np.concatenate([words[c] for c in columns]), return_inverse=True)
+        owner = np.repeat(np.arange(len(columns)), [len(words[c]) for c in columns])[np.argsort(at, kind="stable")]
+        first = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(known)))])
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for r in rows:
+            place = np.searchsorted(known, words[r])
+            place = place[(place < len(known)) & (known[np.minimum(place, len(known) - 1)] == words[r])]
+            starts, lengths = first[place], first[place + 1] - first[place]
+            within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            common = np.bincount(owner[np.repeat(starts, lengths) + within], minlength=len(columns))
+            union = n[r] + n[columns] - common
+            hit = columns[(common * 100 >= union * LEAST) & (labels[columns] != labels[r])]
+            found_a.append(np.full(len(hit), ids[r]))
+            found_b.append(ids[hit])
+        nodes, roots = forest(np.concatenate(found_a), np.concatenate(found_b))
+        return pd.DataFrame({"a": nodes, "b": roots})[nodes != roots]
+
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda o: F.struct(F.least(F.col("block"), o).alias("left"), F.greatest(F.col("block"), o).alias("right")),
+    )
+    sent = classes.withColumn("block", block).join(sets, "id").select("cluster", "id", "n", "label", "block", "words", F.explode(others).alias("t"))
+    tiles = sent.select("cluster", "t.left", "t.right", "id", "n", "label", "block", "words").groupBy("cluster", "left", "right")
+    return tiles.applyInPandas(compare, "a long, b long")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

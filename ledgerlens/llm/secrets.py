@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import pick, table
+from ledgerlens.llm.common import pick, protected, table
 
 KINDS = ("assign", "access", "hex", "guess")
 #: pattern, group that is measured, and its least length
@@ -143,8 +143,9 @@ def scan(docs: DataFrame, columns: tuple[str, ...] | None = None, least_cost: fl
 
 def redact(docs: DataFrame, mark: str = "[redacted]", least_cost: float = 10.0) -> DataFrame:
     """The documents with every secret replaced by `mark`, n_chars counted anew where text changed; all rows are kept."""
-    names = docs.columns
-    found = scan(docs, tuple(names), least_cost)
+    rows, named = protected(docs, "text", "n_chars")
+    names = rows.columns
+    found = scan(rows, tuple(names), least_cost)
 
     def place(state: Column, span: Column) -> Column:
         # spans come by start: what an earlier one covers is not cut again
@@ -163,8 +164,8 @@ def redact(docs: DataFrame, mark: str = "[redacted]", least_cost: float = 10.0)
     changed = found.withColumn("__clean", F.when(hit, clean).otherwise(F.col("text")))
     columns = {"text": F.col("__clean")}
     if "n_chars" in names:
-        columns["n_chars"] = F.when(hit, F.length("__clean")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return changed.select(*[columns.get(n, F.col(f"`{n}`")).alias(n) for n in names])
+        columns["n_chars"] = F.when(hit, F.length("__clean")).otherwise(F.col("n_chars")).cast(rows.schema["n_chars"].dataType)
+    return named(changed.select(*[columns.get(n, F.col(f"`{n}`")).alias(n) for n in names]))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
