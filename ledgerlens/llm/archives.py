@@ -131,6 +131,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, sample: int =
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _file_system(folder)
+        store.create_dir(root, recursive=True)
         compressor = zstandard.ZstdCompressor(level=6, dict_data=_kind(content) if content else None)
         out, made = None, []
         for batch in batches:

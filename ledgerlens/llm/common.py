@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.sources.files import remove_folder, work_folder
+from ledgerlens.sources.files import work_folder
 
 #: words are runs of anything but space and the control characters 9 to 13
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,7 +36,7 @@ def protected(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFram
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written under the shared folder: lineage ends there, and a lost executor costs no earlier step."""
     spark = df.sparkSession
-    path = f"{work_folder(spark, name)}/rows"
+    path = work_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
