@@ -44,9 +44,11 @@ def clean_salary(c: Column | str, quirk: bool = True) -> Column:
 
     The dot after the first digit goes if the third character from the end is a dot too. With `quirk` these may be
     one and the same dot, so `2.50` reads 250, as in the data the model was fitted on. Texts too short for the
-    test are null.
+    test are null. A column of numbers is left as it is.
     """
-    c = _col(c).cast("string")
+    given = _col(c)
+    is_number = F.typeof(given).rlike("^(tinyint|smallint|int|bigint|float|double|decimal)")
+    c = given.cast("string")
     bare = F.when(c.startswith("$"), F.substring(c, F.lit(2), F.length(c))).otherwise(c)
     n = F.length(bare)
     dotted = F.substring(bare, 2, 1) == "."
@@ -55,7 +57,8 @@ def clean_salary(c: Column | str, quirk: bool = True) -> Column:
         both = both & (n > 4)
     joined = F.concat(F.substring(bare, 1, 1), F.substring(bare, F.lit(3), n))
     too_short = (n < 2) | (dotted & (n < 3))
-    return F.when(too_short, F.lit(None)).when(both, joined).otherwise(bare).try_cast("double")
+    text = F.when(too_short, F.lit(None)).when(both, joined).otherwise(bare)
+    return F.when(is_number, given.try_cast("double")).otherwise(text.try_cast("double"))
 
 
 def to_double(c: Column | str) -> Column:

@@ -1,8 +1,9 @@
-"""Split customers with very many ledger rows into blocks of consecutive ids.
+"""Cut customers into blocks of consecutive ids, all alike.
 
-A window over one customer runs in one task. That is fine for a customer of ordinary size, but a single customer may
-hold a large part of the whole ledger. Such customers are found by a count, and their ids are cut into blocks of
-bounded width; `operators.ledger` works block by block and carries the state at the block edges over.
+A window over one customer runs in one task, and a single customer may hold a large part of the whole ledger. So every
+customer is cut at the same ids, the multiples of a width: as ids are unique, no block has more rows than that. The
+rows of an ordinary customer fall into as many blocks as the customer has ranges of ids; `operators.ledger` works block by
+block and carries the state at the block edges over. Nothing is counted beforehand, and the plan is the same for any data.
 """
 
 from __future__ import annotations
@@ -10,40 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A customer with more rows than this is split; a block spans at least as many ids.
-SPLIT_ROWS = 1_000_000
-# Most blocks per customer: bounds the one-task window over a customer's block summaries.
-MAX_BLOCKS = 100_000
-# Most customers that are split. Whoever is not among the largest 50,000 has at most 1/50,000 of the ledger.
-MAX_SPLIT = 50_000
+# Ids of a block, and so the most rows that one task sorts for one window. The windows over a customer's blocks have
+# one row for each block, at most the ledger's range of ids over this.
+BLOCK_IDS = 10_000_000
 
-# Block number of customers that are not split.
-WHOLE = -1
 
-
-def split_customers(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame | None:
-    """(ss, first_id, width) of the customers to split, at most `MAX_SPLIT` rows; None if there are none.
-
-    Runs one job that reads the key and id columns and counts them map-side first.
-    """
-    counts = ledger.groupBy("ss").agg(
-        F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
-    )
-    rows = counts.filter(F.col("n") > split_rows).orderBy(F.desc("n"), "ss").limit(MAX_SPLIT).collect()
-    if not rows:
-        return None
-    widths = [(r.ss, r.first_id, max(split_rows, -(-(r.last_id - r.first_id + 1) // MAX_BLOCKS))) for r in rows]
-    return ledger.sparkSession.createDataFrame(widths, "ss bigint, first_id bigint, width bigint")
-
-
-def with_block(ledger: DataFrame, split: DataFrame | None) -> DataFrame:
-    """Add column `blk`. Ids are unique, so a block never has more rows than its width."""
-    if split is None:
-        return ledger
-    # at most MAX_SPLIT rows, see split_customers
-    keyed = ledger.join(F.broadcast(split), "ss", "left")
-    # both operands are integers: exact up to 2^53
-    blk = F.floor((F.col("id") - F.col("first_id")) / F.col("width")).cast("bigint")
-    blocked = keyed.withColumn("blk", F.coalesce(blk, F.lit(WHOLE).cast("bigint"))).drop("first_id", "width")
+def with_block(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """Add column `blk`, and deal the rows out by customer and block."""
+    blocked = ledger.withColumn("blk", F.expr(f"id div {int(block_ids)}"))
     # a ledger bucketed by customer would otherwise keep all blocks of a customer in one task
     return blocked.repartition("ss", "blk")

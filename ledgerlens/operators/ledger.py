@@ -7,8 +7,8 @@ Every loan row (`New Loan` or `Renewal`) opens a segment that holds the events u
 * total    = all rows of the customer
 
 One shuffle by customer serves all of it: number the segments, aggregate them in place, and window over the much
-smaller segment table. Customers too big for one task are worked on in blocks of ids (`operators.blocks`): their
-segments are windowed inside the block, and a block summary carries totals across block edges.
+smaller segment table. Customers are worked on in blocks of ids (`operators.blocks`): segments are windowed inside the
+block, and a block summary carries totals across block edges.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from ledgerlens.functions.events import (
     normal_text,
     over_rows,
 )
-from ledgerlens.operators.blocks import SPLIT_ROWS, WHOLE, split_customers, with_block
+from ledgerlens.operators.blocks import BLOCK_IDS, with_block
 
 # frame bounds: all rows before the current one, in window order
 START, CURRENT, BEFORE = Window.unboundedPreceding, Window.currentRow, -1
@@ -53,7 +53,7 @@ def _segments(ledger: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _in_block(segments: DataFrame, keys: list[str]) -> DataFrame:
-    """Per segment: neighbours and totals as seen inside its customer (or block of a split customer)."""
+    """Per segment: neighbours and totals as seen inside its customer's block."""
     # `run` falls as renewal_seq rises: newest loan first is also the order of (run, loan_seq), so one sort serves all
     back = Window.partitionBy(*keys).orderBy("run", F.desc("loan_seq"))
     later = back.rowsBetween(START, BEFORE)
@@ -72,10 +72,10 @@ def _in_block(segments: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _block_edges(segments: DataFrame) -> DataFrame:
-    """(ss, blk) of split customers -> what the blocks before and after it contribute.
+    """(ss, blk) -> what the blocks before and after it contribute.
 
     A block is summed up as: its last loan and the totals after it (`tail_*`), its first renewal and the totals ahead
-    of it (`ahead_*`). Windows over a customer's blocks, at most `MAX_BLOCKS` rows, put these together.
+    of it (`ahead_*`). Windows over a customer's blocks put these together.
     """
     loan = F.when(F.col("loan_seq") > 0, F.struct("loan_id", "loan_date", "net"))
     first = F.when(
@@ -84,8 +84,7 @@ def _block_edges(segments: DataFrame) -> DataFrame:
     ahead = F.col("renewal_seq") == 0
     tail = F.struct("n_events", *MEASURES)
     blocks = (
-        segments.filter(F.col("blk") != WHOLE)
-        .groupBy("ss", "blk")
+        segments.groupBy("ss", "blk")
         .agg(
             F.max("loan_seq").alias("loans"),
             F.max("renewal_seq").alias("renewals"),
@@ -137,33 +136,26 @@ def _block_edges(segments: DataFrame) -> DataFrame:
     )
 
 
-def _loan_rows(df: DataFrame, across_blocks: bool) -> DataFrame:
-    """Final columns per loan; with `across_blocks` the block edges are merged in."""
+def _loan_rows(df: DataFrame) -> DataFrame:
+    """Final columns per loan: what its block has, merged with what the block edges bring."""
     local_prev = F.col("prev_loan_id").isNotNull()
 
     def previous(field: str) -> Column:
-        here = F.col(f"prev_{field}")
-        return F.when(local_prev, here).otherwise(F.col(f"edge_loan.{field}")) if across_blocks else here
+        return F.when(local_prev, F.col(f"prev_{field}")).otherwise(F.col(f"edge_loan.{field}"))
 
     def between(m: str) -> Column:
-        here = F.col(f"prev_{m}")
-        if not across_blocks:
-            return here
-        edge = F.col(f"edge_tail_{m}")
+        here, edge = F.col(f"prev_{m}"), F.col(f"edge_tail_{m}")
         both = F.coalesce(here + edge, here, edge) if m == "n_events" else combine(m, here, edge)
         return F.when(local_prev, here).otherwise(both)
 
     def current(m: str) -> Column:
         here = F.col(f"current_{m}")
-        if not across_blocks:
-            return here
         return F.when(F.col("next").isNotNull(), here).otherwise(combine(m, here, F.col(f"edge_ahead_{m}")))
 
     def total(m: str) -> Column:
-        here = F.col(f"total_{m}")
-        return F.coalesce(F.col(f"edge_total_{m}"), here) if across_blocks else here
+        return F.coalesce(F.col(f"edge_total_{m}"), F.col(f"total_{m}"))
 
-    upcoming = F.coalesce(F.col("next"), F.col("edge_next")) if across_blocks else F.col("next")
+    upcoming = F.coalesce(F.col("next"), F.col("edge_next"))
     has_events = previous("loan_id").isNotNull() & (between("n_events") > 0)
     return df.filter(F.col("loan_id").isNotNull()).select(
         "ss",
@@ -182,43 +174,33 @@ def _loan_rows(df: DataFrame, across_blocks: bool) -> DataFrame:
     )
 
 
-def ledger_loan_totals(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def ledger_loan_totals(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     """One row per loan: neighbours and the totals over this loan, the previous loan and the customer.
 
-    `id` orders the rows of a customer and is unique. Counts rows per customer first (one small job) to find the
-    customers that must be split.
+    `id` orders the rows of a customer and is unique.
     """
-    split = split_customers(ledger, split_rows)
-    keys = ["ss"] if split is None else ["ss", "blk"]
-    segments = _segments(with_block(ledger, split), keys)
-    local = _in_block(segments, keys)
-    if split is None:
-        return _loan_rows(local, across_blocks=False)
-    return _loan_rows(local.join(_block_edges(segments), keys, "left"), across_blocks=True)
+    keys = ["ss", "blk"]
+    segments = _segments(with_block(ledger, block_ids), keys)
+    return _loan_rows(_in_block(segments, keys).join(_block_edges(segments), keys, "left"))
 
 
-def segment_ids(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def segment_ids(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     """(ss, id, loan_seq, renewal_seq): per event, how many loans and renewals the customer has had up to it."""
-    split = split_customers(ledger, split_rows)
-    keys = ["ss"] if split is None else ["ss", "blk"]
-    rows = with_block(ledger, split)
-    upto = Window.partitionBy(*keys).orderBy("id").rowsBetween(START, CURRENT)
+    rows = with_block(ledger, block_ids)
+    upto = Window.partitionBy("ss", "blk").orderBy("id").rowsBetween(START, CURRENT)
     kind = normal_text("type")
     is_loan, is_renewal = kind.isin(NEW_LOAN, RENEWAL), kind == RENEWAL
     numbered = rows.withColumns(
         {"loan_seq": F.count_if(is_loan).over(upto), "renewal_seq": F.count_if(is_renewal).over(upto)}
     )
-    if split is None:
-        return numbered.select("ss", "id", "loan_seq", "renewal_seq")
-    # add the counts of a split customer's earlier blocks, at most MAX_BLOCKS rows per customer
+    # add the counts of the customer's earlier blocks
     earlier = Window.partitionBy("ss").orderBy("blk").rowsBetween(START, BEFORE)
     before = (
-        rows.filter(F.col("blk") != WHOLE)
-        .groupBy("ss", "blk")
+        rows.groupBy("ss", "blk")
         .agg(F.count_if(is_loan).alias("loans"), F.count_if(is_renewal).alias("renewals"))
         .select("ss", "blk", F.sum("loans").over(earlier).alias("loans"), F.sum("renewals").over(earlier).alias("renewals"))
     )
-    return numbered.join(before, keys, "left").select(
+    return numbered.join(before, ["ss", "blk"], "left").select(
         "ss",
         "id",
         (F.col("loan_seq") + F.coalesce("loans", F.lit(0))).alias("loan_seq"),
@@ -226,27 +208,27 @@ def segment_ids(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
     )
 
 
-def next_renewal(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def next_renewal(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     """The customer's first renewal after each loan."""
-    return ledger_loan_totals(ledger, split_rows).select("ss", "loan_id", "next_renewal_id", "next_renewal_date")
+    return ledger_loan_totals(ledger, block_ids).select("ss", "loan_id", "next_renewal_id", "next_renewal_date")
 
 
-def previous_loan(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def previous_loan(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     """The customer's last loan before each loan."""
-    return ledger_loan_totals(ledger, split_rows).select(
+    return ledger_loan_totals(ledger, block_ids).select(
         "ss", "loan_id", "previous_loan_id", "previous_loan_date", "previous_loan_amt"
     )
 
 
-def current_loan_totals(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def current_loan_totals(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Totals from each loan up to the customer's next renewal."""
-    loans = ledger_loan_totals(ledger, split_rows)
+    loans = ledger_loan_totals(ledger, block_ids)
     return loans.select("ss", "loan_id", *[F.col(f"current_{m}").alias(m) for m in MEASURES])
 
 
-def previous_loan_totals(ledger: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def previous_loan_totals(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Totals strictly between the previous loan and each loan; all null if nothing lies between."""
-    loans = ledger_loan_totals(ledger, split_rows)
+    loans = ledger_loan_totals(ledger, block_ids)
     return loans.select("ss", "loan_id", *[F.col(f"previous_{m}").alias(m) for m in MEASURES])
 
 

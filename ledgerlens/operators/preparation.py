@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.cleaning import clean_employment, clean_salary, ratio, to_double
+from ledgerlens.functions.cleaning import age, clean_employment, clean_salary, ratio, to_double
 from ledgerlens.functions.events import normal_text
 from ledgerlens.operators.quantiles import median_of
 from ledgerlens.schemas import EVALUATION_VARS, TRAIN_VARS
@@ -45,11 +45,15 @@ def valid_scoring_rows(df: DataFrame) -> DataFrame:
 
 
 def eligible(df: DataFrame) -> DataFrame:
-    """The stricter offer rule: adults with salary 1000 and up whose past and previous loans made a profit."""
+    """The stricter offer rule: adults with salary 1000 and up whose past and previous loans made a profit.
+
+    Rows without `age`, as scoring gets them, are judged by date of birth.
+    """
+    years = F.col("age") if "age" in df.columns else age("dob", "funded_date_recent", fix_century=True)
     return valid_scoring_rows(df).filter(
         F.col("last_payment_date").isNotNull()
         & (clean_salary("salary") >= 1000)
-        & (F.col("age") >= 18)
+        & (years >= 18)
         & (F.col("profit_historical") > 0)
         & (F.col("profit_previous") > 0)
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,12 +58,19 @@ def describe_exact(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(a, b, r) for each pair of numeric columns, a row counting for a pair if both values are there."""
+    """(a, b, r) for each pair of numeric columns, a row counting for a pair if both values are there.
+
+    r is null where a column of the pair does not vary; such columns are found first, in one pass.
+    """
     columns = columns or [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     pairs = list(combinations_with_replacement(columns, 2))
-    row = df.agg(
-        *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r__{i}") for i, (a, b) in enumerate(pairs)]
-    )
+    spans = df.agg(*[(F.max(F.col(c).cast("double")) > F.min(F.col(c).cast("double"))).alias(c) for c in columns]).first()
+
+    def r(a: str, b: str) -> Column:
+        varies = spans[a] and spans[b]
+        return F.corr(F.col(a).cast("double"), F.col(b).cast("double")) if varies else F.lit(None).cast("double")
+
+    row = df.agg(*[r(a, b).alias(f"r__{i}") for i, (a, b) in enumerate(pairs)])
     entries = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r__{i}").alias("r")) for i, (a, b) in enumerate(pairs)
     ]

@@ -1,8 +1,8 @@
 """Exact quantiles and quantile bins.
 
 The built-in exact percentile keeps every distinct value of a column in one buffer. Here a sketch brackets each
-wanted rank, one pass counts the rows below the brackets and the values inside them, and only these few values are
-ranked. The result is exact whatever the sketch's error: a bracket that misses its rank is widened to all values.
+wanted rank, counts below and inside the brackets check and narrow them, and only the values inside are ranked. The
+result is exact whatever the sketch's error: a bracket that misses its rank is moved to the side where the rank is.
 """
 
 from __future__ import annotations
@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 # Rank error of the sketch is 1/ACCURACY; a bracket then holds about 4/ACCURACY of the rows.
 ACCURACY = 10_000
-# A bracket with more rows is narrowed by another sketch, before its values are ranked in one task.
+# A bracket with more rows is narrowed by another sketch, until it has fewer or holds ties alone.
 BRACKET_ROWS = 5_000_000
-NARROWINGS = 3
 
 
 def _real(column: str) -> Column:
@@ -50,79 +49,87 @@ def _brackets(df: DataFrame, columns: list[str], probs: tuple[float, ...], accur
             yield (c, j), (n - 1) * p, (low, high), (stats[f"lo{i}"], stats[f"hi{i}"])
 
 
-def _narrow(df: DataFrame, plan: dict, accuracy: int, bracket_rows: int) -> dict:
-    """Replace brackets of very many rows by narrower ones, each round by a factor of about `accuracy` / 4.
+def _settled(df: DataFrame, plan: dict, accuracy: int, bracket_rows: int) -> dict:
+    """Per quantile its rank, a bracket that holds it, and the number of rows below the bracket.
 
-    Rows tied at a bracket edge stay in however narrow it gets; they meet in one value when ranked.
+    Each round counts the rows below and inside the open brackets. One that lies to a side of its rank is moved to the
+    other side; one with too many rows is narrowed by a sketch of what is inside, by a factor of about `accuracy` / 4,
+    and left when that does not change it, as rows tied at its ends then fill it.
     """
     margin = 2.0 / accuracy
-    for _ in range(NARROWINGS):
-        inside = {key: _real(key[0]).between(*plan[key][1]) for key in plan}
+    done, open_ = {}, {key: (h, bracket, full) for key, (h, bracket, full) in plan.items()}
+    while open_:
+        keys = list(open_)
         counts = df.agg(
             *[
                 e
-                for i, key in enumerate(plan)
+                for i, key in enumerate(keys)
                 for e in (
-                    F.count_if(_real(key[0]) < plan[key][1][0]).alias(f"below{i}"),
-                    F.count_if(inside[key]).alias(f"inside{i}"),
+                    F.count_if(_real(key[0]) < open_[key][1][0]).alias(f"below{i}"),
+                    F.count_if(_real(key[0]).between(*open_[key][1])).alias(f"inside{i}"),
                 )
             ]
         ).first()
         aims = {}
-        for i, (key, (h, (low, high), _)) in enumerate(plan.items()):
+        for i, key in enumerate(keys):
+            h, (low, high), (least, most) = open_[key]
             below, n = counts[f"below{i}"], counts[f"inside{i}"]
-            if n > bracket_rows and low < high and below <= floor(h) and ceil(h) < below + n:
+            if below > floor(h):
+                open_[key] = (h, (least, low), (least, most))
+            elif ceil(h) >= below + n:
+                open_[key] = (h, (high, most), (least, most))
+            elif n > bracket_rows and low < high:
                 aims[key] = (max(0.0, (floor(h) - below) / n - margin), min(1.0, (ceil(h) + 1 - below) / n + margin))
-        if not aims:
-            break
-        ends = df.agg(
-            *[
-                F.percentile_approx(F.when(inside[key], _real(key[0])), list(aim), accuracy).alias(f"q{i}")
-                for i, (key, aim) in enumerate(aims.items())
-            ]
-        ).first()
-        for i, key in enumerate(aims):
-            h, _, full = plan[key]
-            plan[key] = (h, tuple(ends[f"q{i}"]), full)
-    return plan
-
-
-def _ranked_values(df: DataFrame, wanted: dict) -> dict:
-    """For each (column, j): the values at the two ranks around the wanted position, None where outside the bracket."""
-    keys = list(wanted)
+                done[key] = (h, (low, high), below)
+            else:
+                done[key] = (h, (low, high), below)
+                del open_[key]
+        if aims:
+            ends = df.agg(
+                *[
+                    F.percentile_approx(F.when(_real(key[0]).between(*open_[key][1]), _real(key[0])), list(aim), accuracy).alias(f"q{i}")
+                    for i, (key, aim) in enumerate(aims.items())
+                ]
+            ).first()
+            for i, key in enumerate(aims):
+                h, bracket, full = open_[key]
+                if tuple(ends[f"q{i}"]) == bracket:
+                    del open_[key]
+                else:
+                    open_[key] = (h, tuple(ends[f"q{i}"]), full)
+    return done
+
+
+def _ranked_values(df: DataFrame, settled: dict) -> dict:
+    """For each (column, j): the values at the two ranks around the wanted position."""
+    keys = list(settled)
 
     def hit(k: int) -> Column:
-        column, _ = keys[k]
-        _, (low, high) = wanted[keys[k]]
-        value = _real(column)
-        # rows below the bracket are only counted: they share the null value
-        return F.when(value <= high, F.struct(F.lit(k).alias("k"), F.when(value >= low, value).alias("v")))
+        value = _real(keys[k][0])
+        return F.when(value.between(*settled[keys[k]][1]), F.struct(F.lit(k).alias("k"), value.alias("v")))
 
+    # rows outside all brackets give nothing
     counts = (
         df.select(F.explode(F.array_compact(F.array(*[hit(k) for k in range(len(keys))]))).alias("h"))
         .groupBy(F.col("h.k").alias("k"), F.col("h.v").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # nulls first: the count below the bracket leads the running sum
-    upto = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    running = counts.withColumn("upto", F.sum("n").over(upto))
-    position = F.element_at(F.array(*[F.lit(float(floor(wanted[key][0]))) for key in keys]), F.col("k") + 1)
-    above = F.element_at(F.array(*[F.lit(float(ceil(wanted[key][0]))) for key in keys]), F.col("k") + 1)
+
+    def of_key(values: list[float]) -> Column:
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("k") + 1)
+
+    # distinct values of a bracket: few, unless rows tie
+    upto = Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    running = counts.withColumn("upto", F.sum("n").over(upto) + of_key([settled[key][2] for key in keys]))
     rows = (
         running.groupBy("k")
         .agg(
-            F.min(F.when(F.col("v").isNull(), F.col("n"))).alias("below"),
-            F.min(F.when(F.col("upto") > position, F.col("v"))).alias("at"),
-            F.min(F.when(F.col("upto") > above, F.col("v"))).alias("next"),
+            F.min(F.when(F.col("upto") > of_key([floor(settled[key][0]) for key in keys]), F.col("v"))).alias("at"),
+            F.min(F.when(F.col("upto") > of_key([ceil(settled[key][0]) for key in keys]), F.col("v"))).alias("next"),
         )
         .collect()
     )
-    found = {}
-    for r in rows:
-        rank = floor(wanted[keys[r.k]][0])
-        inside = (r.below or 0) <= rank and r["at"] is not None and r["next"] is not None
-        found[keys[r.k]] = (r["at"], r["next"]) if inside else None
-    return found
+    return {keys[r["k"]]: (r["at"], r["next"]) for r in rows}
 
 
 def exact_quantiles(
@@ -134,19 +141,14 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; nulls and NaN are left out.
 
-    Two passes over `df`, and two more per narrowing where brackets would be too large. Only a few numbers per
+    Three passes over `df`, and two more per narrowing where brackets would be too large. Only a few numbers per
     quantile come to the driver.
     """
     plan = {key: (h, bracket, full) for key, h, bracket, full in _brackets(df, columns, probs, accuracy)}
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
     if not plan:
         return result
-    if 4 * max(h for h, _, _ in plan.values()) / accuracy > bracket_rows:
-        plan = _narrow(df, plan, accuracy, bracket_rows)
-    found = _ranked_values(df, {key: (h, bracket) for key, (h, bracket, _) in plan.items()})
-    missed = {key: (h, full) for key, (h, _, full) in plan.items() if found.get(key) is None}
-    if missed:
-        found.update(_ranked_values(df, missed))
+    found = _ranked_values(df, _settled(df, plan, accuracy, bracket_rows))
     for (column, j), (h, _, _) in plan.items():
         low, high = found[(column, j)]
         result[column][j] = low + (high - low) * (h - floor(h))

@@ -84,12 +84,15 @@ def roc_auc(df: DataFrame, score: str, label: str, ranges: int = RANGES) -> Data
 
 
 def roc_curve(df: DataFrame, score: str, label: str, ranges: int = RANGES) -> DataFrame:
-    """(threshold, fpr, tpr), one point per distinct score; the curve starts at (0, 0) above the highest."""
-    return _running(df, score, label, ranges).select(
+    """(threshold, fpr, tpr), one point per distinct score, and the start (0, 0) at one above the highest."""
+    points = _running(df, score, label, ranges).select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("fp").cast("double"), F.col("all_neg").cast("double")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), F.col("all_pos").cast("double")).alias("tpr"),
     )
+    rated = df.select(F.col(score).cast("double").alias("score"), label).filter("not isnan(score)")
+    start = rated.filter(F.col(label).isNotNull()).agg((F.max("score") + 1).alias("threshold")).filter("threshold is not null")
+    return points.union(start.select(F.col("threshold").cast(points.schema["threshold"].dataType), F.lit(0.0), F.lit(0.0)))
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -119,8 +119,8 @@ def score_and_price(
 
 
 def batch_score_offer(src: Sources, as_of: str, scorer: Scorer, **options) -> DataFrame:
-    """From the lending tables to priced offers."""
-    return score_and_price(production_features(src, as_of), scorer, **options)
+    """From the lending tables to priced offers. Features are written once, before medians are taken of them."""
+    return score_and_price(written(production_features(src, as_of), "features"), scorer, **options)
 
 
 def with_model(model: PipelineModel) -> Scorer:

@@ -15,7 +15,8 @@ NULL_TEXT = "NULL"
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under `spark.checkpoint.dir`, which every executor can reach; removed when the application ends.
+    """A folder name, not used yet, under `spark.checkpoint.dir`, which every executor can reach; what is written there
+    is removed when the application ends.
 
     Where that is unset, the warehouse, shared as well, holds it.
     """
@@ -25,7 +26,7 @@ def work_folder(spark: SparkSession, name: str) -> str:
     system = path.getFileSystem(spark._jsc.hadoopConfiguration())
     system.mkdirs(path)
     system.deleteOnExit(path)
-    return folder
+    return f"{folder}/out"
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:

@@ -87,7 +87,8 @@ def test_auc_and_curve(spark, ranges):
     assert abs(row.auc - brute_auc(pairs)) < 1e-12
     p, n = row.n_pos, row.n_neg
     curve = ranking.roc_curve(df, "s", "y", ranges).collect()
-    assert len(curve) == len({s for s, _ in pairs})
+    assert len(curve) == len({s for s, _ in pairs}) + 1
+    assert (max(s for s, _ in pairs) + 1, 0.0, 0.0) in [tuple(c) for c in curve]
     for point in curve:
         assert abs(point.tpr - sum(y and s >= point.threshold for s, y in pairs) / p) < 1e-12
         assert abs(point.fpr - sum((not y) and s >= point.threshold for s, y in pairs) / n) < 1e-12
