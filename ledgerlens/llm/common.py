@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.sources.files import work_folder
 
@@ -33,6 +35,33 @@ def protected(df: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFram
     return df.toDF(*seen), lambda out: out.select(*seen).toDF(*df.columns)
 
 
+def computed(
+    df: DataFrame,
+    columns: Sequence[str] | None,
+    source: str,
+    fields: T.StructType,
+    start: Callable[[], Callable[[list], list[pa.Array]]],
+) -> DataFrame:
+    """These columns of the table (all of them, if none are named), and `fields`, computed from the column `source`.
+
+    Each task calls `start` for a function from a batch of the source's values to the new columns. Input columns with
+    the name of a new one give way; any other names may be there, differing in case alone even.
+    """
+    names = [c for c in (columns or df.columns) if c not in fields.names]
+    numbered = df.toDF(*[f"__{i}" for i in range(len(df.columns))])
+    rows = numbered.select(*[f"__{df.columns.index(c)}" for c in names], F.col(f"__{df.columns.index(source)}").alias("__source"))
+    kept = rows.schema.fields[:-1]
+    new = [T.StructField(f"__new{i}", f.dataType) for i, f in enumerate(fields)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values = start()
+        for batch in batches:
+            added = values(batch.columns[-1].to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *added], [f.name for f in [*kept, *new]])
+
+    return rows.mapInArrow(run, T.StructType([*kept, *new])).toDF(*names, *fields.names)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written under the shared folder: lineage ends there, and a lost executor costs no earlier step."""
     spark = df.sparkSession

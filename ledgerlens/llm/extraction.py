@@ -5,16 +5,14 @@ from __future__ import annotations
 import html as references
 import re
 from collections import Counter
-from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import pick, table
+from ledgerlens.llm.common import computed, table
 
 # quotes count after an equals sign only; whatever is not closed runs to the end, so no place is looked at twice
 TAG = re.compile(
@@ -216,19 +214,12 @@ def extract(pages: DataFrame, columns: tuple[str, ...] | None = None) -> DataFra
     Null, empty or unreadable html, or a page without article: empty text. Whole pages are read, of any length. Input
     columns named text or n_chars are replaced; equal rows get equal texts.
     """
-    columns = [c for c in (columns or pages.columns) if c not in ("text", "n_chars")]
-    rows = pick(pages, *columns, *([] if "html" in columns else ["html"]))
-
-    def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [main_text(h) if h else "" for h in batch.column("html").to_pylist()]
-            kept = [batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*columns, "text", "n_chars"]
-            )
-
-    kept = [f for f in rows.schema if f.name in columns]
-    return rows.mapInArrow(extracted, T.StructType([*kept, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
+
+    def extracted(htmls: list[str | None]) -> list[pa.Array]:
+        texts = [main_text(h) if h else "" for h in htmls]
+        return [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+
+    return computed(pages, columns, "html", T.StructType().add("text", "string").add("n_chars", "long"), lambda: extracted)
 
 
 def op4_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import pick, table
+from ledgerlens.llm.common import computed, pick, table
 
 #: Families of languages by code. A language not listed is a family of its own.
 FAMILIES = {
@@ -149,20 +149,17 @@ def identify(docs: DataFrame, model: dict, columns: tuple[str, ...] | None = Non
     Null text, or text without letters: `und`, score 0. Rows may repeat, doc_id may be null. Columns that are not asked
     for are left out; input columns named lang_pred or score are replaced.
     """
-    columns = [c for c in (columns or docs.columns) if c not in ("lang_pred", "score")]
-    rows = pick(docs, *columns)
 
-    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start() -> Callable[[list], list[pa.Array]]:
         letters = letter_table()
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
+
+        def predicted(texts: list[str | None]) -> list[pa.Array]:
             found = [predict(None if t is None else features(t, letters), model) for t in texts]
-            names, scores = [f[0] for f in found], [f[1] for f in found]
-            more = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "lang_pred", "score"])
+            return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+
+        return predicted
 
-    schema = T.StructType([*rows.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(predicted, schema)
+    return computed(docs, columns, "text", T.StructType().add("lang_pred", "string").add("score", "double"), start)
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import let, pick, table
+from ledgerlens.llm.common import let, table
 
 #: Notices that licences ask for, or that are in use for them, by SPDX name.
 TEMPLATES = [
@@ -147,13 +147,14 @@ def licences(
         found = F.when(likely(F.col("text")), F.flatten(matched))
     else:
         found = F.array().cast(struct)
-    rows = pick(docs, *columns, *([] if "text" in columns else ["text"]))
+    numbered = docs.toDF(*[f"__{i}" for i in range(len(docs.columns))])
+    kept = [f"__{docs.columns.index(c)}" for c in columns]
+    rows = numbered.withColumn("text", F.col(f"__{docs.columns.index('text')}"))
     rows = rows.withColumn("__found", F.coalesce(found, F.array().cast(struct)))
-    return rows.select(
-        *[F.col(f"`{c}`") for c in columns],
-        F.array_join(F.array_sort(F.array_distinct(F.transform("__found", lambda m: m["licence"]))), ",").alias("licences"),
-        F.coalesce(F.array_max(F.transform("__found", lambda m: m["dice"])), F.lit(0.0)).alias("best_dice"),
-    )
+    names = F.array_sort(F.array_distinct(F.transform("__found", lambda m: m["licence"])))
+    best = F.coalesce(F.array_max(F.transform("__found", lambda m: m["dice"])), F.lit(0.0))
+    out = rows.select(*kept, F.array_join(names, ",").alias("__names"), best.alias("__best"))
+    return out.toDF(*columns, "licences", "best_dice")
 
 
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.common import pick, protected, table
+from ledgerlens.llm.common import computed, protected, table
 
 KINDS = ("assign", "access", "hex", "guess")
 #: pattern, group that is measured, and its least length
@@ -128,17 +127,13 @@ def scan(docs: DataFrame, columns: tuple[str, ...] | None = None, least_cost: fl
     and keyboard walks in such a place are left alone. Null text counts as empty: no spans. Spans may overlap; equal
     rows get equal spans. An input column named secrets is replaced.
     """
-    columns = [c for c in (columns or docs.columns) if c != "secrets"]
-    rows = pick(docs, *columns)
 
-    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [spans(t, least_cost) if t else [] for t in batch.column("text").to_pylist()]
-            as_rows = [[{"kind": k, "start": s, "end": e} for k, s, e in one] for one in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(as_rows, _SPANS)], [*batch.schema.names, "secrets"])
+    def scanned(texts: list[str | None]) -> list[pa.Array]:
+        found = [spans(t, least_cost) if t else [] for t in texts]
+        return [pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in one] for one in found], _SPANS)]
 
-    kind = T.ArrayType(T.StructType().add("kind", "string").add("start", "long").add("end", "long"))
-    return rows.mapInArrow(scanned, T.StructType([*rows.schema, T.StructField("secrets", kind)]))
+    span = T.StructType().add("kind", "string").add("start", "long").add("end", "long")
+    return computed(docs, columns, "text", T.StructType().add("secrets", T.ArrayType(span)), lambda: scanned)
 
 
 def redact(docs: DataFrame, mark: str = "[redacted]", least_cost: float = 10.0) -> DataFrame:
