@@ -9,7 +9,32 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import let, table
 
-#: Notices that licences ask for, or that are in use for them, by SPDX name.
+WARRANTY_MIT = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
+    "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+CONDITIONS_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+    "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution."
+)
+THIRD_BSD = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission."
+)
+WARRANTY_BSD = (
+    ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+    "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+#: Notices that licences ask for, or that are in use for them, and whole texts of the short ones, by SPDX
+#: name. Long licences (GPL, Apache, MPL) quote their notice at the end, where a passage of a whole copy matches it.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
@@ -29,6 +54,14 @@ TEMPLATES = [
         "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
         "substantial portions of the Software.",
     ),
+    (
+        "MIT",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+        '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+        "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software. " + WARRANTY_MIT,
+    ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
         "GPL-3.0",
@@ -38,6 +71,32 @@ TEMPLATES = [
         "PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     ),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in "
+        "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ),
+    (
+        "LGPL-3.0",
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public "
+        "License, supplemented by the additional permissions listed below.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This library is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+        "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or "
+        "FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    ),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     (
@@ -48,6 +107,17 @@ TEMPLATES = [
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-3-Clause", CONDITIONS_BSD + THIRD_BSD + WARRANTY_BSD),
+    ("BSD-2-Clause", CONDITIONS_BSD + WARRANTY_BSD),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
+        'the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS '
+        "ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+        "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA "
+        "OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
+        "PERFORMANCE OF THIS SOFTWARE.",
+    ),
     (
         "ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
@@ -119,8 +189,64 @@ def _matches(unit: Column, known: Column, every: Column, least: int) -> Column:
     return let({"w": F.split(plain, " ")}, pairs)
 
 
+def _passages(text: Column, known: Column, every: Column, least: int) -> Column:
+    """(dice, length, start, end, licence) of the passages close to a template, the best of each overlapping span.
+
+    A best passage starts and ends with a bigram of the template. So one is tried from every such bigram that enough
+    others follow, up to the one where the share of the template's bigrams is best.
+    """
+
+    def pairs(s: Column) -> Column:
+        n = F.size(s["w"])
+        return F.transform(F.slice(s["w"], F.lit(1), F.greatest(F.lit(0), n - 1)), lambda w, i: F.concat(w, F.lit(" "), F.get(s["w"], i + 1)))
+
+    def near(s: Column) -> Column:
+        # a match shares least / (200 - least) of a template's bigrams or more
+        some = lambda t: (t["size"] > 0) & (F.size(F.array_intersect(s["c"], t["bigrams"])) * (200 - least) >= t["size"] * least)
+        return F.flatten(F.transform(F.filter(known, some), lambda t: of_template(s["b"], t)))
+
+    def of_template(b: Column, t: Column) -> Column:
+        hits = F.filter(F.transform(b, lambda x, i: F.when(F.array_contains(t["bigrams"], x), i).otherwise(-1)), lambda i: i >= 0)
+        fewest = F.ceil(t["size"] * least / (200 - least)).cast("int")
+        longest = F.floor(t["size"] * (200 - least) / least).cast("int")
+        return let({"h": hits, "fewest": fewest, "longest": longest}, lambda s: from_hits(b, t, s))
+
+    def from_hits(b: Column, t: Column, s: Column) -> Column:
+        def best_end(p: Column, j: Column) -> Column:
+            ends = F.slice(s["h"], j + s["fewest"], s["longest"] - s["fewest"] + 1)
+            share = lambda e, k: (k + s["fewest"]) * 200 / (e - p + 1 + t["size"])
+            tried = F.transform(ends, lambda e, k: F.struct(share(e, k).alias("share"), p.alias("start"), e.alias("end")))
+            return F.array_max(F.filter(tried, lambda x: (x["end"] - p < s["longest"]) & (x["share"] >= least)))
+
+        spans = F.filter(F.transform(s["h"], best_end), lambda x: x.isNotNull())
+        counted = F.transform(
+            spans,
+            lambda x: let({"d": F.array_distinct(F.slice(b, x["start"] + 1, x["end"] - x["start"] + 1))}, lambda u: measured(x, u["d"], t)),
+        )
+        return F.filter(counted, lambda m: m["dice"] * 100 >= least)
+
+    def measured(span: Column, distinct: Column, t: Column) -> Column:
+        dice = F.size(F.array_intersect(distinct, t["bigrams"])) * 2 / (F.size(distinct) + t["size"])
+        length = span["end"] - span["start"]
+        return F.struct(dice.alias("dice"), length.alias("length"), span["start"].alias("start"), span["end"].alias("end"), t["licence"].alias("licence"))
+
+    def keep(kept: Column, m: Column) -> Column:
+        meets = F.exists(kept, lambda k: (k["start"] <= m["end"]) & (m["start"] <= k["end"]))
+        return F.when(meets, kept).otherwise(F.concat(kept, F.array(m)))
+
+    plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    found = let({"w": F.split(plain, " ")}, lambda s: let({"b": pairs(s)}, lambda u: let({"b": u["b"], "c": F.array_intersect(u["b"], every)}, near)))
+    none = F.array().cast("array<struct<dice:double,length:int,start:int,end:int,licence:string>>")
+    best = F.aggregate(F.sort_array(found, asc=False), none, keep)
+    return F.transform(best, lambda m: F.struct(m["dice"].alias("dice"), m["licence"].alias("licence")))
+
+
 def licences(
-    docs: DataFrame, columns: tuple[str, ...] | None = None, templates: list[tuple[str, str]] | None = None, least: int = LEAST
+    docs: DataFrame,
+    columns: tuple[str, ...] | None = None,
+    templates: list[tuple[str, str]] | None = None,
+    least: int = LEAST,
+    anywhere: bool = False,
 ) -> DataFrame:
     """`licences` (names found, sorted, joined by commas) and `best_dice` added to these columns of every document.
 
@@ -129,6 +255,10 @@ def licences(
     texts are looked at, in their row: nothing is shuffled. Units without any of the words that a match cannot do without
     (`anchors`) go no further. Null or empty text, and units of one word, match nothing:
     empty string, 0. Input columns named licences or best_dice are replaced.
+
+    With `anywhere`, passages of the text count instead, wherever they start and end, across lines and paragraphs and
+    within them: from each bigram of a template to the one that makes the best share, and of passages that overlap the
+    one with the highest coefficient.
     """
     columns = [c for c in (columns or docs.columns) if c not in ("licences", "best_dice")]
     known = [(name, bigrams_of(text)) for name, text in (TEMPLATES if templates is None else templates)]
@@ -143,8 +273,11 @@ def licences(
     if known:
         literal = F.array(*[F.struct(F.lit(n).alias("licence"), F.lit(b).alias("bigrams"), F.lit(len(b)).alias("size")) for n, b in known])
         every = F.lit(sorted({b for _, one in known for b in one}))
-        matched = F.transform(F.filter(units, likely), lambda u: F.coalesce(_matches(u, literal, every, least), F.array().cast(struct)))
-        found = F.when(likely(F.col("text")), F.flatten(matched))
+        if anywhere:
+            matched = _passages(F.col("text"), literal, every, least)
+        else:
+            matched = F.flatten(F.transform(F.filter(units, likely), lambda u: F.coalesce(_matches(u, literal, every, least), F.array().cast(struct))))
+        found = F.when(likely(F.col("text")), matched)
     else:
         found = F.array().cast(struct)
     numbered = docs.toDF(*[f"__{i}" for i in range(len(docs.columns))])
@@ -158,4 +291,4 @@ def licences(
 
 
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences(table(spark, sf_dir, "documents"), ("doc_id",))
+    return licences(table(spark, sf_dir, "documents"), ("doc_id",), anywhere=True)

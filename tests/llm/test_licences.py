@@ -54,3 +54,36 @@ def test_no_match_without_an_anchor():
     for one in known:
         without = [b for b in one if not set(b.split()) & set(needed)]
         assert 200 * len(without) < LEAST * (len(without) + len(one))
+
+
+def template(name, i=-1):
+    return [t for n, t in TEMPLATES if n == name][i]
+
+
+def in_paragraphs(text, parts):
+    words = text.split()
+    size = len(words) // parts + 1
+    return "\n\n".join("\n".join("# " + " ".join(words[j : j + 11]) for j in range(i, min(i + size, len(words)), 11)) for i in range(0, len(words), size))
+
+
+def test_passages_anywhere(spark):
+    """Notices across paragraphs, within lines, and whole licence texts; of overlapping passages the best alone."""
+    mit, apache, gpl, agpl = template("MIT"), template("Apache-2.0"), template("GPL-3.0"), template("AGPL-3.0")
+    bsd3, bsd2 = [t for n, t in TEMPLATES if n.startswith("BSD") and len(t) > 900]
+    texts = [
+        ("MIT", f"The MIT License\n\nCopyright (c) 2020 Some Body\n\n{in_paragraphs(mit, 3)}"),
+        ("GPL-3.0", ENGLISH + "\n" + in_paragraphs(gpl, 3) + "\n" + ENGLISH),
+        ("Apache-2.0", in_paragraphs(apache, 3)),
+        ("AGPL-3.0", in_paragraphs(agpl, 2)),
+        ("BSD-3-Clause", ENGLISH + " " + in_paragraphs(bsd3, 4)),
+        ("BSD-2-Clause", in_paragraphs(bsd2, 4)),
+        ("MIT", f"{ENGLISH}. Released under the MIT License. {ENGLISH}."),
+        ("GPL-3.0,MIT", f"{ENGLISH}. Released under the MIT License. {ENGLISH}. This work is licensed under the GNU General Public License, version 3. x"),
+        ("", ENGLISH + " of this software under the terms of the license"),
+        ("", ""),
+    ]
+    rows = [row(i, text) for i, (_, text) in enumerate(texts)]
+    found = {r["doc_id"]: r["licences"] for r in licences(documents(spark, rows), ("doc_id",), anywhere=True).collect()}
+    assert found == {i: name for i, (name, _) in enumerate(texts)}
+    odd = licences(documents(spark, [*odd_documents(), row(99, None)]), ("doc_id",), anywhere=True).collect()
+    assert {(r["licences"], r["best_dice"]) for r in odd} == {("", 0.0)}
