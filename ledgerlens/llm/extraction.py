@@ -44,14 +44,15 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、؟]")
 
 
 class Node(NamedTuple):
-    """A piece of text: its path of tags from the root, the element around it, and if a block starts with it."""
+    """A piece of text: its path of tags from the root, the element around it, the list item around it by number (0 for
+    none), and if a block starts with it."""
 
     text: str
     path: int
     element: int
     aside: bool
     linked: bool
-    listed: bool
+    item: int
     breaks: bool
 
 
@@ -62,6 +63,7 @@ class Element(NamedTuple):
     path: int
     holder: int
     aside: bool
+    item: int
 
 
 class Page:
@@ -72,18 +74,18 @@ class Page:
         self.parents = [0]
         self.landmarks: set[int] = set()
         self._paths: dict[tuple[int, str], int] = {}
-        self._stack = [Element("", 0, 0, False)]
+        self._stack = [Element("", 0, 0, False, 0)]
         self._open: Counter[str] = Counter()
         self._landmarks_open: list[int] = []
         self._breaks = True
+        self._items = 0
         self._read(page)
 
     def _text(self, raw: str) -> None:
         if raw:
             top = self._stack[-1]
             text = references.unescape(raw) if "&" in raw else raw
-            linked, listed = self._open["a"] > 0, self._open["li"] > 0
-            self.nodes.append(Node(text, top.path, top.holder, top.aside, linked, listed, self._breaks))
+            self.nodes.append(Node(text, top.path, top.holder, top.aside, self._open["a"] > 0, top.item, self._breaks))
             if not raw.isspace():
                 self._breaks = False
 
@@ -129,7 +131,8 @@ class Page:
                 self.landmarks.add(holder)
                 self._landmarks_open.append(holder)
         path = self._paths.setdefault((top.path, name), len(self._paths) + 1)
-        self._stack.append(Element(name, path, holder, aside))
+        self._items += name == "li"
+        self._stack.append(Element(name, path, holder, aside, self._items if name == "li" else top.item))
         self._open[name] += 1
 
     def _read(self, page: str) -> None:
@@ -171,36 +174,59 @@ def ratios(found: list[Node], radius: int = 2) -> np.ndarray:
     return np.sqrt(own * smooth)
 
 
+def marked(read: Page, roots: set[int]) -> list[bool]:
+    """For each element if it is one of these or lies in one."""
+    inside = [e in roots for e in range(len(read.parents))]
+    for e in range(1, len(inside)):
+        inside[e] |= inside[read.parents[e]]
+    return inside
+
+
 def main_text(page: str, strength: float = 0.8) -> str:
     """The article's text: blocks in page order joined by one space, white space within them collapsed.
 
-    Nodes that score `strength` standard deviations or more are surely content. The element that holds most of their
-    text, an article or main element if one holds half, else the deepest with three fifths, is the article; all its
-    text counts, except what lies in menus, adverts, forms and the like, or, without a named element, in blocks of
-    nothing but links.
+    Nodes that score `strength` standard deviations or more are surely content: their blocks are kept wherever they are.
+    Short blocks are kept around them: all in article and main elements, if these hold half of the sure text, else in the
+    deepest element with three fifths; and, of the deepest that holds nearly all of it, those that come between sure
+    nodes or share an inner element with one. What lies in menus, adverts, forms and the like is left out, as are, without
+    a named element, list items of nothing but links.
     """
     read = Page(page)
     found = read.nodes
+    beside = [n.aside for n in found]
     if not any(n.text.strip() and not n.aside for n in found):
         return ""
     scores = ratios(found)
-    sure = scores >= min(strength * scores.std(), scores.max())
+    sure = (scores >= min(strength * scores.std(), scores.max())) & (scores > 0)
+    named = marked(read, read.landmarks)
+    total = sum(len(n.text) for n, s in zip(found, sure) if s)
+    if sum(len(n.text) for n, s in zip(found, sure) if s and named[n.element]) * 2 < total:
+        named = []
+        plain = {n.item for n, b in zip(found, beside) if not b and not n.linked and not n.text.isspace()}
+        beside = [b or (n.item > 0 and n.linked and n.item not in plain) for n, b in zip(found, beside)]
+        sure = [s and not b for s, b in zip(sure, beside)]
     mass = [0] * len(read.parents)
     for n, s in zip(found, sure):
-        if s and not n.text.isspace():
+        if s:
             mass[n.element] += len(n.text)
     for e in range(len(mass) - 1, 0, -1):
         mass[read.parents[e]] += mass[e]
-    named = max((e for e in read.landmarks if mass[e] * 2 >= mass[0]), key=lambda e: (mass[e], -e), default=None)
-    chosen = max(e for e, m in enumerate(mass) if m * 5 >= mass[0] * 3) if named is None else named
-    inside = [e == chosen for e in range(len(mass))]
-    for e in range(1, len(mass)):
-        inside[e] |= inside[read.parents[e]]
+    if not mass[0]:
+        return ""
+    widest = max(e for e, m in enumerate(mass) if m * 100 >= mass[0] * 95)
+    deepest = max(e for e, m in enumerate(mass) if m * 5 >= mass[0] * 3)
+    core = marked(read, {e for e in read.landmarks if mass[e]} if named else {deepest})
+    wide = marked(read, {widest})
+    within = [w and i != widest and mass[i] > 0 for i, w in enumerate(wide)]
+    at = [i for i, s in enumerate(sure) if s and wide[found[i].element]]
+    blocks = np.cumsum([n.breaks and not n.text.isspace() for n in found])
+    of_sure = set(blocks[np.flatnonzero(sure)])
     pieces = []
     broken = True
-    for n in found:
+    for i, n in enumerate(found):
         broken |= n.breaks
-        if n.aside or not inside[n.element] or (named is None and n.linked and n.listed):
+        near = core[n.element] or within[n.element] or (wide[n.element] and at[0] < i < at[-1]) or blocks[i] in of_sure
+        if beside[i] or not near:
             broken |= not n.text.isspace()
             continue
         pieces.append(" " + n.text if broken else n.text)

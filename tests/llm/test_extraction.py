@@ -68,3 +68,28 @@ def test_odd_rows(spark):
     assert sorted((r[0] or 0, len(r[4]), r[5]) for r in found.collect()) == [(0, 0, 0), (1, 0, 0), (2, 3, 3), (2, 3, 3), (2, 99_999, 99_999)]
     assert extract(spark.createDataFrame([], schema), ("page_id",)).columns == ["page_id", "text", "n_chars"]
     assert extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def prose(word, n):
+    return " ".join(f"<p>The {word} went on, for a long while, and {word} number {i} was seen again, at last. Nobody knew of the {word}, or why.</p>" for i in range(n))
+
+
+def words_in(page):
+    return " ".join(references.unescape(re.sub("<[^>]*>", " ", page)).split())
+
+
+@pytest.mark.parametrize(
+    "article",
+    [
+        f"<section><h2>One</h2>{prose('fox', 13)}</section><section><h2>Two</h2>{prose('hen', 7)}</section>",
+        f"<div class=x>{prose('fox', 13)}</div>{prose('hen', 7)}",
+        f"<table><tr><td>{prose('fox', 13)}</td></tr></table>{prose('hen', 7)}",
+        f"<article>{prose('fox', 11)}</article><article>{prose('hen', 9)}</article>",
+        f"<article>{prose('fox', 20)}<div><ul><li>one</li><li>two</li></ul></div></article>",
+        f"<article>{prose('fox', 12)}</article><div class=x><p>Short.</p>{prose('hen', 8)}</div>",
+        f"<div class=x>{prose('fox', 13)}<ul><li>An item with <a href=x>some words</a> in it, and more.<li>Another, <a href=y>of them</a></ul></div>",
+    ],
+)
+def test_all_parts_of_an_article(article):
+    menu = "<ul><li><a href=/>Home</a><li><a href=/x>More</a></ul>"
+    assert main_text(f"<body>{menu}<div class=top>Site</div>{article}<div class=end>End</div></body>") == words_in(article)
