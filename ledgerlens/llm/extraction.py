@@ -5,6 +5,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections import Counter
+from heapq import heapify, heappop, heappush
 from typing import NamedTuple
 
 import numpy as np
@@ -30,8 +31,8 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 BLOCKS = set("p h1 h2 h3 h4 h5 h6 li dt dd td th caption figcaption pre blockquote address summary legend".split())
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr", "table"), "td": ("td th", "table tr"), "th": ("td th", "table tr"), "option": ("option", "select")}
 CLOSES = {k: (set(a.split()), set(b.split())) for k, (a, b) in CLOSES.items()}
-#: elements, and words in the class, id or role of elements, that never hold the article
-ASIDE_TAGS = set("head nav footer aside form noscript template svg math canvas object select button dialog menu datalist audio video map".split())
+#: elements that never hold the article; forms, and words in the class, id or role of elements, that say they do not
+ASIDE_TAGS = set("head nav footer aside noscript template svg math canvas object select button dialog menu datalist audio video map".split())
 ASIDE_WORDS = set(
     """ad ads adbox adslot advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline-share colophon comment comments
     commentlist complementary consent contentinfo cookie cookies cookiebar copyright dialog disqus footer footnav gdpr hidden masthead menu menubar
@@ -44,8 +45,8 @@ PUNCTUATION = re.compile(r"[.,;:!?…。，、؟]")
 
 
 class Node(NamedTuple):
-    """A piece of text: its path of tags from the root, the element around it, the list item around it by number (0 for
-    none), and if a block starts with it."""
+    """A piece of text: its path of tags from the root, the element around it, the list item and the element with a
+    name that speaks against it around it by number (0 for none), and if a block starts with it."""
 
     text: str
     path: int
@@ -53,6 +54,7 @@ class Node(NamedTuple):
     aside: bool
     linked: bool
     item: int
+    doubt: int
     breaks: bool
 
 
@@ -64,6 +66,7 @@ class Element(NamedTuple):
     holder: int
     aside: bool
     item: int
+    doubt: int
 
 
 class Page:
@@ -74,18 +77,20 @@ class Page:
         self.parents = [0]
         self.landmarks: set[int] = set()
         self._paths: dict[tuple[int, str], int] = {}
-        self._stack = [Element("", 0, 0, False, 0)]
+        self._stack = [Element("", 0, 0, False, 0, 0)]
         self._open: Counter[str] = Counter()
         self._landmarks_open: list[int] = []
         self._breaks = True
         self._items = 0
+        self.doubts = [0]  # of each element whose name speaks against it: the next such one around it
+        self.articles: dict[int, int] = {}  # of each landmark: the doubt about it
         self._read(page)
 
     def _text(self, raw: str) -> None:
         if raw:
             top = self._stack[-1]
             text = references.unescape(raw) if "&" in raw else raw
-            self.nodes.append(Node(text, top.path, top.holder, top.aside, self._open["a"] > 0, top.item, self._breaks))
+            self.nodes.append(Node(text, top.path, top.holder, top.aside, self._open["a"] > 0, top.item, top.doubt, self._breaks))
             if not raw.isspace():
                 self._breaks = False
 
@@ -122,17 +127,24 @@ class Page:
         top = self._stack[-1]
         words = {w for v in NAMED.findall(rest) for w in re.split(r"[\s_-]+", "".join(v).lower())} if rest else set()
         aside = top.aside or name in ASIDE_TAGS or (name == "header" and not self._landmarks_open)
-        aside = aside or (name not in ("html", "body") and bool(words & ASIDE_WORDS)) or bool(rest and HIDDEN.search(rest))
+        aside = aside or bool(rest and HIDDEN.search(rest))
+        doubt = top.doubt
+        named = name not in ("html", "body") and bool(words & ASIDE_WORDS)
+        if not aside and (name == "form" or named):
+            doubt = len(self.doubts)
+            self.doubts.append(top.doubt)
         holder = top.holder
         if name not in INLINE and name not in BLOCKS:
             holder = len(self.parents)
             self.parents.append(top.holder)
             if not aside and (name in ("article", "main") or (name in ("div", "section") and words & MAIN_WORDS)):
                 self.landmarks.add(holder)
+                if name == "main" or not named:
+                    self.articles[holder] = doubt
                 self._landmarks_open.append(holder)
         path = self._paths.setdefault((top.path, name), len(self._paths) + 1)
         self._items += name == "li"
-        self._stack.append(Element(name, path, holder, aside, self._items if name == "li" else top.item))
+        self._stack.append(Element(name, path, holder, aside, self._items if name == "li" else top.item, doubt))
         self._open[name] += 1
 
     def _read(self, page: str) -> None:
@@ -160,9 +172,10 @@ class Page:
         self._text(page[at:])
 
 
-def ratios(found: list[Node], radius: int = 2) -> np.ndarray:
+def ratios(found: list[Node], strength: float, radius: int = 2) -> np.ndarray:
     """A score for each node: how much text, and how much of it punctuated, a node of its path has on average, fused
-    with the same smoothed over the nodes around it. Nodes beside the article score nothing."""
+    with the same smoothed over the nodes around it. Nodes beside the article score nothing. Sure are those that score
+    `strength` standard deviations or more."""
     lengths = np.array([0 if n.aside else len(n.text.strip()) for n in found], float)
     marks = np.array([0 if n.aside else len(PUNCTUATION.findall(n.text)) for n in found], float)
     _, of = np.unique([n.path for n in found], return_inverse=True)
@@ -171,7 +184,57 @@ def ratios(found: list[Node], radius: int = 2) -> np.ndarray:
     own = (text * (1 + punctuation))[of] * (lengths > 0)
     kernel = np.exp(-(np.arange(-radius, radius + 1) ** 2) / 2)
     smooth = np.convolve(own, kernel / kernel.sum(), "full")[radius : radius + len(own)]
-    return np.sqrt(own * smooth)
+    scores = np.sqrt(own * smooth)
+    return (scores >= min(strength * scores.std(), scores.max())) & (scores > 0)
+
+
+def settled(read: Page) -> list[Node]:
+    """The nodes, those aside that lie in a form or an element whose name speaks against it.
+
+    Text outside links is shared out over the page. Names are not heeded where they would leave no article: those around
+    the article or main element that holds most text, if there is none without such a name; and, largest first, while
+    less than half of the text is left, those of elements that hold half, or of any if not a fifth is left. Once article
+    and main elements hold a fifth of it, names are heeded.
+    """
+    found = read.nodes
+    if len(read.doubts) == 1:
+        return found
+    size, direct, mass = [0] * len(read.parents), [0] * len(read.doubts), 0
+    free = [0] * len(read.doubts)  # of each doubt: text in landmarks that no further one is about
+    inside = marked(read, set(read.articles))
+    for n in found:
+        if not n.aside and not n.linked:
+            length = len(n.text.strip())
+            mass += length
+            size[n.element] += length
+            direct[n.doubt] += length
+            free[n.doubt] += length * inside[n.element]
+    for e in range(len(size) - 1, 0, -1):
+        size[read.parents[e]] += size[e]
+    whole = direct[:]
+    for d in range(len(whole) - 1, 0, -1):
+        whole[read.doubts[d]] += whole[d]
+    heeded = [d > 0 for d in range(len(whole))]
+    if read.articles and not free[0]:
+        best = max(read.articles, key=lambda e: (size[e], -e))
+        d = read.articles[best] if size[best] * 5 >= mass else 0
+        while d:
+            heeded[d] = False
+            d = read.doubts[d]
+    inner: list[list[int]] = [[] for _ in whole]
+    for d in range(1, len(whole)):
+        inner[read.doubts[d]].append(d)
+    left = sum(m for m, h in zip(direct, heeded) if not h)
+    article = sum(m for m, h in zip(free, heeded) if not h)
+    at_hand = [(-whole[c], c) for d, h in enumerate(heeded) if not h for c in inner[d] if heeded[c]]
+    heapify(at_hand)
+    while at_hand and left * 2 < mass and article * 5 < mass and (left * 5 < mass or at_hand[0][0] * -2 >= mass):
+        d = heappop(at_hand)[1]
+        heeded[d] = False
+        left, article = left + direct[d], article + free[d]
+        for c in inner[d]:
+            heappush(at_hand, (-whole[c], c))
+    return [n._replace(aside=True) if heeded[n.doubt] else n for n in found]
 
 
 def marked(read: Page, roots: set[int]) -> list[bool]:
@@ -188,16 +251,15 @@ def main_text(page: str, strength: float = 0.8) -> str:
     Nodes that score `strength` standard deviations or more are surely content: their blocks are kept wherever they are.
     Short blocks are kept around them: all in article and main elements, if these hold half of the sure text, else in the
     deepest element with three fifths; and, of the deepest that holds nearly all of it, those that come between sure
-    nodes or share an inner element with one. What lies in menus, adverts, forms and the like is left out, as are, without
+    nodes or share an inner element with one. What lies in menus, adverts, forms and the like is left out (`settled`), as are, without
     a named element, list items of nothing but links.
     """
     read = Page(page)
-    found = read.nodes
+    found = settled(read)
     beside = [n.aside for n in found]
     if not any(n.text.strip() and not n.aside for n in found):
         return ""
-    scores = ratios(found)
-    sure = (scores >= min(strength * scores.std(), scores.max())) & (scores > 0)
+    sure = ratios(found, strength)
     named = marked(read, read.landmarks)
     total = sum(len(n.text) for n, s in zip(found, sure) if s)
     if sum(len(n.text) for n, s in zip(found, sure) if s and named[n.element]) * 2 < total:

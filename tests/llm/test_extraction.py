@@ -93,3 +93,29 @@ def words_in(page):
 def test_all_parts_of_an_article(article):
     menu = "<ul><li><a href=/>Home</a><li><a href=/x>More</a></ul>"
     assert main_text(f"<body>{menu}<div class=top>Site</div>{article}<div class=end>End</div></body>") == words_in(article)
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<div class='content-sidebar-wrap'>{}</div>",
+        "<div class='main no-sidebar'><div class='layout-with-menu'>{}</div></div>",
+        "<div class='post has-ads'><article>{}</article><div class=ads><p>Buy it, now.</p></div></div>",
+        "<main class='no-sidebar'>{}</main>",
+        "<article class='post has-ads'>{}</article>",
+        "<div id='search-results-article'>{}</div>",
+        "<form action=/><div>{}</div><label>Your name</label></form>",
+        "<form action=/><div class=sidebar><p>Read on, it is short.</p></div><main>{}</main></form>",
+        "<div class='has-ads'>{}</div><div class='related'><p>The next, and others.</p></div>",
+    ],
+)
+def test_names_and_forms_do_not_drop_the_article(around):
+    article = prose("fox", 9)
+    got = main_text(f"<body><ul class=menu><li><a href=/>Home</a></ul>{around.format(article)}<div class=footer>End</div></body>")
+    assert got.removesuffix(" Your name") == words_in(article)
+
+
+def test_long_comments_beside_an_article():
+    comments = "".join(f"<article class=comment>{prose('hen', 2)}</article>" for _ in range(6))
+    page = f"<body><article>{prose('fox', 5)}</article><div id=comments>{comments}</div></body>"
+    assert main_text(page) == words_in(prose("fox", 5))
