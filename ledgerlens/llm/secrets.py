@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.common import computed, protected, table
+from ledgerlens.llm.words import PLAIN
 
 KINDS = ("assign", "access", "hex", "guess")
 #: pattern, group that is measured, and its least length
@@ -22,7 +23,7 @@ BASE = {
 #: a name for a credential, a sign or `is`, and a value up to white space or a quote
 CONTEXT = re.compile(
     r"""(?<![A-Za-z])(?:pass(?:word|wd|code|phrase)?|pwd|secret|token|api[_-]?key|(?:access|private|secret|auth)[_-]?(?:key|token)|credentials?)"""
-    r"""["'`]?\x20{0,3}(?:[:=]>?|=>|\x20is\x20)\x20{0,3}["'`]?([^\x00-\x20"'`<>]+)""",
+    r"""["'`]?\x20{0,3}([:=]>?|=>|\x20is\x20)\x20{0,3}["'`]?([^\x00-\x20"'`<>]+)""",
     re.I | re.A,
 )
 HINTS = ("pass", "pwd", "secret", "token", "key", "credential")
@@ -42,6 +43,9 @@ NEXT_KEYS = {frozenset(p) for row in ROWS for p in zip(row, row[1:])} | {
 }
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
 LONGEST_WORD = max(map(len, WORDS))
+#: the same with plain words: for values of letters, which are mostly words
+WIDE = {w: i + 1 for i, w in reversed(list(enumerate(["redacted", *WORDS, *PLAIN.split()])))}
+LONGEST_WIDE = max(map(len, WIDE))
 
 
 def _brute(c: str) -> float:
@@ -49,16 +53,18 @@ def _brute(c: str) -> float:
     return math.log10(size)
 
 
-def guess_cost(value: str) -> float:
+def guess_cost(value: str, plain_words: bool = False) -> float:
     """Decimal logarithm of the guesses that find the value: the cheapest way to cut it into known pieces.
 
     Pieces are words (by rank; twice for capitals, and for digits in place of letters), dates, repeats of a piece,
     walks over neighbouring keys or along the alphabet, and single characters tried out. Every piece doubles the number.
+    With `plain_words` words of any text count, else those that people guess first.
     Each kind of piece that may end at a place is tried there, so the work grows with the length times a constant.
     """
     low = value.lower() if len(value.lower()) == len(value) else value
     plain = low.translate(LEET)
     n = len(value)
+    ranks, longest = (WIDE, LONGEST_WIDE) if plain_words else (RANK, LONGEST_WORD)
     brute = [0.0]
     for c in value:
         brute.append(brute[-1] + _brute(c))
@@ -72,11 +78,11 @@ def guess_cost(value: str) -> float:
     double = math.log10(2)
     for end in range(1, n + 1):
         found = best[end - 1] + brute[end] - brute[end - 1]
-        for length in range(3, min(LONGEST_WORD, end) + 1):
+        for length in range(3, min(longest, end) + 1):
             start = end - length
-            rank, shift = RANK.get(low[start:end]), 0.0
+            rank, shift = ranks.get(low[start:end]), 0.0
             if rank is None:
-                rank, shift = RANK.get(plain[start:end]), double
+                rank, shift = ranks.get(plain[start:end]), double
             if rank is not None:
                 cost = math.log10(rank + 1) + shift + (double if low[start:end] != value[start:end] else 0.0)
                 found = min(found, best[start] + cost + double)
@@ -108,11 +114,12 @@ def spans(text: str, least_cost: float) -> list[tuple[str, int, int]]:
             found += [(kind, *m.span()) for m in pattern.finditer(text) if len(m[group]) >= least]
     if hinted:
         for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".,;:!?)]}")
+            value = m[2].rstrip(".,;:!?)]}")
             sorts = [bool(re.search(p, value)) for p in ("[0-9]", "[a-z]", "[A-Z]", r"[^A-Za-z0-9\s]")]
             mixed = sum(sorts) >= (2 if sorts[0] else 3)
-            if len(value) >= 8 and mixed and guess_cost(value) >= least_cost:
-                found.append(("guess", m.start(1), m.start(1) + len(value)))
+            # after "is" comes mostly prose, in words that no list holds
+            if len(value) >= 8 and (mixed or m[1] != " is ") and guess_cost(value, not mixed) >= least_cost:
+                found.append(("guess", m.start(2), m.start(2) + len(value)))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -123,9 +130,9 @@ def scan(docs: DataFrame, columns: tuple[str, ...] | None = None, least_cost: fl
     """`secrets`, an array of (kind, start, end), added to these columns of every document.
 
     Kinds assign, access and hex are fixed patterns over the whole text. Kind guess is a value named as a credential,
-    of eight or more characters, digits and others or of three sorts, that takes 10 ** `least_cost` guesses or more; plain words, dates
-    and keyboard walks in such a place are left alone. Null text counts as empty: no spans. Spans may overlap; equal
-    rows get equal spans. An input column named secrets is replaced.
+    of eight or more characters, that takes 10 ** `least_cost` guesses or more; after "is" it also has digits and others
+    or three sorts. Plain words, dates and keyboard walks in such a place are left alone. Null text counts as empty: no
+    spans. Spans may overlap; equal rows get equal spans. An input column named secrets is replaced.
     """
 
     def scanned(texts: list[str | None]) -> list[pa.Array]:

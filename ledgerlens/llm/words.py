@@ -1,0 +1,648 @@
+"""Plain words and word ends, about the commonest first; of running text, and of program texts."""
+
+PLAIN = """this with from ation king that ting your have today tion ther more will just ning here what ally ment about time like love ding when great some ound
+ould able ents first ster ance good they come back ings ight happy ving ying their onal night year ture ated thing best work last after ence over life
+land ations ough week there world tonight other look sion been team only mber know people game live ball very these ating make show thanks view into
+most ition made ited ical ready book morning news well photo than next ening story down home free cial thank side line ates years right ship days ason
+birthday still coming take music them tting sing read house beautiful check school where much watch going ever ways iting dent ghts need being sting
+little want less tomorrow ness state city would looking family help self think fore ends wing many before uring sted ling national were season amazing
+tions head sday another join ining cause light high really find through port tive support never even ching place also which black park play video
+weekend ward friday iness always tball please full ities open ours shed again getting every women could dents while away date miss unch room real
+should long better ience found post part rence cess shop food stic says star ction field start water friends ones white party inst everyone ants
+during west then ween visit against town looks rent girl call ford friend hard ssion test playing around because kets meet member ative sure ards
+event logy ital times making summer picture christmas proud design pping hope available special sale stop ality history working done wood atest sunday
+vely face students business keep health club ters things john shing soon blue saturday those final road tour india learn fire group body care give
+ering ility london guys baby trump under change sses ssed nice power aking action ather left ments ston fans talk tweet style awesome since series
+film dies congratulations official pped class sive perfect welcome football wait congrats young excited media does ills green future versity form tain
+ches kids favorite girls search ders month yesterday community ville ices heart president until said travel phone together fast games between thers
+doing ator band project cast board having share follow name came site twitter finally super using alls list shot something street tickets movie taking
+used online local gest boys illion ined seen south such award must feel latest sports ement tech case meeting cool service stand makes ping early
+comes vers ague three monday someone turn ming photography mark pretty ssing watching county beach center police public press gets ners sters ased
+ines space hall aring ched american children ington country ross anna books lovely stage office rock table university store front vote north order
+without remember market training cover same gold both enjoy elling thursday info america hair march college conference hour weather festival second
+cute stry near ought david review july former stay took data evening ures sign song point anyone building woman coach league awards ages works mance
+late money true tell reading gram giving forward june social noon half details lish bert fall sport walk didn learning research hours strong james
+tures fully chat behind mission everything wish experience each report sweet tics spring system already ghter bring album ells stan international went
+match pper stone small rain fashion area agram thought worth coffee ites artist ground hand bridge link race river player photos april beauty door
+update alia ened moment science ties across ously shes doesn page million formation michael ello ints vision opening tuesday winner round shirt illed
+along trip starting person needs rest ring winter beer tors collection session trying lake student pics gonna members break wall dinner mind winning
+talking wonderful snow hear nothing blog fest wards chance dress paul card east wine course mail rently island drive ended main lost nature station
+takes company goes radio atic believe energy word once instagram close shows tage nation almost listen save mary tree forget waiting director hill
+born single wednesday united celebrate ending deal canada huge track york release words classic performance afternoon record wins four bank dance
+called might past different gift ssive church program hotel security enge enough dead human gress ounds piece breaking garden fight views fish started
+running death lunch global outside move lead museum digital male paper illing education taken based staff including living china storm luck tial price
+important pool load challenge serve wear number though fair utes fied development ised standing model brown image vered force daily camp holiday kers
+present ership interview bill andy stars brand weeks dium launch marketing annual court lady cted anda inside child smith centre fort ently tober
+level fantastic mate versary later facebook stern whole actually iller ella lots lands episode shire plan cake fresh chris writing dream tional become
+grand alling ride ired safe queen short oring dition beat ghting peace anta ability quality players success ange catch illa kind feeling anniversary
+spot mother yourself apple minutes ries haha career edition rick concert itive geous lights aker finished painting technology africa eyes golf plus
+services wedding known starts wants ational months magazine original tice study five vement verse army possible guess valley thern color onto pick
+clear dark wanted itting cancer government rise zing cold studio stration brother ahead ically signed splay august tips easy mike wide turns campaign
+named retweet double issue information lies stock seeing code wild hood father forever train size leader talks gorgeous lets myself note lives loved
+hold dogs leave airport ships complete vintage jack offer version youth natural build breakfast thinking theatre moon berg goals george iling tune
+gate network hello tube wearing glass gers industry management alist goal stream icious others bird rights central roll favourite chester else cars
+mine step practice major iled pink website control dence couple create celebrating deep voice drop ators stadium grade points traffic japan honor
+texas safety released role senior spect cross lines pack missing sunset ising championship ladies played pride cked australia paris miles mental mean
+mobile chief incredible return google french crew alian cher silver english baseball limited following earth vember ption october ency gave lord stuff
+berry smile gger means master burg hands union british biggest district aming pass schools arrived ances inspired library contact told battle chicago
+jones legend castle inger stance leaders article france guide print tweets scene anti sharing rose minister poster skin crazy anything moving click
+craft blood england fact harry gone enjoying justice indian wife sound drawing idea iler warm thoughts council died send lier interesting trade wind
+ancy source arly large title pictures showing least leadership current listening ckey general duce cent scott poor selfie events wrong culture sorry
+sent sister cept november announce zation martin middle peter january racing bike shoot featuring september nowplaying onic quick speaking chicken
+bell coast loving yers panel verage icks california parents killed jobs halloween competition maybe exclusive journey screen hate soul hero society
+ases sales summit stunning turned clean soft dered ences magic shine guest healthy stories below funny results currently download flight fine ented
+steve arts asure bowl attack dear range enter chocolate access matter gallery workshop leading yours basketball wanna sleep impact channel europe
+hospital royal acks chase ately december rare cream weight haven khan built helping trust type golden questions cloud thomas aged teams reason youtube
+manager bury credit treat ging yeah plant nament message senting loves gives robert wars camera ander wonder sold suit walking continue daughter chain
+champion tains host mini missed finish delicious taylor products mountain florida register recent female booth matt supporting phic drink lane third
+farm tured cats shooting asked pakistan legal square draw opportunity teacher character johnson lywood cing gaming russia quote rich flowers stin
+growth actor pair academy held metal active probably needed choice italy ryan flower foundation sions heard inging jesus spirit couldn williams modern
+process shoes created tric issues anne debut cards famous tournament ebay announced brilliant cheese hockey skills smart medical mony personal vention
+floor victory simple tail lucky alex quite ssions amazon hell bought secret production added greatest within ireland rely text driving speed forest
+machine coin ount common received plans tery artwork instead motivation asing inspiration upcoming political mers heavy scotland boss speak ured risk
+tory presents states exhibition brought officially champions doors pose extra kings soccer squad sometimes excellent straight graphic election
+february asons nick comics tural among shopping till chair chinese innovation century obama reach ulous happening burn orange kick ingham podcast
+nights earlier bear exciting given memories continues product knows published discuss yard iphone tries aren truth winners ditional military problem
+loss village donald aging birds region tical itten above focus busy apply author jackson washington kill popular cement eating location adventure lock
+question driver kins jordan tered justin selling boston signing happened heat dreams lows graph theday heading blessed vegas inning progress writer
+growing spent score beyond private boat zone total planning towards places preview creative damn ideas seems saying display louis email western
+germany eller mentary deals richard jersey pizza mond ware yellow recently kitchen designed restaurant ature pain minute ticket ditions selves happen
+copy sher freedom file specially toronto gary answer caught prize fication touch feature jazz records himself dish spotted wave finals forum truly
+brothers dest closed ison tried santa horse grow campus native bound partner crowd calls solution contest base itor construction presented nings
+climate block presentation calling congress understand value mexico itely charity flying families recipe celebration interested captain ology truck
+vering dont gotta begins songs memorial features grab sets manchester fighting position signs policy alert spend animal successful problems mayor dale
+offers visiting friendly trees officer account kevin giant tract bility disney teen oned trailer alone absolutely william ination entire german hits
+cost alive according literally hahaha likes steel christian tower difference tress prince african foot served rice shall featured cker sense comedy
+content posted timate mble internet european cling glad akes elle tony colour serious movies professional bringing falls israel term language mann
+cannot turkey logical workers ingly tual receive opens gear feet cking feels easter brain ledge nearly protect massive awareness definitely imagine
+systems provide discover maker fitness ysis positive helped quest andrew hanging bright section mass followers hosting flag letter often russian
+treatment keeping holy powerful fund especially window generation seriously irish miami beth vity chef crime graphy artists guard speech updates faces
+stant changed reports lower looked speaker respect okay ocean sitting architecture trail seat japanese ular politics financial mouth fishing attention
+changes decided adam write begin athon images joined passed largest comic ghted rugby burgh gging testing aled improve advice shares turning cafe
+daniel stick happens brian newest epic kies warning animals custom dian core pants reality knew itude dden owner returns junior attle electric horror
+crash path southern rally property wasn enjoyed grey northern holding chart drama paid throwback discussion downtown tary bread upon rate teachers
+itation anced cycle choose iran dave raise princess faith spain guitar facts projects sand interest happiness venue surprise potential customer broken
+singer vels wales talent dying joining sell lmao sources austin charles angel cash ored plays plate memory brings solutions teaching grace helps
+founder explore parts ises putting iner blues everyday forms tter aling performing planet musical heads italian wings prime paint fabulous fruit
+android bourne ceremony ential debate oning draft solar milk posed movement ette aries shout leaving tells taste kelly courtesy frank increase written
+ppers wich fellow rome gency ican luxury proof wildlife moments rather corner canadian likely therapy economic route setting antly fantasy sketch
+rules engineering figure sydney tation drew uses spread structure patrick apparently hills anny commission fying analysis tennis vehicle highly opened
+wishing giveaway icymi highest involved higher despite sarah bean talented passion leads disease presenting hole shots surgery govt dual longer
+portrait lose sick companies entry plane liverpool premiere shared ared films holidays cricket ician ultimate division sept forces mont sunshine bless
+colors iron bottle mood jason eric birth response target statement fear blin direction steps erial worked felt poli scenes homes ateful lace folks
+wisdom areas dges effect windows sunny capital totally cities grant mbers slow ilities rising stics violence heritage dential edge arena became
+benefits marks ames dragon dings sity meal purchase pical prof countries tribute honored purple pared tough environment sons gies heroes telling henry
+knowledge acking hearts hollywood sauce schedule yoga creating cket creek customers mount cell stal davis premier itions hearing patients heaven alty
+doctor platform jeff regional boxing ority wise ille several syria reminder lion partners expected sugar decision association leaves visited further
+runs funding filled tiny hang navy saint drug covered traditional investment alism flow sunrise feat fted weird vegan medicine delivery temple
+changing wilson iser atives tely committee strategy budget express economy icon demand luke alists judge enty result amed speaks houston bing auto
+gang located josh joins reasons vent conversation sounds unit acked inspiring arms tware matters dude crisis bath singh expect delhi rescue worst
+shipping serving aces historic landscape designer billion grateful wake miller housing isco asia eding department marine photographer tape logo rings
+vinyl voting seven dallas comment bles audio strike tools alan hunt watched fake drinking merry bday nike cant murder akers chers outs beginning ades
+notes wrote solo lighting urban brexit attend shirts actress standard quotes parade ancient turing primary flash mates stein clinton dean plants
+address gifts relationship feed exactly hawks stress arrested software zero theme makeup pleasure engine aper institute leather alth singing ghty
+insurance pitch mountains valentine ater wouldn scale related startup packed weekly count gotten berlin conditions switch corn emergency tuned
+discussing everybody whether wrestling eces gender madrid marathon asking korea wolf atory grass killing bble shore bottom ories sands volunteers
+perform include delighted executive fuel kiss charge cakes agree prices strength spending ales blast normal meets lovers updated completed cook
+opportunities pure organic avoid parking dubai ando completely trial bass background marvel tool finding evil oral residents spanish chapter stopped
+direct hosted picked labour lewis defense healthcare math peak raised bull chelsea folk either poetry jewelry pray wishes foreign sung learned
+illustration legendary streets monster waste ject oner factory morgan dering sean stephen novel videos pressure arsenal trending professor gged hunter
+plastic bucks universe nigeria pleased thinks autumn anthony aked glasses finance contract numbers partnership launched victoria theater usual names
+period rocks bags alized scored dublin inted solid walker simply gardens headed ohio estate random thru jacket entertainment thanksgiving ental tank
+highlights fting rule models border husband kenya bears stro orders salad roads lation pieces bone mins includes phil gain borough activity items
+becoming guests worldwide severe thankful fiction mall sian eral injury menu dancing example studios diamond vince protection champs approach mile
+clouds lers ples stra average effort introducing diversity australian boost patient appreciate icians fell woods agency actions britain underway
+seattle eland fill streaming protest challenges etsy cooking expert rainbow commercial beats throw grams levels michigan adorable midnight brazil
+diego regular eastern flat tters acting cycling programme complex tattoo sessions rooms sight species bomb laugh keeps officers rious expo confirmed
+rolling dressing phones ridge concept keys communities everywhere bitcoin banks outdoor federal stores mely closer allah palace chill erous allen
+outstanding olympic supply charlie unes legends icial benefit multi fits farmers amount sisters honey bers barcelona status remain candy vious
+warriors jump xmas studies iors donate painted cosplay drops fighter evidence cinema profile stands legacy shape roof civil ians voted retail listed
+duty thes fare auction fficial storms shops anime multiple jean candidate conf joseph wick meat frame forgot lied seed mode fields sley followed
+announces trophy themselves acle kong broke anderson temporary activities crystal spoke extremely trading inch outfit formed beef tiger thisday tired
+kansas seconds galaxy daddy burger enced desk secretary elite tourism buddy icide dressed vacation cheers characters buying lins realestate fame agent
+makers sector diet prayer passing recovery resort maria stuck reads tier netflix champ reduce wered comments claim accident salt kinda killer exchange
+lecture enger icking reveals prison ghan journal governor cape quarter spective impressive babies mill joint collaboration trend revolution alumni
+shell donaldtrump blockchain pacific explains starring smoke tokyo simon physical elli graduate americans tify fred apore finds notice semi pilot
+screening votes attending addition kate stol christ chan moore mystery clock throughout allow resources selection virginia sored drinks fancy consider
+enda jane handmade sville colorado whatever wheel promise designs ably sexual convention cultural singapore promo loaded stem mention cruise riding
+becomes twin dedicated workout groups lift mixed metro cies anger married dropped lest ambassador assistant fail shaw bigger remains critical survey
+coverage erson billy letes acts jimmy aland importance damage storage bond balance crying puppy push effective corporate atlanta nasa greek senate
+intelligence efforts claims pull onthisday audience rates teach filming bush raine parks raid reached rail moves selected raising stones francisco
+cases equipment essential offering pies creation chairman crown johnny shift neck bang duck reserve masters overall juice sneak cheer classes eagles
+carpet coaches harris balls decor vice announcement whose tigers stered recording deck seats lder angle styles elections butter arian inner oured
+beast iconic experts greece goodbye twice mumbai steam rush medal nett saving sleeping brooklyn sending discovered sphere oftheday kicks missions
+wright ghtly ious melbourne moved carry agues wayne erie itunes matthew nobody calm winds prepare trends exercise athletics apps ctions advance
+launches realdonaldtrump elizabeth carolina hidden user poll greater lifestyle scores marriage avenue deserve championships gray cotton package newly
+foods tyler assembly muslim options producer lando funds upper shadow inge legs detroit hillary jose giants soup sustainable clothes rocking bruce
+casting independent thousands veterans lions wrap bling stine eggs closing bacon arizona ghost wers liked volunteer adult circle material degree grown
+boom calendar viewing athletes rell asian victims mama transfer geek saved gent lounge theory situation islands flood viously showed parliament eline
+abad gory provides toys liam lover revealed rement lying derby stors lemon republic reaction spotify isation visual aware sponsored joke lessons
+hoping vancouver aser cleaning gala threat ache romance repost mirror batman viewed reviews init elif append decode encode encoding args isinstance
+attribute exception repr codecs instance bytes codec decoder idle tuple incremental assert encoder hasattr specified streamwriter streamreader
+getregentry encodings getattr arguments apis optional oserror invalid null startswith parse filename separator unicode digit implemented ascii compile
+colon decoding buffer comma horizontal parenthesis equals defaults attributes subclass tilde quotation compatibility charmap semicolon exclamation
+prefix hyphen override func substitute circumflex asterisk stderr parser kwargs ampersand runtime apostrophe modules solidus bool traceback parameter
+binary lambda exceptions backspace helper https instances gencodec stdout keyword reset integer idlelib classmethod mappings acknowledge variable
+verbosity synchronous tabulation trailing constructor unix enumerate globals cache enquiry generic callable directory handler newline debug unittest
+offset endswith alias getitem constants byte fraction stdin timeout corresponding variables connection diaeresis tuples wrapper readline socket
+builtin syntax whitespace iteration bind unsupported underlying initialize cedilla lineno chars rstrip arbitrary functools deprecated lookup caller
+argv config width namespace tkinter backward threading callback specify encoded subclasses iterable parsing superscript implements fileno dirname
+reversed documentation pilcrow parameters specifies depending references staticmethod indent indicator explicitly posix builtins subprocess bytearray
+flush stored toplevel implementations ellipsis occurs supplied modify digits util indicates interrupt resulting memoryview maxsize recursive buffered
+undefined deprecation vulgar interpreter async itertools algorithm imports qualname multiplication executable extensions descriptor setattr macron
+htest iterator verbose errno headers attr nested fallback popen indicate compiled quoted inverted overridden imported importlib environ suffix
+readable stacklevel discard unique explicit ordinal filenames execute basename disable derived numeric formatted dummy literal widget micsft isdir
+struct cached desired pickle charset threads weakref parsed handled sentinel defines ligature abspath omitted typically overflow integers chunk
+translate identifier sequences todo duplicate isfile bootstrap directories functionality registry suppress setdefault param construct boolean vars
+loader splitlines detect unpack cpython encountered inspect getvalue indicating eoferror decimal frozenset assumed proxy identical multiprocessing
+terminate validate masculine feminine multibyte locale configure writable initialized partition argparse subsequent kwds coroutine unchanged debugging
+meta lstrip newlines compiler tabs issubclass processed recursion compute specification docstring multibytecodec recursively latter enum formatting
+terminated inherited params lemburg modifier normalize keywords interpreted mechanism getcodec perky shik unlink appended semantics buffering padding
+deque rfind addr setitem abort getstate asyncio ufffe opts normcase filesystem sockets bufsize handlers calculate incorrect nbytes importing stripped
+indentation mutable inherit separators optionally dialog integral caron fspath indices commands orig namedtuple pathname unused assigned mixin
+specifying decoded dagger remainder skipped enabled unregister connected subset nargs contextlib contributor setstate metaclass implementing proto
+retrieve surrogateescape warranty printable mille rename splitext configuration dedent query github logger copied ignoring attrs assuming getpid
+detach definitions incomplete optimization multiline executing node prev helpers mtime fullname silently rlock invoke modification getcwd respectively
+getframe dispatch exiting usable nonlocal fetch spawn consumed detected divmod pragma pickling protocols verify consists cursor mime cnri stdlib
+listdir chunks exclude truncate formats brackets corresponds timestamp implied cyrillic truncated retrieved assertion instantiate utilities
+interrupted expects undo hostname flist winfo widgets accessed curdir dependent descriptors consume ignores inserted bytecode optimize tokenize
+preceding increment merge invoked asynchronous docstrings setter converting comparisons overrides dicts modname obtained recv selector daemon
+underscore formatter manually compliant optimized logging notify wakeup pyshell compressed iowrapper configured skipping initialization dirs const
+interfaces overwrite avoids fsdecode referenced linecache specialized hashable datetime iterate computed internally readlines routines contained
+finalize converts adjust prevents decorator makefile delitem determines exited epsilon positional ident utils theta breve editwin getopt symbolic
+searched prefixes ctrl insensitive expanduser compression unavailable winapi metadata sendfile applies getline firstlineno normalized inputs depend
+similarly aliases tokens pseudo assign generators callbacks replaces subtype invariant annotations assumes submodule monotonic abcmeta crlf messagebox
+incompatible reload calculated coro occurrence continuation overriding waiter returncode spawning alef popup ogonek hooks fstat chmod immutable
+permissions emit precedence textwrap ctypes redirect compress removes glob fsencode triggered canonical opcode binascii floats dictionaries
+authentication reuse fname writelines resolved mapped endian concurrent guido connections macosx typed literals deepcopy escapes inconsistent linesep
+localhost getsockname misc rpartition subclassed dotall ignorecase backslash delattr padx yview wiki ffff ensures prepend devnull klass clone normpath
+islink readinto columns recurse expr reprlib funcname epoch align iobase kernel repeated unclosed finalizer extracted identifiers lowercase indented
+implicit yields predicate isabs dotted temporarily mismatch attach efficiently buffers indicated unrecognized aborted scrolled payload sendall
+backslashreplace duplicates occurrences prefixed storing unbind handshake toggle bindings borderwidth restart coroutines oudkerk dotless dates
+indonesia leaf costume sites appearance application icity skies handle punk paradise providing receiving brew microsoft carter breaks showcase cutting
+egypt seminar sson fave lotte prep delivered nuclear engagement glory holds businesses strange sche itself grad markets falling stats geon sheet
+desert registration explain interior laws writers springs fried lineup boots celebrity attacks brook eves cherry boyfriend nine effects powered
+condition applications shoe programs wart dangerous counter rics knight coat emotional atures forecast transport glasgow kingdom preparing ffin
+awarded printing roman fighters anymore belt pine employees logies alled demo angeles drivers necklace athlete sburg purpose resistance releases
+various deliver supporters snap difficult swear logist attempt swimming hurt included enders jake leeds lisa clothing swing vals users cuts ontario
+handsome checking scottish sier emma pattern desh edward lincoln volleyball leton grove loud advanced client supreme thailand dollar produced ggers
+canvas pson actual ipad ensure mars countdown absolute dral injured mint hunting mmer sage acity murray secure fourth eagle relief stakes industrial
+clark understanding seem plenty produce isis engers worry bieber realize kyle espn filter types gamedev soldiers carbon yards childhood ried tons
+keynote quiet posting issa representing backs alexander celebrates taining escape peek tives ssie sponsor sides tracks technical bible exploring nate
+illo mingham guns shame sees reported mario hopefully ouse crush empire dirty aviation zealand facing highway danny spider colours costs olympics
+howard passes lauren discount operation emily chamber pictured keeper cartoon nations tasting detail officials motor francis editor pets rangers spots
+anie triple kumar speakers icing prepared abuse friendship swim aire scent hamilton yummy tears dawn ized worlds basic stle older eing prints firm
+aircraft finest develop aaron graham owners lesson ques babe birmingham vine ller fineartamerica invited duke ports roger kept baker surface covers
+mans bits xbox ffle hart waters villa retro lightning catholic democracy jonathan laura vibes coaching clearly ukraine brave commitment tall mart modi
+bros shower cousin philly quickly rian virtual houses phoenix wire bunch ancing tale snapchat starter kicking apart blogger comfort angels wash
+request mighty bobby thouse tables magical posts orlando environmental transformation hiring maine rying niture tweeted antonio opinion finale thin
+trouble lego files currency fanart railway bands motion holder marie cathedral bies nascar battery charlotte zzle sten labor thrilled documentary
+waves certain allowed nintendo starwars homemade dles thering empty piano pork puts perry matic spotlight tist orities wealth committed profit eight
+finishing runner charged losing coal donation cable clinic managed tering deputy bber academic stake stown acker adventures adams greg prom citizens
+asks thetic independence hitting gene boards distance prevent boro printed scope shark illegal cting inee robin nutrition dutch furniture forgotten
+atar branch communication degrees onia uncle promote button bristol premium ordinary edit weed steven captured drugs writes bishop wheels alization
+discovery rachel neil cutest entrepreneur korean oregon ulty perfectly supported historical twins devil income scientists iced curry reveal buffalo
+opera cameron graduation craig organization lege edinburgh lack flies thrones ppin cles jamie tnam pages roots stupid boot protein sium function enna
+sque worker operations ctor invite outh links clients samsung discusses nell ultra somewhere stewart inet bout factor tian trans jeremy developing
+spol cooper remembering trek seniors foster attended elementary listing malaysia itch warrior philippines russell initiative tops sharp advertising
+ugly materials device bonus facility cole planned pole excellence trick achieve loan swag jessica pour rated dresses mexican mess atlantic oscar walks
+investigation easily mondaymotivation yment forced armed colleagues papers proper lean exhibit evement kent girlfriend hawk statue teeth precious tile
+swift nose drunk experiences comeback genius worse honour auspol larry hire gordon achievement suicide alternative shake keith pepper criminal walls
+wines highlight hawaii shoutout brewing hottest shut lowing volume apartment agreement religious iowa landing usually laughing beans reminds phase
+somebody mask ranked failed refugees berries cookies conservation humans niall extreme vices commerce ghtful ordered supports recap dropping correct
+paying meaning quiz dust boxes blind ssels ddle hilarious wondering vehicles reception parker softball locked script theast tionary dental rocket
+manufacturing itis directed prayers variety chess server sely cruz spectacular burning represent tone bedroom kitty heights repair quake alabama
+population rett ists nite cleveland mania shah struggle decide ffed caster sort hungry grounds slightly deadline bronze barry silence euro option earn
+however nails bathroom mining garage shoulder defeat liberty ables silent visits millions regarding innovative senator required presidential pocket
+shown frozen toward confidence rough individual quet fifa engineer remix minor robinson pulled potato pres item dating thompson owned tedly goodnight
+except iraq rences similar saudi arthur picks milan honda stest arch analytics pearl terry launching tasty denver pete advantage varsity sole lang
+olds unity nets inspire crete nashville nelson hyun seeking rage brush whilst hong shelter possibly races warming television matches palm jennifer
+rolls indiana bars catching candidates vietnam alpha michelle visible wned yorkshire hail seasons began fascinating nuts alongside orial worldcup
+comfortable hotels fairs dining terms lens walked lars shield doubt crossing meant medium adding cheap brands feedback collins unknown tropical
+sandwich fallen select loads answers maga alie drum deer stolen donated buzz patriots nasty nominated tests hosts nest topic patch abilities smiles
+agenda insights chip failure dgers significant shock rural figures potus ministry appears sony fires universal madness sculpture bach sweden ento
+developed monthly maps delta saints islam bench fifth vard socks welcoming turner norway hurricane porsche tradition exam newspaper ideal madison
+witness insight robot snake shment religion campbell installed horses veteran thread easier capture lawrence romantic clay oxford thai studying
+elected mostly shan faster evans slide seek mies chemistry pumpkin fired lips presence brewery arrive photograph chips values accurate contemporary
+principal cannabis ario anywhere democrats buildings lived negative mare reform tommy treats hundreds portland worthy aria idol cells identity drawn
+finger tham earned fintech tweeting evolution none toyota bold steak murphy itable solve webinar banana thon voters affordable defeated airlines
+superb anyway debt bored responsible caused recommend plaza sporting alliance tours surprised thunder wore brief necessary ashley drake knife charges
+bride reply broadcast bracelet capacity harvest dding ilers para province chin iders hari teaser chen smooth staying israeli tcot perspective dock
+opener classroom lington kennedy sham spaces mitchell homecoming claimed ingo mufc resident percent ottawa intment standards worship scheme potter
+bian athletic parties infrastructure relax worn smoking practices domestic provided beard angry startups wooden dive nail antique roses tornado
+suspect devices mega scholarship disaster arrival marc katie bbed false deserves juana frey tioned achi cure morris chic broadway label poverty ered
+eries bees alogue wireless jewish tide blocked lifetime split brunch haps oops kapoor hiking supposed tight basically eared seeds entrance sonic
+victim earrings salmon arctic corruption hannah hasn voices atta fleet clinical democratic stood twitch honestly increased drome donna accepted
+visitors ador jerry brandon meme glorious pump fisher agan destination playlist letters brace celebrated banner signature alice bered gathering
+scoring influence smiling dept retirement herself chemical yall appreciation choir soil reporting enterprise jacob spin bikes phia raft warren
+backstage hashtag therine gameday recipes minds stronger issued mented scary previous ttle thats actors tina bunny promotion oliver montreal
+appreciated lakes excuse knowing prizes muscle shades scot electronic juan combat turkish strikes pope oldest doll swiss certified clip returning
+lator leigh ttes watson healing perhaps dder mouse newcastle indigenous welcomes taught noise appear canon utah ctive driven strip focused arrest
+stocks noticed terror borne queens woke jail cambridge accept goods thousand sins suite ampton hoops soldier leans installation clash tire beloved
+fusion traveling cookie globe physics wolves exit sterling hide freshman indie supplies inktober doodle messages adults recorded fixed ardo offered
+underground drone andre hammer hike brad oney rows columbia archives approved batch illinois recognition shouldn ncaa humanity although powers pest
+alcohol category participate accused poem clubs bigdata amsterdam acing improved pace feelings interactive index peaceful covering courses monkey
+replace bloody tales brighton neighborhood gates spiritual afraid breast bones injuries carl considered graphics acre guardian starbucks prevention
+hahahaha administration portugal faculty beta albert letting mentation incredibly eddie brick grill watches researchers tney aster pokemon chrome goat
+illy festive canal fies carlos trains sample temperature picking indoor zers playoffs apes lyrics islamic performances dick seas homa employee alaska
+feast dging banking manuel slowly trucks orchestra breath stairs equality blake locations coconut baltimore harvey resist immigration adidas lgbt
+kenny bane apolis socialmedia honest bollywood ferrari horn crypto maintenance sman extended appeal sheep christopher polish mets ounded
+sustainability creativity concrete alien tees exist perfection rocky expensive meanwhile thriller cave playoff defence amwriting homeless chet pastor
+lander tica otic radar posters powder trap assault shorts racist garlic remote smell impressed fingers lement promoting string productive bage mason
+directly eval doctors rider remove nathan affected invest mption ginger agriculture counting anistan root placed ghana throwing secrets filling
+butterfly terrible silk obsessed aide salute philadelphia scientific dessert bottles canyon resource guilty leon kane trainer heim ante manage rookie
+treated poses rsvp causes lett onics titles cardiff gaga useful loose bbing argentina kills biology trash bodies circuit lads wells fastest bills
+marshall hats introduce citizen impossible networking rant stops ftheday amodi dome courage packing affairs sized entary poland afghanistan tender
+subscribe republican foodie copies narendramodi typical inspirational cubs tivity ears dare marijuana curious ania tomato remind scared poet landed
+wrapped climbing feeding thology grid tively reader laser diving latin tied showers chuck marcus knee olive dylan decisions wellness arrives thurs
+interviews thankyou switzerland overnight journalist serves plot carrying treasure donations recognized aldo successfully ente cabinet titled
+strategies delivering adds anian suits pairs todd rella rope crop paintings bust fraud destroyed allows minnesota symposium limit accounts loading
+resolution holland meetings grave camping liberal amber fever eling brooks aded performed franklin nicole dess networks weapons harbour aton praise
+kentucky belfast sticks hopes familiar chile depression jets receives indeed fabric lamb amanda compete snack technologies syrian moms chosen devon
+sharks fundraiser selfies stations communications tennessee valuable dynamic nurse earthquake deserved sara stretch douglas nepal obviously dame rape
+anybody patrol holders hanna infographic beating stanley boats witch acid boarding careers inter dope shade indy onist relations incident meter sharma
+prove immediately troops aman glow gaza blocks whatsapp lucy journalism ourselves themed shaped weak casual length slam abbey esta chapel expansion
+suffering spice booking quarters continued talked combo hybrid jeans liquid seal retweets collective professionals susan iring oklahoma survival
+creator transit editing chilling bailey steal rable parent hunger collect dedication leep repeat abstract monitor agents harbor dragons flooding dash
+julia thered cyber blow tained reference connor ault accessories commissioner rainy rear advisory lucas maid polo strawberry burns greens participants
+colin belgium dell bron kickoff strategic reunion honors sizes registered betes relaxing bloom intense valentines insane wwii trio blade wisconsin
+cone alize increasing indians ilian rabbit extension audi ferry aday method assist removed rams tackle phew motorcycle elephant subject lette dairy
+wheat awkward mitted zayn sheriff enemy cons kett bulls satellite porter diabetes releasing surf collecting encing gods alley mills smash copper crack
+readers license basket entic mere sively animation lanes dentally chillin karen depth lipse sandy vincent creates baked upgrade roberts hara caribbean
+authentic moscow attorney hull cork stylish diary improving pollution knights personality checked facilities bowling ongoing units hook beck conflict
+farming educational stroke belly loop circa bryan younger experienced bella sheffield consumer submit combined tracking sanders survive ferred equal
+reed privacy pasta pirates ager fairy introduced spray grew asts pittsburgh newyork joey pipe claire behavior crews laptop outdoors superstar casino
+farmer returned roasted costa gardening distribution shining investors decades realized stable panthers mens bucket whenever bernie lodge julie
+atmosphere majority muslims begun flights veness posing darkness celtic authority grandma fulness specific garcia coins goodness recruiting dennis
+sleeve weapon harrison recruitment compared toms mothers archive task lawyer alum investing chez wallpaper tton chest favorites coolest rating
+relevant logan maple runners prior terrorist tested carnival measure cybersecurity terrorism vital nies funded twist assessment diesel column
+addressing casts payment xton fier unless skill cuisine funeral tiles relationships kindness proposed acoustic defender cliff searching beautifully
+specialist trails classics instant vous revenue fringe fireworks trivia traction walter lily attitude climb savings credits abled hehe ranch rogers
+additional lynn uber dollars logic thesis pound spencer entered organized tron mercedes competitive ousness victor grilled putin blame decent butler
+ballet albums downs plain pers blonde disc sement wage mani cops laughter rivers magnificent lamp charts blessing punch longest floral cutie farewell
+stopping mcdonald kindle asleep pond sprint pounds lazy fundraising deadly grande doug linda considering authors ually appropriate honoring folio
+finland formula cornwall causing blend signal tent kashmir nationals harmony scout height medieval improvement kees practical oming calgary stel
+bubble guru goddess inches tunes stion mercy sends iest vale reduced asap vijay defensive celebrations riders meditation programming replacement
+grades branding fought pays ization activist coastal chaos billboard lifting struck indiedev beaten jungle alright destiny chances oman qatar trained
+prix charm otive anders handed certainly arriving painter humble appointment headline managing andrea bali dred recognize tampa beers atia heels
+transportation turtle hiphop spicy spurs corp toast hurry properties mage marco elements syndrome developer graders offices delay barbara cular faced
+barn survivor worm confused passionate identify electricity souls bradley reportedly shelf elia employment amel manhattan ounts describe cares manila
+shawn acted bash petition divine welsh platinum extraordinary solidarity onion scheduled dems trials policies publishing stole vania stie residential
+sailing sponsors thick champagne continuing venice perth unlimited choices reporter brussels fold lawn italia wifi emed monitoring stead flip
+offensive attached phillips pals mixtape fielder spark alberta glen entrepreneurs climatechange ements linked netherlands accidentally opposition
+velvet rays lmfao newsletter toilet literature philip uniform suddenly header cooler nissan scientist packs appointed soap engage chose setup jealous
+gation tunnel temp oscars decade recommended anxiety vements salon machines hype emerging avgeek contribution brady gmail photoshoot helmet elegant
+uganda nursing orleans penn footage concerns whoever quit permanent illness arrow adopt laid smoked associated install anya musician symphony cord
+hack blessings humor minster travelling jewellery lime pregnant pencil ducks proudly derek retreat prospect danger upset kisses reds reward abandoned
+meals spell stanbul delays nova superman chick dramatic innocent rounds autism bangladesh moral outing messi abroad lookin stack collage hudson scan
+commander holes bias sticker responsibility columbus racism farms gulf mayo corporation internal jeep follows dialogue derer smartphone helen richmond
+equity sland memphis discussed badge mistake unite rides softwitter combination gospel admission retrogaming junction alarm caption corps rubber
+playstation erin efficient jokes inary norman luis inaugural pier cott command cube closes classical sword expression reaching affect rico breathe
+tribe fries hiding richards micro capitol regime maryland taxi dial penny soundtrack lings transition remaining malik defend trum dancer aver roast
+definition excitement surely bery dishes comm hughes chiefs conservative shri nancy intel joel ggle moto buck montana frog ecraft drives colorful
+wednesdaywisdom deeply prefer fortune cooked tible sweater itter taxes cups diverse baking behalf travels oria engaged jumping retired naked speedway
+sciences rehearsal plates carol penalty timeline ruby engineers belle dose cheon rank megan merch eclipse pledge kirk leicester safely promised enne
+noah sooo fandom participating privilege peach gross miracle adoption monsters clarke pushing praying ellis apollo odds refugee appeared membership
+violent potatoes greetings acon shane photographed crab temperatures cuba innings knock swedish icky lining announcing skins gamer itarian rosse sadly
+tags lance whiskey adelaide stickers classy badass florence liner frost scandal essex drill bloggers acres roma eria ffer patterns anga mentor cdnpoli
+conduct whale preparation bicycle viral turnout brass hospitality packaging dency cemetery aboard dreaming temps residence souri graffiti comp peeps
+palestine devils sang assistance interviewed nephew drums gentlemen insta lebanon olivia industries mation barrel pops arest onents protecting vans
+vikings restaurants jackie willing heath stuart sushi crossed pedia fate somehow moth processing vert reid arabia habitat streak simpson addiction
+delivers challenging aids hurst tarian remembered palestinian fees fitting jesse icia colored associate seller stuffed shin cooperation certificate
+ingredients bundle thic dirt beijing commit teddy sfield confirms eness virus arium grind bridges introduction polls zach terminal raiders flavor
+zombie spreading gameofthrones efficiency lately alem crimes dged payments circus missouri episodes cage matching tumblr lined blown isle ondon joshua
+touring sausage bestfriend boeing desire savage rapper tear takeover cowboys poker hint wears seth roles manga format flyer moor bake splash kerala
+proceeds silly reflection civic yankees migration qualifying hundred crap wang exposure ferguson semester facial worried topics halo rescued horizon
+holly qualified attendance atively destroy forth photooftheday cents iceland measures portfolio articles directors creepy ounding honoured mist
+mentioned portable itic fridayfeeling amid helicopter hardware workplace austria beatles disco cult limits shortly ninja lebron walmart vanilla bler
+collected rolled specials pierre vier flashback restoration individuals prod freaking turer greet careful ouring gill thunderstorm bled picnic
+sylvania banned orium avengers believes monument concerned labs singles arab ruth tooth arta chairs rack diseases flex artificial draws advocate sour
+noble hindu coral gars owen stall marina promises masterpiece cryptocurrency rors rockin oakland inclusion ahmed demon blowing encourage skull dodge
+buster kinson error lowest virgin composer slip mornings gains grain arist brazilian tues ribbon dist embrace tourist fatal automatic welfare confirm
+benjamin fights alleged struggling proposal ongs mack melon onent translation wallet cottage sail constitution favor stormhour approaching pinned
+nigerian particularly cameras annie electrical charming gibson boutique exposed pillow beaches genuine margaret bennett positions shiny tention
+architect rental subway methods norfolk rapid happybirthday progressive papa fool philosophy polar operating reduction flags ares arkansas ashton
+wimbledon scifi attractive mississippi logists ralph graduates hometown founded minimum generations rebel journalists acrylic deaths tesla bryant
+istanbul muhammad riley kris workshops counts protected trinity manual pleasant nerd harder darren basis occasion lists hampton travis transform
+puerto trips unexpected barber stages mson represented pple nicely ignore quinn carrier reminded passenger ellen guez scape mural youngest routine
+stainless gandhi thal oners editorial conversations sdale automation haul laying mentions amen abortion counties catherine mands roller ological
+ception ranking toxic snacks victorian bangkok psychology angela respond sophie dakota achieved marked imperial inas gloves slim confident attacked
+lonely valentinesday craftbeer origin ceiling teens otherwise fers advisor ender republicans skirt chie jays brett crucial asis deau lloyd chatting
+relay remarkable brisbane tionally layer household consecutive esis pendant photoshop pares artistic dodgers crafted egyptian smaller paired ires taco
+aerial dotcom ggins striker lobby protests priority rington mommy thus allowing pioneer enforcement drag dumb bullet targets heather seafood vest
+risks sacred heating kicked ttot pulse roster shakespeare cargo peanut tablet homework struction musicians freezing justinbieber bahrain anthem
+didyouknow guidance turf fications yemen charging broncos pale boring amongst omfg expecting admin expectations swan ooooo minent wallace stang
+adopted doubles homie omez venture surrounding mobility dees wski brooke remembers kara sacrifice jerusalem properly ilion legit cope recycling larger
+generous jared molly judges sorts blvd oven entering planes integration booked vern ashes topped depot welcomed rena mick seeks rankings rene whisky
+firefighters gues gather tourney yang newton automotive backyard detailed fiber unusual gratitude spare neys floating finalist donating broad
+economics taiwan edwards plug baba anas harper disorder applied liver caroline anner julian screenshot coding skincare activists mysterious exact
+blocking mercury ridiculous protesters lust sweat alike cody rements vienna candle assists derson pony fence ooth barely aunt diamonds endless screens
+mosque helpful inez towers addresses burton retweeted nity joan pied revenge cester elife designers backed couch sures sits shrimp lagos authorities
+osity computing factors panels sentence holm dads shanghai sheets skate threw cupcakes infinite practicing essay holmes mock collections nandez
+threats texts pregnancy pending stamp agreed payne rover fathers passengers aways livan samuel chennai omic niece pumped integrated arel productivity
+wanting visa diana camps rowing dley guards bells reverse vibe ricky moss troy foto mistakes wicked cled memes scholar reno vents terrorists casey
+cardinals venezuela bola literacy contains evan harvard originally herald nottingham managers accepting walsh tutorial entrepreneurship yacht
+requirements glenn unfortunately aching daisy gian nightmare rina bart emails opposite whom sake puzzle blanket buses punjab windsor functional
+existing screaming rebecca bliss northwest infinity cosmetics pulling pling colombia interiordesign emotions sunglasses saves sixth deen politicians
+lacrosse java combine coalition erts chad strian concern controller jury introduces steady nurses hacking louisiana arte streetart panda noir maintain
+symptoms tern carried assy peru tagged shadows nazi formal spoken lopez outlook inho maya dine briefing supporter arily ghters naturally doctorwho
+newyear tomatoes burst bravo burgers cracking northeast mushroom nier twenty keyboard jamaica parish mentalhealth alizing render waking washing
+melissa jung loyal chili songwriter guitarist bowie neighbors onymous asset headquarters darling mickey warehouse massage inees didnt hurts engaging
+kitten mors cart titans colleague competing eran marble delight etary louise finishes experiment conducted electronics itters caring whats symbol
+context charger kerry defending aint checkout barnes lessly cloudy secondary arez appa constant vets ient davies hhhh ebook breeze suspended viet bolt
+enary karl framed explaining dealing nato expand leonard established elled vocal nicholas illustrated dancers murdered gible stoked griffin maximum
+adrian encounter davidson assets carson memorable representative tricks vogue mmmm sebastian athy eats touched organised spirits guided framework
+replaced anchor superior erica locks organ scam keen trevor vampire sorted afford intro saur kickstarter scream chevrolet pixel shepherd gabriel twood
+sdcc meters developers closure seoul nish scratch wagon disability panther chats witz sussex denmark gerald cancelled nette naval baptist randy fruits
+wool theft marry nola architects rockets gentleman tate raises insider blanc forsale powell unbelievable goodies mustang pens stays squash xoxo nearby
+everton coco stud southwest sworth croatia sums aims itious pathy arcade bend suggests royals rier incl sally vera grows ethics suggest sealed
+previously animated rises scarf omar sxsw python funk reflect pavilion tically chasing bakery invasion believed cohen crafts nati clever governance
+samples fails striking inclusive shocking requires drawings purchased warner console mansion fountain profits halifax jenny sandra quad instein
+finalists midfielder exceptional gettin slice lasting summary itas flames enews hoodie pitcher windy tonite solved organizations weets elin tona
+cinnamon ronaldo omega elds designing benz asha robots sudan choosing closely handy survived flame milestone futures fridge elic ouch collar nevada
+aurora duncan brien marsh sers todays courts reunited genesis beside representation chant collector athens munich languages participation spectrum
+soda publication monica streams robotics cider bullying approval stoke platforms sierra hayes succeed suffer atically lynch hound delines dated
+exclusively heres damaged charter lakers falcon unveiled ease patience lone gentle genetic producing shannon bilities zimbabwe pint daughters literary
+surrounded pirate ranger natalie belong embassy ener akin diva denim arnold weren disabled manor raspberry awful drummer nash machinelearning rebels
+timing monroe tongue pupils ress harley palmer balloon sings cers oooo cattle shooter vodka jonas atric firms floyd cowboy soooo isaac warcraft
+disneyland beam franchise anon turbo sweep karachi detective pennsylvania vitamin aside chronic describes removal tened badly thermal compact thor
+teed urgent lite chem fork freak recipient modeling cans survivors radical investigating reliable lighthouse gown bots autograph horrible ssional anni
+kits eternal sensitive tastes checks portion eden halftime rihanna tise cain stained raffle drove principles jess garbage jelly entries flew admit
+objects compare nytimes cannes dana hist imagination explosion plymouth elliott breed lobster disappointed nationwide increases cedar staring racial
+visions stayed discussions curtis maiden stellar happiest preseason mondays hospitals glimpse scholars terrace goose graded lotus hung grocery stamps
+emperor scoop existence heal falcons reducing terrific magnetic performs treating declared trauma comedian nikon bugs ibiza comprehensive fellowship
+louisville fault filed vista fears berger wonderland informed stevens myth aston visitor producers personally separate agencies nina dives fierce
+entertaining borders palette osis tobacco willie zoom entirely martinez beds bulldogs neon ethiopia teammates planting anytime forbes runway nervous
+pile drought territory creatures goin southeast edited strap description kindly clutch womensday obvious channels mango meyer raining getty
+coordinator upload donuts sanchez apparel jefferson accessible greatly initial buddha mascot spinning mortgage echo gedly chloe enhance explores
+affair icals alla dolphins differences squirrel augh drones restore pike hilton collab consumers outcomes coupon liest sims aves spoon pudding corbyn
+haters exams slave apples tamil coke clair exploration sanctuary dementia wonders superhero pakistani browns bluetooth locker deluxe rodriguez linux
+tens intelligent voter sler peaks intern teenage peninsula handling cousins wendy dino sbury tragedy warns idiot touching continental tacos safari
+washed podium morrison forests particular beads invented loch lighter wherever documents nowhere contribute hardy clan object happier vegetables tart
+nominee heavily panic theresa avocado nomination madonna sharon malcolm controlled shers revival legislation shoots commentary pros humanrights
+stranger mitch pipeline legally gilbert toll granted iranian refreshing statistics productions patel humanitarian structures emissions towns stering
+ratings allegedly cabin wade flyers trim promising ballot comparison freeze outer greatness snowy tories consultant cincinnati analyst jews portraits
+cyrus loans acceptable watercolor rust battles seasonal serial mindset riot feld ennial closet priest tanks intl screw explained rica imaging lawyers
+buried earl lton restored stripes demands stealing alexis mund urus hugs genre participated babes banquet tious milwaukee jenner loses reps regulation
+vibrant ramp rains wellbeing soviet viewers libraries sery destruction bridal alds planted amateur cheering vertical packers wizard skip slight beau
+airways rera patio packages sells mentally reynolds walt knit surrey bounce creature bare betting miley laughs alore annah warmer dynamics lunchtime
+maritime vulnerable durham constantly angelo doom desktop lawsuit henderson inviting betty tawards leaked andi gems probe stephanie snation combe
+overcome winnipeg determined regret guides wives erly shima xing rosa lease belongs eventually neither skiing atra broadcasting fury dice womens
+provider bombs missile whip backup elder mature concerts gious goodmorning braves aussie luna males heck romeo steelers peer represents katy miguel
+require chains immediate advocacy export tiffany dudes chilly harm terrier storytelling immigrants reaches compassion contributions mechanical
+impression ranks kobe menting blossom pablo builder bombing sullivan demi kudos tgif neighbor chefs engines pune gained phantom sdays extend gran
+centers sleepy elvis answered slot cony flexible tially letics andrews sible momma vino invitational twilight jade illery johns breakdown printer
+maggie legion kurt parenting regions bikini beware sional auburn kidding amples span habits buddies personnel versus earning sink dari ister brutal
+kata cloth weekends nebraska codes delayed bruno proven lambert kardashian bernard fiesta volcano grandpa anca foam persons dynasty ellor styling
+avier vegetarian founders stain cycles skyline tractor exists tral kidney sette addict triangle controversial pins tray township delegates spam crane
+peoples faction butes onica delegation elier gely losangeles casa fordshire gathered ichi attendees peppers bourbon ernity rotary behaviour teamwork
+compliance buhari buyers hagen buds bayern monte smells anza athlon described workforce investments selena database mortal buyer dover garten loyalty
+theaters ruling venus patent abby awake massacre bangalore simmons hale edchat ggles marking headlines strom cove breathtaking medals haircut
+christine telegraph gujarat cane propaganda mueller stomach throws jong renowned mushrooms guaranteed revolutionary certification bruins passport
+capable tones jackets spinach blair watts couples prairie newprofilepic logistics massachusetts jaguar underwater maths myanmar preps suffered trace
+wali ahhh borg stitch realise infection discrimination ankle bracket postcard involving caramel overview examples integrity basement instruments anium
+atus gher laundry geneva pricing hyderabad belief accounting cristiano couture vised breaker hamas graduating puppies aches reign tragic pineapple
+touches leys interiors scouts enzie christians ensemble cinemas newport airline winston contents urge trout fically ilia arer wounded fitted
+thursdaythoughts archaeology awaiting cozy beauties bald stalk kinds cleared aliens tottenham mafia ariana carroll backpack carey univ tattoos agon
+volunteering consumption headphones tshirt element container conscious urope define feminist flowing routes somerset antes tweeps endangered popped
+backing basil brake monaco lgbtq prague utility gateway haunted walkingdead completing montgomery penguin hates breathing fairly approaches companion
+surprising kanye hindi targeted lords digging closest sack portal dough bats grapher pires motors dang clue dless brows ading remarks armstrong niest
+belgian flashbackfriday wreck marines amendment wardrobe burned guitars ssil ounce external mesh sheikh invitation popcorn phenomenal anonymous tuna
+oval dely locals finder sparks nicks exec stances mutual unveils edmonton zania adio viewer bradford auditorium react http cheeky impacts desperate
+settle bargain resume thrown kest seys marching decline stanford berra dolls roadtrip dinosaur overseas naughty implementation iamsrk luncheon firing
+perez thee gifted conversion ceramic pedro heed document grants predictions valid carved graduated nationally resso blank rivals eties omics
+inspection highs crisp bans costumes recall nigel tera docs westminster dict gravity kari rogue tted wark idaho queensland processes cliffe wikipedia
+salmankhan hazard preston sweetest southafrica burnt contain submitted soundcloud wordpress corrupt advent rial fossil cows institutions landmark
+reggae stat identified dealer ream reland tension wrapping deeper reddit aris morocco mapping priorities inga swap rewards conspiracy congressional
+vault plex sophomore darts aldub annoying props aluminum offense jill onions hardest gaining edtech cyprus tara carlo goon alli resilience balanced
+joyce defined shipped mainly mina claiming enters corey cried cooling danielle pharmacy outreach zens digitalmarketing valent herb captures notre
+triumph pancakes spike dation sper founding astro quantum thames airbus knocked undefeated mediterranean clown sensor forgive majestic elect politan
+burke seahawks volkswagen landscapes grandfather listened startrek rainfall furry stark rifle leges hillaryclinton minus correctly architectural
+upside boxer tissue spooky veled prospects quebec anatomy shapes pinterest hore anes pickup pradesh hugh grammy wellington stigate leap kingston
+scenic gosh sary zier bureau linson allan lana collision doin brance brendan ourse incoming suspension educators biography villain gothic rwanda
+meetup democrat sudden tesco carrot bomber funday agricultural hahah showtime forming cola poppy slife sore elderly skinny anco manship folding neat
+samantha danish humidity jakarta candles atile charleston frames clearing supernatural leak investor domain ballroom offshore blaze winery sharif
+adore safer sigh strongly tracy faithful eyed delightful vism karnataka titan jerseys grip panama gluten tioning ecommerce federation flawless tires
+cuban tributes churches nursery diaries museums snapped wight tourists ramadan trent prophet wondered focusing icons ambulance funniest timeless buys
+colourful reuters preserve inting showdown poems surveillance suspected solving tomb mothersday recruit pilots mixing fridays representatives trapped
+abdul freestyle cluster pitt locally gina nobel immune attempts bulldog bespoke singers spelling segment natures tick lipstick cleaner gettable
+precision thood reef nope rival figured tality awww awaits unreal asylum exotic enable archy almond displays abbott ived mara caution leaks enberg
+unicorn cannon bball willow atics amas manufacturer campaigns porters floors honorary minecraft mash consequences ronald suffolk muse livemusic ivan
+patriot homedecor sigma strings vita sequel tryna investigate boris barrier mindfulness webb hustle inda tanzania stray diagnosis obsession lative
+nufc flynn momentum sofa wald vegetable tucker supper venting comfy odisha warfare priceless controls empowerment datascience genic eres trudeau
+slavery expanding failing saga photographs crest reon surfing fellows southampton tability sect coleman atlas explorer consultation copyright
+organizing denied monkeys noodles bris bonds shocked ecosystem carefully apartments curve sandiego mustard filmed asingly watt instrument outta yeol
+riverside norwich alog migrants newman targeting torch reflects permission ffman enemies basics seized sundays hassan endo lements mana treatments
+collaborative shuttle branches misses mainedcm apers carrie leisure birding advances diane kpop remembrance playground krishna ebola inquiry
+organisation abraham normally janet encouraging astic bump ssss garrett consulting romania spotting chancellor prestigious ratio brow viking commute
+yday layers genocide gupta stepping wildcats coli earnings geons completion decorated crawford afghan scare visibility stroll christina alternate
+clare stylist behold sance leopard acquired narrative ashi peas atch slides leen renewable coaster fools matchday mism keting wont towel melt ethan
+grape politician smen weddings catcher oracle robbie norwegian operator amor sewing fifty liberals trafficking richardson messy tremendous courtney
+myers manning throne junk provincial kook fineart hampshire renaissance bred fallout alam torture shines char crow acious paige stockholm scenery
+jeffrey decoration brigade lavender invites esports voir dried surgeon novels pulls lunar mane dorset torres shutdown suggestions battlefield highland
+mermaid sacramento tails enhanced auckland sailor grammar glove deon freshly christie mild dixon instructor gence constitutional crowds invisible
+ruins plaque pouring zine transmission loway increasingly crowned blizzard fiers achievements hunters rocked basin violet proves achieving sega float
+vian tura approximately wanderlust keepers getaway polis colts talents glutenfree wrist czech eville daniels amer bids boyz possession pushed shrine
+realistic trigger rumors jenkins gamers armor mohammed balcony strongest rhythm unforgettable custody gregor rita aesthetic ilation sponsoring
+significantly buttons versions essentials opinions dprinting widely uran requested plum relation juventus rouge minority mines jupiter oxygen frankie
+unesco disgusting salman detection lanka argument shelves celtics roberto pigs powering butterflies remake atti como kendall seating dans baldwin
+leslie onedirection timber iman font eder dion steph gregory prop ruin sory barak sdgs lush endent ayan lung alexa addicted agile lightweight mandela
+jimin crops origins piper import aggressive prediction repairs cracker voyage mummy linkedin countryside pert sals autographed walnut salary pairing
+defeats strengthen rooftop improvements barriers tally ruled naija emoji probs admits paths liar daytona peters cali hyde ethnic plains hahahahaha
+holic blacks ghton lovin brent baru ateau painful busters static notebook outfits sies floods throat rovers bengal prepares miniature comb intimate
+greene altar surgical vessel gavin gator threatened robbery dier promoted subs interviewing threatening dozen waterfall nintendoswitch calum ministers
+universities warned tactics refuse vast mcfc libya nofilter distributed ronnie deco javascript monk interests martha sties gomez moderate dity iris
+straw consistent directions salsa recovered blackfriday lancaster weareoneexo builds freeman airplane pitching crispy prepping chang accomplished
+gracias dolphin culinary superbowl wala pursuit blackberry cardinal proved immigrant strictly holocaust passage haus coup purse adobe stad parked
+silva funky settlement tmrw stressed treasures chambers marley texture wilderness mming potentially omaha judy toes spoiler distinguished felix
+recommendations zombies hitler collapse motivated ggling cigar vineyard glitter findings colonial erik dens beetle subtle smatter trusted experimental
+naments acquisition breeding quarterback amreading ootd rude initiatives stout hyung outcome alfred mics expertise bacteria penguins jumper valencia
+bark ingday sellers contracts commissioned adaptation swansea santiago commonwealth judging submission scorer filing explanation allison wembley chevy
+santos ownership cognitive favourites deleted guidelines ffing clips swamp anor guild bolton springfield municipal goalkeeper yeon waterfront arity
+sleeps syrup motogp tyson singly crunch complicated nostalgia kale macro midwest hans tribal nude beyonce congratulate ladder crashed karaoke
+harassment rots experiencing kristen reflections guinness illustrator narrow commons regulations croft cussion hongkong stical internship chop hoods
+estimated batteries berkeley smoothie shaun prototype reviewed jedi blogs raymond avail scotch leafs nikki hollow urges unlike catering agle preorder
+arabic rapidly traveltuesday paws flows stability fluid canberra demonstration placement presidents beverly anist neal fathersday referendum lahore
+oaks debbie halfway ghosts matthews fiat robi brock laughed amounts bamboo kindergarten eaten mtvhottest breakout usic fraser legislative module sammy
+gover earns expedition garh concepts lava bachelor veggies determine ellie unlocked coupe deposit ivory paula gucci pierce lifted recover muscles
+conducting mclaren sophia oceans uploaded gameplay maldives racer caine cavs hana liga raven intervention inauguration attraction merchandise tunein
+liking juniors intended attacking aquarium components suring yogurt showroom optical yield transparency recycled ambassadors omed vanessa haley regina
+pdates livestream yahoo secured beneath offl outlet peep lindsay bentley heel trilogy tyre therefore extensive elephants orientation replay
+constructed peterson ported customs highlands salem shelby kovic strain rosie senators snaps suzuki blades generate structural predict jumped ahmad
+glam volvo jubilee detention losses everytime harold surprises srilanka barbie finn ukrainian flavors homer priced verde trey whoa harsh alot critics
+hubby castro chanel input originals tenant yyyy turers coon acare oles diner bizarre decorating alison rehab mccarthy lottery minneapolis eligible
+diagnosed emerald destinations sans blazers bail digitalart malta pipes allegations nock presentations bows valve opponent ingle eter dani attract
+neutral crashes freddie awakening qualify freight enjoys cupcake flavour protective hmmm continuous aires raptors showcasing paste follower
+instructions debuts vette stow ached sultan somalia franco fluffy alpine jasmine heated violin pless divorce performer phies dara kirby chilli skype
+celebrities poison grabs ssic railroad numerous fist requests martial emmy acceptance hyundai outlander espresso demanding geography troll sues bets
+tful tosh teaches coloured galway macy disorders fender litter providers renovation nominate nominations jenna someday brains cheshire prey hugo token
+carr tactical zelda kayla fernando photographers jour umbrella woody congressman dump levy signals lain michel porch siblings yale peel swick ggin
+patreon reel quin witt marty moody toni dery gators specifically ddin lyon meadows bronx puff lantern gently bestie refused crossover meadow
+indianapolis ducation loom mixer newmusic filmmaker prosperity creamy luther catches appearances habit kittens illac regardless lizard dunk curtain
+flats calendars empower ruined hungary ulum aberdeen seemed sden telephone inspires meow zones tucson oyster output metallic ucla scots regularly
+relative athers mise battling decides mata occupied randomly catsoftwitter alties allies lamar affects luxurious array sherlock dorf sala sofinstagram
+foil understood quay cade saturn layout rarely happily fixture overlooking herbs pillar nolan petty ores overs recreation wesley kejriwal stocking
+subscribers moose assignment highlighting calvin weigh cambodia avon disabilities chargers pads izing illian colleges associates albany milton hardly
+sights antiques surprisingly haiti capt inequality autographs citrus challenged zhou citizenship convinced messenger copenhagen developments forex
+sneakers xide viva stereo batting criticism attempted determination creations labels ancer partnerships lesbian guarantee fixing mous chemicals tless
+biodiversity bharat refuge dyssey responds rahul oline enjoyable struggles woodland heavyweight gens transformed atop surge prisoners claude mulator
+emotion waterloo cleaned grandmother fearless astronomy theworld suitable tten meaningful jacobs tomlinson ghetti asco nagar vaccine flesh noel
+inflation glamour tram roundup rejected mosaic sighting calf composition gopro bard effectively alto ribs relate thirsty furious chard perfume
+churchill masterclass owns skilled tori lick resistant agar delaware blitz kohli puck availability influential crochet hobby educate techno districts
+sett seventh learns eeee apocalypse hangout cruel bruh sheer klein texans cereal nered gras fella lima miranda jewel soho eurovision neighbours
+chandler besides astros thumbs renault rave hired itary blazer dccomics rodgers waterproof killers asso brewers promotional villages sketches juicy
+forlife audit fundamental lene philippine conservatives sponsorship aine hulk evaluation antine robertson employers bubbles kowski interaction hank
+knicks karma receiver perks stair laboratory graves vocals cture thrive tico cartoons mcdonalds yung pler ethical groove enta patron worries katherine
+diaz bachchan mineral builders coloring latte trader instantly sehun hernandez lisbon pong rooney wheelchair regulatory sunsets whales pandora doyle
+thfc otto nokia transgender hawaiian shave nicki stor weet dignity homage woah quartz greeting flickr nairobi advocates eugene pension thletics reagan
+harlem toddler sentenced globally cheaper nico thou nist thala rhodes bowls lasvegas sanctions admire matched unable traveler eleven strawberries
+jacques valued cheesecake tonic hatch chicks grads rory ripped dentist lufc hopkins sherman forall strand liquor buffet essence pharma suriya
+festivals uniforms kenneth asan transformers personalized chalk themes departure illustrations agrees convenience turtles infosec somewhat arlington
+scholarships emirates mums stella feather gore nominees fragrance wong theastern zilla bumper dozens oils donors silicon ipod fortnite toro sparkling
+consciousness pala mounted ffins thieves teammate omer tapes stew lowe rade parliamentary edgar honi slate hardt makeover paperback idan possibilities
+acher doesnt taker hussain thia hama realised ravens curriculum mith isaiah cumbria birthdays fing prez mubarak exquisite clearance modified applying
+implement discovering chapman indiegame disk crowdfunding styled rehearsals subscription andro creators carries kylie camden apprentice
+tuesdaythoughts pissed erman psalm sunlight beings bookstore rockstar functions pence faves obamacare spill coventry pigeon bait kolkata donor
+traditions rajasthan teness portuguese ynes tackles torn polling thorne benedict calories verdict norton mainstream improves fron responding realtor
+supplier resting sweets whitney halls proving quartet rochester lian mendes oficial midlands measuring accommodation brides collegiate intellectual
+cocoa coats civilians presidency matrix sweetheart triathlon wagner planner theo execution thewalkingdead scar rotation blogging bbles stare assisted
+branded warnings thorpe satisfied shores dora physically approves rical versatile pretend ashtra venues grammys tracker overwatch replica elyn lindsey
+balloons amos thug hooked americas patricia apathy petrol popping psychological cadillac queer comin privileged loser marker stries equally gareth
+blew seals cheat conditioning jana rens daries oasis discounts shirley voucher alps drift attempting gonzalez joker parallel aspects raleigh brighten
+guire radiation crescent vore nard diwali avatar dling pathetic jorge filmmaking challenger html twisted inely wraps operational magnet marketplace
+healthier snapshot damon federer owls biscuits rodeo blueberry lection frontier summers reyes pedestrian boulder meghan specialty lass suspects approx
+crushed loaf crore rivera genetics sock wasted nypd answering dove olin fiji sparkle europa lifts boyd royalty indo gotham tiest installing cosmic
+wholesale loyment suing settled supportive rees neath picoftheday newborn patty suns siest flint differently spoilers trooper gins cory lookout
+equipped toby researcher keyes alma induction slick craving bookings trunk vernon crystals relatively unions deaf sergio lennon shay poly bent bearing
+motorsport hani financing astronaut watercolour comiccon bern itan stepped filters demons allo expanded eters goats siri pottery marion elan santo
+persona lighted wheeler changer cabbage surreal hamburg smashed knot bingo vacuum accuracy spiderman bana rite glowing reactions puppet spaghetti angs
+royce affecting rode socialist moses reporters aping minimal waist siege schmidt hare thorn hemp clyde donut mohamed lingerie carpenter performers
+imagined curse lash agua roar roosevelt marilyn willis waited charities theres cough contrast armour removing mazda brighter thief tequila buzzing
+azure pixelart possibility hamont trades hive versy finch terrifying placing cindy mourinho guinea airs pumps paso curling anita residency joon
+cigarette queue publicly bonnie tribune reasonable timothy sheeran sutton concentration caravan xavier frederick nerve lettuce pregame upgraded
+ecology squadron grapes pastry milano awaz presenter herd template flour kley spec frankfurt texting deli communist regiment eleanor anticipated
+thephotohour rano surviving simulation dawson arin aqua cino iraqi dundee snews occupation steen angles settings orca shaping drilling zzie kissing
+busted tavern actively replacing unlock affiliate happynewyear greenwich controversy dawg savannah compensation touchdown ambitious convicted iartg
+trance testimony audition thumb myths quez orchid deny entitled inbox bluejays rilla smallest burden infamous divided boundaries wyoming beverage
+onews buddhist yana assad isms barrett predicted twit captains escaped gardner laps advertisement insects rand tridge pancake pyramid bula gauge
+encies tomy biscuit butcher qualifier pools darker shoulders phillies denis gart licensed interface excel dwell cofficial azzi appearing nana
+manufacturers beckham colony delicate transplant preferred pard arie pods perspectives pict apper criminals feminism shack circumstances fellas
+protesting suggested tator kathy deline misty erable breakthrough menswear millennials chanyeol insert replies phrase iheartawards audrey granite orie
+terra innovations brittany ateral pear biological shments institution frequency dman stefan foxnews comms sequence carmen whites economist exeter seum
+resorts casually divide creed retire caucus rapids wrestlemania tulsa sunderland yamaha vary beacon angie traded gents knitting seaside holt rers
+fargo trainers monsoon bale sought maddie fran favs intent lemonade barackobama sticky explosive assoc ramen homies vlog mister alyssa sketchbook
+rumble migrant discipline unlikely chronicles flora slams sboro coop jumps sofia gabe nicolas chai becky footy suppose plush rish saturdays accent
+carlton wired taylorswift recipients amazed porto distant mesa partial learnt lovato extract gossip niagara displayed sooner stevie nuggets giveaways
+blink convenient cules nearest isse smallbiz canadians smarter brasil quette atomic relaxed strips jensen recovering responses orthodox ellers
+metropolitan centuries vida grading transparent dots superintendent elevator automated redskins imam summertime gearing mice tote publish nailed
+telescope serbia stically rats isolated hatred paranormal alion nexus alexandra masks brotherhood browse mixes simone musk approve lola unseen
+scouting portsmouth mize advert teresa shields mariners ingen ango madden broccoli dominic situations mero punishment shaking arians claw weds dure
+gourmet traders levi wages knees heavenly avid melody zack bananas respected fewer drafted usarmy preparations nonsense usage roth wizards promotions
+mona redsox elegance chia raja unga filipino ikon biking decorations cadets humour reppin elove gallagher awhile prominent inal wicket urst qanon dunn
+starr cology uefa rebounds smusic infant handing sorting hash budapest blackhawks delete candid debris intersection marriott imran cruises ramsey
+rafael vascular sable pill flooring unbeaten implications wound forge pointing pots popularity slots debates absence vermont neverforget gloria
+melting braces timely transforming amps ahan generally aleppo unicef profs jacksonville shells blooming operators charcoal neville sama reforms
+websites gaon devastating stos glacier chipotle orous romney decorative cisco ditch complain assume nels centric carrots tata perience liers demos
+blunt operate reservations leah substance dison nonprofit completes mari phillip neill maharashtra dane providence juvenile memo aaaa seventeen
+teenager orns cuteness ffles bara overtime baron unemployment exterior dense centres matchup historymonth warn critic informative fuels recycle naming
+stripe molecular convo ssel descent accountability rito slay sensation tore roundtable excuses podcasts celeb contributed generator elets veggie
+ensuring instruction circles clayton dogsoftwitter isnt retailers elena jessie carving faux dull sana lara crimson compass pause lionel baths
+inventory satan cements inform generated biden tasks jailed pastel steele lamborghini pursue bosch drain clara latino webster rosemary billionaire
+notch percentage conor earthday hort walton editors imma equivalent cameo underrated gement honorable obesity limerick involvement stagram boulevard
+blackandwhite liberation interim rivalry capabilities statements swans serena helm noodle sampling nawaz thunderstorms orchard doorstep salvation rons
+clemson ravi intake sina haiku pley electoral lays capturing ergy believing cultures esday invasive eded boycott pede merchant stir denies pockets
+cuddle roland mmed dened learners hoop sourcing hacked environments benson judicial worcester pearls governments arrivals corners tuning ordering
+hygiene thoughtful indonesian campaigning principle willy entre duties snakes amar convertible bonding mentoring maxwell ethereum destroying axis
+cairo finnish caleb coma pedal continent elson tempo helsinki tackling stated smashing disruption warmth beingsalmankhan bulletin syracuse aran
+mcgregor bulk anton confirmation spine jacks chio stre embarrassing eliminate toss cise onists shinee hose lively opponents movements recognizing
+sandwiches shakes exercises profession merrychristmas marvin byrne kuwait rahman aspect humbled genes longtime angus quran sleeves twelve youre gogh
+dictionary reflecting toon yarn reserves flooded dusk establish ritual orbit declaration recordings camo cassette goodluck cutter cheating mares timer
+colt hansen bani circular acute coys irving hawkins bison urday cruising kath whistle yourselves antis slash thoroughly kesh serie hogan netball
+panorama avis arming browser cries foggy matte iter tallest byron anyways flagship pton fayette foul solomon cucumber argue textile wrestler johnston
+cactus edible reserved richie metres ingredient hella unto celebs poets hayden coincidence communicate fletcher toledo ecuador counsel slaughter
+linear eved conquer rustic plicity recognise roommate cracked jasper pher woven steering standings frequent ardi asmsg baum dart nath cardboard nsfw
+occurred homelessness malone paddy declare persian suspicious mucho stas kite watering spiral thms educator jerome parkway deaux restrictions mons
+needle leagues watermelon plenary comingsoon bryce vigil supermarket fortunate turquoise interns feelin fixtures stunt staged premieres shortage logne
+composed synthetic camila eyebrows supplement satisfaction mohammad assam mandatory herbert streamers protocol blockbuster produces laurel timehop
+modelling tvtime mtvstars widow metric cham condo flowering alec intensity mccartney islamabad analog fond hacks positivity treaty submarine connect
+categories organize quoteoftheday reminding locking compound ference hipster fortress forthcoming odyssey angp evenings kathryn christianity moonlight
+genuinely deployed bucs plantation impress cara sclub scopy landers complaints bama rebuild realism shour bracelets mera assassin linen chronicle
+catalog illes gorge metry jungkook allied tsman loft minton aldenrichards cherish certainty rhino perkins capetown ometer sections skeleton defenders
+brit capitalism bazaar convert stormy chrysler ados pressed sync ationday badges refuses empowering exports adoptdontshop awaited focuses fined
+hahahah nfamily fiona luckily thrilling typing outbreak crawl nesses oath scripts geeks mathematics alis gymnastics activism recommendation gren wain
+hornets gals jockey enormous gregation anos defends luggage lasts bathing cebu navigation useless deficit atime trillion acies procedure ulously
+promotes woohoo naomi zardari weber lund crowded deployment terrain witnessed bully doff mored dini prompt maurice topps jewels lending
+contemporaryart establishment patriotic mccoy vape humane feliz coachella reposting steals fuller nering worms disciplinary redemption amin kappa
+newark commits spears jams msnbc aimed teenth observation kavanaugh sanfrancisco belated password stills detained sari dayton arth amusic vind stag
+previews containing leonardo saddle rushing gambling reservation endale bala variant hedge bulgaria weaver encouraged cyclists overwhelming peyton
+bleeding neighbourhood avery expressions macdonald gigs monds illusion overhead laurie unveiling conn ironman diff congo revision wale pines blackpink
+garner curated manitoba commonly barton mortality livesmatter shorter convince vendors insightful elly sensors eled sberg weightloss ukip spur
+supervisor adviser amazingly lesser mahon oooooo pmoindia waffle unders tolerance sculptures knocking traveled geoff dinosaurs slept scarlet complaint
+crossfit mccain referee sadness vols elon shea sonia emmanuel moisture digest viii teller accessory nightclub awan husky aboriginal fficient cougars
+admitted ignored contentmarketing vase executed negotiations shead tablets goth tsal protector gazette andreas sser compilation containers broker
+socal porcelain hyuk airing publisher scenario spartans reviewing itudes pearson maui ulate programmes favour webdesign realty motivational crosses
+busch adjustable arjun dimension pistol weighs unveil indycar fade qualities bett locate kerr confusion bases depends firefighter maroon defining bhai
+psych icans thik obile inspector illon sist vocation chistan renewed enthusiasm enting ikea aerospace memoir hospice cocaine derry mechanics tino
+reduces collectors injustice vana napa susa oslo encore licence cheddar threatens archie futsal scuba gnon sofficial comparing dominant toftheday fait
+proposals reservoir beliefs este etwork excerpt einstein hiro teamed perception corridor hints benny inducted cheryl asparagus mysteries fitzgerald
+therapist damaging weibo macbook barker stigma rockies tailed capsule royale shortlisted ashamed keye austrian enight juliet michele travelers
+footballer winchester organisations interpretation predator oftheweek getic fitfam owens shootout commissions ptic nixon ambition cruelty crude salty
+jima irony onwards arrests strangers iger cyclist extends tradio bourg eable lexus dera historian morton tiff manner pointed eney onpoli steep
+accompanied rumours devi purchasing autonomous goalie automatically titanic shook sandals seekers nordic bigolive billions bookworm ppet surfaces
+scars dogg cigars cote translated curator sindh hangover brewer elton elliot russ railways grandson apology await partisan whitehouse expressed pups
+bedford frogs resolve taliban kang crushing williamson tang curly tman faire backdrop frances occer dorothy converted daylight servant paddle
+complaining thirty nadal ibrahim addressed piss greenhouse battalion simulator outlets embroidery fiscal gerard sassy ventures merit publicity
+sophisticated conventional condolences tess correction orship chment wknd wels cushion idiots underneath puma cornell enation urer formerly ernal
+chorus julius salvador unified booster graphical sonny derers sall vens tuscany yong kurds trolls caturday pressing sasha centennial gusts denise
+basel yolo manifesto doha knives bournemouth barb alicia comer cyclone anews ventura sfgiants darwin reese karan conclusion manny flakes uniteblue
+nadu edges lancashire ials otta philippe chee mentors anism complimentary cliffs sarmy tiveness treasury iland aftermath rabbi bouquet zion surrender
+inks policing examination measurement hydrogen luhan wari fowler mish bbnaija catalogue recognised saver huskies mundo siva discounted manutd fresno
+devin preliminary trophies plastics indigo gard pitches groundbreaking inson anthology rard admiral sochi lashes splendid envy festivities sticking
+thrill ariel botanical endurance females bricks vatican blackpool brough suede slovenia medalist dians rehabilitation ramos pianist intensive
+broadband petersburg luca ahhhh physician dillon telecom grief sided blows classiccars topping warsaw preservation experiments sliga gage flavours
+brony cookbook carriage nyfw onian simpsons rolex crosby pubs alife poorly wenger nats rubbish procedures typhoon ophobia viera bumps millennium
+newzealand lectures iton milky responded bother zhang huawei tuition sworn paolo auditions malaysian hops feathers mple auts bounty iche pinot gears
+videogames alzheimer underwear switching signage econ clint plated gundy emblem hoes icist nelly roadshow minerals alexandria acclaimed shiva amnesty
+hounds councillor partnering influenced flare extinction civilian majesty vail lawmakers racks orian spices errors mayer coca sooooo retiring
+endorsement brooch karate reigns enterprises adele flake attire bahamas gravy cheek ladygaga itta dustin observatory eighth bloomberg gist commemorate
+sexuality vacancy sona diploma tend upgrades jurassic cardiac widespread dailies vendor simplicity wider lenses supplements observed vines partially
+renewal collaborate finity petit fallon backwards component compatible binding zurich thome wounds lyric freshmen sneaky employer insect hated scher
+razor booker avfc pretending pepsi untitled kart grandparents visuals smallbusiness abdullah minho subaru revealing heartbreaking clarity iciary
+minded excessive icecream tastic rendering mitt lorenzo boundary osaka sounding utterly advancing margin lifelong solstice waits breach ader ittle
+cation hoon studied kash weights metals tyres carb gale sunite amic patterson upstairs qualifiers khalifa applemusic vaughan alter cruiser tana
+katrina idols spoiled secretly fibre partnered umes comet keller conway badminton mound donkey buff largely intments stove impacted cont cracks
+prisoner contractor orioles dominate amelia vist suarez injection blooms stiff paypal snowing thursdays wedge educated weakness decker breezy hopeful
+raider partly infused thane sometime mein sliding rande deadpool aram underwood skye disturbing polished guardians hadn picasso arius lakh dalton
+swell marsha cours topus rink hackers donovan mayhem devops scup shere qualification clive tong derdale berman cinderella jolly loot collectibles
+homicide epidemic suites muddy gimme lisle verizon vector beanie artisan flores grinding airports responsive shaft cancel ceremonies atari brushes
+eager childrens yankee suspense moran sunflower void fashioned jennings sundayfunday submissions mead herman critically leum baekhyun forcing cobra
+acquire geology importantly irez bundesliga curiosity sena strict winters venom cheltenham cena bain glover undercover asses memorialday irene chon
+synthesis speedy slayer composite understands henri morrow thofjuly glee andhi renewables transfers babu loops peers oilers paulo ication wara mercer
+homeland fuji aley yearbook bois caesar shotgun kurdish ancies default transactions infantry chow chickens wyatt brews editions commencement periscope
+guatemala zambia paints witches wani vows usmc hearted theatres shuffle squeeze fern postal malt onboard ldnt scrap marcos dealers ulary vladimir thur
+pickled sesame bengaluru mott kathleen drank duchess snowfall specialists scotus baylor everest malibu prem harmful bates andra geometry elover
+blackout kota interact samurai exhausted spheric hopper fills slap rodney ongi preventing cassidy loin hammond contributing orion compelling escaping
+aiming bistro beasts concerning shoplocal stumbled nazis gesture warts usopen higgins hangs bombers feeds nicola clamation afro expenses derrick aline
+regard imer satin thium ryder mmmmm senses exhaust occur norris lilly isles directing yofficial countless onstage flock mirrors archer inos sikh
+sensory brits knox chestnut coliseum adapter helmets mold oids monastery spree britney jaguars greats kyrie machinery rero aspiring semifinals
+signatures herbal holden reggie oreo palestinians emmys sectional neymar quel hazel estimate ulties purchases belts protects guessing claudia fracking
+jonny almighty courtyard canes lethal graphicdesign vader pencils roughly dante camel blossoms balochistan illard consent dented holi stour beginners
+curb ajax duff committing aired chap hedgehog disappointing freelance inland charms buckle tidal permit boating kendrick bello plea estimates
+apologies jaya interstate maintaining elbow violations amir puri tium blurry relatives choc listings maze thanking grassroots shifting desperately
+gorilla jules gley jain buick tanner itors nano separation armenia bordeaux pjnet burial gloss renew grier speeds comicbooks purposes spatial notable
+cion hoffman dusty situated tran emen nickel hastings settling lena sapphire embedded sergeant elsa bootcamp bowman photographic pillars directioners
+classified veer barrels whoop petroleum enthusiastic varun profiles pediatric accidents conrad jang jojo observer livestock anand cere avoiding grit
+thankfully scattered nicky cylinder cheesy diver mahesh caves earliest subjects vocalist glue patches snyder demonstrating horns wickets rama yoon
+bedtime bullets saurus miners incidents agers handles inity dons eminem aviv rudy mozart appliances pageant strive bullish rana alerts bbmas hyper
+derbyshire deborah cosmos lawson melanie psycho doodles sniper shady mantle interactions separated cords spirituality pelosi rebellion sectors biased
+gamma emerge backer surance handcrafted millan striped unfair relaxation embracing shealth paleo martini distillery hayley courthouse quietly
+smartphones warwick cologne glia prog starters expands sued skipper infections clerk demonstrate tibet buns alom demolition ssia soar deepest aret
+attends activated highlighted magazines rumor azza stephens dolph shockey mats servers lause breakers canterbury ulture euros taneous impressions
+purdue adequate angler durable galore mgmt lucia borrow enga tout mahal alistic galleries esse chibi attractions lexington legislature documented
+brownies stool planets shoppers conductor tricky fruity endra whipped hairstyle refer octopus audiences alphabet accepts tine acom cheerleaders kung
+dhabi mackenzie beirut cleanup gypsy hurricanes stina unfortunate badger aters sublime ymca duterte brennan bulb melo ylon hacker cred padilla
+embroidered vietnamese pioneers projection reboot aney primer suffers winding stoday morn allin tuck ography osborne ghetto irma makin cables murders
+ocks alas cuff foodies ovic geometric empathy centenary newspapers administrative stive contractors tasmania awesomeness density veen princeton
+frequently reject modular ceramics kiwi sweatshirt napoli appeals weave arranged wharf asaki otter norm vies detox idad admissions constituency woot
+alloy seve uncomfortable edwin dwight virtually barack seok caffeine notorious excess barr tford bumped mythology shelley mustangs noted civilization
+parsons unofficial hyped spends opposed vings spacex notification deciding biotech redacted"""

@@ -82,3 +82,25 @@ def test_redacted(spark):
     assert [r[4] for r in got] == [None if t is None else len(t) for t in texts]
     assert [r[5:] for r in got] == [r[5:] for r in rows]
     assert redact(no_documents(spark)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("name", "value"),
+    [
+        ("pwd: ", "QwZxRtYpLmVkHsJd"),
+        ("passphrase: ", "qzkvjxwpfmtrbnlc"),
+        ("access_key = ", "8203917465028371"),
+        ("credentials => ", "hvqxzjtkwmpr"),
+        ("auth_key: ", "GVXQKZJWPRTN"),
+        ("private_key=", "73019264850317"),
+    ],
+)
+def test_letters_or_digits_alone_after_a_sign(name, value):
+    text = f"see {name}{value} here"
+    start = text.index(value)
+    assert spans(text, 10.0) == [("guess", start, start + len(value))]
+
+
+@pytest.mark.parametrize("text", ["passphrase: understanding", "pwd = administrator", "private_key: [redacted]", "access_key: required", "credentials: following.", "The passphrase is extraordinarily-unlisted"])
+def test_plain_words_after_a_sign(text):
+    assert spans(text, 10.0) == []
