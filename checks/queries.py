@@ -475,7 +475,7 @@ def q_fit_boosted(spark, d):
 
 @_query
 def q_fit_gbdt(spark, d):
-    return _fitted(spark, d, lambda df: models.fit_gbdt(df, trees=20), "gbdt")
+    return _fitted(spark, d, models.fit_gbdt, "gbdt")
 
 
 @_query

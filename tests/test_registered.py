@@ -5,6 +5,7 @@ CHECK_ALL=1, as does `python -m checks.compare`.
 """
 
 import os
+from types import SimpleNamespace
 
 import pytest
 
@@ -41,3 +42,10 @@ def test_entry(spark):
 def test_same_rows(spark, engine, name):
     outcome, _, _ = compare(spark, engine, SMALLEST, name)
     assert outcome.startswith("equal"), outcome
+
+
+def test_comparison_model_fits_all_its_trees(monkeypatch):
+    monkeypatch.setattr(registered, "sample_sources", lambda spark, d: None)
+    monkeypatch.setattr(registered.jobs, "train", lambda src, fit, name: SimpleNamespace(metrics=fit("rows")))
+    monkeypatch.setattr(registered.models, "fit_boosted", lambda df, trees, *rest: trees)
+    assert registered.queries()["fit_gbdt"](None, SMALLEST) == 3000
