@@ -17,6 +17,10 @@ from ledgerlens.llm.packing import encode, place
 from ledgerlens.llm.secrets import redact
 
 
+#: least score at which the model's language counts more than the given one
+SURE = 0.6
+
+
 def keeping_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """The stage, on documents whose other columns may have any names."""
 
@@ -30,12 +34,17 @@ def keeping_columns(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]
 
 @keeping_columns
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; a null lang takes the predicted one. Null texts and texts without letters go.
+    """Documents with letters, in the language that the model is sure of, else in the given one, or if there is none in
+    the predicted one. Null texts and texts without letters go. Without a labelled document, lang stays as it is.
 
     Repeated rows stay for the next stage. No documents: no rows.
     """
-    found = identify(docs, train(docs)).where(F.col("lang_pred") != UNKNOWN)
-    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    model = train(docs)
+    if not model["families"][0]:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = identify(docs, model).where(F.col("lang_pred") != UNKNOWN)
+    lang = F.when(F.col("score") >= SURE, F.col("lang_pred")).otherwise(F.coalesce("lang", "lang_pred"))
+    return found.withColumn("lang", lang).select(*docs.columns)
 
 
 @keeping_columns

@@ -113,3 +113,16 @@ def test_no_rows(spark):
 def test_whole_run(spark):
     out = corpus_pipeline.run(spark, SMALLEST)
     assert out.count() > 0 and {"doc_id", "ids", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_predicted_language_counts_where_it_is_sure(spark):
+    rows = [row(i, f"{TEXTS[k]} {' '.join(TEXTS[k].split()[i % 7 :])}", k, "d") for i, k in enumerate(list(TEXTS) * 20)]
+    rows += [row(1000, f"{TEXTS['de']} {TEXTS['de'][30:]}", "en", "d"), row(1001, f"{TEXTS['fr']} {TEXTS['fr'][20:]}", None, "d"), row(1002, "x9", "zz", "d")]
+    found = {r["doc_id"]: r["lang"] for r in dict(corpus_pipeline.STAGES)["language"](spark, documents(spark, rows), "/nowhere").collect()}
+    assert found == {r[0]: r[2] for r in rows} | {1000: "de", 1001: "fr"}
+
+
+def test_no_labelled_documents(spark):
+    rows = [(*r[:2], None, *r[3:]) for r in odd_documents()]
+    found = dict(corpus_pipeline.STAGES)["language"](spark, documents(spark, rows), "/nowhere").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(str(r) for r in rows if any(c.isalpha() for c in r[1] or ""))
