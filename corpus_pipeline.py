@@ -51,17 +51,26 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least doc_id. Documents without doc_id all stay.
 
-    Rows that share a kept doc_id stay as long as their texts differ; of equal ones the first by the other columns does.
+    Different texts under one doc_id are documents of their own; of equal ones the first by the other columns stays.
     """
-    others = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(others, docs["doc_id"] == others["gone"], "left_anti")
-    # rows that repeat a doc_id are few: only these meet
-    repeated = written(kept.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("again")), "repeated")
-    single = kept.join(repeated, kept["doc_id"] == repeated["again"], "left_anti")
+    counts = docs.where("doc_id is not null").groupBy("doc_id").count()
+    repeated = written(counts.where("count > 1").select(F.col("doc_id").alias("again")), "repeated")
+    if repeated.isEmpty():
+        others = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone"))
+        return docs.join(others, docs["doc_id"] == others["gone"], "left_anti")
+    # rows that repeat a doc_id are few: only these meet, and take a number of their own
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
-    again = kept.join(repeated, kept["doc_id"] == repeated["again"], "left_semi").groupBy("doc_id", "text")
+    again = docs.join(repeated, docs["doc_id"] == repeated["again"], "left_semi").groupBy("doc_id", "text")
     least = again.agg(F.min(F.struct(*rest)).alias("first")) if rest else again.agg(F.lit(1))
-    return single.union(least.select(*[F.col(f"first.`{c}`") if c in rest else F.col(c) for c in docs.columns]))
+    least = least.select(*[F.col(f"first.`{c}`") if c in rest else F.col(c) for c in docs.columns])
+    single = docs.join(repeated, docs["doc_id"] == repeated["again"], "left_anti").withColumn("__row", F.col("doc_id"))
+    rows = written(single.union(least.withColumn("__row", F.xxhash64(F.lit("row"), "doc_id", "text"))), "rows")
+    named = rows.where("__row is not null").select(F.col("__row").alias("row"), F.col("doc_id").alias("named"))
+    found = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text")).where("doc_id is not null")
+    groups = written(found.select(F.col("doc_id").alias("row"), "component_id").join(named, "row"), "groups")
+    first = groups.groupBy("component_id").agg(F.min(F.struct("named", "row")).alias("f")).select(F.col("f.row").alias("row"))
+    gone = groups.join(first, "row", "left_anti").select(F.col("row").alias("gone"))
+    return rows.join(gone, rows["__row"] == gone["gone"], "left_anti").select(*docs.columns)
 
 
 @keeping_columns

@@ -12,7 +12,7 @@ from ledgerlens.llm import queries as registered
 from ledgerlens.llm.common import pick, written
 from ledgerlens.llm.near_duplicates import near_duplicates
 from ledgerlens.llm.secrets import spans
-from tests.llm.rows import TEXTS, documents, no_documents, odd_documents, row
+from tests.llm.rows import ENGLISH, FRENCH, GERMAN, SPANISH, TEXTS, documents, no_documents, odd_documents, row
 
 SMALLEST = "/root/testdata/sf0.001"
 
@@ -126,3 +126,11 @@ def test_no_labelled_documents(spark):
     rows = [(*r[:2], None, *r[3:]) for r in odd_documents()]
     found = dict(corpus_pipeline.STAGES)["language"](spark, documents(spark, rows), "/nowhere").collect()
     assert sorted(map(str, map(tuple, found))) == sorted(str(r) for r in rows if any(c.isalpha() for c in r[1] or ""))
+
+
+def test_rows_that_share_a_doc_id_go_one_by_one(spark):
+    rows = [row(3, ENGLISH), row(5, ENGLISH), row(5, GERMAN), row(6, FRENCH), row(6, SPANISH), row(9, SPANISH), row(2, FRENCH), row(7, GERMAN + " x"), row(None, ENGLISH)]
+    found = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, documents(spark, rows), "/nowhere")
+    assert found.columns == documents(spark).columns
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in found.collect())
+    assert got == sorted([(3, ENGLISH), (5, GERMAN), (6, SPANISH), (2, FRENCH), (0, ENGLISH)])
