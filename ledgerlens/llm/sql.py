@@ -101,6 +101,26 @@ select page_id, payload_bytes, payload_digest, case when page_id = keeper then '
 from kept
 """
 
+_NEGATIVES = """
+with given as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) v
+  from embeddings where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id anchor_id, b.vec_id, a.label = b.label same, list_dot_product(a.v, b.v)::bigint score
+  from given a join given b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where a.vec_id % 100 = 0
+), positives as (
+  select anchor_id, vec_id positive_id, score positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), ranked as (
+  select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id)::int as rank,
+    vec_id negative_id, positive_score, score negative_score
+  from positives p join scored s on s.anchor_id = p.anchor_id and not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+)
+select * from ranked where rank <= 10
+"""
+
 _TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{' '.join(words_of(text))}')" for i, (name, text) in enumerate(TEMPLATES))
 
 _LICENCES = rf"""
@@ -133,4 +153,5 @@ ORACLES = {
     "op6_licences": _LICENCES,
     "op8_near_duplicates": _NEAR_DUPLICATES,
     "op10_archives": _ARCHIVES,
+    "op11_negatives": _NEGATIVES,
 }
