@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.llm import sql
 from ledgerlens.llm.archives import op10_archives
+from ledgerlens.llm.byte_pairs import op12_byte_pairs
 from ledgerlens.llm.extraction import op4_extraction
 from ledgerlens.llm.fingerprints import op9_fingerprints
 from ledgerlens.llm.language import op2_language
@@ -20,7 +21,7 @@ from ledgerlens.llm.secrets import op7_secrets
 from ledgerlens.llm.vectors import op1_vectors
 
 QUERIES = [op1_vectors, op2_language, op3_packing, op4_extraction, op5_mixing, op6_licences, op7_secrets, op8_near_duplicates, op9_fingerprints, op10_archives,
-           op11_negatives]
+           op11_negatives, op12_byte_pairs]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
