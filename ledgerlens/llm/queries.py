@@ -17,11 +17,12 @@ from ledgerlens.llm.mixing import op5_mixing
 from ledgerlens.llm.near_duplicates import op8_near_duplicates
 from ledgerlens.llm.negatives import op11_negatives
 from ledgerlens.llm.packing import op3_packing
+from ledgerlens.llm.resampling import op13_resampling
 from ledgerlens.llm.secrets import op7_secrets
 from ledgerlens.llm.vectors import op1_vectors
 
 QUERIES = [op1_vectors, op2_language, op3_packing, op4_extraction, op5_mixing, op6_licences, op7_secrets, op8_near_duplicates, op9_fingerprints, op10_archives,
-           op11_negatives, op12_byte_pairs]
+           op11_negatives, op12_byte_pairs, op13_resampling]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

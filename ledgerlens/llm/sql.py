@@ -121,6 +121,42 @@ with given as (
 select * from ranked where rank <= 10
 """
 
+# the checksum byte by byte over a table of 256, for each distinct run of words
+_RESAMPLING = r"""
+with given as (
+  select 0 side, row_number() over () r, doc_id, text from documents union all select 1, row_number() over (), null, text from benchmark
+), worded as (
+  select side, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from given
+), features as (
+  select side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) f from worded
+), steps as (
+  select list(x order by i) t from (
+    select i, list_reduce(list_concat([i], range(8)), lambda x, k: xor(x // 2, (x % 2) * 3988292384)) x
+    from (select unnest(range(256)) i))
+), hashed as (
+  select f, xor(list_reduce(list_concat([4294967295], list_transform(range(0, octet_length(encode(f))), lambda i: ('0x' || hex(encode(f))[2 * i + 1:2 * i + 2])::bigint)),
+    lambda x, b: xor(x // 256, t[xor(x % 256, b) + 1])), 4294967295) % 10000 bucket
+  from (select distinct f from features), steps
+), filled as (
+  select bucket, count(*) filter (side = 0) s, count(*) filter (side = 1) t from features join hashed using (f) group by bucket
+), totals as (
+  select coalesce(sum(s), 0) s, coalesce(sum(t), 0) t from filled
+), gains as (
+  select bucket, floor(1000 * ln((f.t + 1)::double * (a.s + 10000)::double / ((f.s + 1)::double * (a.t + 10000)::double)))::bigint gain from filled f, totals a
+), weights as (
+  select r, count(*) n, floor(sum(gain)::double / count(*))::bigint weight
+  from features join hashed using (f) join gains using (bucket) where side = 0 group by r
+), scored as (
+  select doc_id, len(w) words, coalesce(n, 0)::bigint n_features, coalesce(weight, 0)::bigint weight,
+    coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || sha256('7:' || doc_id)[1:8])::bigint + 0.5::double) / 4294967296::double)))::bigint score
+  from worded left join weights using (r) where side = 0
+), ordered as (
+  select *, case when words >= 20 then row_number() over (partition by words >= 20 order by score desc, doc_id) end place from scored
+)
+select doc_id, n_features, weight, score, case when place <= (select 25 * count(*) // 100 from scored where words >= 20) then place end as rank from ordered
+"""
+
 _TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{' '.join(words_of(text))}')" for i, (name, text) in enumerate(TEMPLATES))
 
 _LICENCES = rf"""
@@ -154,4 +190,5 @@ ORACLES = {
     "op8_near_duplicates": _NEAR_DUPLICATES,
     "op10_archives": _ARCHIVES,
     "op11_negatives": _NEGATIVES,
+    "op13_resampling": _RESAMPLING,
 }
