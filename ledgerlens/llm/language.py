@@ -71,23 +71,11 @@ def support_vector_machine(x: np.ndarray, y: np.ndarray, cost: float = 10.0, rou
     return w
 
 
-def fit(sample: pd.DataFrame) -> dict:
-    """Duels between families, and between the languages of each, from rows of `lang` and packed features `x`."""
-    order = sample.sort_values(["lang", "x"], kind="stable")
-    x = np.frombuffer(b"".join(order["x"]), np.float16).reshape(len(order), FEATURES).astype(np.float32) if len(order) else np.zeros((0, FEATURES))
-    langs = order["lang"].to_numpy()
-    family = np.array([FAMILY_OF.get(lang, lang) for lang in langs], object)
-
-    def duels(of: np.ndarray) -> tuple[list[str], np.ndarray]:
-        names = sorted({c for c in of if c is not None})
-        ws = []
-        for a, b in combinations(names, 2):
-            rows = (of == a) | (of == b)
-            ws.append(support_vector_machine(x if rows.all() else x[rows], np.where(of[rows] == a, 1, -1).astype(np.float32)))
-        return names, np.array(ws, np.float32).reshape(len(ws), FEATURES + 1)
-
-    within = {f: duels(np.where(family == f, langs, None)) for f in sorted(set(family))}
-    return {"families": duels(family), "within": within}
+def fit_duel(rows: pd.DataFrame) -> np.ndarray:
+    """Weights of one duel, from rows of `side` (1 or -1) and packed features `x`."""
+    order = rows.sort_values(["lang", "x"], kind="stable")
+    x = np.frombuffer(b"".join(order["x"]), np.float16).reshape(len(order), FEATURES).astype(np.float32)
+    return support_vector_machine(x, order["side"].to_numpy(np.float32)).astype(np.float32)
 
 
 def _winner(names: list[str], ws: np.ndarray, x: np.ndarray) -> tuple[str, float]:
@@ -118,19 +106,31 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def train(docs: DataFrame, sample: int = 500) -> dict:
-    """The model from about `sample` labelled documents of each language, picked by a hash of doc_id.
+def duels_of(langs: list[str]) -> list[tuple[str | None, str, str]]:
+    """(family or None, one, the other): None for duels of families, else one between two languages of the family."""
+    members: dict[str, list[str]] = {}
+    for lang in sorted(langs):
+        members.setdefault(FAMILY_OF.get(lang, lang), []).append(lang)
+    between = [(None, *pair) for pair in combinations(sorted(members), 2)]
+    return between + [(f, *pair) for f in sorted(members) for pair in combinations(members[f], 2)]
+
+
+def train(docs: DataFrame, sample: int = 500, languages: int = 64) -> dict:
+    """The model, from about `sample` different labelled texts of each of the `languages` most frequent languages.
 
-    `sample` bounds what is fitted on, here in the driver: languages x sample x 16 kB. Held out documents, null lang
-    and texts without letters are left out. Whole texts count. No labelled documents: a model without languages.
+    Both bound what is fitted on; a language beyond them is never predicted. Texts are picked by a hash of the text, and
+    equal ones count once, whatever their doc_id. Each duel is fitted in a task of its own, on `sample` rows of 16 kB from
+    either side, two times that of a family; the driver gets 33 kB a duel. Held out documents, null lang and texts
+    without letters are left out. Whole texts count. No labelled documents: a model without languages.
     """
     labelled = pick(docs, "doc_id", "text", "lang").where(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     labelled = labelled.where(F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30))
+    different = labelled.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n"))
+    counts = {r["lang"]: r["n"] for r in different.orderBy(F.desc("n"), "lang").limit(languages).collect()}
+    draw = F.pmod(F.xxhash64(F.lit("language"), "text"), F.lit(1 << 30))
     chosen = F.lit(False)
     for lang, n in counts.items():
-        chosen = chosen | ((F.col("lang") == lang) & (draw < int(min(1.0, sample / n) * (1 << 30))))
+        chosen = chosen | ((F.col("lang") == lang) & (draw < int(min(1.0, sample / max(1, n)) * (1 << 30))))
 
     def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters = letter_table()
@@ -139,8 +139,34 @@ def train(docs: DataFrame, sample: int = 500) -> dict:
             keep = [x is not None for x in xs]
             yield pd.DataFrame({"lang": f["lang"][keep], "x": [x.astype(np.float16).tobytes() for x in xs if x is not None]})
 
-    rows = labelled.where(chosen).select("text", "lang").mapInPandas(packed, "lang string, x binary")
-    return fit(rows.toPandas())
+    family = {lang: FAMILY_OF.get(lang, lang) for lang in counts}
+    duels = duels_of(list(counts))
+    # a family's languages share its places in a duel of families
+    sides = [
+        (lang, i, 1 if name == a else -1, 1000 if of else min(1000, 2000 // list(family.values()).count(name)))
+        for i, (of, a, b) in enumerate(duels)
+        for lang in counts
+        if (name := lang if of else family[lang]) in (a, b) and (of is None or family[lang] == of)
+    ]
+    weights: dict[int, np.ndarray] = {}
+    if duels:
+        rows = labelled.where(chosen).select("text", "lang").mapInPandas(packed, "lang string, x binary").dropDuplicates()
+        table_ = F.broadcast(docs.sparkSession.createDataFrame(sides, "lang string, duel int, side int, of_1000 int"))
+        dealt = rows.join(table_, "lang").where(F.pmod(F.xxhash64("x"), F.lit(1000)) < F.col("of_1000"))
+
+        def fitted(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"duel": [key[0]], "w": [fit_duel(f).tobytes()]})
+
+        found = dealt.select("duel", "lang", "side", "x").groupBy("duel").applyInPandas(fitted, "duel int, w binary")
+        weights = {r["duel"]: np.frombuffer(r["w"], np.float32) for r in found.collect()}
+    none = np.zeros(FEATURES + 1, np.float32)
+
+    def machines(of: str | None) -> np.ndarray:
+        return np.array([weights.get(i, none) for i, d in enumerate(duels) if d[0] == of], np.float32).reshape(-1, FEATURES + 1)
+
+    names = sorted(set(family.values()))
+    within = {f: (sorted(c for c in counts if family[c] == f), machines(f)) for f in names}
+    return {"families": (names, machines(None)), "within": within}
 
 
 def identify(docs: DataFrame, model: dict, columns: tuple[str, ...] | None = None) -> DataFrame:

@@ -64,3 +64,23 @@ def test_features_ignore_case_and_signs():
     letters = letter_table()
     assert (features("Der Hund!", letters) == features("  der... HUND", letters)).all()
     assert features("12 !?", letters) is None and features("𝔘", letters) is not None
+
+
+def test_doc_ids_do_not_matter(spark):
+    """Documents without doc_id, or with one for all, are learnt from like any others."""
+    rows = labelled(300)
+    for doc_id in (None, next(i for i in range(9) if zlib.crc32(str(i).encode()) % 4 != 2)):
+        docs = documents(spark, [(doc_id, *r[1:]) for r in rows])
+        model = train(docs, sample=50)
+        assert model["families"][0] == ["germanic", "romance"]
+        found = identify(docs, model, ("text", "lang")).where("lang is not null").collect()
+        assert sum(r["lang_pred"] == r["lang"] for r in found) >= 0.97 * len(found)
+
+
+def test_very_common_rows_and_very_many_languages(spark):
+    """The sample holds different texts, and no more languages than asked for."""
+    rows = [row(i, TEXTS["de"], "de") for i in range(500)] + labelled(200)
+    rows += [row(1000 + i, f"wort{chr(97 + i % 26)} nummer{chr(97 + i // 26)}", f"junk{i}") for i in range(100)]
+    model = train(documents(spark, rows), sample=30, languages=6)
+    assert sum(len(names) for names, _ in model["within"].values()) == 6
+    assert {"de", "en", "es", "fr"} <= {n for names, _ in model["within"].values() for n in names}
