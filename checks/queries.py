@@ -30,7 +30,7 @@ from ledgerlens.streaming.requests import run_request_stream, score_requests
 
 AS_OF = "2024-02-01"
 # small enough to cut the customers of the sample ledger into blocks
-SMALL_BLOCKS = 40
+SMALL_BLOCKS = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -144,7 +144,7 @@ def q_ledger_loan_totals(spark, d):
 @_query
 def q_ledger_loan_totals_split(spark, d):
     """The same with every larger customer cut into blocks."""
-    return ledger.ledger_loan_totals(_ledger(spark, d), block_ids=SMALL_BLOCKS)
+    return ledger.ledger_loan_totals(_ledger(spark, d), block_rows=SMALL_BLOCKS)
 
 
 @_query
@@ -154,7 +154,7 @@ def q_segment_ids(spark, d):
 
 @_query
 def q_segment_ids_split(spark, d):
-    return ledger.segment_ids(_ledger(spark, d), block_ids=SMALL_BLOCKS)
+    return ledger.segment_ids(_ledger(spark, d), block_rows=SMALL_BLOCKS)
 
 
 @_query
@@ -316,7 +316,7 @@ def q_production_features(spark, d):
 
 @_query
 def q_production_features_split(spark, d):
-    return features.production_features(sample_sources(spark, d), AS_OF, block_ids=SMALL_BLOCKS)
+    return features.production_features(sample_sources(spark, d), AS_OF, block_rows=SMALL_BLOCKS)
 
 
 # --- cleaning ------------------------------------------------------------------------------------------------------

@@ -1,9 +1,10 @@
-"""Cut customers into blocks of consecutive ids, all alike.
+"""Cut large customers into blocks of ids, at ids sampled from their own rows.
 
-A window over one customer runs in one task, and a single customer may hold a large part of the whole ledger. So every
-customer is cut at the same ids, the multiples of a width: as ids are unique, no block has more rows than that. The
-rows of an ordinary customer fall into as many blocks as the customer has ranges of ids; `operators.ledger` works block by
-block and carries the state at the block edges over. Nothing is counted beforehand, and the plan is the same for any data.
+A window over one customer runs in one task, and a single customer may hold a large part of the whole ledger. So rows are
+sampled by a hash of customer and id; a customer with samples enough for two blocks is large, and is cut at every so
+many of its sampled ids. Blocks thus have about the same number of rows however the ids are spread, and all other
+customers stay whole. The sample is a function of the rows alone, so every use of it cuts alike, in reruns too; it is
+never on the driver, and the plan is the same for any data.
 """
 
 from __future__ import annotations
@@ -11,13 +12,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Ids of a block, and so the most rows that one task sorts for one window. The windows over a customer's blocks have
-# one row for each block, at most the ledger's range of ids over this.
-BLOCK_IDS = 10_000_000
+# rows of a block, about: the most that one task sorts for one window is some two of them
+BLOCK_ROWS = 4_000_000
+# rows of a block that are sampled, at least one in BLOCK_ROWS: a block's size comes out within an eighth, mostly
+SAMPLED = 64
+# cuts that are looked through in one go to find a row's block
+STEP = 256
 
 
-def with_block(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Add column `blk`, and deal the rows out by customer and block."""
-    blocked = ledger.withColumn("blk", F.expr(f"id div {int(block_ids)}"))
+def cuts(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(ss, cuts): the sorted ids at which a large customer's blocks start, but for the first.
+
+    There are no more cuts than the ledger has blocks, 8 bytes each: a trillion rows have 2 MB of them.
+    """
+    each = min(SAMPLED, block_rows)
+    sampled = ledger.where(F.col("ss").isNotNull() & (F.pmod(F.xxhash64("ss", "id"), F.lit(block_rows)) < each))
+    ids = sampled.groupBy("ss").agg(F.sort_array(F.collect_list("id")).alias("ids")).where(F.size("ids") >= 2 * each)
+    nth = F.sequence(F.lit(1), F.floor(F.size("ids") / each).cast("int") - 1)
+    return ids.select("ss", F.transform(nth, lambda i: F.get("ids", i * each)).alias("cuts"))
+
+
+def split(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary customers as they are, and those of large ones with a column `blk`, dealt out by it."""
+    found = F.broadcast(cuts(ledger, block_rows))
+    ordinary = ledger.join(found, "ss", "left_anti")
+    # blocks are looked for in two steps, as a customer may have very many
+    coarse = F.sequence(F.lit(0), F.size("cuts") - 1, F.lit(STEP))
+    passed = F.size(F.filter(coarse, lambda i: F.get("cuts", i) <= F.col("id")))
+    start = (F.col("passed") - 1) * STEP
+    within = F.size(F.filter(F.slice("cuts", start + 1, F.lit(STEP)), lambda c: c <= F.col("id")))
+    large = ledger.join(found, "ss").withColumn("passed", passed)
+    large = large.withColumn("blk", F.when(F.col("passed") == 0, 0).otherwise(start + within)).drop("cuts", "passed")
     # a ledger bucketed by customer would otherwise keep all blocks of a customer in one task
-    return blocked.repartition("ss", "blk")
+    return ordinary, large.repartition("ss", "blk")

@@ -7,8 +7,8 @@ Every loan row (`New Loan` or `Renewal`) opens a segment that holds the events u
 * total    = all rows of the customer
 
 One shuffle by customer serves all of it: number the segments, aggregate them in place, and window over the much
-smaller segment table. Customers are worked on in blocks of ids (`operators.blocks`): segments are windowed inside the
-block, and a block summary carries totals across block edges.
+smaller segment table. Customers too large for one task are worked on in blocks (`operators.blocks`): segments are
+windowed inside the block, and a block summary, one row a block, carries totals across block edges.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from ledgerlens.functions.events import (
     normal_text,
     over_rows,
 )
-from ledgerlens.operators.blocks import BLOCK_IDS, with_block
+from ledgerlens.operators.blocks import BLOCK_ROWS, split
 
 # frame bounds: all rows before the current one, in window order
 START, CURRENT, BEFORE = Window.unboundedPreceding, Window.currentRow, -1
@@ -136,26 +136,32 @@ def _block_edges(segments: DataFrame) -> DataFrame:
     )
 
 
-def _loan_rows(df: DataFrame) -> DataFrame:
-    """Final columns per loan: what its block has, merged with what the block edges bring."""
+def _loan_rows(df: DataFrame, cut: bool) -> DataFrame:
+    """Final columns per loan: what its customer has, or what its block has merged with what the block edges bring."""
     local_prev = F.col("prev_loan_id").isNotNull()
 
     def previous(field: str) -> Column:
+        if not cut:
+            return F.col(f"prev_{field}")
         return F.when(local_prev, F.col(f"prev_{field}")).otherwise(F.col(f"edge_loan.{field}"))
 
     def between(m: str) -> Column:
         here, edge = F.col(f"prev_{m}"), F.col(f"edge_tail_{m}")
+        if not cut:
+            return here
         both = F.coalesce(here + edge, here, edge) if m == "n_events" else combine(m, here, edge)
         return F.when(local_prev, here).otherwise(both)
 
     def current(m: str) -> Column:
         here = F.col(f"current_{m}")
+        if not cut:
+            return here
         return F.when(F.col("next").isNotNull(), here).otherwise(combine(m, here, F.col(f"edge_ahead_{m}")))
 
     def total(m: str) -> Column:
-        return F.coalesce(F.col(f"edge_total_{m}"), F.col(f"total_{m}"))
+        return F.col(f"edge_total_{m}" if cut else f"total_{m}")
 
-    upcoming = F.coalesce(F.col("next"), F.col("edge_next"))
+    upcoming = F.coalesce(F.col("next"), F.col("edge_next")) if cut else F.col("next")
     has_events = previous("loan_id").isNotNull() & (between("n_events") > 0)
     return df.filter(F.col("loan_id").isNotNull()).select(
         "ss",
@@ -174,61 +180,65 @@ def _loan_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def ledger_loan_totals(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+def ledger_loan_totals(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per loan: neighbours and the totals over this loan, the previous loan and the customer.
 
     `id` orders the rows of a customer and is unique.
     """
+    ordinary, large = split(ledger, block_rows)
+    whole = _loan_rows(_in_block(_segments(ordinary, ["ss"]), ["ss"]), False)
     keys = ["ss", "blk"]
-    segments = _segments(with_block(ledger, block_ids), keys)
-    return _loan_rows(_in_block(segments, keys).join(_block_edges(segments), keys, "left"))
+    segments = _segments(large, keys)
+    return whole.unionByName(_loan_rows(_in_block(segments, keys).join(_block_edges(segments), keys), True))
 
 
-def segment_ids(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+def segment_ids(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(ss, id, loan_seq, renewal_seq): per event, how many loans and renewals the customer has had up to it."""
-    rows = with_block(ledger, block_ids)
-    upto = Window.partitionBy("ss", "blk").orderBy("id").rowsBetween(START, CURRENT)
     kind = normal_text("type")
     is_loan, is_renewal = kind.isin(NEW_LOAN, RENEWAL), kind == RENEWAL
-    numbered = rows.withColumns(
-        {"loan_seq": F.count_if(is_loan).over(upto), "renewal_seq": F.count_if(is_renewal).over(upto)}
-    )
-    # add the counts of the customer's earlier blocks
+
+    def numbered(rows: DataFrame, *keys: str) -> DataFrame:
+        upto = Window.partitionBy(*keys).orderBy("id").rowsBetween(START, CURRENT)
+        return rows.withColumns({"loan_seq": F.count_if(is_loan).over(upto), "renewal_seq": F.count_if(is_renewal).over(upto)})
+
+    ordinary, large = split(ledger, block_rows)
+    # a block adds the counts of the customer's earlier blocks
     earlier = Window.partitionBy("ss").orderBy("blk").rowsBetween(START, BEFORE)
     before = (
-        rows.groupBy("ss", "blk")
+        large.groupBy("ss", "blk")
         .agg(F.count_if(is_loan).alias("loans"), F.count_if(is_renewal).alias("renewals"))
         .select("ss", "blk", F.sum("loans").over(earlier).alias("loans"), F.sum("renewals").over(earlier).alias("renewals"))
     )
-    return numbered.join(before, ["ss", "blk"], "left").select(
+    cut = numbered(large, "ss", "blk").join(before, ["ss", "blk"]).select(
         "ss",
         "id",
         (F.col("loan_seq") + F.coalesce("loans", F.lit(0))).alias("loan_seq"),
         (F.col("renewal_seq") + F.coalesce("renewals", F.lit(0))).alias("renewal_seq"),
     )
+    return numbered(ordinary, "ss").select("ss", "id", "loan_seq", "renewal_seq").union(cut)
 
 
-def next_renewal(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+def next_renewal(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The customer's first renewal after each loan."""
-    return ledger_loan_totals(ledger, block_ids).select("ss", "loan_id", "next_renewal_id", "next_renewal_date")
+    return ledger_loan_totals(ledger, block_rows).select("ss", "loan_id", "next_renewal_id", "next_renewal_date")
 
 
-def previous_loan(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+def previous_loan(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The customer's last loan before each loan."""
-    return ledger_loan_totals(ledger, block_ids).select(
+    return ledger_loan_totals(ledger, block_rows).select(
         "ss", "loan_id", "previous_loan_id", "previous_loan_date", "previous_loan_amt"
     )
 
 
-def current_loan_totals(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+def current_loan_totals(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Totals from each loan up to the customer's next renewal."""
-    loans = ledger_loan_totals(ledger, block_ids)
+    loans = ledger_loan_totals(ledger, block_rows)
     return loans.select("ss", "loan_id", *[F.col(f"current_{m}").alias(m) for m in MEASURES])
 
 
-def previous_loan_totals(ledger: DataFrame, block_ids: int = BLOCK_IDS) -> DataFrame:
+def previous_loan_totals(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Totals strictly between the previous loan and each loan; all null if nothing lies between."""
-    loans = ledger_loan_totals(ledger, block_ids)
+    loans = ledger_loan_totals(ledger, block_rows)
     return loans.select("ss", "loan_id", *[F.col(f"previous_{m}").alias(m) for m in MEASURES])
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.cleaning import age, employment_default, parse_years_on_job
 from ledgerlens.functions.events import normal_text
-from ledgerlens.operators.blocks import BLOCK_IDS
+from ledgerlens.operators.blocks import BLOCK_ROWS
 from ledgerlens.operators.joins import RENEWAL_STATUS_CODE, base_customers, base_loan_days, base_loans
 from ledgerlens.operators.ledger import first_date_ever, ledger_loan_totals
 from ledgerlens.operators.lookups import bureau_scores, latest_restriction, latest_sms_preference, signed_by_day
@@ -237,9 +237,9 @@ def _assemble(
     date_range: tuple[str, str] | None,
     exclude_states: tuple[str, ...],
     count_distinct_loans: bool,
-    block_ids: int,
+    block_rows: int,
 ) -> DataFrame:
-    loans = base_loans(ledger_loan_totals(src.ledger, block_ids), mode, date_range)
+    loans = base_loans(ledger_loan_totals(src.ledger, block_rows), mode, date_range)
     customers = base_customers(src.payday, mode, only_payday_id, exclude_states)
     rows = _latest(loans, LOAN_COLUMNS + loan_columns, last_payment).join(_first_borrower(src, customers, columns), "ss")
     if count_distinct_loans:
@@ -257,7 +257,7 @@ def training_features(
     wo_scope: str = "previous",
     fix_century: bool = False,
     show_ssn: bool = False,
-    block_ids: int = BLOCK_IDS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Customers with a renewal: what was known before the latest one, and how that loan went.
 
@@ -269,7 +269,7 @@ def training_features(
     loan_columns = ["previous_loan_amt", "previous_amount_paid", f"{wo}_wo_entries", f"{wo}_wo_amount"]
     rows = _assemble(
         src, "training", "previous_last_payment_date", loan_columns, columns, only_payday_id, date_range,
-        exclude_states, count_distinct_loans, block_ids,
+        exclude_states, count_distinct_loans, block_rows,
     ).join(bureau_scores(src.bureau_response).withColumnRenamed("applicantid", "applicant_id"), "applicant_id", "left")
     first = first_date_ever(rows, "total_")
     total, lent = F.col("total_amount_paid"), F.col("total_total_loan_amt")
@@ -316,7 +316,7 @@ def production_features(
     exclude_states: tuple[str, ...] = (),
     count_distinct_loans: bool = False,
     show_ssn: bool = False,
-    block_ids: int = BLOCK_IDS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Stored customers as of a day: the latest loan is the *previous* one of the loan to be offered."""
     columns = [
@@ -326,7 +326,7 @@ def production_features(
     rows = (
         _assemble(
             src, "production", "total_last_payment_date", ["total_wo_entries"], columns, only_payday_id, date_range,
-            exclude_states, count_distinct_loans, block_ids,
+            exclude_states, count_distinct_loans, block_rows,
         )
         .join(latest_restriction(src.customer_restriction), "payday_id", "left")
         .join(latest_sms_preference(src.sms_preference), "mapping_id", "left")

@@ -212,18 +212,18 @@ def sample_views() -> dict[str, str]:
 def order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A longer ledger: orders are loans, their line items payments.
 
-    Ids sort by day, loans first, then order; payments of one order and day share an id, which no total depends on.
+    Ids are far apart; they sort by day, loans first, then order and line.
     """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
-    def entry_id(day: str, late: int) -> str:
+    def entry_id(day: str, late: int, line: str) -> str:
         days = f"cast(datediff(cast({day} as date), date '1990-01-01') as bigint)"
-        return f"({days} * 2 + {late}) * 100000000000 + o_orderkey as id"
+        return f"({days} * 2 + {late}) * 1000000000000 + o_orderkey * 10 + {line} as id"
 
     zero = "cast(0 as decimal(15,4))"
     loans = orders.selectExpr(
-        entry_id("o_orderdate", 0),
+        entry_id("o_orderdate", 0, "0"),
         "o_custkey as ss",
         "cast(o_orderdate as date) as dte",
         "case when o_orderkey % 5 = 0 then 'New Loan' else 'Renewal' end as type",
@@ -233,7 +233,7 @@ def order_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{zero} as paidint",
     )
     payments = items.join(orders, items.l_orderkey == orders.o_orderkey).selectExpr(
-        entry_id("l_shipdate", 1),
+        entry_id("l_shipdate", 1, "l_linenumber"),
         "o_custkey as ss",
         "cast(l_shipdate as date) as dte",
         "case when l_returnflag = 'R' then 'Payment Revert' else 'Payment' end as type",

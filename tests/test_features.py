@@ -105,7 +105,7 @@ def test_options(spark):
     src = some_sources(spark, 0)
     plain = {r.ssn: r for r in training_features(src).collect()}
     assert all(len(k) == 64 for k in plain)
-    split = {r.ssn: r for r in training_features(src, block_ids=10).collect()}
+    split = {r.ssn: r for r in training_features(src, block_rows=4).collect()}
     assert split == plain
     counted = {r.ssn: r.number_of_loans_before for r in training_features(src, count_distinct_loans=True).collect()}
     assert counted.keys() == plain.keys() and all(counted[k] <= plain[k].number_of_loans_before for k in plain)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.events import classify_events
 from ledgerlens.operators import blocks
-from ledgerlens.operators.ledger import customer_totals, ledger_loan_totals
+from ledgerlens.operators.ledger import customer_totals, ledger_loan_totals, segment_ids
 from ledgerlens.schemas import SOURCE_SCHEMAS
 from tests.brute import loan_totals
 
@@ -40,8 +40,8 @@ def found(df):
     }
 
 
-def check(spark, rows, block_ids):
-    assert found(ledger_loan_totals(frame(spark, rows), block_ids)) == loan_totals(rows)
+def check(spark, rows, block_rows):
+    assert found(ledger_loan_totals(frame(spark, rows), block_rows)) == loan_totals(rows)
 
 
 HAND_MADE = {
@@ -72,19 +72,19 @@ HAND_MADE = {
 
 
 @pytest.mark.parametrize("name", HAND_MADE)
-@pytest.mark.parametrize("block_ids", [1_000_000, 1, 2])
-def test_hand_made(spark, name, block_ids):
-    check(spark, HAND_MADE[name], block_ids)
+@pytest.mark.parametrize("block_rows", [1_000_000, 1, 2])
+def test_hand_made(spark, name, block_rows):
+    check(spark, HAND_MADE[name], block_rows)
 
 
-def random_ledger(seed, customers=12, rows=400, hot=1 / 3):
+def random_ledger(seed, customers=12, rows=400, hot=1 / 3, apart=10):
     rng = random.Random(seed)
     kinds = ["New Loan", "Renewal", "Payment", "ACH Payment", "Payment Revert", "Return", "Loan Increase",
              "Active -> Written Off", "Note"]
     weights = rng.choice([[1, 2, 8, 4, 1, 1, 1, 1, 1], [5, 5, 1, 1, 1, 1, 1, 1, 1], [1, 1, 30, 0, 0, 0, 0, 0, 5],
                           [6, 1, 6, 1, 1, 1, 1, 1, 1]])
     out = []
-    for i in sorted(rng.sample(range(10 * rows), rows)):
+    for i in sorted(rng.sample(range(apart * rows), rows)):
         ss = 0 if rng.random() < hot else rng.randrange(1, customers)
         cents = Decimal(rng.randrange(1, 99999)) / 100
         out.append(event(i, ss, rng.choices(kinds, weights)[0], str(cents), str(cents), day=rng.randrange(60)))
@@ -94,8 +94,8 @@ def random_ledger(seed, customers=12, rows=400, hot=1 / 3):
 @pytest.mark.parametrize("seed", range(4))
 def test_random_ledgers_whole_and_split(spark, seed):
     rows = random_ledger(seed)
-    for block_ids in (1_000_000, 25, 100):
-        check(spark, rows, block_ids)
+    for block_rows in (1_000_000, 10, 30):
+        check(spark, rows, block_rows)
 
 
 def test_partitioning_does_not_matter(spark):
@@ -118,16 +118,43 @@ def test_payment_flags_are_three_different_things(spark):
     assert [tuple(r) for r in got.collect()] == [(1, 1, 1, 0), (0, 1, 1, 0), (1, 1, 1, 1), (1, 0, 1, 0)]
 
 
+def test_sparse_ids_and_one_customer_with_half_the_rows(spark):
+    rows = random_ledger(11, rows=500, hot=1 / 2, apart=10**12)
+    for event_ in rows:
+        event_["dte"] = DAY
+    check(spark, rows, 20)
+    df = frame(spark, rows)
+    large = blocks.split(df, 20)[1].groupBy("ss", "blk").count().filter("ss = 0")
+    assert large.count() > 5 and large.agg(F.max("count")).first()[0] <= 40
+
+
+def test_segment_ids(spark):
+    rows = random_ledger(4)
+    expected = {}
+    for r in rows:
+        before = [x["type"] for x in rows if x["ss"] == r["ss"] and x["id"] <= r["id"]]
+        expected[r["ss"], r["id"]] = (sum(k in ("New Loan", "Renewal") for k in before), before.count("Renewal"))
+    for block_rows in (1_000_000, 10):
+        assert {(r.ss, r.id): (r.loan_seq, r.renewal_seq) for r in segment_ids(frame(spark, rows), block_rows).collect()} == expected
+
+
 def test_block_bounds(spark):
-    """Every customer is cut, however many there are, and no block has more rows than ids."""
-    df = spark.range(30_000).select(
-        F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997 + 1).cast("bigint").alias("ss")
+    """Large customers alone are cut, into blocks of about the same size whether their ids are dense or far apart."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.col("id") * F.col("id") * 1000).alias("id"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 2).otherwise(F.col("id") % 997 + 2).cast("bigint").alias("ss"),
     )
-    sizes = blocks.with_block(df, 1000).groupBy("ss", "blk").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 1000
-    assert sizes.agg(F.sum("count")).first()[0] == 30_000
-    assert sizes.filter("ss = 0").count() == 30
-    assert sizes.groupBy("ss").count().filter("count > 1").count() == sizes.select("ss").distinct().count()
+    ordinary, large = blocks.split(df, 500)
+    sizes = large.groupBy("ss", "blk").count().collect()
+    assert {r.ss for r in sizes} == {0, 1} and sum(r["count"] for r in sizes) == 20_000
+    assert all(250 <= r["count"] <= 1100 for r in sizes)
+    assert ordinary.count() == 40_000 and ordinary.filter("ss < 2").count() == 0
+
+
+def test_blocks_of_very_many_cuts(spark):
+    df = spark.range(3000).select(F.col("id") * 7, F.lit(1).cast("bigint").alias("ss")).toDF("id", "ss")
+    got = {r.id: r.blk for r in blocks.split(df, 1)[1].collect()}
+    assert got == {i * 7: i for i in range(3000)}
 
 
 def plan_text(df):
@@ -145,3 +172,13 @@ def test_one_plan_for_any_ledger(spark):
     assert nodes(small) == nodes(large)
     assert "NestedLoop" not in large and "Cartesian" not in large
     assert "hashpartitioning(ss" in large and "blk" in large
+
+
+def test_ordinary_customers_are_shuffled_once(spark):
+    """Without large customers the blocks are dropped at run time; one shuffle of the ledger is left."""
+    rows = ledger_loan_totals(frame(spark, random_ledger(1, hot=0)))
+    rows.collect()
+    final = plan_text(rows)
+    final = final[: final.index("== Initial Plan ==")] if "== Initial Plan ==" in final else final
+    assert "blk" not in final
+    assert sum("Exchange hashpartitioning(ss" in line and "dte" not in line for line in final.splitlines()) <= 2
