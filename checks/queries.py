@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.oracle import INTERCEPT, PROFILE_COLUMNS, SCENARIOS, WEIGHTS, parse_spec, specs_and_sql
+from checks.oracle import INTERCEPT, PROFILE_COLUMNS, SCENARIOS, SCORECARDS, WEIGHTS, parse_spec, specs_and_sql
 from ledgerlens.functions import cleaning
 from ledgerlens.functions.events import classify_events
 from ledgerlens.functions.pricing import (
@@ -20,7 +20,7 @@ from ledgerlens.functions.pricing import (
     renewal_amount,
     score_band,
 )
-from ledgerlens.operators import campaign, joins, ledger, lookups, preparation, profile, quantiles, ranking
+from ledgerlens.operators import campaign, joins, ledger, logistic, lookups, preparation, profile, quantiles, ranking
 from ledgerlens.plans import features, jobs, models
 from ledgerlens.schemas import REQUEST_SCHEMA, conform
 from ledgerlens.sources import files
@@ -493,11 +493,62 @@ def q_logit_summary(spark, d):
     return models.logit_summary(_prepared(spark, d))
 
 
+def _equations(spark: SparkSession, d: str, fit) -> DataFrame:
+    """What labels and fitted chances sum up to per input, by a model that was saved and loaded."""
+    train, _, _ = jobs.prepare_sets(sample_sources(spark, d))
+    path = files.work_folder(spark, "model")
+    files.save_model(fit(train), path)
+    return logistic.score_equations(train, models.load_model(path), models.LABEL)
+
+
+@_query
+def q_logistic_equations(spark, d):
+    return _equations(spark, d, models.fit_logistic)
+
+
+@_query
+def q_logit_equations(spark, d):
+    return _equations(spark, d, models.fit_logit)
+
+
+@_query
+def q_model_comparison(spark, d):
+    """Models fitted on one prepared set; the comparison model of 3000 trees is `fit_gbdt`."""
+    fits = {"boosted": models.fit_boosted, "forest": models.fit_forest, "logistic": models.fit_logistic, "logit": models.fit_logit}
+    return jobs.compare(sample_sources(spark, d), fits)[1]
+
+
+@_query
+def q_scorecard_comparison(spark, d):
+    """Several scorecards of given weights on one prepared set, judged in one pass."""
+    train, test, _ = jobs.prepare_sets(sample_sources(spark, d))
+    scored = None
+    for name, (weights, intercept) in SCORECARDS.items():
+        for part, rows in (("train", train), ("test", test)):
+            one = models.score_linear(rows, weights, intercept).select(
+                F.lit(name).alias("model"), F.lit(part).alias("part"), "if_loss", "prob_1", "predicted"
+            )
+            scored = one if scored is None else scored.unionByName(one)
+    return ranking.metrics_by(jobs.written(scored, "scores"), ["model", "part"], "prob_1", "if_loss", "predicted")
+
+
+@_query
+def q_score_report(spark, d):
+    """The test rows with what a scorecard says of them."""
+    return jobs.score_report(_scorecard, jobs.prepare_sets(sample_sources(spark, d))[1])
+
+
+@_query
+def q_report_distributions(spark, d):
+    """Loss, profit, static pool and customer type by score bin."""
+    return jobs.report_distributions(jobs.written(jobs.score_report(_scorecard, _prepared(spark, d)), "report"), 4)
+
+
 @_query
 def q_feature_importance(spark, d):
     path = files.work_folder(spark, "model")
-    jobs.train(sample_sources(spark, d), models.fit_forest, "forest", model_path=path)
-    return models.feature_importance(files.load_model(path))
+    jobs.train(sample_sources(spark, d), models.fit_boosted, "boosted", model_path=path)
+    return models.feature_importance(jobs.load_trained(spark, path)[0])
 
 
 # --- pricing and campaigns -----------------------------------------------------------------------------------------

@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.ranges import with_place
+
 # rows of a block, about: the most that one task sorts for one window is some two of them
 BLOCK_ROWS = 4_000_000
 # rows of a block that are sampled, at least one in BLOCK_ROWS: a block's size comes out within an eighth, mostly
 SAMPLED = 64
-# cuts that are looked through in one go to find a row's block
-STEP = 256
 
 
 def cuts(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -36,12 +36,6 @@ def split(ledger: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, D
     """The rows of ordinary customers as they are, and those of large ones with a column `blk`, dealt out by it."""
     found = F.broadcast(cuts(ledger, block_rows))
     ordinary = ledger.join(found, "ss", "left_anti")
-    # blocks are looked for in two steps, as a customer may have very many
-    coarse = F.sequence(F.lit(0), F.size("cuts") - 1, F.lit(STEP))
-    passed = F.size(F.filter(coarse, lambda i: F.get("cuts", i) <= F.col("id")))
-    start = (F.col("passed") - 1) * STEP
-    within = F.size(F.filter(F.slice("cuts", start + 1, F.lit(STEP)), lambda c: c <= F.col("id")))
-    large = ledger.join(found, "ss").withColumn("passed", passed)
-    large = large.withColumn("blk", F.when(F.col("passed") == 0, 0).otherwise(start + within)).drop("cuts", "passed")
+    large = with_place(ledger.join(found, "ss"), "id", "cuts", "blk").drop("cuts")
     # a ledger bucketed by customer would otherwise keep all blocks of a customer in one task
     return ordinary, large.repartition("ss", "blk")

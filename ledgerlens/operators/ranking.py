@@ -6,6 +6,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.ranges import with_place
+
 # Running sums over all distinct scores are formed in this many score ranges: 10 billion distinct scores make ranges of
 # about 2.5 million.
 RANGES = 4096
@@ -95,6 +97,56 @@ def roc_curve(df: DataFrame, score: str, label: str, ranges: int = RANGES) -> Da
     return points.union(start.select(F.col("threshold").cast(points.schema["threshold"].dataType), F.lit(0.0), F.lit(0.0)))
 
 
+def metrics_by(df: DataFrame, by: list[str], score: str, label: str, prediction: str, ranges: int = RANGES) -> DataFrame:
+    """Per group of `by`: n, auc, precision, recall, accuracy and f1, all out of one pass over the rows.
+
+    Rows are counted per distinct score; areas and rates follow from these counts. A group's scores are cut into ranges
+    of its own, at most `ranges`, each summed up by itself, so a group of any size is no single task. Groups are few,
+    as models and parts are: each has an array of cuts that goes to every task. Rows without label, score or
+    prediction are left out.
+    """
+    rows = df.select(*by, F.col(score).cast("double").alias("score"), F.col(label).cast("bigint").alias("y"), F.col(prediction).cast("bigint").alias("p"))
+    counts = (
+        rows.filter(F.col("score").isNotNull() & ~F.isnan("score") & F.col("y").isNotNull() & F.col("p").isNotNull())
+        .groupBy(*by, "score")
+        .agg(
+            F.sum("y").alias("pos"),
+            F.sum(1 - F.col("y")).alias("neg"),
+            F.sum(F.col("y") * F.col("p")).alias("tp"),
+            F.sum((1 - F.col("y")) * F.col("p")).alias("fp"),
+        )
+    )
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = counts.groupBy(*by).agg(F.percentile_approx("score", shares, 10 * ranges).alias("cuts"))
+    cuts = cuts.withColumn("cuts", F.array_distinct(F.coalesce("cuts", F.array().cast("array<double>"))))
+    ranged = with_place(counts.join(F.broadcast(cuts), by), "score", "cuts", "range").drop("cuts")
+    down = Window.partitionBy(*by, "range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy(*by).orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    pos_above = 2 * F.coalesce(F.sum("pos").over(down), F.lit(0)) + F.col("pos")
+    # twice the pairs that a range's negatives lose against its own positives; earlier ranges' positives beat them all
+    within = (
+        ranged.withColumn("lost", F.col("neg").cast("decimal(19,0)") * pos_above.cast("decimal(19,0)"))
+        .groupBy(*by, "range")
+        .agg(F.sum("lost").alias("lost"), *[F.sum(c).alias(c) for c in ("pos", "neg", "tp", "fp")])
+    )
+    earlier = F.coalesce(F.sum("pos").over(above), F.lit(0)).cast("decimal(19,0)")
+    totals = (
+        within.withColumn("lost", F.col("lost") + 2 * F.col("neg").cast("decimal(19,0)") * earlier)
+        .groupBy(*by)
+        .agg(F.sum("lost").cast("double").alias("lost"), *[F.sum(c).alias(c) for c in ("pos", "neg", "tp", "fp")])
+    )
+    pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
+    return totals.select(
+        *by,
+        (F.col("pos") + F.col("neg")).alias("n"),
+        F.try_divide(F.col("lost"), 2 * pos * neg).alias("auc"),
+        F.try_divide(tp, tp + fp).alias("precision"),
+        F.try_divide(tp, pos).alias("recall"),
+        F.try_divide(tp + neg - fp, pos + neg).alias("accuracy"),
+        F.when(tp > 0, F.try_divide(2 * tp, tp + fp + pos)).alias("f1"),
+    )
+
+
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
     """(label, prediction, n)"""
     return df.groupBy(F.col(label).cast("int").alias("label"), F.col(prediction).cast("int").alias("prediction")).agg(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.cleaning import age
 from ledgerlens.functions.pricing import BAND_EDGES, PRICING_APPLIED, PricingRules, offer
+from ledgerlens.operators.campaign import amount_diff
 from ledgerlens.operators.preparation import (
     add_ratios,
     cast_features,
@@ -23,10 +25,11 @@ from ledgerlens.operators.preparation import (
     split,
     valid_training_rows,
 )
-from ledgerlens.operators.ranking import classification_metrics, roc_auc
+from ledgerlens.operators.quantiles import score_distribution
+from ledgerlens.operators.ranking import metrics_by
 from ledgerlens.plans.features import production_features, training_features
-from ledgerlens.plans.models import LABEL, fit_boosted, score
-from ledgerlens.sources.files import save_model, work_folder
+from ledgerlens.plans.models import LABEL, LossModel, fit_boosted, load_model, score
+from ledgerlens.sources.files import read_text, save_model, work_folder, write_text
 from ledgerlens.sources.tables import Sources
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -34,8 +37,11 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 def prepare_training(features: DataFrame, medians: dict[str, float] | None = None) -> DataFrame:
     """Training features to labelled model inputs."""
-    valid = cast_features(valid_training_rows(clean_text_features(features)))
-    return label_loss(encode_pdtype(add_ratios(impute(valid, "fit", medians), "training")))
+    return label_loss(encode_pdtype(add_ratios(impute(_valid(features), "fit", medians), "training")))
+
+
+def _valid(features: DataFrame) -> DataFrame:
+    return cast_features(valid_training_rows(clean_text_features(features)))
 
 
 def prepare_scoring(features: DataFrame, mode: str = "constant", values: dict[str, float] | None = None) -> DataFrame:
@@ -64,43 +70,76 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 @dataclass
 class Trained:
-    model: PipelineModel
+    model: LossModel
     metrics: DataFrame
+    medians: dict[str, float | None]
+
+
+def prepare_sets(src: Sources, test_share: float = 0.3, seed: int = 0) -> tuple[DataFrame, DataFrame, dict[str, float | None]]:
+    """Train and test rows, written once, and the medians that they are filled with."""
+    features = written(training_features(src), "features")
+    medians = fit_medians(_valid(features))
+    prepared = written(prepare_training(features, medians), "prepared")
+    return *split(prepared, "ssn", test_share, seed), medians
 
 
-def evaluate(model: PipelineModel, train: DataFrame, test: DataFrame, name: str) -> DataFrame:
-    """(model, part, auc, precision, recall, accuracy, f1) on both parts."""
-    parts = []
-    for part, rows in (("train", train), ("test", test)):
-        scored = score(model, rows)
-        auc = roc_auc(scored, "prob_1", LABEL).select("auc")
-        rates = classification_metrics(scored, LABEL, "predicted").select("precision", "recall", "accuracy", "f1")
-        # both have one row; a shared constant key keeps this an equality join
-        one = F.lit(1).alias("k")
-        parts.append(
-            auc.select(one, "auc")
-            .join(rates.select(one, "*"), "k")
-            .select(F.lit(name).alias("model"), F.lit(part).alias("part"), "auc", "precision", "recall", "accuracy", "f1")
-        )
-    return parts[0].unionByName(parts[1])
+def scores_of(models: dict[str, LossModel], train: DataFrame, test: DataFrame) -> DataFrame:
+    """(model, part, label, prob_1, predicted) of all models on both parts, written once."""
+    parts = [
+        score(model, rows).select(F.lit(name).alias("model"), F.lit(part).alias("part"), F.col(LABEL).alias("label"), "prob_1", "predicted")
+        for name, model in models.items()
+        for part, rows in (("train", train), ("test", test))
+    ]
+    return written(reduce(DataFrame.unionByName, parts), "scores")
+
+
+def evaluate(models: dict[str, LossModel], train: DataFrame, test: DataFrame) -> DataFrame:
+    """(model, part, n, auc, precision, recall, accuracy, f1) of all models on both parts, from one pass over the scores."""
+    return metrics_by(scores_of(models, train, test), ["model", "part"], "prob_1", "label", "predicted")
 
 
 def train(
     src: Sources,
-    fit: Callable[[DataFrame], PipelineModel] = fit_boosted,
+    fit: Callable[[DataFrame], LossModel] = fit_boosted,
     name: str = "boosted",
     model_path: str | None = None,
     test_share: float = 0.3,
     seed: int = 0,
 ) -> Trained:
-    """Features, cleaning, label, split, fit, metrics; saves the model if a path is given."""
-    # fitting reads its rows many times: features are built once
-    prepared = prepare_training(written(training_features(src), "features"))
-    train_rows, test_rows = split(prepared, "ssn", test_share, seed)
+    """Features, cleaning, label, split, fit, metrics; saves the model, and the medians with it, if a path is given."""
+    train_rows, test_rows, medians = prepare_sets(src, test_share, seed)
     model = fit(train_rows)
     if model_path is not None:
         save_model(model, model_path)
-    return Trained(model, evaluate(model, train_rows, test_rows, name))
+        write_text(train_rows.sparkSession, f"{model_path}/medians", json.dumps(medians))
+    return Trained(model, evaluate({name: model}, train_rows, test_rows), medians)
+
+
+def load_trained(spark: SparkSession, path: str) -> tuple[LossModel, dict[str, float | None]]:
+    """The model that `train` saved, and the medians that go with it: new rows are filled without a pass over them."""
+    return load_model(path), json.loads(read_text(spark, f"{path}/medians"))
+
+
+def compare(src: Sources, fits: dict[str, Callable[[DataFrame], LossModel]], test_share: float = 0.3, seed: int = 0) -> tuple[dict[str, LossModel], DataFrame]:
+    """Several models fitted on one prepared set, and their metrics on both parts."""
+    train_rows, test_rows, _ = prepare_sets(src, test_share, seed)
+    models = {name: fit(train_rows) for name, fit in fits.items()}
+    return models, evaluate(models, train_rows, test_rows)
+
+
+#: what a score report looks at by score bin
+REPORT_TARGETS = ["if_loss", "profit_historical", "static_pool_recent", "pd_type"]
+
+
+def score_report(scorer: Scorer, rows: DataFrame) -> DataFrame:
+    """Labelled rows with prob_0, prob_1, predicted, score, and by how much the loan grew."""
+    return amount_diff(scorer(rows))
+
+
+def report_distributions(report: DataFrame, bins: int = 10, targets: list[str] | None = None) -> DataFrame:
+    """(target, bin, lower, upper, n, total, mean, mean_2): each target by quantile bins of the score."""
+    parts = [score_distribution(report, "score", bins, t).select(F.lit(t).alias("target"), "*") for t in targets or REPORT_TARGETS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def score_and_price(
@@ -123,5 +162,5 @@ def batch_score_offer(src: Sources, as_of: str, scorer: Scorer, **options) -> Da
     return score_and_price(written(production_features(src, as_of), "features"), scorer, **options)
 
 
-def with_model(model: PipelineModel) -> Scorer:
+def with_model(model: LossModel) -> Scorer:
     return lambda df: score(model, df)

@@ -1,111 +1,104 @@
-"""Loss classifiers of `pyspark.ml` on the twelve model inputs, and what they score."""
+"""Loss classifiers on the twelve model inputs, and what they score."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import boosting, logistic
+from ledgerlens.operators.boosting import Settings
+from ledgerlens.operators.logistic import LogisticModel
 from ledgerlens.schemas import TRAIN_VARS
-from ledgerlens.sources.files import work_folder
+from ledgerlens.sources import files
 
 LABEL = "if_loss"
-
-
-def _assembler() -> VectorAssembler:
-    # the estimators have no branch for missing values: rows with one are an error
-    return VectorAssembler(inputCols=TRAIN_VARS, outputCol="features", handleInvalid="error")
+LossModel = PipelineModel | boosting.Model | LogisticModel
 
 
 def complete_rows(df: DataFrame) -> DataFrame:
-    """Model inputs as double, missing ones 0: a zero loan amount leaves its ratio without a value."""
+    """Model inputs as double, missing ones 0, for models without a branch for missing values."""
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in TRAIN_VARS})
 
 
-def _fit(df: DataFrame, estimator) -> PipelineModel:
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(work_folder(spark, "trees"))
-    return Pipeline(stages=[_assembler(), estimator]).fit(complete_rows(df))
-
-
-def fit_boosted(df: DataFrame, trees: int = 100, depth: int = 3, rate: float = 0.1, seed: int = 0) -> PipelineModel:
-    """Boosted trees with the common defaults; the main model."""
-    # lineage grows with every tree and is cut each 10 trees
-    return _fit(
-        df,
-        GBTClassifier(
-            labelCol=LABEL, maxIter=trees, maxDepth=depth, stepSize=rate, seed=seed, checkpointInterval=10
-        ),
-    )
+def fit_boosted(df: DataFrame, trees: int = 100, depth: int = 3, rate: float = 0.1, store: str | None = None) -> boosting.Model:
+    """Boosted trees of second order with the common defaults; the main model. Missing inputs have a branch."""
+    return boosting.fit(df, TRAIN_VARS, LABEL, Settings(trees, depth, rate), store)
 
 
-def fit_gbdt(df: DataFrame, trees: int = 3000, depth: int = 2, rate: float = 0.1, seed: int = 0) -> PipelineModel:
-    """Many small trees, for comparison."""
-    return fit_boosted(df, trees, depth, rate, seed)
+def fit_gbdt(df: DataFrame, trees: int = 3000, depth: int = 2, rate: float = 0.1, store: str | None = None) -> boosting.Model:
+    """Many small trees that follow the gradients, for comparison. Given a folder, the fit goes on where it ended."""
+    settings = Settings(trees, depth, rate, penalty=0.0, least_weight=0.0, second_order=False)
+    return boosting.fit(df, TRAIN_VARS, LABEL, settings, store)
 
 
-def fit_forest(df: DataFrame, trees: int = 100, depth: int = 10, seed: int = 0) -> PipelineModel:
-    return _fit(
-        df, RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed, checkpointInterval=10)
-    )
+def fit_forest(df: DataFrame, trees: int = 100, depth: int = 30, seed: int = 0) -> PipelineModel:
+    """A forest whose trees grow until leaves are pure, or to depth 30, the most that `pyspark.ml` allows."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(files.work_folder(spark, "trees"))
+    inputs = VectorAssembler(inputCols=TRAIN_VARS, outputCol="features", handleInvalid="error")
+    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed, checkpointInterval=10)
+    return Pipeline(stages=[inputs, forest]).fit(complete_rows(df))
 
 
-def fit_logistic(df: DataFrame, c: float = 1.0) -> PipelineModel:
+def fit_logistic(df: DataFrame, c: float = 1.0) -> LogisticModel:
     """Logistic regression with an L2 penalty of strength 1/c over the sum of losses; inputs are not scaled."""
-    strength = 1.0 / (c * df.count())
-    return _fit(
-        df,
-        LogisticRegression(labelCol=LABEL, regParam=strength, elasticNetParam=0.0, standardization=False, maxIter=100),
-    )
+    return logistic.fit(df, TRAIN_VARS, LABEL, 1.0 / c)
+
+
+def fit_logit(df: DataFrame) -> LogisticModel:
+    """A logit without intercept or penalty."""
+    return logistic.fit(df, TRAIN_VARS, LABEL, intercept=False)
 
 
 def logit_summary(df: DataFrame) -> DataFrame:
-    """(feature, coefficient, std_error, z, p_value) of a logit without intercept or penalty."""
-    rows = _assembler().transform(complete_rows(df)).select("features", F.col(LABEL).cast("double").alias(LABEL))
-    glm = GeneralizedLinearRegression(
-        family="binomial", link="logit", fitIntercept=False, labelCol=LABEL, maxIter=100
-    ).fit(rows)
-    s = glm.summary
-    # one line per model input
-    lines = zip(
-        TRAIN_VARS,
-        [float(x) for x in glm.coefficients],
-        [float(x) for x in s.coefficientStandardErrors],
-        [float(x) for x in s.tValues],
-        [float(x) for x in s.pValues],
-    )
+    """(feature, coefficient, std_error, z, p_value) of a logit without intercept or penalty. One line per model input."""
+    model = fit_logit(df)
+    lines = []
+    for c, w, error in zip(model.columns, model.weights, model.errors):
+        z = w / error if error > 0 else None
+        lines.append((c, w, error, z, None if z is None else math.erfc(abs(z) / math.sqrt(2))))
     schema = "feature string, coefficient double, std_error double, z double, p_value double"
-    return df.sparkSession.createDataFrame(list(lines), schema)
+    return df.sparkSession.createDataFrame(lines, schema)
 
 
-def feature_importance(model: PipelineModel) -> DataFrame:
-    """(feature, importance), the most important first. One line per model input."""
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(c, float(w)) for c, w in zip(TRAIN_VARS, weights)]
+def feature_importance(model: LossModel) -> DataFrame:
+    """(feature, importance), the most important first. One line per model input; importances sum up to 1."""
+    if isinstance(model, boosting.Model):
+        rows = list(model.importance().items())
+    else:
+        rows = [(c, float(w)) for c, w in zip(TRAIN_VARS, model.stages[-1].featureImportances.toArray())]
     spark = SparkSession.active()
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: LossModel, df: DataFrame) -> DataFrame:
     """Input columns with prob_0, prob_1, hard label `predicted` and score = chance of no loss x 1000."""
-    kept = df.columns
-    rows = df.withColumn("_row", F.struct(*kept))
-    scored = model.transform(complete_rows(rows))
-    probability = vector_to_array("probability")
-    return scored.select(
-        "_row.*",
-        probability[0].alias("prob_0"),
-        probability[1].alias("prob_1"),
-        F.col("prediction").cast("int").alias("predicted"),
-        (probability[0] * 1000).alias("score"),
+    if isinstance(model, PipelineModel):
+        kept = df.columns
+        scored = model.transform(complete_rows(df.withColumn("_row", F.struct(*kept))))
+        loss = scored.select("_row.*", vector_to_array("probability")[1].alias("prob_1"))
+    else:
+        loss = df.withColumn("prob_1", 1 / (1 + F.exp(-model.margin())))
+    return loss.select(
+        *df.columns,
+        (1 - F.col("prob_1")).alias("prob_0"),
+        "prob_1",
+        (F.col("prob_1") > 0.5).cast("int").alias("predicted"),
+        ((1 - F.col("prob_1")) * 1000).alias("score"),
     )
 
 
+def load_model(path: str) -> LossModel:
+    return files.load_model(path, boosting.Model, LogisticModel)
+
+
 def linear_loss(weights: dict[str, float], intercept: float) -> Column:
     """Chance of loss by a scorecard of given weights; missing inputs count 0, as for fitted models."""
     margin = F.lit(float(intercept))

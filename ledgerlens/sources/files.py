@@ -35,6 +35,26 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def folder_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the complete outputs in a folder; none if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    found = [status.getPath() for status in system.listStatus(path)]
+    done = [p for p in found if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return [p.getName() for p in done]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A text in a folder, whole or not at all."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.parquet(path).first()["value"]
+
+
 def read_features_csv(spark: SparkSession, path: str, schema: T.StructType = FEATURE_CSV_SCHEMA) -> DataFrame:
     """A feature file with header; empty fields and NULL are null. Fails if the header lacks a column."""
     header = spark.read.option("header", True).csv(path)
@@ -73,9 +93,19 @@ def write_requests(df: DataFrame, path: str) -> None:
     conform(df, REQUEST_SCHEMA, "requests").write.mode("overwrite").json(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> None:
+    """A model of `pyspark.ml`, or of another kind that has a text form (`to_json`); what is there before goes."""
+    remove_folder(SparkSession.active(), path)
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(f"{path}/pipeline")
+    else:
+        write_text(SparkSession.active(), f"{path}/{type(model).__name__}", model.to_json())
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, *kinds: type):
+    """What `save_model` wrote: a pipeline, or a model of one of these kinds."""
+    names = folder_names(SparkSession.active(), path)
+    for kind in kinds:
+        if kind.__name__ in names:
+            return kind.from_json(read_text(SparkSession.active(), f"{path}/{kind.__name__}"))
+    return PipelineModel.load(f"{path}/pipeline")

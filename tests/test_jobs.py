@@ -26,12 +26,13 @@ def test_train_saves_and_loads(spark, prepared):
     path = files.work_folder(spark, "model")
     files.save_model(model, path)
     before = models.score(model, prepared).orderBy("ssn").select("ssn", "score").collect()
-    again = models.score(files.load_model(path), prepared).orderBy("ssn").select("ssn", "score").collect()
+    again = models.score(models.load_model(path), prepared).orderBy("ssn").select("ssn", "score").collect()
     assert before == again and all(0 <= r.score <= 1000 for r in before)
     importance = models.feature_importance(model).collect()
     assert {r.feature for r in importance} == set(TRAIN_VARS)
     assert [r.importance for r in importance] == sorted((r.importance for r in importance), reverse=True)
-    metrics = jobs.evaluate(model, prepared, prepared, "boosted").collect()
+    assert abs(sum(r.importance for r in importance) - 1) < 1e-9
+    metrics = jobs.evaluate({"boosted": model}, prepared, prepared).collect()
     assert {r.part for r in metrics} == {"train", "test"} and all(r.auc > 0.7 for r in metrics)
 
 
@@ -46,7 +47,25 @@ def test_score_keeps_input_columns(spark, prepared):
 
 def test_logit_summary_lists_every_input(prepared):
     rows = models.logit_summary(prepared).collect()
-    assert [r.feature for r in rows] == TRAIN_VARS and all(0 <= r.p_value <= 1 for r in rows)
+    assert [r.feature for r in rows] == TRAIN_VARS and all(r.p_value is None or 0 <= r.p_value <= 1 for r in rows)
+
+
+def test_medians_are_kept_with_the_model(spark):
+    path = files.work_folder(spark, "model")
+    src = sample_sources(spark, SMALL)
+    trained = jobs.train(src, models.fit_logistic, "logistic", path)
+    model, medians = jobs.load_trained(spark, path)
+    assert medians == trained.medians and model == trained.model and set(medians) == {"salary", "bank_account_length_months", "months_at_residence"}
+    batch = jobs.batch_score_offer(src, "2024-02-01", jobs.with_model(model), mode="batch", values=medians)
+    assert batch.count() == batch.filter("salary is not null").count() > 0
+
+
+def test_models_are_compared_on_one_set(spark):
+    fits = {"forest": lambda df: models.fit_forest(df, trees=5), "logistic": models.fit_logistic, "boosted": lambda df: models.fit_boosted(df, trees=5)}
+    fitted, metrics = jobs.compare(sample_sources(spark, SMALL), fits)
+    rows = metrics.collect()
+    assert {(r.model, r.part) for r in rows} == {(m, p) for m in fits for p in ("train", "test")} and set(fitted) == set(fits)
+    assert len({(r.part, r.n) for r in rows}) == 2
 
 
 REQUESTS = [

@@ -31,7 +31,8 @@ def engine():
 def test_names():
     names = set(registered.queries())
     assert set(SQL) <= names <= set(entry_points.queries())
-    assert names - set(SQL) == {"fit_boosted", "fit_gbdt", "fit_forest", "fit_logistic", "logit_summary", "feature_importance"}
+    fits = {"fit_boosted", "fit_gbdt", "fit_forest", "fit_logistic", "logit_summary", "feature_importance", "model_comparison"}
+    assert names - set(SQL) == fits
 
 
 def test_entry(spark):
@@ -47,5 +48,5 @@ def test_same_rows(spark, engine, name):
 def test_comparison_model_fits_all_its_trees(monkeypatch):
     monkeypatch.setattr(registered, "sample_sources", lambda spark, d: None)
     monkeypatch.setattr(registered.jobs, "train", lambda src, fit, name: SimpleNamespace(metrics=fit("rows")))
-    monkeypatch.setattr(registered.models, "fit_boosted", lambda df, trees, *rest: trees)
+    monkeypatch.setattr(registered.models.boosting, "fit", lambda df, columns, label, settings, store: settings.trees)
     assert registered.queries()["fit_gbdt"](None, SMALLEST) == 3000
