@@ -44,7 +44,30 @@ class Node:
         return int(self.ends[i - 1]) if i else 0
 
 
-class BytePairs:
+class Vocabulary:
+    """The bytes of each id of a byte-level vocabulary file of the `tokenizers` library."""
+
+    def __init__(self, path: str) -> None:
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in visible]
+        byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
+        with open(path) as f:
+            given = json.load(f)
+        if given["decoder"]["type"] != "ByteLevel" or given["normalizer"]:
+            raise ValueError("a byte-level vocabulary is needed, without normaliser")
+        self.model = given["model"]
+        ids = self.model["vocab"] | {t["content"]: t["id"] for t in given["added_tokens"]}
+        self.bytes_of: dict[int, bytes] = {}
+        for token, i in ids.items():
+            known = all(c in byte_of for c in token)
+            self.bytes_of[i] = bytes(byte_of[c] for c in token) if known else token.encode()
+
+    def text(self, ids: list[int | None]) -> str:
+        """Bytes of the ids, one after the other; ids that are not in the vocabulary have none."""
+        return b"".join([self.bytes_of.get(i, b"") for i in ids]).decode("utf-8", "replace")
+
+
+class BytePairs(Vocabulary):
     """A vocabulary file of the `tokenizers` library: byte-level, without normaliser or unknown token.
 
     Such a vocabulary splits a text by a pattern, from left to right, and merges bytes within each part. Two facts let
@@ -59,36 +82,29 @@ class BytePairs:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer, decoders, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__(path)
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        if self.tokenizer.normalizer or not isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel):
-            raise ValueError("a byte-level vocabulary is needed, without normaliser")
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in visible]
-        byte_of = {chr(b): b for b in visible} | {chr(256 + i): b for i, b in enumerate(others)}
-        if not isinstance(self.tokenizer.decoder, decoders.ByteLevel):
-            raise ValueError("a byte-level vocabulary is needed, with its decoder")
+        if not isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel):
+            raise ValueError("a byte-level vocabulary is needed, split as such")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         pattern = self._pattern()
         self.pattern = re.compile(pattern)
         self.above = re.compile(f"[{chr(PLAIN)}-\U0010ffff]")
-        self.bytes_of: dict[int, bytes] = {}
-        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
-            known = all(c in byte_of for c in token)
-            self.bytes_of[i] = bytes(byte_of[c] for c in token) if known else token.encode()
-        with open(path) as f:
-            model = json.load(f)["model"]
+        model = self.model
         merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
         if merged != sorted(merged) or any(model.get(k) for k in ("unk_token", "dropout", "ignore_merges")):
             raise ValueError("a vocabulary is needed whose ids are in the order of its merges")
-        ranks = {b: i for i, b in self.bytes_of.items() if self.tokenizer.id_to_token(i) not in self.special}
+        special = {self.tokenizer.token_to_id(t) for t in self.special}
+        ranks = {b: i for i, b in self.bytes_of.items() if i not in special}
         self.pairs = tiktoken.Encoding("byte pairs", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.lengths = np.zeros(max(self.bytes_of) + 1, np.int64)
         for i, b in self.bytes_of.items():
             self.lengths[i] = len(b)
+        del self.model
 
     def _pattern(self) -> str:
         """The pattern of the split, with the characters below `PLAIN` as the library sorts them."""
@@ -222,10 +238,6 @@ class BytePairs:
                 out[i] = self.node(text, leaf).ids
         return out
 
-    def text(self, ids: list[int | None]) -> str:
-        """Bytes of the ids, one after the other; ids that are not in the vocabulary have none."""
-        return b"".join([self.bytes_of.get(i, b"") for i in ids]).decode("utf-8", "replace")
-
 
 def _lists(found: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, found)])
@@ -301,9 +313,9 @@ def decode(tokens: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = BytePairs(tokenizer)
+        vocabulary = Vocabulary(tokenizer)
         for batch in batches:
-            texts = [None if not v.is_valid else pairs.text(v.as_py()) for v in batch.column("ids")]
+            texts = [vocabulary.text(v.as_py()) if v.is_valid else None for v in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return pick(tokens, "doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
