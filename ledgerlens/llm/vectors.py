@@ -19,6 +19,8 @@ BLOCK, BLOCKS = 8192, 16
 STEPS = (8, 16, 32)
 #: vectors compared at once within a tile
 CORNER = 1024
+#: places in which the name of a component is looked up
+SALTS = 16
 #: how far rounding may carry a bound
 ROUNDING = 1e-9
 
@@ -115,18 +117,17 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, block: int = BLOCK, bl
     the method is exact, and each dropped pair costs eight of its dimensions.
 
     Vectors that are null, empty or zero, or hold a null or non-finite component, link with nothing and are kept.
-    Vectors of another length than theirs link with nothing either. Null vec_id: the row counts as a copy but names no
-    component; rows that share a vec_id are vectors of their own. No vectors: no rows. Only vec_id and embedding are
-    looked at.
+    Vectors of another length than theirs link with nothing either. Null vec_id: the vector links like any other but
+    names no component, so one with such vectors alone has none; rows that share a vec_id are vectors of their own. No
+    vectors: no rows. Only vec_id and embedding are looked at.
     """
     rows = pick(vectors, "vec_id", "embedding").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
     fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     usable = fine & F.exists("embedding", lambda v: v != 0)
     rows = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
-    classes = written(
-        rows.where("usable").groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")).where("id is not null"),
-        "classes",
-    )
+    # a class has a key of its own, as its vectors may lack ids or share one with another class
+    distinct = rows.where("usable").groupBy("embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
+    classes = written(distinct.withColumn("id", F.monotonically_increasing_id()), "classes")
     found = [_tiles(classes.where(F.size("embedding") == r["d"]), r["d"], r["n"], least, block, blocks)
              for r in classes.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).collect()]
     tiles = classes.select("id", F.lit(0).cast("long").alias("links"), F.col("id").alias("root")).limit(0)
@@ -134,11 +135,21 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, block: int = BLOCK, bl
         tiles = tiles.union(one)
     tiles = written(tiles, "tiles")
     labels = components(tiles.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
+    # the least vec_id of a component, looked up in SALTS places, as one component may hold most of the vectors
+    named = written(labels.join(classes.select(F.col("id").alias("node"), "vec_id"), "node"), "labels")
+    names = named.groupBy("component").agg(F.min("vec_id").alias("named"))
+    names = names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = named.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    roots = salted.join(names, ["component", "salt"]).select(F.col("node").alias("id"), "named", F.lit(True).alias("joined"))
     counts = tiles.groupBy("id").agg(F.sum("links").alias("links"))
     known = written(
         classes.join(counts, "id", "left")
-        .join(labels.withColumnRenamed("node", "id"), "id", "left")
-        .select("embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("root")),
+        .join(roots, "id", "left")
+        .select(
+            "embedding",
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.when(F.col("joined"), F.col("named")).otherwise(F.col("vec_id")).alias("root"),
+        ),
         "known",
     )
     usable_rows = rows.where("usable").join(known, "embedding", "left").select("vec_id", "n_links", "root")

@@ -91,3 +91,13 @@ def test_null_id_counts_as_a_copy(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     got = {(r["vec_id"], r["n_links"], r["component_id"]) for r in near_vectors(df).collect()}
     assert (1, 1, 1) in got and (None, 1, 1) in got and len(got) == 3
+
+
+def test_null_ids_lose_no_links(spark):
+    """A vector whose class has no id at all still links with other classes, and ids shared by classes are kept apart."""
+    rows = [(1, [1.0, 0.0], 0, 0, "", ""), (None, [1.0, 0.01], 0, 0, "", ""), (7, [0.0, 1.0], 0, 0, "", ""), (7, [0.01, 1.0], 0, 0, "", ""),
+            (7, [-1.0, 0.0], 0, 0, "", ""), (None, [1.0, -1.0], 0, 0, "", ""), (9, [1.0, 0.02], 0, 0, "", "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in near_vectors(df).collect()), key=str)
+    want = [(1, 2, 1, True), (0, 2, 1, False), (9, 2, 1, False), (7, 1, 7, True), (7, 1, 7, True), (7, 0, 7, True), (0, 0, None, True)]
+    assert got == sorted(want, key=str)
