@@ -5,9 +5,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import json
 import struct
 from collections.abc import Iterator
-from uuid import uuid4
+from uuid import UUID, uuid4, uuid5
 
 import pyarrow as pa
 import zstandard
@@ -20,8 +21,10 @@ from ledgerlens.sources.files import work_folder
 
 #: Fixed value: the number that starts a skippable frame with a dictionary, by the convention for such archives
 DICTIONARY_FRAME = 0x184D2A5D
-#: records that the dictionary is made from, about; its size; bytes after which a file is closed
-SAMPLE, DICTIONARY_SIZE, FILE_SIZE = 400, 64 << 10, 128 << 20
+#: records that the dictionary is made from, about, and the bytes taken of each at most; its size; bytes after which a file is closed
+SAMPLE, SAMPLE_BYTES, DICTIONARY_SIZE, FILE_SIZE = 400, 128 << 10, 64 << 10, 128 << 20
+#: Fixed value: the name space that record names are made in
+NAMES = UUID("0d9f2f4e-7f3c-4a59-9c55-6a1f5f0b7a11")
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -36,9 +39,8 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def dictionary(payloads: list[bytes]) -> bytes:
+def dictionary(some: list[bytes]) -> bytes:
     """A trained dictionary, or, from too few records to train on, the records themselves."""
-    some = [p for p in payloads if p]
     try:
         return zstandard.train_dictionary(DICTIONARY_SIZE, some).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -50,26 +52,36 @@ def _kind(content: bytes) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_FULLDICT if full else zstandard.DICT_TYPE_RAWCONTENT)
 
 
+def record_id(page_id: int | None, named: str) -> str:
+    """The name of a page's record, the same in every run; equal pages have equal names."""
+    return f"<urn:uuid:{uuid5(NAMES, f'{page_id}:{named}')}>"
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, is_revisit: bool) -> bytes:
     """One record: named fields, then an HTTP head and, unless another record holds it, the payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if is_revisit else http + payload
+    named = digest(payload)
     fields = [
         ("WARC-Type", "revisit" if is_revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid4()}>"),
+        ("WARC-Record-ID", record_id(page_id, named)),
         ("WARC-Date", DATE),
-        ("WARC-Payload-Digest", f"sha1:{digest(payload)}"),
+        ("WARC-Payload-Digest", f"sha1:{named}"),
         ("Page-Payload-Length", str(len(payload))),
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(block))),
     ]
     if url is not None:
-        # no field may hold a line break
-        fields.append(("WARC-Target-URI", "".join(c if c > " " else "".join(f"%{b:02X}" for b in c.encode()) for c in url)))
+        # no field may hold a line break, and no address a space: what had to be changed is kept beside it
+        address = "".join(c if c > " " else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
+        fields.append(("WARC-Target-URI", address))
+        if address != url:
+            fields.append(("Page-URL", json.dumps(url)))
     if page_id is not None:
         fields.append(("Page-ID", str(page_id)))
     if is_revisit:
         fields.append(("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
+        fields.append(("WARC-Refers-To", record_id(refers_to, named)))
         fields.append(("Page-Refers-To", str(refers_to)))
     head = "".join(f"{k}: {v}\r\n" for k, v in fields)
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
@@ -100,19 +112,22 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, sample: int =
 
     The payload is the html in UTF-8, null as empty. Of records with equal payloads of at least `least` bytes the one
     with the largest page_id is the response, the others revisit it. Rows that share that page_id are responses each;
-    so are rows of a payload whose page_ids are all null, while a null page_id beside others revisits. About `sample`
-    records, picked by a hash, make the dictionary; it opens every file, in a skippable frame. Each task writes files
-    of its own under new names, and only files of tasks that ended well are in the list that is returned.
+    so are rows of a payload whose page_ids are all null, while a null page_id beside others revisits. Records, their
+    fields included, have the same bytes in every run. About `sample` records of different payloads, picked by a hash, up to
+    128 kB of each, make the dictionary; it opens every file, in a skippable frame. Each task writes files of its own
+    under new names, and only files of tasks that ended well are in the list that is returned.
     """
     spark = pages.sparkSession
     rows = pick(pages, "page_id", "url", "html").select(
         F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
     )
     rows = rows.withColumn("sha1", F.sha1("payload"))
-    total = rows.count()
-    share = int(min(1.0, sample / max(1, total)) * (1 << 30))
-    chosen = rows.where(F.pmod(F.xxhash64("page_id", "sha1"), F.lit(1 << 30)) < share).select("payload")
-    content = dictionary(sorted(bytes(r["payload"]) for r in chosen.collect()))
+    different = rows.agg(F.approx_count_distinct("sha1", 0.02)).first()[0]
+    share = int(min(1.0, sample / max(1, different)) * (1 << 30))
+    picked = rows.where(F.pmod(F.xxhash64(F.lit("dictionary"), "sha1"), F.lit(1 << 30)) < share)
+    first = picked.groupBy("sha1").agg(F.min(F.struct("page_id", "url")).alias("of"), F.first(F.substring("payload", 1, SAMPLE_BYTES)).alias("payload"))
+    taken = first.select("of.page_id", "of.url", "payload").collect()
+    content = dictionary(sorted(record(r["page_id"], r["url"], bytes(r["payload"]), None, False) for r in taken))
 
     shared = (
         rows.where(F.octet_length("payload") >= least)
@@ -184,7 +199,8 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                             raise ValueError(f"{path}: a payload differs from its digest")
                         length = number(fields["Page-Payload-Length"])
                         kept = payload if with_payload and not is_revisit else None
-                        row = (number(fields.get("Page-ID")), fields.get("WARC-Target-URI"), kept, length, named)
+                        url = json.loads(fields["Page-URL"]) if "Page-URL" in fields else fields.get("WARC-Target-URI")
+                        row = (number(fields.get("Page-ID")), url, kept, length, named)
                         rows.append((*row, fields["WARC-Type"], number(fields.get("Page-Refers-To"))))
                         size += len(payload) if with_payload else 100
                         if size > 8 << 20:

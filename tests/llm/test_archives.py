@@ -6,7 +6,8 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.archives import DICTIONARY_FRAME, _file_system, _kind, dictionary, read_archives, write_archives
+from ledgerlens.llm import archives
+from ledgerlens.llm.archives import DICTIONARY_FRAME, _file_system, _kind, dictionary, read_archives, records, write_archives
 from ledgerlens.sources.files import work_folder
 
 SCHEMA = "page_id long, url string, html string, payload string, keeper long, sha1 string, URL string"
@@ -58,6 +59,37 @@ def test_round_trip(spark, least):
     assert archives.agg(F.sum("records")).first()[0] == len(ODD)
 
 
+def test_addresses_and_names_of_records(spark):
+    folder = work_folder(spark, "warc")
+    first = write_archives(pages(spark, ODD).coalesce(1), folder)
+    assert {r["url"] for r in read_archives(first).collect()} == {u for _, u, _ in ODD}
+
+    def blocks(of):
+        store, at = _file_system(of.where("records > 0").first()["path"])
+        with store.open_input_stream(at) as stream:
+            return list(records(stream))
+
+    found = blocks(first)
+    named = {f["WARC-Record-ID"]: f for f, _ in found}
+    for fields, _ in found:
+        if fields["WARC-Type"] == "revisit":
+            of = named[fields["WARC-Refers-To"]]
+            assert of["WARC-Type"] == "response" and of["WARC-Payload-Digest"] == fields["WARC-Payload-Digest"] and of["Page-ID"] == fields["Page-Refers-To"]
+    # a rerun writes the same records
+    again = blocks(write_archives(pages(spark, ODD).coalesce(1), work_folder(spark, "warc")))
+    assert sorted(map(str, again)) == sorted(map(str, found))
+
+
+def test_dictionary_sample_is_bounded(spark, monkeypatch):
+    """Equal payloads count once, and of a long one a part is taken."""
+    taken = []
+    monkeypatch.setattr(archives, "dictionary", lambda some: (taken.extend(some), b"")[1])
+    monkeypatch.setattr(archives, "SAMPLE_BYTES", 1000)
+    rows = [(i, "http://x/", "the same page " * 50) for i in range(3000)] + [(5000 + i, "http://y/", f"{i} " * 2000) for i in range(5)]
+    write_archives(pages(spark, rows), work_folder(spark, "warc"))
+    assert 1 <= len(taken) <= 6 and all(len(t) < 2000 and t.startswith(b"WARC/1.1") for t in taken)
+
+
 def test_no_pages(spark):
     archives = write_archives(pages(spark, []), work_folder(spark, "warc"))
     assert read_archives(archives).count() == 0
