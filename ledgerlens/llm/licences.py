@@ -189,46 +189,72 @@ def _matches(unit: Column, known: Column, every: Column, least: int) -> Column:
     return let({"w": F.split(plain, " ")}, pairs)
 
 
+#: bigrams of a passage, repeats counted, for each different one that it may hold
+REPEATS = 4
+
+
 def _passages(text: Column, known: Column, every: Column, least: int) -> Column:
-    """(dice, length, start, end, licence) of the passages close to a template, the best of each overlapping span.
+    """(dice, licence) of the passages close to a template, the best of each overlapping span.
 
-    A best passage starts and ends with a bigram of the template. So one is tried from every such bigram that enough
-    others follow, up to the one where the share of the template's bigrams is best.
+    A passage starts and ends with a bigram of the template. From every such bigram one grows until it holds more
+    different bigrams than a match may, or `REPEATS` times as many with repeats; what counts is where its coefficient,
+    over different bigrams, is highest, and last of equals. A bigram is new to a passage if it came last before its start.
     """
 
     def pairs(s: Column) -> Column:
         n = F.size(s["w"])
         return F.transform(F.slice(s["w"], F.lit(1), F.greatest(F.lit(0), n - 1)), lambda w, i: F.concat(w, F.lit(" "), F.get(s["w"], i + 1)))
 
+    def before(b: Column) -> Column:
+        """For each bigram the place of the same one before it, or -1."""
+        by_word = F.array_sort(F.transform(b, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+
+        def linked(s: Column) -> Column:
+            same = lambda e, k: F.get(s["o"], k - 1)["x"] == e["x"]
+            found = F.transform(s["o"], lambda e, k: F.struct(e["i"].alias("i"), F.when((k > 0) & same(e, k), F.get(s["o"], k - 1)["i"]).otherwise(-1).alias("p")))
+            return F.transform(F.array_sort(found), lambda e: e["p"])
+
+        return let({"o": by_word}, linked)
+
     def near(s: Column) -> Column:
         # a match shares least / (200 - least) of a template's bigrams or more
         some = lambda t: (t["size"] > 0) & (F.size(F.array_intersect(s["c"], t["bigrams"])) * (200 - least) >= t["size"] * least)
-        return F.flatten(F.transform(F.filter(known, some), lambda t: of_template(s["b"], t)))
+        none = F.array().cast(FOUND)
+
+        def at(u: Column) -> Column:
+            return F.when(F.size(u["t"]) > 0, let({"p": before(s["b"])}, lambda v: F.flatten(F.transform(u["t"], lambda t: of_template(s["b"], v["p"], t))))).otherwise(none)
 
-    def of_template(b: Column, t: Column) -> Column:
-        hits = F.filter(F.transform(b, lambda x, i: F.when(F.array_contains(t["bigrams"], x), i).otherwise(-1)), lambda i: i >= 0)
-        fewest = F.ceil(t["size"] * least / (200 - least)).cast("int")
+        return let({"t": F.filter(known, some)}, at)
+
+    def of_template(b: Column, p: Column, t: Column) -> Column:
+        places = F.zip_with(b, p, lambda x, last: F.struct(F.array_contains(t["bigrams"], x).alias("hit"), last.alias("last")))
         longest = F.floor(t["size"] * (200 - least) / least).cast("int")
-        return let({"h": hits, "fewest": fewest, "longest": longest}, lambda s: from_hits(b, t, s))
-
-    def from_hits(b: Column, t: Column, s: Column) -> Column:
-        def best_end(p: Column, j: Column) -> Column:
-            ends = F.slice(s["h"], j + s["fewest"], s["longest"] - s["fewest"] + 1)
-            share = lambda e, k: (k + s["fewest"]) * 200 / (e - p + 1 + t["size"])
-            tried = F.transform(ends, lambda e, k: F.struct(share(e, k).alias("share"), p.alias("start"), e.alias("end")))
-            return F.array_max(F.filter(tried, lambda x: (x["end"] - p < s["longest"]) & (x["share"] >= least)))
-
-        spans = F.filter(F.transform(s["h"], best_end), lambda x: x.isNotNull())
-        counted = F.transform(
-            spans,
-            lambda x: let({"d": F.array_distinct(F.slice(b, x["start"] + 1, x["end"] - x["start"] + 1))}, lambda u: measured(x, u["d"], t)),
+        return let({"z": F.transform(places, lambda x, i: F.struct(i.alias("i"), x["hit"].alias("hit"), x["last"].alias("last"))), "longest": longest}, lambda s: from_hits(t, s))
+
+    def from_hits(t: Column, s: Column) -> Column:
+        def grown(start: Column) -> Column:
+            def step(state: Column, x: Column) -> Column:
+                new = x["last"] < start["i"]
+                d, c = state["d"] + new.cast("int"), state["c"] + (new & x["hit"]).cast("int")
+                better = new & x["hit"] & (d <= s["longest"]) & (c * (state["of"] + t["size"]) >= state["best"] * (d + t["size"]))
+                return F.struct(
+                    d.alias("d"), c.alias("c"), F.when(better, c).otherwise(state["best"]).alias("best"),
+                    F.when(better, d).otherwise(state["of"]).alias("of"), F.when(better, x["i"]).otherwise(state["end"]).alias("end"),
+                )
+
+            zero = F.struct(F.lit(0).alias("d"), F.lit(0).alias("c"), F.lit(0).alias("best"), F.lit(0).alias("of"), F.lit(-1).alias("end"))
+            window = F.slice(s["z"], start["i"] + 1, s["longest"] * REPEATS)
+            return F.aggregate(window, zero, step, lambda r: F.struct(r["best"].alias("c"), r["of"].alias("d"), start["i"].alias("start"), r["end"].alias("end")))
+
+        spans = F.transform(F.filter(s["z"], lambda x: x["hit"]), grown)
+        close = F.filter(spans, lambda m: m["c"] * 200 >= (m["d"] + t["size"]) * least)
+        return F.transform(
+            close,
+            lambda m: F.struct(
+                (m["c"] * 2 / (m["d"] + t["size"])).alias("dice"), (m["end"] - m["start"]).alias("length"),
+                m["start"].alias("start"), m["end"].alias("end"), t["licence"].alias("licence"),
+            ),
         )
-        return F.filter(counted, lambda m: m["dice"] * 100 >= least)
-
-    def measured(span: Column, distinct: Column, t: Column) -> Column:
-        dice = F.size(F.array_intersect(distinct, t["bigrams"])) * 2 / (F.size(distinct) + t["size"])
-        length = span["end"] - span["start"]
-        return F.struct(dice.alias("dice"), length.alias("length"), span["start"].alias("start"), span["end"].alias("end"), t["licence"].alias("licence"))
 
     def keep(kept: Column, m: Column) -> Column:
         meets = F.exists(kept, lambda k: (k["start"] <= m["end"]) & (m["start"] <= k["end"]))
@@ -236,11 +262,13 @@ def _passages(text: Column, known: Column, every: Column, least: int) -> Column:
 
     plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
     found = let({"w": F.split(plain, " ")}, lambda s: let({"b": pairs(s)}, lambda u: let({"b": u["b"], "c": F.array_intersect(u["b"], every)}, near)))
-    none = F.array().cast("array<struct<dice:double,length:int,start:int,end:int,licence:string>>")
-    best = F.aggregate(F.sort_array(found, asc=False), none, keep)
+    best = F.aggregate(F.sort_array(found, asc=False), F.array().cast(FOUND), keep)
     return F.transform(best, lambda m: F.struct(m["dice"].alias("dice"), m["licence"].alias("licence")))
 
 
+FOUND = "array<struct<dice:double,length:int,start:int,end:int,licence:string>>"
+
+
 def licences(
     docs: DataFrame,
     columns: tuple[str, ...] | None = None,
@@ -257,8 +285,9 @@ def licences(
     empty string, 0. Input columns named licences or best_dice are replaced.
 
     With `anywhere`, passages of the text count instead, wherever they start and end, across lines and paragraphs and
-    within them: from each bigram of a template to the one that makes the best share, and of passages that overlap the
-    one with the highest coefficient.
+    within them: from each bigram of a template to the one up to which the coefficient is highest, repeats counting once,
+    and of passages that overlap the one with the highest coefficient, then the longest, the last, the last by name. A
+    passage holds at most `REPEATS` bigrams for each different one that a match may hold.
     """
     columns = [c for c in (columns or docs.columns) if c not in ("licences", "best_dice")]
     known = [(name, bigrams_of(text)) for name, text in (TEMPLATES if templates is None else templates)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.llm.licences import LEAST, TEMPLATES, words_of
+from ledgerlens.llm.licences import LEAST, REPEATS, TEMPLATES, words_of
 
 # one order of all documents of a source, and running sums over it, instead of cells and cuts
 _MIXING = r"""
@@ -159,28 +159,49 @@ select doc_id, n_features, weight, score, case when place <= (select 25 * count(
 
 _TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{' '.join(words_of(text))}')" for i, (name, text) in enumerate(TEMPLATES))
 
+# a row for each place of a text, each pair of places that a passage may start and end at, and the passages kept so far
 _LICENCES = rf"""
-with templates(t, licence, words) as (values {_TEMPLATE_ROWS}
-), units as (
-  select distinct doc_id, unnest(list_concat(string_split(text, chr(10)), regexp_split_to_array(text, '\n[\x20\t\r]*\n'), [text])) u
-  from documents where text is not null
-), cut as (
-  select doc_id, u, string_split(trim(regexp_replace(lower(u), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') w from units
-), pairs as (
-  select doc_id, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) b from cut
+with recursive templates(t, licence, words) as (values {_TEMPLATE_ROWS}
 ), known as (
-  select t, licence, list_distinct(list_transform(range(1, len(string_split(words, ' '))),
-    lambda i: string_split(words, ' ')[i] || ' ' || string_split(words, ' ')[i + 1])) b from templates
-), compared as (
-  select doc_id, licence, len(list_intersect(p.b, k.b)) c, len(p.b) + len(k.b) n
-  from pairs p join known k on 200 * least(len(p.b), len(k.b)) >= {LEAST} * (len(p.b) + len(k.b))
+  select t, licence, unnest(b) b, len(b) size, floor(len(b) * {200 - LEAST} / {LEAST})::int longest from (
+    select t, licence, list_distinct(list_transform(range(1, len(string_split(words, ' '))),
+      lambda i: string_split(words, ' ')[i] || ' ' || string_split(words, ' ')[i + 1])) b from templates)
+), texts as (
+  select row_number() over () r, doc_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') w from documents
+), cut as (
+  select r, unnest(range(len(w) - 1)) i, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) b from texts where len(w) > 1
+), hits as (
+  select r, i, t from cut join known using (b)
+), likely as (
+  select r, t, any_value(size) size, any_value(longest) longest, any_value(licence) licence from cut join known using (b)
+  group by r, t having count(distinct b) * {200 - LEAST} >= any_value(size) * {LEAST}
+), places as (
+  select *, coalesce(lag(i) over (partition by r, b order by i), -1) last from cut where r in (select r from likely)
+), grown as (
+  select l.r, l.t, l.size, l.longest, l.licence, h.i s, p.i e, p.last < h.i fresh, x.i is not null hit,
+    sum((p.last < h.i)::int) over w d, sum((p.last < h.i and x.i is not null)::int) over w c
+  from likely l join hits h on h.r = l.r and h.t = l.t
+  join places p on p.r = l.r and p.i >= h.i and p.i < h.i + {REPEATS} * l.longest
+  left join hits x on x.r = l.r and x.t = l.t and x.i = p.i
+  window w as (partition by l.r, l.t, h.i order by p.i rows between unbounded preceding and current row)
+), spans as (
+  select r, t, licence, s, e, c * 2 / (d + size) dice, e - s length from grown where fresh and hit and d <= longest
+  qualify row_number() over (partition by r, t, s order by c / (d + size) desc, e desc) = 1 and c * 200 >= (d + size) * {LEAST}
+), ranked as (
+  select r, licence, s, e, dice, row_number() over (partition by r order by dice desc, length desc, s desc, e desc, licence desc) n from spans
+), kept as (
+  select r, n, [{{'s': s, 'e': e, 'licence': licence, 'dice': dice}}] found from ranked where n = 1
+  union all
+  select k.r, a.n, case when len(list_filter(k.found, lambda f: f.s <= a.e and a.s <= f.e)) > 0 then k.found
+    else list_append(k.found, {{'s': a.s, 'e': a.e, 'licence': a.licence, 'dice': a.dice}}) end
+  from kept k join ranked a on a.r = k.r and a.n = k.n + 1
 ), matches as (
-  select doc_id, licence, c * 2 / n dice from compared where c * 200 >= n * {LEAST}
+  select r, unnest(arg_max(found, n)) m from kept group by r
 )
 select d.doc_id, coalesce(m.licences, '') licences, coalesce(m.best_dice, 0)::double best_dice
-from documents d left join (
-  select doc_id, string_agg(distinct licence, ',' order by licence) licences, max(dice) best_dice from matches group by doc_id
-) m on m.doc_id = d.doc_id
+from texts d left join (
+  select r, string_agg(distinct m.licence, ',' order by m.licence) licences, max(m.dice) best_dice from matches group by r
+) m on m.r = d.r
 """
 
 ORACLES = {

@@ -1,6 +1,7 @@
+import random
 import re
 
-from ledgerlens.llm.licences import LEAST, TEMPLATES, anchors, bigrams_of, licences
+from ledgerlens.llm.licences import LEAST, REPEATS, TEMPLATES, anchors, bigrams_of, licences, op6_licences
 from tests.llm.rows import ENGLISH, documents, no_documents, odd_documents, row
 
 
@@ -87,3 +88,61 @@ def test_passages_anywhere(spark):
     assert found == {i: name for i, (name, _) in enumerate(texts)}
     odd = licences(documents(spark, [*odd_documents(), row(99, None)]), ("doc_id",), anywhere=True).collect()
     assert {(r["licences"], r["best_dice"]) for r in odd} == {("", 0.0)}
+
+
+def brute_passages(text, templates=TEMPLATES, least=LEAST):
+    """Every pair of places, coefficients of plain sets; the best first, then those that meet none before."""
+    words = "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    found = []
+    for name, template in templates:
+        known = set(bigrams_of(template))
+        if len(known & set(pairs)) * (200 - least) < len(known) * least:
+            continue
+        longest = len(known) * (200 - least) // least
+        for start, first in enumerate(pairs):
+            best = None
+            for end in range(start, min(len(pairs), start + REPEATS * longest)):
+                held = set(pairs[start : end + 1])
+                if len(held) > longest:
+                    break
+                if first in known and pairs[end] in known and pairs[end] not in pairs[start:end]:
+                    dice = 2 * len(held & known) / (len(held) + len(known))
+                    if best is None or dice >= best[0]:
+                        best = (dice, end - start, start, end, name)
+            if best and best[0] * 100 >= least:
+                found.append(best)
+    kept = []
+    for one in sorted(found, reverse=True):
+        if all(one[3] < k[2] or k[3] < one[2] for k in kept):
+            kept.append(one)
+    return ",".join(sorted({k[4] for k in kept})), round(max((k[0] for k in kept), default=0.0), 9)
+
+
+def test_passages_are_those_of_brute_force(spark):
+    rng = random.Random(4)
+    short = [(f"t{i}", " ".join(rng.choices("abcdefgh", k=rng.randrange(3, 12)))) for i in range(6)]
+    texts = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randrange(1, 4)):
+            words += rng.choices("abcdefghxy", k=rng.randrange(6))
+            base = rng.choice(short)[1].split()
+            words += [w for w in base for _ in range(rng.choice([1, 1, 1, 2, 7])) if rng.random() < 0.95]
+        texts.append(" ".join(words))
+    # one word of a template seven times over
+    texts += ["a b c d d d d d d d e f g h", None, "", "a", "a b c d e f g h " * 40, "d " * 300]
+    templates = [*short, ("eight", "a b c d e f g h")]
+    for least in (85, 60):
+        docs = documents(spark, [row(i, t) for i, t in enumerate(texts)])
+        found = licences(docs, ("doc_id",), templates=templates, least=least, anywhere=True).collect()
+        got = {r["doc_id"]: (r["licences"], round(r["best_dice"], 9)) for r in found}
+        assert got == {i: brute_passages(t, templates, least) for i, t in enumerate(texts)}
+    assert "eight" in brute_passages(texts[60], templates, 85)[0]
+
+
+def test_registered_query_on_the_sample(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: (r["licences"], round(r["best_dice"], 9)) for r in op6_licences(spark, "/root/testdata/sf0.01").collect()}
+    some = {r["doc_id"] for r in docs if got[r["doc_id"]][0]}
+    assert some and got == {r["doc_id"]: brute_passages(r["text"]) for r in docs}
