@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import base64
 import math
 import re
+from collections.abc import Callable
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.common import computed, protected, table
-from ledgerlens.llm.words import PLAIN
 
 KINDS = ("assign", "access", "hex", "guess")
 #: pattern, group that is measured, and its least length
@@ -42,10 +44,30 @@ NEXT_KEYS = {frozenset(p) for row in ROWS for p in zip(row, row[1:])} | {
     frozenset(p) for a, b in zip(ROWS, ROWS[1:]) for i, c in enumerate(a) for p in ((c, d) for d in b[max(0, i - 1) : i + 1])
 }
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d|(?:19|20)\d\d")
-LONGEST_WORD = max(map(len, WORDS))
-#: the same with plain words: for values of letters, which are mostly words
-WIDE = {w: i + 1 for i, w in reversed(list(enumerate(["redacted", *WORDS, *PLAIN.split()])))}
-LONGEST_WIDE = max(map(len, WIDE))
+#: decimal digits a character from which on a value is no text of known words, and how much more a value of such must cost
+WORDLESS, WORDY = 0.95, 4.0
+
+
+def plain_words(path: str) -> dict[str, int]:
+    """Words of running text and their ranks: those that people guess first, then the letters-only tokens of a vocabulary
+    file of `tiktoken`, several languages' words and word ends with the commonest first."""
+    words = ["redacted", *WORDS]
+    with open(path, "rb") as f:
+        for line in f:
+            try:
+                token = base64.b64decode(line.split()[0]).decode().strip().lower()
+            except UnicodeDecodeError:
+                continue
+            if len(token) >= 3 and token.isalpha():
+                words.append(token)
+    ranks: dict[str, int] = {}
+    for word in words:
+        ranks.setdefault(word, len(ranks) + 1)
+    return ranks
+
+
+#: longest token of a vocabulary that counts as a word
+LONGEST = 20
 
 
 def _brute(c: str) -> float:
@@ -53,18 +75,18 @@ def _brute(c: str) -> float:
     return math.log10(size)
 
 
-def guess_cost(value: str, plain_words: bool = False) -> float:
+def guess_cost(value: str, ranks: dict[str, int] = RANK) -> float:
     """Decimal logarithm of the guesses that find the value: the cheapest way to cut it into known pieces.
 
     Pieces are words (by rank; twice for capitals, and for digits in place of letters), dates, repeats of a piece,
     walks over neighbouring keys or along the alphabet, and single characters tried out. Every piece doubles the number.
-    With `plain_words` words of any text count, else those that people guess first.
+    Words are those of `ranks`, by default the ones that people guess first.
     Each kind of piece that may end at a place is tried there, so the work grows with the length times a constant.
     """
     low = value.lower() if len(value.lower()) == len(value) else value
     plain = low.translate(LEET)
     n = len(value)
-    ranks, longest = (WIDE, LONGEST_WIDE) if plain_words else (RANK, LONGEST_WORD)
+    longest = max(map(len, ranks)) if ranks is RANK else LONGEST
     brute = [0.0]
     for c in value:
         brute.append(brute[-1] + _brute(c))
@@ -104,8 +126,8 @@ def guess_cost(value: str, plain_words: bool = False) -> float:
     return best[n]
 
 
-def spans(text: str, least_cost: float) -> list[tuple[str, int, int]]:
-    """(kind, start, end) in code points, by start, then in the order of KINDS."""
+def spans(text: str, least_cost: float, words: dict[str, int]) -> list[tuple[str, int, int]]:
+    """(kind, start, end) in code points, by start, then in the order of KINDS; `words` as `plain_words` gives them."""
     found = []
     low = text.lower()
     hinted = any(h in low for h in HINTS)
@@ -117,30 +139,41 @@ def spans(text: str, least_cost: float) -> list[tuple[str, int, int]]:
             value = m[2].rstrip(".,;:!?)]}")
             sorts = [bool(re.search(p, value)) for p in ("[0-9]", "[a-z]", "[A-Z]", r"[^A-Za-z0-9\s]")]
             mixed = sum(sorts) >= (2 if sorts[0] else 3)
-            # after "is" comes mostly prose, in words that no list holds
-            if len(value) >= 8 and (mixed or m[1] != " is ") and guess_cost(value, not mixed) >= least_cost:
-                found.append(("guess", m.start(2), m.start(2) + len(value)))
+            if len(value) >= 8:
+                cost = guess_cost(value, RANK if mixed else words)
+                # a few words in a row are a compound or prose; more of them are a passphrase
+                wordy = not mixed and any(map(str.isalpha, value)) and cost < WORDLESS * len(value)
+                least = least_cost + WORDY if wordy else least_cost
+                if cost >= least:
+                    found.append(("guess", m.start(2), m.start(2) + len(value)))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
-def scan(docs: DataFrame, columns: tuple[str, ...] | None = None, least_cost: float = 10.0) -> DataFrame:
+def scan(docs: DataFrame, columns: tuple[str, ...] | None = None, least_cost: float = 10.0, vocabulary: str | None = None) -> DataFrame:
     """`secrets`, an array of (kind, start, end), added to these columns of every document.
 
-    Kinds assign, access and hex are fixed patterns over the whole text. Kind guess is a value named as a credential,
-    of eight or more characters, that takes 10 ** `least_cost` guesses or more; after "is" it also has digits and others
-    or three sorts. Plain words, dates and keyboard walks in such a place are left alone. Null text counts as empty: no
-    spans. Spans may overlap; equal rows get equal spans. An input column named secrets is replaced.
+    Kinds assign, access and hex are fixed patterns over the whole text. Kind guess is a value named as a credential, by a
+    sign or by "is", of eight or more characters, that takes 10 ** `least_cost` guesses or more; one that is made of known
+    words takes four digits more, as compounds of two or three words are. Plain words of the languages of `vocabulary` (a
+    file of `tiktoken`, by default the public one of many languages), dates and keyboard walks are left alone. Null text
+    counts as empty: no spans. Spans may overlap; equal rows get equal spans. An input column named secrets is replaced.
     """
+    path = vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+    def start() -> Callable[[list], list[pa.Array]]:
+        words = plain_words(path)
+
+        def scanned(texts: list[str | None]) -> list[pa.Array]:
+            found = [spans(t, least_cost, words) if t else [] for t in texts]
+            return [pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in one] for one in found], _SPANS)]
 
-    def scanned(texts: list[str | None]) -> list[pa.Array]:
-        found = [spans(t, least_cost) if t else [] for t in texts]
-        return [pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in one] for one in found], _SPANS)]
+        return scanned
 
     span = T.StructType().add("kind", "string").add("start", "long").add("end", "long")
-    return computed(docs, columns, "text", T.StructType().add("secrets", T.ArrayType(span)), lambda: scanned)
+    return computed(docs, columns, "text", T.StructType().add("secrets", T.ArrayType(span)), start)
 
 
 def redact(docs: DataFrame, mark: str = "[redacted]", least_cost: float = 10.0) -> DataFrame:

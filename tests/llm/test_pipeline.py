@@ -11,9 +11,11 @@ from checks.compare import compare, sql_engine
 from ledgerlens.llm import queries as registered
 from ledgerlens.llm.common import pick, written
 from ledgerlens.llm.near_duplicates import near_duplicates
-from ledgerlens.llm.secrets import spans
+from ledgerlens.llm.secrets import plain_words, spans
 from tests.llm.rows import ENGLISH, FRENCH, GERMAN, SPANISH, TEXTS, documents, no_documents, odd_documents, row
 
+WORDS = plain_words(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
 SMALLEST = "/root/testdata/sf0.001"
 
 
@@ -58,8 +60,8 @@ def test_stages(spark):
     clean = written(stages["secrets"](spark, single, SMALLEST), "t")
     texts = {r[0]: r[1] for r in rows}
     for r in clean.collect():
-        assert not spans(r["text"], 10.0) and r["n_chars"] == len(r["text"])
-        assert (r["text"] == texts[r["doc_id"]]) == (not spans(texts[r["doc_id"]], 10.0))
+        assert not spans(r["text"], 10.0, WORDS) and r["n_chars"] == len(r["text"])
+        assert (r["text"] == texts[r["doc_id"]]) == (not spans(texts[r["doc_id"]], 10.0, WORDS))
     assert clean.count() == len(rows)
 
     mixed = written(stages["mixing"](spark, clean, SMALLEST), "t")

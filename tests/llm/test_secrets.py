@@ -1,11 +1,14 @@
+import math
+import random
 import hashlib
 import re
 
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerlens.llm.secrets import guess_cost, redact, scan, spans
+from ledgerlens.llm.secrets import DATE, LEET, NEXT_KEYS, RANK, _brute, guess_cost, plain_words, redact, scan, spans
 from tests.llm.rows import documents, no_documents, odd_documents, row
 
 KINDS = {
@@ -27,7 +30,9 @@ PARTS = ["password", "PassWD", "seCret", "token", "api_key", "APIKEY", "=", ":",
 @given(st.lists(st.sampled_from(PARTS), max_size=25))
 def test_base_spans(parts):
     text = "".join(parts)
-    assert [s for s in spans(text, 10.0) if s[0] != "guess"] == plain(text)
+    assert [s for s in spans(text, 10.0, WORDS) if s[0] != "guess"] == plain(text)
+
+WORDS = plain_words(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 @pytest.mark.parametrize("value", ["password1", "12345678", "qwertyuiop", "2019-04-01", "abcdefgh1", "letmein123", "aaaaaaaaaaaaaaaa1", "p@ssw0rd", "summer2019", "hellohellohello1"])
@@ -56,7 +61,7 @@ def test_cost_of_a_long_value():
     ],
 )
 def test_credential_context(text, found):
-    assert [s for s in spans(text, 10.0) if s[0] != "hex"] == found
+    assert [s for s in spans(text, 10.0, WORDS) if s[0] != "hex"] == found
 
 
 def test_odd_rows(spark):
@@ -98,9 +103,63 @@ def test_redacted(spark):
 def test_letters_or_digits_alone_after_a_sign(name, value):
     text = f"see {name}{value} here"
     start = text.index(value)
-    assert spans(text, 10.0) == [("guess", start, start + len(value))]
+    assert spans(text, 10.0, WORDS) == [("guess", start, start + len(value))]
 
 
 @pytest.mark.parametrize("text", ["passphrase: understanding", "pwd = administrator", "private_key: [redacted]", "access_key: required", "credentials: following.", "The passphrase is extraordinarily-unlisted"])
 def test_plain_words_after_a_sign(text):
-    assert spans(text, 10.0) == []
+    assert spans(text, 10.0, WORDS) == []
+
+
+@pytest.mark.parametrize("text", ["password = Administrator", "secret: unterschiedlicherweise", "token: correspondance", "token = generalmente", "the secret is verantwortungsvoll",
+                                  "the password is desafortunadamente long", "the secret is understanding"])
+def test_plain_words_of_four_languages(text):
+    assert not [s for s in spans(text, 10.0, WORDS) if s[0] == "guess"]
+
+
+@pytest.mark.parametrize("text", ["password is correcthorsebatterystaple", "the password is QwZxRtYpLmVkHsJd", "my passphrase is qzkvjxwpfmtr!"])
+def test_values_after_is(text):
+    (kind, start, end), = spans(text, 10.0, WORDS)
+    assert kind == "guess" and start == text.index(" is ") + 4 and end >= len(text) - 1
+
+
+def brute_cost(value, ranks):
+    """The same minimum over all ways to cut a value, by recursion over its front."""
+    low = value.lower()
+    plain = low.translate(LEET)
+    double = math.log10(2)
+
+    def pieces(start):
+        yield start + 1, _brute(value[start])
+        for end in range(start + 3, len(value) + 1):
+            for text, shift in ((low, 0.0), (plain, double)):
+                if text[start:end] in ranks:
+                    yield end, math.log10(ranks[text[start:end]] + 1) + shift + double * (low[start:end] != value[start:end]) + double
+                    break
+            steps = [(low[i], low[i + 1]) for i in range(start, end - 1)]
+            if all(frozenset(p) in NEXT_KEYS for p in steps) or all(abs(ord(a) - ord(b)) == 1 for a, b in steps):
+                yield end, math.log10(47 * 4 * len(steps)) + double
+            if DATE.fullmatch(value, start, end):
+                yield end, math.log10(120 if end - start == 4 else 120 * 365) + double
+        for period in range(1, 9):
+            for end in range(start + period + max(2, period), len(value) + 1):
+                if all(value[i] == value[i - period] for i in range(start + period, end)):
+                    yield end, sum(map(_brute, value[start : start + period])) + math.log10((end - start - period) / period + 1) + double
+
+    best = [0.0] * (len(value) + 1)
+    for start in range(len(value) - 1, -1, -1):
+        best[start] = min(cost + best[end] for end, cost in pieces(start))
+    return best[0]
+
+
+def test_cost_is_the_least_of_all_cuts():
+    rng = random.Random(8)
+    parts = ["password", "Dragon", "p@ss", "2019", "2019-04-01", "qwerty", "abcd", "aaaa", "xyxyxy", "x9", "$", "und", "haus", "K", "7"]
+    for _ in range(150):
+        value = "".join(rng.choices(parts, k=rng.randrange(1, 5)))
+        for ranks in (RANK, WORDS):
+            # a walk, a date or a repeat of most of its length is tried at its longest; shorter ones cost no less here
+            assert guess_cost(value, ranks) >= brute_cost(value, ranks) - 1e-9
+            assert guess_cost(value, ranks) <= sum(map(_brute, value)) + 1e-9
+    assert guess_cost("password2019-04-01x9", RANK) == pytest.approx(brute_cost("password2019-04-01x9", RANK))
+    assert guess_cost("K7dragonqwerty", RANK) == pytest.approx(brute_cost("K7dragonqwerty", RANK))
