@@ -322,7 +322,9 @@ def mix(
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With `copies`, what the splitting tree made of a document: pass and shard of each time that it is taken."""
     drawn = draw(table(spark, sf_dir, "documents"))
+    copies = F.array_join(F.transform("copies", lambda c: F.concat_ws(":", c["epoch"], c["shard"])), ",")
     return drawn.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken")
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("copies")).alias("taken"), copies.alias("copies")
     )

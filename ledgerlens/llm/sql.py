@@ -6,7 +6,7 @@ from ledgerlens.llm.licences import LEAST, REPEATS, TEMPLATES, words_of
 
 # one order of all documents of a source, and running sums over it, instead of cells and cuts
 _MIXING = r"""
-with sized as (
+with recursive sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint size from documents
 ), sums as (
   select source, sum(size)::bigint source_size, row_number() over (order by source nulls last) - 1 n from sized group by source
@@ -37,9 +37,53 @@ with sized as (
 ), last as (
   select n, arg_min(doc_id, (abs(size - gap), place)) doc_id from first where not taken and abs(size - gap) < gap group by n
 )
-select f.doc_id, f.size, f.source_size, f.target,
-  (f.size * (f.passes + case when f.taken or l.doc_id is not null then 1 else 0 end))::bigint taken
-from first f left join last l on l.n = f.n and l.doc_id = f.doc_id
+, passed as (
+  select f.*, f.taken or l.doc_id is not null partial, f.place[1:10] block
+  from first f left join last l on l.n = f.n and l.doc_id = f.doc_id
+), blocks as (
+  select n, block, max(passes) + max(partial::int) times from passed group by n, block
+), tickets as (
+  select n, block, epoch, row_number() over (partition by n order by md5('mix:ticket:' || n || ':' || block || ':' || epoch), block, epoch) - 1 spot
+  from (select n, block, unnest(range(times::bigint)) epoch from blocks)
+), tree as (
+  -- a node of the tree: how many blocks of each source it has, how many of them went left so far
+  select 0 as level, 0::bigint shard, (select list(coalesce(c, 0) order by p.n) from (select distinct n from plan) p
+    left join (select n, count(*) c from tickets group by n) t on t.n = p.n) blocks, []::bigint[] lefts
+  union all
+  select case when done then level + 1 else level end, case when done then 2 * shard + side else shard end,
+    case when not done then blocks when side = 0 then lefts else list_transform(blocks, lambda b, i: b - lefts[i]) end,
+    case when done then []::bigint[] else list_append(lefts, drawn) end
+  from (
+    select *, first + len(list_filter(range(len(ps)), lambda i: list_sum(ps[1:i + 1]) < u * list_sum(ps)))::bigint drawn
+    from (
+      select *, list_transform(range(first, least(d, k) + 1), lambda x:
+        exp(lgamma(mode + 1) + lgamma(k - mode + 1) + lgamma(d - mode + 1) + lgamma(n - k - d + mode + 1)
+          - lgamma(x + 1) - lgamma(k - x + 1) - lgamma(d - x + 1) - lgamma(n - k - d + x + 1))) ps
+      from (
+        select *, greatest(0, d + k - n) as first, least(d, k, greatest(0, d + k - n, ((d + 1) * (k + 1)) // (n + 2))) as mode,
+          ('0x' || md5('mix:split' || level || ':' || shard || ':' || len(lefts))[1:13])::bigint::double / 4503599627370496 u
+        from (
+          select level, shard, blocks, lefts, len(lefts) = len(blocks) done,
+            coalesce(list_sum(blocks[len(lefts) + 1:]), 0)::bigint n, coalesce(blocks[len(lefts) + 1], 0) k,
+            coalesce(list_sum(blocks), 0)::bigint // 2 - coalesce(list_sum(lefts), 0)::bigint d
+          from tree where level < 4
+        )
+      )
+    )
+  ), (values (0), (1)) sides(side)
+  where done or side = 0
+), shards as (
+  select shard, n, count, sum(count) over (partition by n order by shard) upto
+  from (select shard, unnest(range(len(blocks))) n, unnest(blocks) count from tree where level = 4)
+), dealt as (
+  select t.n, t.block, t.epoch, s.shard from tickets t join shards s on s.n = t.n and t.spot < s.upto and t.spot >= s.upto - s.count
+), copied as (
+  select p.n, p.doc_id, string_agg(d.epoch || ':' || d.shard, ',' order by d.epoch) copies
+  from (select distinct n, doc_id, block, passes, partial from passed) p
+  join dealt d on d.n = p.n and d.block = p.block and (d.epoch < p.passes or p.partial) group by p.n, p.doc_id
+)
+select p.doc_id, p.size, p.source_size, p.target, (p.size * (p.passes + p.partial::int))::bigint taken, coalesce(c.copies, '') copies
+from passed p left join copied c on c.n = p.n and c.doc_id is not distinct from p.doc_id
 """
 
 _VECTORS = """
