@@ -1,16 +1,19 @@
 """Loans joined to customers, applications, leads and affiliates, row by row.
 
 Table sizes are left to the optimizer: it broadcasts what it measures as small and otherwise shuffles, and adaptive
-execution splits skewed partitions of the loan side. Nothing here carries a broadcast hint.
+execution splits skewed partitions of the loan side. Nothing here carries a broadcast hint. Keys that are mostly missing
+or have few values, as user names, application types and the one status of a signed application, are dealt out
+(`operators.skew`) or looked up without a join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.events import normal_text
-from ledgerlens.operators.lookups import application_entries
+from ledgerlens.operators.lookups import ACCEPTED, application_entries
+from ledgerlens.operators.skew import spread_join
 from ledgerlens.sources.tables import Sources
 
 # Customer types and the ledger types a feature row starts from.
@@ -20,6 +23,14 @@ CUSTOMER_TYPES = {"training": [STORED, WRITTEN_OFF], "production": [STORED]}
 # User names under which the lender's own sites send applications.
 HOUSE_USERNAMES = ("mpd", "npd")
 RENEWAL_STATUS_CODE = 5
+# places that rows of one user name or application type are dealt over
+SALTS = 8
+
+
+def accepted_statuses(sub_codes: DataFrame) -> Column:
+    """How many renewal codes the status of accepted applications has: one number, as they all share that status."""
+    found = sub_codes.filter((F.col("code") == RENEWAL_STATUS_CODE) & (F.col("subcode") == ACCEPTED))
+    return found.agg(F.count(F.lit(1)).alias("n")).scalar()
 
 
 def base_loans(loans: DataFrame, mode: str, date_range: tuple[str, str] | None = None) -> DataFrame:
@@ -96,14 +107,17 @@ def join_dimensions(df: DataFrame, src: Sources) -> DataFrame:
         F.col("apptypedescription").alias("app_type_description"),
         F.col("apptypeamount").alias("app_type_amount"),
     )
-    status = src.sub_codes.filter(F.col("code") == RENEWAL_STATUS_CODE).select(
-        F.col("subcode").alias("log_status_id"), F.col("code").alias("status_code")
+    entries = application_entries(src.renewal_log)
+    led = spread_join(leads, by_lead.withColumnRenamed("lead_buy_apps_log_id", "log_of_lead"), "lead_buy_apps_log_id", "log_of_lead", ["log_id"])
+    typed = spread_join(
+        entries, types.withColumnRenamed("log_app_type_id", "type_id"), "log_app_type_id", "type_id", ["log_id"], SALTS
     )
+    statuses = accepted_statuses(src.sub_codes)
     applications = (
-        application_entries(src.renewal_log)
-        .join(leads.join(by_lead, "lead_buy_apps_log_id", "left"), "log_id", "left")
-        .join(types, "log_app_type_id", "left")
-        .join(status, "log_status_id", "left")
+        typed.join(led.drop("log_of_lead"), "log_id", "left")
+        .withColumn("status_code", F.when(statuses > 0, F.lit(RENEWAL_STATUS_CODE)))
+        .withColumn("nth_status", F.explode(F.array_repeat(F.lit(0), F.greatest(statuses, F.lit(1)).cast("int"))))
+        .drop("type_id", "nth_status")
     )
     own_log = src.buy_apps_log.select(
         F.col("applicantid").alias("applicant_id"),
@@ -114,9 +128,8 @@ def join_dimensions(df: DataFrame, src: Sources) -> DataFrame:
     applicants = src.applicant.select(
         F.col("id").alias("applicant_id"), F.col("email").alias("applicant_email")
     ).join(own_log, "applicant_id", "left")
-    return df.join(applications, ["payday_id", "loan_date"], "left").join(
-        applicants, F.col("mapped_applicant_id") == F.col("applicant_id"), "left"
-    )
+    signed = df.join(applications, ["payday_id", "loan_date"], "left")
+    return spread_join(signed, applicants, "mapped_applicant_id", "applicant_id", ["loan_id", "mapping_id"])
 
 
 def join_affiliate(df: DataFrame, affiliate: DataFrame) -> DataFrame:
@@ -128,12 +141,11 @@ def join_affiliate(df: DataFrame, affiliate: DataFrame) -> DataFrame:
     named = affiliate.withColumn("username", normal_text("username"))
     known = named.groupBy("username").agg(F.lit(True).alias("known"))
 
+    by = ["loan_id", "mapping_id", "lead_buy_apps_log_id", "own_buy_apps_log_id"]
+
     def mark(rows: DataFrame, name: str) -> DataFrame:
-        return rows.withColumn(f"{name}_key", normal_text(name)).join(
-            known.select(F.col("username").alias(f"{name}_key"), F.col("known").alias(f"{name}_known")),
-            f"{name}_key",
-            "left",
-        )
+        names = known.select(F.col("username").alias(f"{name}_of"), F.col("known").alias(f"{name}_known"))
+        return spread_join(rows.withColumn(f"{name}_key", normal_text(name)), names, f"{name}_key", f"{name}_of", by, SALTS)
 
     marked = mark(mark(df, "lead_username"), "own_username")
     names = F.array_distinct(
@@ -144,16 +156,10 @@ def join_affiliate(df: DataFrame, affiliate: DataFrame) -> DataFrame:
             )
         )
     )
-    helpers = [f"{n}_{x}" for n in ("lead_username", "own_username") for x in ("key", "known")]
-    return (
-        marked.withColumn("affiliate_key", F.explode_outer(names))
-        .join(
-            named.select(F.col("username").alias("affiliate_key"), F.col("leadprice").alias("lead_price")),
-            "affiliate_key",
-            "left",
-        )
-        .drop(*helpers)
-    )
+    helpers = [f"{n}_{x}" for n in ("lead_username", "own_username") for x in ("key", "known", "of")]
+    prices = named.select(F.col("username").alias("affiliate_of"), F.col("leadprice").alias("lead_price"))
+    exploded = marked.withColumn("affiliate_key", F.explode_outer(names))
+    return spread_join(exploded, prices, "affiliate_key", "affiliate_of", by, SALTS).drop("affiliate_of", *helpers)
 
 
 def affiliate_fields(df: DataFrame) -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.cleaning import age, employment_default, parse_years_on_job
 from ledgerlens.functions.events import normal_text
 from ledgerlens.operators.blocks import BLOCK_ROWS
-from ledgerlens.operators.joins import RENEWAL_STATUS_CODE, base_customers, base_loan_days, base_loans
+from ledgerlens.operators.joins import SALTS, accepted_statuses, base_customers, base_loan_days, base_loans
 from ledgerlens.operators.ledger import first_date_ever, ledger_loan_totals
 from ledgerlens.operators.lookups import bureau_scores, latest_restriction, latest_sms_preference, signed_by_day
+from ledgerlens.operators.skew import spread_join
 from ledgerlens.sources.tables import Sources
 
 # Columns of the latest loan both sets use.
@@ -47,12 +48,9 @@ def _borrowers(src: Sources, customers: DataFrame) -> DataFrame:
         F.col("paydayid").alias("payday_id"),
         F.col("applicantid").alias("mapped_applicant_id"),
     )
-    return (
-        customers.withColumnsRenamed({"id": "payday_id", "social": "ss"})
-        .join(mapped, "payday_id")
-        .join(applicants, F.col("mapped_applicant_id") == F.col("applicant_id"), "left")
-        .withColumn("n_applicants", F.coalesce("n_applicants", F.lit(1)))
-    )
+    known = customers.withColumnsRenamed({"id": "payday_id", "social": "ss"}).join(mapped, "payday_id")
+    found = spread_join(known, applicants, "mapped_applicant_id", "applicant_id", ["payday_id", "mapping_id"])
+    return found.withColumn("n_applicants", F.coalesce("n_applicants", F.lit(1)))
 
 
 def joined_row_counts(days: DataFrame, src: Sources, customers: DataFrame) -> DataFrame:
@@ -69,24 +67,25 @@ def joined_row_counts(days: DataFrame, src: Sources, customers: DataFrame) -> Da
 
     so sums per applicant, and per applicant and name, suffice. All inputs are counted per key first.
     """
-    affiliates = src.affiliate.groupBy(normal_text("username").alias("name")).agg(F.count(F.lit(1)).alias("n_named"))
+    affiliates = src.affiliate.groupBy(normal_text("username").alias("affiliate_name")).agg(F.count(F.lit(1)).alias("n_named"))
     app_log = src.buy_apps_log.withColumn("name", normal_text("username"))
 
     # the applicant's own log, per applicant and name
     own = (
         app_log.groupBy(F.col("applicantid").alias("applicant_id"), "name")
         .agg(F.count(F.lit(1)).alias("n_own"))
-        .join(affiliates, "name", "left")
-        .withColumn("n_named", F.coalesce("n_named", F.lit(0)))
     )
+    own = spread_join(own, affiliates, "name", "affiliate_name", ["applicant_id"], SALTS).drop("affiliate_name")
+    own = own.withColumn("n_named", F.coalesce("n_named", F.lit(0)))
     own_sums = own.groupBy("applicant_id").agg(
         F.sum("n_own").alias("own_rows"),
         F.sum(F.col("n_own") * F.greatest("n_named", F.lit(1))).alias("own_at_least_one"),
         F.sum(F.col("n_own") * F.col("n_named")).alias("own_named"),
     )
-    borrowers = _borrowers(src, customers).select("ss", "payday_id", "applicant_id", "n_applicants")
+    borrowers = _borrowers(src, customers).select("ss", "payday_id", "mapping_id", "applicant_id", "n_applicants")
     # an applicant without log rows counts as one row without a name
-    weighed = borrowers.join(own_sums, "applicant_id", "left").select(
+    summed = own_sums.withColumnRenamed("applicant_id", "summed_id")
+    weighed = spread_join(borrowers, summed, "applicant_id", "summed_id", ["payday_id", "mapping_id"]).select(
         "ss",
         "payday_id",
         *[
@@ -107,29 +106,20 @@ def joined_row_counts(days: DataFrame, src: Sources, customers: DataFrame) -> Da
 
     # leads of an application, per application and name
     lead_log = app_log.select(F.col("buyappslogid"), "name")
+    lead_rows = src.renewal_lead.select(F.col("lirenewallogid").alias("log_id"), F.col("buyappslogid").alias("lead_of"))
     leads = (
-        src.renewal_lead.select(F.col("lirenewallogid").alias("log_id"), "buyappslogid")
-        .join(lead_log, "buyappslogid", "left")
+        spread_join(lead_rows, lead_log, "lead_of", "buyappslogid", ["log_id"])
         .groupBy("log_id", "name")
         .agg(F.count(F.lit(1)).alias("n_leads"))
-        .join(affiliates, "name", "left")
-    )
-    types = _row_counts(src.application_type, "apptypeid", "app_type_id", "n_types")
-    statuses = _row_counts(
-        src.sub_codes.filter(F.col("code") == RENEWAL_STATUS_CODE), "subcode", "status_id", "n_statuses"
     )
+    leads = spread_join(leads, affiliates, "name", "affiliate_name", ["log_id"], SALTS).drop("affiliate_name")
+    types = _row_counts(src.application_type, "apptypeid", "type_id", "n_types")
     # everything about an application before it meets the loan days, so that no join key is ever missing
+    signed = signed_by_day(src.renewal_log).select(
+        F.col("custid").alias("payday_id"), "day", F.col("log.id").alias("log_id"), F.col("log.apptypeid").alias("app_type_id")
+    )
     applications = (
-        signed_by_day(src.renewal_log)
-        .select(
-            F.col("custid").alias("payday_id"),
-            "day",
-            F.col("log.id").alias("log_id"),
-            F.col("log.apptypeid").alias("app_type_id"),
-            F.col("log.statusid").alias("status_id"),
-        )
-        .join(types, "app_type_id", "left")
-        .join(statuses, "status_id", "left")
+        spread_join(signed, types, "app_type_id", "type_id", ["log_id"], SALTS)
         .join(leads, "log_id", "left")
         .join(same_name, ["payday_id", "name"], "left")
     )
@@ -138,7 +128,7 @@ def joined_row_counts(days: DataFrame, src: Sources, customers: DataFrame) -> Da
         F.col("own_rows") * a + F.col("own_named") - F.coalesce("n_same", F.lit(0)) * a
     )
     one = F.lit(1)
-    factors = F.coalesce("n_types", one) * F.coalesce("n_statuses", one) * F.coalesce("n_leads", one)
+    factors = F.coalesce("n_types", one) * F.greatest(accepted_statuses(src.sub_codes), one) * F.coalesce("n_leads", one)
     signed_days = (
         applications.join(per_payday, "payday_id")
         .groupBy("ss", "payday_id", "day")
@@ -270,7 +260,8 @@ def training_features(
     rows = _assemble(
         src, "training", "previous_last_payment_date", loan_columns, columns, only_payday_id, date_range,
         exclude_states, count_distinct_loans, block_rows,
-    ).join(bureau_scores(src.bureau_response).withColumnRenamed("applicantid", "applicant_id"), "applicant_id", "left")
+    )
+    rows = spread_join(rows, bureau_scores(src.bureau_response), "applicant_id", "applicantid", ["ss"])
     first = first_date_ever(rows, "total_")
     total, lent = F.col("total_amount_paid"), F.col("total_total_loan_amt")
     paid, net = F.col("current_amount_paid"), F.col("net")
