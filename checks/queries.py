@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.oracle import INTERCEPT, PROFILE_COLUMNS, SCENARIOS, SCORECARDS, WEIGHTS, parse_spec, specs_and_sql
 from ledgerlens.functions import cleaning
 from ledgerlens.functions.events import classify_events
 from ledgerlens.functions.pricing import (
+    PRICING_APPLIED,
     PRICING_V1,
     PRICING_V2,
     TOP_SCORE,
     campaign_list,
     interest_rate,
     offer,
+    price_as_of,
     renewal_amount,
+    rule_rows,
     score_band,
 )
 from ledgerlens.operators import campaign, joins, ledger, logistic, lookups, preparation, profile, quantiles, ranking
@@ -25,8 +29,8 @@ from ledgerlens.plans import features, jobs, models
 from ledgerlens.schemas import REQUEST_SCHEMA, conform
 from ledgerlens.sources import files
 from ledgerlens.sources.sample_tables import order_ledger, sample_sources, sample_table
-from ledgerlens.sources.tables import load_sources, write_sources
-from ledgerlens.streaming.requests import run_request_stream, score_requests
+from ledgerlens.sources.tables import contents, load_sources, write_sources
+from ledgerlens.streaming.requests import read_scored, run_idempotent_stream, run_request_stream, score_requests
 
 AS_OF = "2024-02-01"
 # small enough to cut the customers of the sample ledger into blocks
@@ -109,15 +113,24 @@ def _scorecard(df: DataFrame) -> DataFrame:
 
 @_query
 def q_load_sources(spark, d):
-    """Write the lending tables, read them back against their schemas, count."""
+    """Write the lending tables, read them back against their schemas, and sum up what is in them."""
     path = files.work_folder(spark, "tables")
     write_sources(sample_sources(spark, d), path)
-    src = load_sources(spark, path)
-    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n, df in vars(src).items()]
-    union = counts[0]
-    for c in counts[1:]:
-        union = union.unionByName(c)
-    return union
+    return contents(load_sources(spark, path))
+
+
+@_query
+def q_csv_rejects(spark, d):
+    """Customer texts through a file, read as numbers: what could not be read, by column."""
+    path = files.work_folder(spark, "texts")
+    columns = ["salary", "yearsonjob", "monthsatresidence", "bankaccountlengthmonths"]
+    files.write_csv(sample_table(spark, d, "payday").select("id", *columns), path)
+    schema = T.StructType([T.StructField("id", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in columns]])
+    rows, rejects, counts = files.read_features_checked(spark, path, schema)
+    kept = rows.agg(*[F.count(c).alias(c) for c in columns]).first()
+    seen = spark.createDataFrame([(c, counts.get[c], kept[c]) for c in columns], "name string, observed long, kept long")
+    listed = rejects.groupBy("name").agg(F.count("*").alias("listed"), F.countDistinct("row").alias("rejected_rows"))
+    return seen.join(listed, "name", "left").fillna(0, ["listed", "rejected_rows"])
 
 
 @_query
@@ -580,6 +593,14 @@ def q_pricing_versions(spark, d):
     return _scored(spark, d).withColumns(tiers).groupBy(*tiers).agg(F.count(F.lit(1)).alias("customers"))
 
 
+@_query
+def q_priced_as_of(spark, d):
+    """Scored customers priced by the rules that hold on a day of their own, out of a table of all versions."""
+    rules = rule_rows(spark, {"v1": ("2024-01-05", PRICING_V1), "v2": ("2024-01-15", PRICING_V2), "applied": ("2024-02-01", PRICING_APPLIED)})
+    days = _scored(spark, d).withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("applicant_id") % 40).cast("int")))
+    return price_as_of(days, rules, "day")
+
+
 @_query
 def q_campaign_list(spark, d):
     return campaign_list(_scored(spark, d))
@@ -665,3 +686,14 @@ def q_stream_score(spark, d):
     out, checkpoint = files.work_folder(spark, "scored"), files.work_folder(spark, "stream")
     run_request_stream(spark, _requests(spark, d), out, checkpoint, _scorecard, 1).awaitTermination()
     return spark.read.parquet(out)
+
+
+@_query
+def q_stream_replayed(spark, d):
+    """The requests as a stream that sends every file again under another name: each is scored once."""
+    folder, again = _requests(spark, d), files.work_folder(spark, "again")
+    out, checkpoint = files.work_folder(spark, "scored"), files.work_folder(spark, "stream")
+    run_idempotent_stream(spark, folder, out, checkpoint, _scorecard, 1).awaitTermination()
+    files.write_requests(files.read_requests(spark, folder).repartition(2, "salary"), again)
+    run_idempotent_stream(spark, again, out, files.work_folder(spark, "stream"), _scorecard, 1).awaitTermination()
+    return read_scored(spark, out)

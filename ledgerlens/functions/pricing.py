@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Upper edges of score bands 10 (worst) to 1 (best); a score above the last edge has no band.
@@ -33,6 +34,53 @@ PRICING_V1 = PricingRules((562, 690, 851, 950), (0.0, 0.0, 200.0, 300.0, 400.0),
 PRICING_V2 = PricingRules((559, 693, 852, 970), (0.0, 0.0, 200.0, 300.0, 400.0), (0.3, 0.3, 0.3, 0.27, 0.25), False)
 PRICING_APPLIED = PricingRules((692, 851, 969), (0.0, 200.0, 300.0, 400.0), (0.3, 0.3, 0.27, 0.25))
 
+RULE_ROWS = "version string, valid_from date, kind string, nth int, cut double, cut_is_lower boolean, value double"
+
+
+def rule_rows(spark: SparkSession, versions: dict[str, tuple[str, PricingRules]]) -> DataFrame:
+    """Rules as a table, a row a tier: of which version, from which day on, rate or increase, up to which score (null: all
+    above). A version holds until the next one starts."""
+    rows = [
+        (name, date.fromisoformat(day), kind, i, float(cut) if cut is not None else None, rules.cut_is_lower, float(value))
+        for name, (day, rules) in versions.items()
+        for kind, values in (("rate", rules.rates), ("increase", rules.increases))
+        for i, (cut, value) in enumerate(zip((*rules.cuts, None), values))
+    ]
+    return spark.createDataFrame(rows, RULE_ROWS)
+
+
+def price_as_of(df: DataFrame, rules: DataFrame, day: str, score: str = "score", previous: str = "previous_loan_amt") -> DataFrame:
+    """Rows with `version`, `interest_rate` and `renewal_loan_amt` by the rules that hold on the row's day.
+
+    The rules' versions and tiers are sorted arrays in one row, which is as large as the rules are, and a row's version
+    and tiers are places in them: no range is joined. Before the first version, or without day or score, all are null.
+    """
+    tiers = rules.groupBy("version", "valid_from", "kind").agg(
+        F.sort_array(F.collect_list(F.struct("nth", "cut", "value"))).alias("tiers"), F.first("cut_is_lower").alias("cut_is_lower")
+    )
+    kinds = [F.max(F.when(F.col("kind") == k, F.struct("tiers", "cut_is_lower"))).alias(k) for k in ("rate", "increase")]
+    versions = tiers.groupBy("version", "valid_from").agg(*kinds)
+    table = versions.agg(F.sort_array(F.collect_list(F.struct("valid_from", "version", "rate", "increase"))).alias("__rules"))
+    placed = df.join(F.broadcast(table.withColumn("__one", F.lit(True))), F.col("__one"), "left")
+    started = F.filter("__rules", lambda v: v["valid_from"] <= F.col(day).cast("date"))
+    placed = placed.withColumn("__rule", F.get(started, F.size(started) - 1))
+
+    def value(kind: str) -> Column:
+        of = F.col("__rule")[kind]
+        inside = F.filter(
+            of["tiers"],
+            lambda t: t["cut"].isNull() | F.when(of["cut_is_lower"], F.col(score) <= t["cut"]).otherwise(F.col(score) < t["cut"]),
+        )
+        return F.when(F.col(score).isNotNull(), F.get(inside, F.lit(0))["value"])
+
+    added = {
+        "version": F.when(F.col(score).isNotNull(), F.col("__rule")["version"]),
+        "interest_rate": value("rate"),
+        "renewal_loan_amt": F.col(previous).cast("double") + value("increase"),
+    }
+    return placed.withColumns(added).drop("__rules", "__rule", "__one")
+
+
 # Marketing tiers by score band, and the scores a campaign and a top list start at.
 TIER_BANDS = {1: (1, 3), 2: (4, 5), 3: (6, 7)}
 CAMPAIGN_SCORE = 852

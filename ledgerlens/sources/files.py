@@ -5,7 +5,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,33 @@ def read_features_csv(spark: SparkSession, path: str, schema: T.StructType = FEA
     )
 
 
+def read_features_checked(
+    spark: SparkSession, path: str, schema: T.StructType = FEATURE_CSV_SCHEMA
+) -> tuple[DataFrame, DataFrame, Observation]:
+    """Rows of a feature file, the values that could not be read, and how many there are by column.
+
+    The file is read and cast once, when the rows are written under the work folder: the counts are observed on the way,
+    and the rejects, (row, name, value), are kept beside their rows.
+    """
+    header = spark.read.option("header", True).csv(path)
+    conform(header, T.StructType([T.StructField(f.name, T.StringType()) for f in schema]), path)
+    text = spark.read.option("header", True).option("nullValue", NULL_TEXT).csv(path)
+    given = {f.name: F.when(F.col(f.name) != "", F.col(f.name)) for f in schema}
+    bad = {f.name: given[f.name].isNotNull() & given[f.name].try_cast(f.dataType).isNull() for f in schema}
+    marked = text.select(
+        F.monotonically_increasing_id().alias("__row"),
+        *[given[f.name].try_cast(f.dataType).alias(f.name) for f in schema],
+        F.array_compact(F.array(*[F.when(b, F.struct(F.lit(n).alias("name"), given[n].alias("value"))) for n, b in bad.items()])).alias("__bad"),
+    )
+    counts = Observation()
+    observed = marked.observe(counts, *[F.count_if(F.array_contains(F.transform("__bad", lambda b: b["name"]), n)).alias(n) for n in bad])
+    folder = work_folder(spark, "checked")
+    observed.write.parquet(folder)
+    kept = spark.read.parquet(folder)
+    rejects = kept.where(F.size("__bad") > 0).select(F.col("__row").alias("row"), F.explode("__bad").alias("b")).select("row", "b.*")
+    return kept.drop("__row", "__bad"), rejects, counts
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Text files with header, one per partition; nulls as NULL."""
     df.write.mode("overwrite").option("header", True).option("nullValue", NULL_TEXT).option("emptyValue", "").csv(path)
