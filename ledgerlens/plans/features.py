@@ -256,7 +256,8 @@ def training_features(
     """
     columns = ["email", "extra4", "type", "yearsonjob", "bankaccountlengthmonths", "monthsatresidence", "salary", "dob"]
     wo = {"previous": "previous", "all": "total"}[wo_scope]
-    loan_columns = ["previous_loan_amt", "previous_amount_paid", f"{wo}_wo_entries", f"{wo}_wo_amount"]
+    loan_columns = ["previous_loan_amt", "previous_amount_paid", "previous_wo_entries", f"{wo}_wo_amount"]
+    loan_columns += ["total_wo_entries"] if wo == "total" else []
     rows = _assemble(
         src, "training", "previous_last_payment_date", loan_columns, columns, only_payday_id, date_range,
         exclude_states, count_distinct_loans, block_rows,
@@ -296,6 +297,7 @@ def training_features(
         F.col(f"{wo}_wo_amount").alias("wo_amount_historical"),
         F.datediff("last_payment_date", first).alias("years_with_us"),
         F.datediff("funded_date_recent", "last_payment_date").alias("non_active_duration"),
+        F.col("previous_wo_entries").alias("wo_entries_previous"),
     )
 
 

@@ -79,6 +79,7 @@ EVALUATION_VARS = TRAIN_VARS + [
     "pd_type",
     "salary",
     "recent_loan_amt",
+    "wo_entries_previous",
     "if_loss",
 ]
 
@@ -97,7 +98,7 @@ FEATURE_CSV_SCHEMA = _schema(
     "new_ft_score int, total_loan_amt double, recent_loan_amt double, previous_loan_amt double,"
     "number_of_loans_before bigint, total_pay double, pay_recent double, profit_recent double,"
     "pay_historical double, profit_historical double, pay_previous double, profit_previous double,"
-    "wo_entries_historical bigint, wo_amount_historical double, years_with_us int, non_active_duration int"
+    "wo_entries_historical bigint, wo_amount_historical double, years_with_us int, non_active_duration int, wo_entries_previous bigint"
 )
 
 

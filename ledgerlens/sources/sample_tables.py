@@ -65,8 +65,9 @@ SAMPLES: dict[str, tuple[str, str, dict[str, str]]] = {
     ),
     "applicant": (
         "customer",
-        "c_custkey % 17 <> 0",
-        {"id": "c_custkey + 500000", "email": "concat('a', cast(c_custkey as string), '@example.com')"},
+        "true",
+        # one in seventeen is nobody's applicant, and so some customers have none
+        {"id": "c_custkey + case when c_custkey % 17 = 0 then 900000 else 500000 end", "email": "concat('a', cast(c_custkey as string), '@example.com')"},
     ),
     "renewal_log": (
         "events",
@@ -83,9 +84,10 @@ SAMPLES: dict[str, tuple[str, str, dict[str, str]]] = {
     ),
     "renewal_lead": (
         "events",
-        "event_type = 'purchase' and event_id % 3 <> 0",
+        "event_type = 'purchase'",
         {
-            "lirenewallogid": "event_id",
+            # one in three belongs to no application
+            "lirenewallogid": "case when event_id % 3 = 0 then -event_id else event_id end",
             "buyappslogid": "(event_id % 1500) * 10",
             "loanamount": _AMT,
             "leadtype": "case when event_id % 2 = 0 then 'web' else 'sms' end",
@@ -106,9 +108,10 @@ SAMPLES: dict[str, tuple[str, str, dict[str, str]]] = {
         "true",
         {"subcode": "r_regionkey", "code": "case when r_regionkey < 3 then 5 else 6 end"},
     ),
+    # urgent orders are applications, other orders none
     "buy_apps_log": (
         "orders",
-        "o_orderkey % 10 = 0",
+        "o_orderpriority = '1-URGENT'",
         {
             "buyappslogid": "o_orderkey",
             "applicantid": "o_custkey + 500000",
@@ -121,7 +124,7 @@ SAMPLES: dict[str, tuple[str, str, dict[str, str]]] = {
     "affiliate": ("supplier", "true", {"username": "s_name", "leadprice": "cast(s_acctbal as decimal(15,4))"}),
     "bureau_response": (
         "orders",
-        "o_orderkey % 3 = 0",
+        "true",
         {
             "id": "o_orderkey",
             "applicantid": "o_custkey + 500000",
@@ -132,7 +135,7 @@ SAMPLES: dict[str, tuple[str, str, dict[str, str]]] = {
     ),
     "customer_restriction": (
         "orders",
-        "o_orderkey % 4 = 0",
+        "true",
         {
             "customerrestrictionid": "o_orderkey",
             "id": "o_custkey + 100000",
@@ -143,7 +146,7 @@ SAMPLES: dict[str, tuple[str, str, dict[str, str]]] = {
     ),
     "sms_preference": (
         "orders",
-        "o_orderkey % 6 = 1",
+        "true",
         {
             "smspreferenceid": "o_orderkey",
             "applicantmappingid": "o_custkey",
