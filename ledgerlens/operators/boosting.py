@@ -146,8 +146,11 @@ def _rows_of(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray,
     return bins, batch.column("label").to_numpy(), batch.column("margin").to_numpy()
 
 
-def _sums(rows: DataFrame, width: int, trees: list[Tree], tree: Tree, level: int) -> np.ndarray:
-    """(node, column, bin, 3): rows, gradients and curvatures of the tree's nodes at this level."""
+def _sums(rows: DataFrame, alone: bool, width: int, trees: list[Tree], tree: Tree, level: int) -> np.ndarray:
+    """(node, column, bin, 3): rows, gradients and curvatures of the tree's nodes at this level.
+
+    Rows that are read by one task `alone` are summed up there, without a shuffle.
+    """
     shape = (1 << level, width, BINS + 2)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,6 +171,7 @@ def _sums(rows: DataFrame, width: int, trees: list[Tree], tree: Tree, level: int
         yield pa.RecordBatch.from_arrays([pa.array(some), *[pa.array(t[some]) for t in total]], ["cell", "n", "g", "h"])
 
     cells = rows.mapInArrow(partial, "cell long, n long, g long, h long")
+    cells = cells.coalesce(1) if alone else cells
     summed = cells.groupBy("cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g"), F.sum("h").alias("h"))
     found = summed.toArrow()
     out = np.zeros((math.prod(shape), 3), np.int64)
@@ -286,12 +290,15 @@ def fit(df: DataFrame, columns: list[str], label: str, settings: Settings, store
     session = spark.newSession()
     session.conf.set("spark.sql.adaptive.enabled", "false")
     session.conf.set("spark.sql.shuffle.partitions", "1")
+    # small files share a task, however many cores there are
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    session.conf.set("spark.sql.files.openCostInBytes", str(1 << 16))
     written = kept[-1]
-    rows = session.read.schema(ROWS).parquet(f"{folder}/rows-{written}")
+    rows, alone = _read(session, f"{folder}/rows-{written}")
     width = len(columns)
     while len(model.trees) < settings.trees:
         since = model.trees[written:]
-        tree = grow(lambda t, level: _sums(rows, width, since, t, level), settings)
+        tree = grow(lambda t, level: _sums(rows, alone, width, since, t, level), settings)
         model.trees.append(tree)
         if not any(tree.leaf):
             # nothing moves any more: all further trees are this one
@@ -311,10 +318,16 @@ def fit(df: DataFrame, columns: list[str], label: str, settings: Settings, store
                 model.save(f"{folder}/trees-{done}")
             remove_folder(spark, f"{folder}/rows-{written}")
             written = done
-            rows = session.read.schema(ROWS).parquet(f"{folder}/rows-{written}")
+            rows, alone = _read(session, f"{folder}/rows-{written}")
     if not store:
         remove_folder(spark, folder)
     return model
 
 
+def _read(session: SparkSession, path: str) -> tuple[DataFrame, bool]:
+    """The rows, and whether one task reads them all."""
+    rows = session.read.schema(ROWS).parquet(path)
+    return rows, rows.rdd.getNumPartitions() == 1
+
+
 ROWS = "bins binary, label double, margin double"
