@@ -7,6 +7,9 @@ for each, missing values go to the side that gains more.
 
 Sums are taken in whole numbers of 2^-26, so they and the trees are the same however the rows are partitioned, and in
 any rerun. The margins of all rows are written every few trees; jobs in between apply the trees since then.
+
+A table of up to BLOCK_ROWS rows is a single block, as small as what a task of a larger table reads. Its levels take
+a few milliseconds, much less than a job, so one job grows all its trees, from the same sums.
 """
 
 from __future__ import annotations
@@ -35,6 +38,10 @@ BINS = 254
 UNIT = 1 << 26
 #: gains from here on count
 LEAST_GAIN = 1e-6
+#: most rows of a block; a table of more is summed up block by block, by as many tasks as it has blocks
+BLOCK_ROWS = 1 << 18
+#: bytes of the files that one task reads: about a block, at 16 bytes a row and those of its bins
+BLOCK_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -146,6 +153,12 @@ def _rows_of(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray,
     return bins, batch.column("label").to_numpy(), batch.column("margin").to_numpy()
 
 
+def _off(margin: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and curvatures of the rows, in whole numbers."""
+    chance = 1 / (1 + np.exp(-margin))
+    return np.rint((chance - label) * UNIT), np.rint(chance * (1 - chance) * UNIT)
+
+
 def _sums(rows: DataFrame, alone: bool, width: int, trees: list[Tree], tree: Tree, level: int) -> np.ndarray:
     """(node, column, bin, 3): rows, gradients and curvatures of the tree's nodes at this level.
 
@@ -159,11 +172,9 @@ def _sums(rows: DataFrame, alone: bool, width: int, trees: list[Tree], tree: Tre
             if not len(batch):
                 continue
             bins, label, margin = _rows_of(batch, width)
-            chance = 1 / (1 + np.exp(-(margin + applied(bins, trees))))
+            gradients, curvatures = _off(margin + applied(bins, trees), label)
             node = reached(bins, tree, level)
             cells = (((node[:, None] * width + np.arange(width)) * shape[2]) + bins).ravel()
-            gradients = np.rint((chance - label) * UNIT)
-            curvatures = np.rint(chance * (1 - chance) * UNIT)
             for out, weights in zip(total, (None, gradients, curvatures)):
                 spread = None if weights is None else np.repeat(weights, width)
                 out += np.bincount(cells, spread, total.shape[1]).astype(np.int64)
@@ -239,6 +250,43 @@ def grow(sums_of: Callable[[Tree, int], np.ndarray], settings: Settings) -> Tree
     return tree
 
 
+def _grown_in_block(rows: DataFrame, model: Model, every: int) -> list[Tree]:
+    """All trees of a table of one block, by the task that reads it; margins move on every `every` trees, as when written."""
+    width, settings = len(model.columns), model.settings
+
+    def grown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = [_rows_of(batch, width) for batch in batches if len(batch)]
+        bins, label, margin = (np.concatenate(part) for part in zip(*read))
+        cells = np.ascontiguousarray(bins.T).astype(np.int64)
+        since = np.zeros(len(label))
+        for done in range(settings.trees):
+            if done and done % every == 0:
+                margin, since = margin + since, np.zeros(len(label))
+            weights = _off(margin + since, label)
+
+            def sums_of(tree: Tree, level: int, weights: tuple[np.ndarray, ...] = weights) -> np.ndarray:
+                first = reached(bins, tree, level) * (BINS + 2)
+                size = (BINS + 2) << level
+                out = np.empty((width, size, 3), np.int64)
+                for column, bin in zip(out, cells):
+                    at = first + bin
+                    column[:, 0] = np.bincount(at, minlength=size)
+                    for i, weight in enumerate(weights, 1):
+                        column[:, i] = np.bincount(at, weight, size)
+                return out.reshape(width, 1 << level, BINS + 2, 3).swapaxes(0, 1)
+
+            tree = grow(sums_of, settings)
+            since += applied(bins, [tree])
+            yield pa.RecordBatch.from_pylist([{"number": done, "tree": json.dumps(asdict(tree))}])
+            if not any(tree.leaf):
+                # all further trees are this one
+                return
+
+    found = rows.coalesce(1).mapInArrow(grown, "number long, tree string").toArrow().sort_by("number")
+    trees = [Tree(**json.loads(text)) for text in found["tree"].to_pylist()]
+    return trees + trees[-1:] * (settings.trees - len(trees))
+
+
 def quantile_cuts(df: DataFrame, columns: list[str], bins: int = BINS) -> list[list[float]]:
     """For each column the values up to which its bins go, all but the last bin's; by a sketch."""
     shares = [i / bins for i in range(1, bins)]
@@ -254,7 +302,8 @@ def fit(df: DataFrame, columns: list[str], label: str, settings: Settings, store
     """Boosted trees on these columns, any of which may be missing; rows without a label are left out.
 
     With a folder `store`, the margins and the trees so far are kept there every `every` trees, and a call with the same
-    folder goes on from the last ones kept, after a failure or for more trees. No rows: no trees.
+    folder goes on from the last ones kept, after a failure or for more trees. Without, a table of one block takes one job.
+    No rows: no trees.
     """
     spark = df.sparkSession
     folder = store or work_folder(spark, "boosting")
@@ -269,7 +318,7 @@ def fit(df: DataFrame, columns: list[str], label: str, settings: Settings, store
             raise ValueError(f"{folder} holds trees of other columns")
         model.settings = settings
     else:
-        first = labelled.agg(F.avg("label")).first()[0]
+        first, many = labelled.agg(F.avg("label"), F.count("label")).first()
         if first is None:
             return Model(columns, [[] for _ in columns], settings)
         base = 0.0 if settings.second_order or first in (0.0, 1.0) else math.log(first / (1 - first))
@@ -283,7 +332,11 @@ def fit(df: DataFrame, columns: list[str], label: str, settings: Settings, store
                 packed = pa.array([r.tobytes() for r in bins], pa.binary())
                 yield pa.RecordBatch.from_arrays([packed, batch.column("label"), pa.array(np.full(len(bins), base))], ["bins", "label", "margin"])
 
-        labelled.mapInArrow(to_bins, ROWS).write.mode("overwrite").parquet(f"{folder}/rows-0")
+        binned_rows = labelled.mapInArrow(to_bins, ROWS)
+        if store is None and many <= BLOCK_ROWS:
+            model.trees = _grown_in_block(binned_rows, model, every) if settings.trees else []
+            return model
+        _write(binned_rows, f"{folder}/rows-0")
         kept = [0]
 
     # the sums are small: one task adds them up, without planning anew as it goes
@@ -293,6 +346,7 @@ def fit(df: DataFrame, columns: list[str], label: str, settings: Settings, store
     # small files share a task, however many cores there are
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     session.conf.set("spark.sql.files.openCostInBytes", str(1 << 16))
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(BLOCK_BYTES))
     written = kept[-1]
     rows, alone = _read(session, f"{folder}/rows-{written}")
     width = len(columns)
@@ -313,7 +367,7 @@ def fit(df: DataFrame, columns: list[str], label: str, settings: Settings, store
                         bins, _, margin = _rows_of(batch, width)
                         yield pa.RecordBatch.from_arrays([batch.column("bins"), batch.column("label"), pa.array(margin + applied(bins, new))], ["bins", "label", "margin"])
 
-            rows.mapInArrow(moved, ROWS).write.mode("overwrite").parquet(f"{folder}/rows-{done}")
+            _write(rows.mapInArrow(moved, ROWS), f"{folder}/rows-{done}")
             if store:
                 model.save(f"{folder}/trees-{done}")
             remove_folder(spark, f"{folder}/rows-{written}")
@@ -324,6 +378,11 @@ def fit(df: DataFrame, columns: list[str], label: str, settings: Settings, store
     return model
 
 
+def _write(rows: DataFrame, path: str) -> None:
+    """Files of at most a block, so that as many tasks can read them."""
+    rows.write.mode("overwrite").option("maxRecordsPerFile", BLOCK_ROWS).parquet(path)
+
+
 def _read(session: SparkSession, path: str) -> tuple[DataFrame, bool]:
     """The rows, and whether one task reads them all."""
     rows = session.read.schema(ROWS).parquet(path)

@@ -164,3 +164,25 @@ def test_odd_tables(spark):
     assert set(model.importance().values()) == {0.0}
     assert fit(df, COLUMNS, "label", Settings(trees=2, second_order=False)).base == 0.0
     assert df.select(F.lit(1)).count() == 20
+
+
+def test_a_block_takes_as_many_jobs_for_many_trees_as_for_few(spark, monkeypatch):
+    df = spark.createDataFrame(rows_of(11, 150), SCHEMA)
+    settings = Settings(trees=45, depth=2, second_order=False)
+
+    def jobs_of(group, settings):
+        spark.sparkContext.setJobGroup(group, group)
+        model = fit(df, COLUMNS, "label", settings, every=4)
+        return model, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    try:
+        few, at_first = jobs_of("few trees", Settings(trees=3, depth=2, second_order=False))
+        many, then = jobs_of("many trees", settings)
+        assert at_first == then
+        # the same trees level by level, in files of a few rows each
+        monkeypatch.setattr(boosting, "BLOCK_ROWS", 20)
+        by_level, jobs = jobs_of("by level", settings)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs > 90 and by_level.to_json() == many.to_json()
+    assert many.trees[:3] == few.trees
