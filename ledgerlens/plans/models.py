@@ -4,21 +4,20 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import boosting, logistic
+from ledgerlens.operators import boosting, forest, logistic
 from ledgerlens.operators.boosting import Settings
+from ledgerlens.operators.forest import Forest
 from ledgerlens.operators.logistic import LogisticModel
 from ledgerlens.schemas import TRAIN_VARS
 from ledgerlens.sources import files
 
 LABEL = "if_loss"
-LossModel = PipelineModel | boosting.Model | LogisticModel
+LossModel = PipelineModel | boosting.Model | Forest | LogisticModel
 
 
 def complete_rows(df: DataFrame) -> DataFrame:
@@ -37,14 +36,9 @@ def fit_gbdt(df: DataFrame, trees: int = 3000, depth: int = 2, rate: float = 0.1
     return boosting.fit(df, TRAIN_VARS, LABEL, settings, store)
 
 
-def fit_forest(df: DataFrame, trees: int = 100, depth: int = 30, seed: int = 0) -> PipelineModel:
-    """A forest whose trees grow until leaves are pure, or to depth 30, the most that `pyspark.ml` allows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(files.work_folder(spark, "trees"))
-    inputs = VectorAssembler(inputCols=TRAIN_VARS, outputCol="features", handleInvalid="error")
-    forest = RandomForestClassifier(labelCol=LABEL, numTrees=trees, maxDepth=depth, seed=seed, checkpointInterval=10)
-    return Pipeline(stages=[inputs, forest]).fit(complete_rows(df))
+def fit_forest(df: DataFrame, trees: int = 100, depth: int = 30, seed: int = 0) -> Forest:
+    """A forest whose trees grow until leaves are pure, or to depth 30."""
+    return forest.fit(complete_rows(df), TRAIN_VARS, LABEL, trees, depth, seed)
 
 
 def fit_logistic(df: DataFrame, c: float = 1.0) -> LogisticModel:
@@ -70,7 +64,7 @@ def logit_summary(df: DataFrame) -> DataFrame:
 
 def feature_importance(model: LossModel) -> DataFrame:
     """(feature, importance), the most important first. One line per model input; importances sum up to 1."""
-    if isinstance(model, boosting.Model):
+    if isinstance(model, boosting.Model | Forest):
         rows = list(model.importance().items())
     else:
         rows = [(c, float(w)) for c, w in zip(TRAIN_VARS, model.stages[-1].featureImportances.toArray())]
@@ -84,6 +78,9 @@ def score(model: LossModel, df: DataFrame) -> DataFrame:
         kept = df.columns
         scored = model.transform(complete_rows(df.withColumn("_row", F.struct(*kept))))
         loss = scored.select("_row.*", vector_to_array("probability")[1].alias("prob_1"))
+    elif isinstance(model, Forest):
+        inputs = F.struct(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in model.columns])
+        loss = df.withColumn("prob_1", model.chance(inputs))
     else:
         loss = df.withColumn("prob_1", 1 / (1 + F.exp(-model.margin())))
     return loss.select(
@@ -96,7 +93,7 @@ def score(model: LossModel, df: DataFrame) -> DataFrame:
 
 
 def load_model(path: str) -> LossModel:
-    return files.load_model(path, boosting.Model, LogisticModel)
+    return files.load_model(path, boosting.Model, Forest, LogisticModel)
 
 
 def linear_loss(weights: dict[str, float], intercept: float) -> Column:
