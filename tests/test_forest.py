@@ -108,3 +108,18 @@ def test_odd_tables(spark):
     same = spark.createDataFrame([(i, 1.0, 1.0, 1.0, i % 2) for i in range(40)], SCHEMA)
     model = fit(same, COLUMNS, "label", trees=3)
     assert all(len(t.column) == 1 and 0 < t.chance[0] < 1 for t in model.trees)
+
+
+def test_a_block_takes_as_many_jobs_for_many_deep_trees_as_for_few(spark):
+    df = spark.createDataFrame(rows_of(2, 60), SCHEMA)
+
+    def jobs_of(trees, depth):
+        group = f"forest of {trees}"
+        spark.sparkContext.setJobGroup(group, group)
+        assert len(fit(df, COLUMNS, "label", trees, depth).trees) == trees
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    try:
+        assert jobs_of(2, 1) == jobs_of(12, 30) < 12
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
