@@ -116,8 +116,8 @@ def metrics_by(df: DataFrame, by: list[str], score: str, label: str, prediction:
             F.sum((1 - F.col("y")) * F.col("p")).alias("fp"),
         )
     )
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = counts.groupBy(*by).agg(F.percentile_approx("score", shares, 10 * ranges).alias("cuts"))
+    shares = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    cuts = counts.groupBy(*by).agg(F.expr(f"percentile_approx(score, array({shares}), {10 * ranges})").alias("cuts"))
     cuts = cuts.withColumn("cuts", F.array_distinct(F.coalesce("cuts", F.array().cast("array<double>"))))
     ranged = with_place(counts.join(F.broadcast(cuts), by), "score", "cuts", "range").drop("cuts")
     down = Window.partitionBy(*by, "range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)

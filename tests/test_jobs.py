@@ -68,6 +68,19 @@ def test_models_are_compared_on_one_set(spark):
     assert len({(r.part, r.n) for r in rows}) == 2
 
 
+def test_all_fits_of_the_comparison_take_few_jobs(spark):
+    """300 levels of boosted trees and 30 of a forest were jobs of their own."""
+    rows = [(*[float((i * k) % 37) for k in range(1, len(TRAIN_VARS) + 1)], int(i * 5 % 37 > 18)) for i in range(1, 61)]
+    df = spark.createDataFrame(rows, [*TRAIN_VARS, "if_loss"])
+    try:
+        for fit in (models.fit_boosted, models.fit_forest):
+            spark.sparkContext.setJobGroup(fit.__name__, fit.__name__)
+            assert len(fit(df).trees) == 100
+            assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(fit.__name__)) < 12
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 REQUESTS = [
     {"request_id": i, "salary": "$1500", "employment_length": ["2", "N/A", None, "o"][i % 4],
      "bank_account_length_months": None if i % 5 == 0 else str(i), "months_at_residence": None if i % 3 == 0 else "24",
