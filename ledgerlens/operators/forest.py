@@ -13,7 +13,7 @@ import base64
 import json
 import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -244,37 +244,43 @@ def _batch(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, n
     return batch.column("id").to_numpy(), bins, batch.column("label").to_numpy()
 
 
+def _by_node(at: np.ndarray, weight: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each node that drawn rows come to, and these rows in their order. One sort, however many nodes there are."""
+    rows = np.flatnonzero(weight)
+    rows = rows[np.argsort(at[rows], kind="stable")]
+    nodes, first = np.unique(at[rows], return_index=True)
+    return zip(nodes.tolist(), np.split(rows, first[1:]))
+
+
+def _counts(
+    batches: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], tops: list[Top], active: set[tuple[int, int]], width: int, seed: int
+) -> Iterator[dict[tuple[int, int], np.ndarray]]:
+    """Numbers of rows and of ones per column and bin of the active nodes, given whenever HELD nodes are counted."""
+    trees, held = sorted({t for t, _ in active}), {}
+    for ids, bins, label in batches:
+        for t in trees:
+            weight, at = drawn(ids, t, seed), tops[t].reached(bins)
+            for node, here in _by_node(at, weight):
+                if (t, node) not in active:
+                    continue
+                cells = (bins[here] + np.arange(width) * BINS).ravel()
+                sums = [np.bincount(cells, np.repeat(w, width), width * BINS) for w in (weight[here].astype(float), weight[here] * label[here])]
+                some = np.stack(sums, axis=1).astype(np.int64)
+                held[t, node] = held[t, node] + some if (t, node) in held else some
+                if len(held) >= HELD:
+                    yield held
+                    held = {}
+    if held:
+        yield held
+
+
 def _splits(rows: DataFrame, tops: list[Top], active: set[tuple[int, int]], width: int, tries: int, seed: int) -> pa.Table:
     """(tree, node, column, bin, gain, and rows and ones of the whole and its left side) of the active nodes; column -1: none."""
-    trees = sorted({t for t, _ in active})
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], np.ndarray] = {}
-
-        def given() -> pa.RecordBatch:
+        for held in _counts((_batch(b, width) for b in batches if len(b)), tops, active, width, seed):
             names = [pa.array([k[i] for k in held], pa.int64()) for i in (0, 1)]
-            out = pa.RecordBatch.from_arrays([*names, pa.array([v.tobytes() for v in held.values()], pa.binary())], ["tree", "node", "counts"])
-            held.clear()
-            return out
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            ids, bins, label = _batch(batch, width)
-            for t in trees:
-                weight, at = drawn(ids, t, seed), tops[t].reached(bins)
-                for node in np.unique(at[weight > 0]).tolist():
-                    if (t, node) not in active:
-                        continue
-                    here = (at == node) & (weight > 0)
-                    cells = (bins[here] + np.arange(width) * BINS).ravel()
-                    sums = [np.bincount(cells, np.repeat(w, width), width * BINS) for w in (weight[here].astype(float), weight[here] * label[here])]
-                    some = np.stack(sums, axis=1).astype(np.int64)
-                    held[t, node] = held[t, node] + some if (t, node) in held else some
-                if len(held) >= HELD:
-                    yield given()
-        if held:
-            yield given()
+            yield pa.RecordBatch.from_arrays([*names, pa.array([v.tobytes() for v in held.values()], pa.binary())], ["tree", "node", "counts"])
 
     def picked(key: tuple, parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((width, BINS, 2), np.int64)
@@ -306,9 +312,8 @@ def _below(rows: DataFrame, tops: list[Top], width: int, depth: int, tries: int,
             for t, top in enumerate(tops):
                 weight, at = drawn(ids, t, seed), top.reached(bins)
                 lines = []
-                for node in np.unique(at[weight > 0]).tolist():
+                for node, here in _by_node(at, weight):
                     if node not in top.leaves:
-                        here = (at == node) & (weight > 0)
                         data = np.column_stack([bins[here], label[here].astype(np.uint8), weight[here]])
                         lines.append({"tree": t, "node": node, "data": data.tobytes()})
                 if lines:
@@ -354,6 +359,8 @@ def fit(df: DataFrame, columns: list[str], label: str, trees: int = 100, depth:
     session: SparkSession = spark.newSession()
     session.conf.set("spark.sql.adaptive.enabled", "false")
     session.conf.set("spark.sql.shuffle.partitions", str(2 * max(trees, spark.sparkContext.defaultParallelism)))
+    # counts of a node, 4 kB a column, go out once for each batch at worst: batches of a block, not of the usual 10,000 rows
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BLOCK_ROWS))
     rows = session.read.schema(schema).parquet(folder)
     many = rows.count()
     if not many:

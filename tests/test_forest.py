@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.operators import forest
@@ -82,6 +83,43 @@ def test_large_nodes_are_split_level_by_level_to_the_same_trees(spark, monkeypat
     assert sum(whole.importance().values()) == pytest.approx(1)
 
 
+def test_counts_of_many_nodes_are_given_a_few_at_a_time(monkeypatch):
+    """One batch of rows held the counts of all trees and nodes that it came to."""
+    rng = np.random.default_rng(0)
+    ids, bins, label = np.arange(200), rng.integers(0, 20, (200, 2)).astype(np.uint8), rng.integers(0, 2, 200)
+    tops = [Top({0: (0, 9, 1.0), 1: (1, 9, 1.0), 2: (1, 9, 1.0)}) for _ in range(5)]
+    active = {(t, node) for t in range(5) for node in (3, 4, 6)}
+    monkeypatch.setattr(forest, "HELD", 4)
+    given = list(forest._counts([(ids[:90], bins[:90], label[:90]), (ids[90:], bins[90:], label[90:])], tops, active, 2, 7))
+    assert max(len(held) for held in given) <= 4
+    for t, node in active:
+        sums = sum(held[t, node] for held in given if (t, node) in held)
+        weight, right = drawn(ids, t, 7), bins > 9
+        here = {3: ~right[:, 0] & ~right[:, 1], 4: ~right[:, 0] & right[:, 1], 6: right[:, 0] & right[:, 1]}[node]
+        assert sums.reshape(2, forest.BINS, 2)[1, 12].tolist() == [(weight * here * (bins[:, 1] == 12) * k).sum() for k in (1, label)]
+    assert {k for held in given for k in held} == active
+
+
+def test_rows_of_a_block_come_in_one_batch(spark, monkeypatch):
+    """Batches of 10,000 rows sent the counts of a node once for each."""
+    df = spark.createDataFrame(rows_of(3, 60), SCHEMA).coalesce(1)
+    sizes, splits = [], forest._splits
+
+    def watched(rows, *rest):
+        found = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [len(b)]}) for b in batches), "n long").collect()
+        sizes.append(sorted(r.n for r in found))
+        return splits(rows, *rest)
+
+    monkeypatch.setattr(forest, "_splits", watched)
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        fit(df, COLUMNS, "label", trees=2)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sizes[0] == [10, 50]
+
+
 def test_leaves_are_pure_and_text_form(spark):
     """Fitted, kept as text, read back, and scored without classes of `pyspark.ml` in the tasks."""
     rows = [(i, *[float((i * k) % 41) for k in range(1, len(TRAIN_VARS) + 1)], i % 3 // 2) for i in range(1, 41)]
