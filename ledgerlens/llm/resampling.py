@@ -6,7 +6,6 @@ import math
 import zlib
 from collections.abc import Iterator
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import pick, table, written
 
 BUCKETS = 10_000
-#: bytes of texts scanned by one automaton; a longer text is scanned in pieces
+#: bytes of texts scanned at once; a longer text is scanned in pieces
 TOGETHER = 1 << 22
 #: The reversed polynomial of the usual CRC of 32 bits
 POLYNOMIAL = 0xEDB88320
@@ -81,19 +80,6 @@ class Shifts:
         return out
 
 
-def dictionary(words: set[bytes]) -> ahocorasick.Automaton:
-    """An automaton over the words, each between two spaces, with checksum and length as its payload.
-
-    It takes a text with one byte a character and a space at both ends; words share the space between them, so every
-    word is found, in order, and nothing else is.
-    """
-    found = ahocorasick.Automaton()
-    for w in words:
-        found.add_word(f" {w.decode('latin-1')} ", zlib.crc32(w) << 31 | len(w) if w != MARK else -1)
-    found.make_automaton()
-    return found
-
-
 def _pieces(texts: list[str]) -> Iterator[bytes]:
     """The texts in plain bytes, the mark after each, in pieces of about `TOGETHER` bytes cut between words."""
     parts: list[bytes] = []
@@ -116,37 +102,50 @@ def _pieces(texts: list[str]) -> Iterator[bytes]:
         yield b"".join(parts)
 
 
-def buckets(texts: list[str], shifts: Shifts, runs: int = 2, modulus: int = BUCKETS) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(text, words, buckets): of every text's runs of 1 to `runs` words, piece by piece; a long text has several pieces.
+def scan(texts: list[str], shifts: Shifts, runs: int = 2, modulus: int = BUCKETS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, places, buckets): of all runs of k words, 1 to `runs`, piece by piece; places say which text a run is in.
 
-    The automaton of a piece's distinct words gives their payloads in order; those of neighbours make the checksum of a
-    run. The last words of a piece are carried over to the next one of the same text.
+    Every word of a piece is summed up once, whichever text it is in; the checksums of neighbours make that of a run.
+    Marks are words as well, and runs with a mark are left out. The last words of a piece are carried over to the next.
     """
-    text = 0
-    held = np.zeros(0, np.int64)  # payloads of the words before, for runs that go on
+    sums, lengths, text = np.zeros(0, np.uint32), np.zeros(0, np.int64), 0
     for piece in _pieces(texts):
-        words = set(piece.split())
-        payloads = np.array([v for _, v in dictionary(words).iter(f" {piece.decode('latin-1')} ")], np.int64) if words else held[:0]
-        cuts = np.flatnonzero(payloads < 0)
-        for n, part in enumerate(np.split(payloads, cuts)):
-            part = part[1:] if n else part
-            if n:
-                text += 1
-                held = held[:0]
-            whole = np.concatenate([held, part])
-            sums, lengths = (whole >> 31).astype(np.uint32), whole & 0x7FFFFFFF
-            found, run = [sums[len(held) :] % modulus], sums
-            for k in range(1, runs):
-                # a run of k words, a space and the word after it
-                run = shifts(_space(run[:-1]), lengths[k:]) ^ sums[k:]
-                found.append(run[max(0, len(held) - k) :] % modulus)
-            if len(part):
-                yield text, len(part), np.concatenate(found)
-            held = whole[max(0, len(whole) - runs + 1) :]
+        # the last words before, for runs that go on
+        held = min(len(sums), runs - 1)
+        before = len(sums) - held
+        words = piece.split()
+        sums = np.concatenate([sums[before:], np.fromiter(map(zlib.crc32, words), np.uint32, len(words))])
+        lengths = np.concatenate([lengths[before:], np.fromiter(map(len, words), np.int64, len(words))])
+        # no other word of one byte has the mark's checksum
+        marks = (lengths == len(MARK)) & (sums == _MARK_SUM)
+        places = text + np.cumsum(marks) - np.count_nonzero(marks[:held])
+        run, whole = sums, ~marks
+        for k in range(1, runs + 1):
+            if k > 1:
+                # a run of one word less, a space and the word after it
+                run = shifts(_space(run[:-1]), lengths[k - 1 :]) ^ sums[k - 1 :]
+                whole = whole[:-1] & ~marks[k - 1 :]
+            # those that end in this piece
+            new = max(0, held - k + 1)
+            some = whole[new:]
+            yield k, places[k - 1 + new :][some], run[new:][some] % modulus
+        text = int(places[-1]) if len(places) else text
+
+
+def buckets(texts: list[str], shifts: Shifts, runs: int = 2, modulus: int = BUCKETS) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(text, words, buckets): of every text's runs of 1 to `runs` words, piece by piece and a length of run at a time.
+
+    Words are counted along with the runs of one word; a long text has several pieces.
+    """
+    for k, places, found in scan(texts, shifts, runs, modulus):
+        starts = np.flatnonzero(np.diff(places, prepend=-1))
+        for text, some in zip(places[starts].tolist(), np.split(found, starts[1:])):
+            yield text, len(some) if k == 1 else 0, some
 
 
 _STEP = _byte_step()
 _SPACE = zlib.crc32(b" ")
+_MARK_SUM = zlib.crc32(MARK)
 
 
 def _space(sums: np.ndarray) -> np.ndarray:
@@ -176,7 +175,7 @@ def counts(docs: DataFrame, runs: int = 2, modulus: int = BUCKETS) -> DataFrame:
         shifts, n = Shifts(), np.zeros(modulus, np.int64)
         for batch in batches:
             for _, texts in _batches(batch, "text"):
-                for _, _, found in buckets(texts, shifts, runs, modulus):
+                for _, _, found in scan(texts, shifts, runs, modulus):
                     n += np.bincount(found, minlength=modulus)
         some = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(n[some])], ["bucket", "n"])
@@ -205,10 +204,12 @@ def weigh(docs: DataFrame, gain: np.ndarray, runs: int = 2) -> DataFrame:
         for batch in batches:
             for start, texts in _batches(batch, "text"):
                 words, n, total = np.zeros((3, len(texts)), np.int64)
-                for i, more, found in buckets(texts, shifts, runs, len(gain)):
-                    words[i] += more
-                    n[i] += len(found)
-                    total[i] += gain[found].sum()
+                for k, places, found in scan(texts, shifts, runs, len(gain)):
+                    more = np.bincount(places, minlength=len(texts))
+                    words += more if k == 1 else 0
+                    n += more
+                    # sums of whole numbers far below 2^53
+                    total += np.bincount(places, gain[found], len(texts)).astype(np.int64)
                 out = [batch.column("doc_id").slice(start, len(texts)), *map(pa.array, (words, n, total // np.maximum(n, 1)))]
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "n_words", "n_features", "weight"])
 
